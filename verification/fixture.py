@@ -67,13 +67,15 @@ def responses(spark: SparkSession, sf: str) -> DataFrame:
 def respond(docs: DataFrame) -> DataFrame:
     """One response per cleaned document."""
     doc, clean = F.col("doc_id"), F.col("clean_text")
-    license_line = F.regexp_extract(clean, r"(?i)[^.!?\n]*(?:released|licensed) under[^.!?\n]*", 0)
+    # only the start of a sentence can start the match; saying so spares the search at every other character
+    line = F.regexp_extract(clean, r"(?i)(?:^|(?<=[.!?\n]))[^.!?\n]*(?:released|licensed) under[^.!?\n]*", 0)
+    license_line = F.nullif(line, F.lit(""))
     values = F.struct(
         F.when(doc % 5 < 3, F.substring(clean, 1, 130)).alias("opening_quote"),
         F.when(doc % 7 < 4, F.replace(F.substring(clean, 41, 60), F.lit(" "), F.lit("  "))).alias("spaced_quote"),
         F.when(doc % 3 == 0, F.concat(F.lit("the summary of "), doc.cast("string")))
         .when(doc % 3 == 1, F.concat(F.lit("zzz-"), doc.cast("string"))).alias("invented"),
-        F.when((doc % 2 == 0) & (license_line != ""), license_line).alias("license_line"),
+        F.when(doc % 2 == 0, license_line).alias("license_line"),
         F.when(doc % 4 == 0, True).when(doc % 4 == 1, False).alias("has_flag"),
         F.when(doc % 10 == 0, F.concat(F.lit("$"), (doc * 100).cast("string"))).alias("max_amount"),
     )

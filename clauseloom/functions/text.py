@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from .. import fixed_values as fv
 
-SENTENCE = r"[^.!?\n]+[.!?]*"
+# A terminator ends a sentence only before white space, so "99.9%" and addresses stay whole.  The possessive
+# quantifiers keep the matcher iterative: text with very many inner dots must not deepen its stack.
+SENTENCE = r"[^.!?\n]+(?:[.!?]+[^.!?\s][^.!?\n]*+)*+[.!?]*"
 TOKEN_AND_GAP = r"[^ \n]+[ \n]*"
 TERM = r"[a-z0-9]+"
 
@@ -47,10 +49,14 @@ def clean_text(text: Column) -> Column:
     """Unify line ends, limit blank lines, squeeze blanks, blank out all but printable ASCII, strip.
 
     The order is part of the definition: characters blanked out at the end may leave double spaces.
+    A plain search tells first whether a step has anything to do; most texts skip most patterns.
     """
-    unified = F.replace(F.replace(text, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
-    limited = F.regexp_replace(unified, r"\n{3,}", "\n\n")
-    squeezed = F.regexp_replace(limited, r"[ \t]{2,}", " ")
+    def step(value: Column, marks: list[str], change) -> Column:
+        return let(value, lambda v: F.when(any_of([F.contains(v, F.lit(m)) for m in marks]), change(v)).otherwise(v))
+
+    unified = step(text, ["\r"], lambda v: F.replace(F.replace(v, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n")))
+    limited = step(unified, ["\n\n\n"], lambda v: F.regexp_replace(v, r"\n{3,}", "\n\n"))
+    squeezed = step(limited, ["  ", "\t"], lambda v: F.regexp_replace(v, r"[ \t]{2,}", " "))
     printable = F.regexp_replace(squeezed, r"[^\x20-\x7E\n]", " ")
     return F.btrim(printable, F.lit(" \n"))
 
@@ -95,6 +101,12 @@ def token_count(text: Column) -> Column:
     return F.size(F.split(text, r"[ \n]+"))
 
 
+def sentence_tokens(sentence: Column) -> Column:
+    """The same for one trimmed sentence; where blanks are single, they only need counting."""
+    single = F.length(sentence) - F.length(F.replace(sentence, F.lit(" "), F.lit(""))) + 1
+    return F.when(F.contains(sentence, F.lit("  ")), F.size(F.split(sentence, " +"))).otherwise(single)
+
+
 def terms(text: Column) -> Column:
     """Lower-case runs of letters and digits."""
     return F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0))

@@ -28,7 +28,8 @@ def _cut_long(sentence: Column, size: int) -> Column:
         )
 
     tokens = F.regexp_extract_all(sentence, F.lit(tx.TOKEN_AND_GAP), F.lit(0))
-    return F.when(tx.token_count(sentence) <= size, F.array(sentence)).otherwise(tx.let(tokens, pieces))
+    short = (F.length(sentence) < 2 * size) | (tx.sentence_tokens(sentence) <= size)
+    return F.when(short, F.array(sentence)).otherwise(tx.let(tokens, pieces))
 
 
 def pieces(clean: Column, size: int) -> Column:
@@ -87,7 +88,7 @@ def chunk(contracts: DataFrame, size: int = fv.CHUNK_SIZE, overlap: int = fv.CHU
           key: str = "contract_id", clean: str = "clean_text") -> DataFrame:
     """One row per chunk: ``chunk_idx`` from 0, its text, its token count and the chunks of its document."""
     cut = contracts.select(key, pieces(F.col(clean), size).alias("pieces"))
-    packed = cut.select(key, "pieces", pack(F.transform("pieces", tx.token_count), size, overlap).alias("spans"))
+    packed = cut.select(key, "pieces", pack(F.transform("pieces", tx.sentence_tokens), size, overlap).alias("spans"))
     spread = tx.exploded(packed, [key, "pieces", F.size("spans").alias("n_chunks")], "spans", "chunk_idx", "span")
     members = F.slice("pieces", F.col("span.first"), F.col("span.last") - F.col("span.first") + 1)
     return spread.select(key, "chunk_idx", "n_chunks", F.col("span.n_tokens").alias("n_tokens"),

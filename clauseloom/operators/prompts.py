@@ -46,7 +46,8 @@ def messages(contexts: DataFrame, template: str | None = None, system: str = SYS
 
 
 def budget(prompts: DataFrame, max_output: int = fv.MAX_OUTPUT_TOKENS) -> DataFrame:
-    """Estimated tokens of each prompt, in words, and the most a call may use."""
+    """Adds the estimated tokens of each prompt, in words, and the most a call may use."""
     words = F.aggregate("messages", F.lit(0), lambda n, m: n + tx.token_count(tx.strip(m["content"])))
-    return prompts.select("contract_id", words.alias("prompt_tokens"), F.lit(max_output).alias("max_output_tokens"),
-                          (words + max_output).alias("token_budget"))
+    counted = tx.computed_once(prompts, prompt_tokens=words)
+    return counted.select("*", F.lit(max_output).alias("max_output_tokens"),
+                          (F.col("prompt_tokens") + max_output).alias("token_budget"))

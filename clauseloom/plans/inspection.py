@@ -23,7 +23,7 @@ def inspect_contract(results: DataFrame, contract_id, fields: FieldConfig = SLA_
 
 def list_contracts(results: DataFrame, fields: FieldConfig = SLA_FIELDS) -> DataFrame:
     return results.select("contract_id", "status", F.coalesce("tokens_used", F.lit(0)).alias("tokens_used"),
-                          populated_count(results, fields).alias("n_fields")).orderBy("contract_id")
+                          populated_count(fields).alias("n_fields")).orderBy("contract_id")
 
 
 def cash_penalties(results: DataFrame) -> DataFrame:

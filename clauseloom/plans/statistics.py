@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .. import fixed_values as fv
-from ..fields import BOOLEAN, FieldConfig
+from ..fields import FieldConfig
 
 MILLION = 1_000_000
 
@@ -96,6 +95,6 @@ def recent_rate(results: DataFrame, n: int = fv.RECENT_ROWS, corpus_size: int =
                          F.try_divide((F.lit(corpus_size) - F.col("done")).cast("double"), rate).alias("eta_sec"))
 
 
-def populated_count(results: DataFrame, fields: FieldConfig) -> Column:
-    """Number of filled fields of a row."""
+def populated_count(fields: FieldConfig) -> Column:
+    """Number of filled fields of a result row."""
     return sum((F.col(f.name).isNotNull().cast("int") for f in fields), F.lit(0))

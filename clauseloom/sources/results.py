@@ -62,6 +62,11 @@ def read_latest(spark: SparkSession, path: str, fields: FieldConfig = SLA_FIELDS
     return latest(read_all(spark, path, fields)).drop(BATCH)
 
 
+def compact(spark: SparkSession, path: str, into: str, fields: FieldConfig = SLA_FIELDS) -> None:
+    """Write the current rows to a new folder as its first batch, when many batches have piled up."""
+    append_batch(read_latest(spark, path, fields), into, 0)
+
+
 def upsert(existing: DataFrame, new: DataFrame, seq: str) -> DataFrame:
     """Existing rows without a new version, and the newest new row of each contract; ``seq`` orders a batch."""
     winners = latest(new, F.col("created_at").desc_nulls_last(), F.col(seq).desc())
@@ -77,7 +82,7 @@ def pending(contracts: DataFrame, results: DataFrame, limit: int | None = None)
 
     The cap counts pending contracts: with the cap taken first, a resumed run would find nothing to do.
     """
-    left = contracts.join(processed_ids(results), "contract_id", "left_anti")
+    left = contracts.join(results.select("contract_id"), "contract_id", "left_anti")
     return left.orderBy("contract_id").limit(limit) if limit else left
 
 

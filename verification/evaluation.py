@@ -19,7 +19,7 @@ from .registry import query
 
 
 def _scored(spark, sf):
-    return sc.score_results(fx.results(spark, sf), fx.ready(spark, sf), fx.FIELDS)
+    return sc.score_results(fx.results(spark, sf), fx.ready_by_contract(spark, sf), fx.FIELDS)
 
 
 @query("field_scores", f"WITH {o.SCORES} SELECT contract_id, field, score FROM scores")

@@ -57,11 +57,43 @@ def ready(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def ready_by_contract(spark: SparkSession, sf: str) -> DataFrame:
-    return ct.ready(ct.by_contract(contracts(spark, sf).drop("doc_id")))
+    return ct.ready(ct.by_contract(contracts(spark, sf)))
 
 
 def responses(spark: SparkSession, sf: str) -> DataFrame:
-    return respond(ready(spark, sf))
+    """Responses in the partitions of their contracts, where results are later merged and judged."""
+    return respond(ready_by_contract(spark, sf))
+
+
+CLAUSES = (  # added to documents in turn, so that every field occurs
+    "The uptime SLA is 99.95% in each calendar month.",
+    "Support will respond within 4 hours of a priority 1 report.",
+    "A breach threshold is met when availability drops below 99.5%.",
+    "Availability is measured monthly over a rolling 12 month period.",
+    "A service credit of 10% is granted for each breach.",
+    "Liquidated damages of USD 5,000 are due per day of delay.",
+    "An early termination fee equal to three months of fees applies.",
+    "Overdue interest of 1.5% per month applies to unpaid invoices.",
+    "The data breach penalty is a fine of $250,000.",
+    "Credits shall not exceed 30% of the monthly fee.",
+    "The agreement will automatically renew for one year terms.",
+    "Either party may give notice of termination with 30 days prior written notice.",
+    "In no event is the aggregate liability above $1,000,000.",
+    "This agreement shall be governed by the laws of the State of Delaware.",
+    "Any dispute shall be settled by arbitration.",
+)
+
+
+def contract_like(spark: SparkSession, sf: str) -> DataFrame:
+    """Each document with four of the clauses put behind its first line."""
+    docs = ready_by_contract(spark, sf)
+    number = F.col("contract_id").cast("int")
+    picked = F.concat_ws("\n", *[F.element_at(F.array(*[F.lit(c) for c in CLAUSES]), (number * (i + 1) + i * 4) % len(CLAUSES) + 1)
+                                 for i in range(4)])
+    end = F.greatest(F.instr("clean_text", "\n") - 1, F.lit(0))
+    text = F.concat(F.substring("clean_text", F.lit(1), end), F.lit("\n"), picked, F.lit("\n"),
+                    F.substring("clean_text", end + 1, F.length("clean_text")))
+    return tx.computed_once(docs, joined=text).select("contract_id", F.col("joined").alias("clean_text"))
 
 
 def respond(docs: DataFrame) -> DataFrame:

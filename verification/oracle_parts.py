@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-LINE = "chr(10)"
+from .fixture import CLAUSES
 
 
 def clean(x: str) -> str:
@@ -19,9 +19,18 @@ DOCS = f"""docs AS MATERIALIZED (
 READY = DOCS + """,
 ready AS MATERIALIZED (SELECT contract_id, doc_id, clean_text FROM docs WHERE length(clean_text) >= 100)"""
 
-SENTENCES = r"""sents AS MATERIALIZED (
+_CLAUSES = "[" + ", ".join(f"'{c}'" for c in CLAUSES) + "]"
+CONTRACT_LIKE = DOCS + f""",
+ready AS MATERIALIZED (
+  SELECT contract_id, doc_id, substring(clean_text, 1, e) || chr(10) || """ + " || chr(10) || ".join(
+    f"{_CLAUSES}[(doc_id * {i + 1} + {i * 4}) % {len(CLAUSES)} + 1]" for i in range(4)) + """ || chr(10) || substring(clean_text, e + 1) AS clean_text
+  FROM (SELECT *, greatest(strpos(clean_text, chr(10)) - 1, 0) AS e FROM docs WHERE length(clean_text) >= 100))"""
+
+SENTENCE = r"[^.!?\n]+(?:[.!?]+[^.!?\s][^.!?\n]*)*[.!?]*"
+
+SENTENCES = rf"""sents AS MATERIALIZED (
   SELECT contract_id, unnest(s) AS sentence, generate_subscripts(s, 1) - 1 AS sent_idx
-  FROM (SELECT contract_id, list_filter(list_transform(regexp_extract_all(clean_text, '[^.!?\n]+[.!?]*'),
+  FROM (SELECT contract_id, list_filter(list_transform(regexp_extract_all(clean_text, '{SENTENCE}'),
                lambda x: trim(x)), lambda x: x <> '') AS s FROM ready))"""
 
 

@@ -14,6 +14,8 @@ SQL: dict[str, str] = {}
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def register(function: Query) -> Query:
+        if name in QUERIES:
+            raise ValueError(f"two queries named {name}")
         QUERIES[name] = function
         if sql:
             SQL[name] = sql

@@ -10,9 +10,13 @@ from clauseloom.operators import prompts as pr
 from clauseloom.operators import retrieval as rt
 from clauseloom.operators import vectors as ve
 from clauseloom.operators import weights as wt
+from clauseloom.plans import batch
 from clauseloom.plans import planned as pl
 from clauseloom import fixed_values as fv
-from clauseloom.fields import SLA_FIELDS
+from clauseloom.functions import text as tx
+from clauseloom.session import broadcast_if_small
+from clauseloom.fields import SLA_FIELDS, TEXT
+from clauseloom.operators import scoring as sc
 
 from . import fixture as fx
 from . import oracle_parts as o
@@ -90,9 +94,9 @@ def isolation_check(spark, sf):
     return rt.isolation_check(_seen(spark, sf), _chunks(spark, sf))
 
 
-_RELEVANT = f"""openings AS (SELECT query_idx, trim(regexp_extract({o.clean('query_text')}, '[^.!?\\n]+')) AS opening FROM queries),
-csents AS (SELECT contract_id, chunk_idx, unnest(regexp_extract_all(chunk_text, '[^.!?\\n]+')) AS s FROM chunks),
-relevant AS (SELECT DISTINCT c.contract_id, q.query_idx, c.chunk_idx FROM csents c JOIN openings q ON trim(c.s) = q.opening WHERE length(q.opening) >= 20)"""
+_RELEVANT = f"""qsents AS (SELECT query_idx, trim(unnest(regexp_extract_all({o.clean('query_text')}, '{o.SENTENCE}'))) AS s FROM queries),
+csents AS (SELECT contract_id, chunk_idx, trim(unnest(regexp_extract_all(chunk_text, '{o.SENTENCE}'))) AS s FROM chunks),
+relevant AS (SELECT DISTINCT c.contract_id, q.query_idx, c.chunk_idx FROM csents c JOIN qsents q ON c.s = q.s WHERE length(q.s) >= 20)"""
 
 
 @query("query_recall", f"""{_TOP}{o.ranked(K)}, {_RELEVANT},
@@ -100,15 +104,15 @@ hit AS (SELECT r.contract_id, r.query_idx, min(k.rank) AS best FROM relevant r L
 SELECT query_group, count(*) AS n_relevant, count(best) AS n_found, round(count(best) / count(*), 6) AS recall, coalesce(max(best), 0) AS needed_k
 FROM hit JOIN queries USING (query_idx) GROUP BY query_group""")
 def query_recall(spark, sf):
-    """Chunks holding the first sentence of a passage are relevant to it; sentences are matched by equality."""
-    from clauseloom.functions import text as tx
-
+    """Chunks sharing a whole sentence with a passage are relevant to it."""
     queries, chunks = fx.benchmark_queries(spark, sf), _chunks(spark, sf)
-    opening = F.trim(F.regexp_extract(tx.clean_text(F.col("query_text")), r"[^.!?\n]+", 0))
-    wanted = queries.select("query_idx", opening.alias("opening")).where(F.length("opening") >= 20)
-    sentences = chunks.select("contract_id", "chunk_idx", F.explode_outer(tx.sentences(F.col("chunk_text"))).alias("s"))
-    stripped = sentences.select("contract_id", "chunk_idx", F.trim(F.regexp_replace("s", r"[.!?]+$", "")).alias("opening"))
-    relevant = stripped.join(F.broadcast(wanted), "opening").select("contract_id", "query_idx", "chunk_idx").distinct()
+
+    def spread(rows, text, *keys):
+        return rows.select(*keys, F.explode_outer(tx.sentences(text)).alias("sentence")).where(F.length("sentence") >= 20)
+
+    wanted = spread(queries, tx.clean_text(F.col("query_text")), "query_idx")
+    held = spread(chunks, F.col("chunk_text"), "contract_id", "chunk_idx")
+    relevant = held.join(broadcast_if_small(wanted), "sentence").select("contract_id", "query_idx", "chunk_idx").distinct()
     return rt.query_group_hits(rt.rank_chunks(chunks, queries, K), queries, relevant)
 
 
@@ -133,14 +137,14 @@ SELECT contract_id, len(regexp_extract_all('{pr.SYSTEM_MESSAGE}', '\\S+')) + len
   'Fill in {{"clause": null}} from:' || chr(10) || context || chr(10) || 'JSON only.', '\\S+')) AS n FROM contexts)
 SELECT contract_id, n AS prompt_tokens, 1500 AS max_output_tokens, n + 1500 AS token_budget FROM sized""")
 def prompt_budget(spark, sf):
-    return pr.budget(pr.messages(rt.contexts(_seen(spark, sf)), _TEMPLATE))
+    return pr.budget(pr.messages(rt.contexts(_seen(spark, sf)), _TEMPLATE)).drop("messages")
 
 
 def _extract_sql(rules: dict[str, str]) -> str:
     columns = ", ".join(f"arg_min(sentence, (seen, i)) FILTER (WHERE {rule}) AS {name}" for name, rule in rules.items())
     return f"""{_TOP}{o.seen(K)},
 found AS (SELECT contract_id, seen, unnest(s) AS sentence, generate_subscripts(s, 1) AS i
-  FROM (SELECT contract_id, seen, list_filter(list_transform(regexp_extract_all(chunk_text, '[^.!?\\n]+[.!?]*'),
+  FROM (SELECT contract_id, seen, list_filter(list_transform(regexp_extract_all(chunk_text, '{o.SENTENCE}'),
         lambda x: trim(x)), lambda x: x <> '') AS s FROM seen))
 SELECT contract_id, {columns} FROM found GROUP BY contract_id"""
 
@@ -156,15 +160,69 @@ def extract_clauses(spark, sf):
     return ex.extract_clauses(_seen(spark, sf), fx.EXTRACTED)
 
 
-_MARK = r"(?:\$|£|€|USD|GBP|EUR|CAD|AUD) ?[0-9][0-9,]*(?:\.[0-9]+)?(?: ?(?:million|thousand|M|K)\b)?"
+@query("rule_results", _extract_sql({
+    "license_line": "(contains(lower(sentence), 'released under') OR contains(lower(sentence), 'licensed under')) AND regexp_matches(sentence, '(?i)licen[sc]e')",
+    "with_the": r"contains(lower(sentence), 'with ') AND regexp_matches(sentence, '(?i)\bthe\b')",
+    "long_number": "regexp_matches(sentence, '[0-9]{4}')",
+}).replace("SELECT contract_id, arg_min", "SELECT contract_id, 'documents/' || contract_id AS file_path, CASE WHEN (license_line IS NOT NULL)::INT + (with_the IS NOT NULL)::INT + (long_number IS NOT NULL)::INT >= 2 THEN 'success' ELSE 'partial' END AS status, license_line, with_the, long_number FROM (SELECT contract_id, arg_min", 1) + ")")
+def rule_results(spark, sf):
+    """A whole run by rules: text in, result rows out."""
+    contracts = fx.contracts(spark, sf).select("contract_id", F.concat(F.lit("documents/"), "contract_id").alias("file_path"), "text")
+    rows = batch.rule_results(contracts, fx.benchmark_queries(spark, sf), F.to_timestamp_ntz(F.lit("2024-01-01 00:00:00")),
+                              fx.EXTRACTED[:3], batch.Settings(SIZE, OVERLAP, K), penalties=[])
+    return rows.select("contract_id", "file_path", "status", "license_line", "with_the", "long_number")
+
+
+@query("batch_prompts", f"""{_TOP}{o.seen(K)}
+SELECT contract_id, n_words AS prompt_tokens, n_words + 1500 AS token_budget FROM (SELECT contract_id, len(regexp_extract_all(
+  '{pr.SYSTEM_MESSAGE}', '\\S+')) + len(regexp_extract_all('Context: ' || context, '\\S+')) AS n_words FROM contexts)""")
+def batch_prompts(spark, sf):
+    contracts = fx.contracts(spark, sf).select("contract_id", "text")
+    asked = batch.prompts(contracts, fx.benchmark_queries(spark, sf), batch.Settings(SIZE, OVERLAP, K), "Context: {context}")
+    return asked.select("contract_id", "prompt_tokens", "token_budget")
+
+
+def _sla_rule(field) -> str:
+    words = " OR ".join(f"contains(lower(sentence), '{k}')" for k in field.keywords)
+    return f"({words}) AND regexp_matches(sentence, '(?i){field.pattern}')"
 
 
-@query("extract_sla_clauses")
+_SLA_TEXT = {f.name: _sla_rule(f) for f in SLA_FIELDS if f.kind == TEXT}
+_SLA_TOP = f"WITH RECURSIVE {o.chunks(SIZE, OVERLAP).replace(o.READY, o.CONTRACT_LIKE)}, {_SLA_QUERIES}, "
+_SLA_EXTRACT = _extract_sql(_SLA_TEXT).replace(_TOP, _SLA_TOP)
+
+
+def _sla_seen(spark, sf):
+    chunks = ch.chunk(fx.contract_like(spark, sf), SIZE, OVERLAP)
+    return rt.first_seen(rt.rank_chunks(chunks, rt.default_queries(spark)), chunks)
+
+
+@query("extract_sla_clauses", _SLA_EXTRACT)
 def extract_sla_clauses(spark, sf):
-    """The full field configuration over the default chunks and queries."""
-    chunks = ch.chunk(fx.ready_by_contract(spark, sf))
-    seen = rt.first_seen(rt.rank_chunks(chunks, rt.default_queries(spark)), chunks)
-    return ex.extract_clauses(seen, SLA_FIELDS)
+    """The full field configuration and the built-in queries over contract-like texts."""
+    return ex.extract_clauses(_sla_seen(spark, sf), SLA_FIELDS)
+
+
+def _sla_score(f) -> str:
+    sn = f"trim(lower(substring({f.name}, 1, 120)))"
+    hit = " OR ".join(f"contains(low, '{k}')" for k in f.keywords)
+    return f"""SELECT contract_id, '{f.name}' AS field, CASE WHEN {f.name} IS NOT NULL THEN
+  CASE WHEN contains(low, {sn}) OR contains(ws, regexp_replace({sn}, '\\s+', ' ', 'g'))
+       THEN CASE WHEN regexp_matches({f.name}, '(?i){f.pattern}') THEN 1.0 ELSE 0.8 END
+       ELSE CASE WHEN regexp_matches({f.name}, '(?i){f.pattern}') THEN 0.6 ELSE 0.4 END END WHEN {hit} THEN 0.0 END::DOUBLE AS score FROM judged"""
+
+
+@query("sla_field_scores", _SLA_EXTRACT.replace("\nSELECT contract_id, arg_min", ",\nclauses AS (SELECT contract_id, arg_min", 1) + """),
+judged AS MATERIALIZED (SELECT c.*, lower(r.clean_text) AS low, regexp_replace(lower(r.clean_text), '\\s+', ' ', 'g') AS ws FROM clauses c JOIN ready r USING (contract_id))
+""" + " UNION ALL ".join(_sla_score(f) for f in SLA_FIELDS if f.kind == TEXT))
+def sla_field_scores(spark, sf):
+    """The extracted clauses of contract-like texts, judged with the full field configuration."""
+    fields = tuple(f for f in SLA_FIELDS if f.kind == TEXT)
+    scored = sc.score_results(ex.extract_clauses(_sla_seen(spark, sf), SLA_FIELDS), fx.contract_like(spark, sf), fields)
+    return sc.field_scores(scored).select("contract_id", "field", "score")
+
+
+_MARK = r"(?:\$|£|€|USD|GBP|EUR|CAD|AUD) ?[0-9][0-9,]*(?:\.[0-9]+)?(?: ?(?:million|thousand|M|K)\b)?"
 
 
 @query("monetary_summary", f"""WITH {o.READY},
@@ -247,6 +305,6 @@ def vector_ann_recall(spark, sf):
 def ml_tfidf(spark, sf):
     from pyspark.ml.functions import vector_to_array
 
-    vectors = ve.corpus_vectors(_chunks(spark, sf).select("contract_id", "chunk_idx", "chunk_text"))
+    vectors = ve.corpus_vectors(_chunks(spark, sf).select("contract_id", "chunk_idx", "chunk_text"), features=1 << 10)
     filled = F.filter(vector_to_array("vector"), lambda x: x != 0.0)
     return vectors.select("contract_id", "chunk_idx", F.size(filled).alias("n_features"), F.round(F.array_max(filled), 6).alias("largest"))

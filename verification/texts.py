@@ -32,7 +32,7 @@ SELECT length(t) AS n_chars, md5(t) AS text_md5, 'file' AS source FROM (SELECT t
 def scan_text(spark, sf):
     """The documents as one text file each, read back as whole files."""
     folder = session.new_folder(spark, "texts")
-    (fx.read(spark, sf, "documents").select("text").write.option("maxRecordsPerFile", 1).text(folder))
+    (fx.read(spark, sf, "documents").repartition("doc_id").select("text").write.option("maxRecordsPerFile", 1).text(folder))
     files = ct.scan_files(spark, folder)
     return files.select(F.length("text").alias("n_chars"), F.md5("text").alias("text_md5"), "source")
 

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..fields import SLA_FIELDS, FieldConfig
+from ..fields import BOOLEAN, SLA_FIELDS, Field, FieldConfig
 from ..functions import text as tx
 from .statistics import populated_count
 
@@ -13,12 +13,17 @@ from .statistics import populated_count
 def inspect_contract(results: DataFrame, contract_id, fields: FieldConfig = SLA_FIELDS, size: int = 200) -> DataFrame:
     """One row per field of one contract: marker Y or -, and the value cut to ``size`` characters."""
     one = results.where(F.col("contract_id") == contract_id)
-    details = [F.struct(F.lit(i).alias("field_no"), F.lit(f.name).alias("field"), F.col(f.name).cast("string").alias("value"))
-               for i, f in enumerate(fields)]
-    rows = one.select("contract_id", F.explode(F.array(*details)).alias("d")).select("contract_id", "d.*")
-    given = F.col("value").isNotNull() & ~F.col("value").isin("", "0")
-    return rows.select("contract_id", "field_no", "field", F.when(given, "Y").otherwise("-").alias("marker"),
-                       F.when(given, tx.preview(F.col("value"), size)).alias("preview"))
+
+    def detail(number: int, field: Field) -> Column:
+        value = F.col(field.name)
+        given = value == 1 if field.kind == BOOLEAN else value != ""
+        return F.struct(F.lit(number).alias("field_no"), F.lit(field.name).alias("field"), value.cast("string").alias("value"),
+                        F.coalesce(given, F.lit(False)).alias("given"))
+
+    details = F.array(*[detail(i, f) for i, f in enumerate(fields)])
+    rows = one.select("contract_id", F.explode(details).alias("d")).select("contract_id", "d.*")
+    return rows.select("contract_id", "field_no", "field", F.when(F.col("given"), "Y").otherwise("-").alias("marker"),
+                       F.when(F.col("given"), tx.preview(F.col("value"), size)).alias("preview"))
 
 
 def list_contracts(results: DataFrame, fields: FieldConfig = SLA_FIELDS) -> DataFrame:

@@ -20,6 +20,7 @@ def local_session(app: str = "clauseloom", cores: str = "*", partitions: int = 8
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "12g")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
 

@@ -21,6 +21,19 @@ def scan_files(spark: SparkSession, folder: str, pattern: str = "*.txt") -> Data
                         F.lit("file").alias("source"), F.make_valid_utf8(F.col("content").cast("string")).alias("text"))
 
 
+def load_corpus(spark: SparkSession, folder: str, limit: int | None = None, position: str = "position",
+                text: str = "text") -> DataFrame:
+    """Contracts of a folder: its Parquet dataset when it holds one, its text files otherwise.
+
+    The cap counts dataset positions, or file names in order.
+    """
+    stored = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(folder).select("path")
+    if not stored.isEmpty():
+        return dataset_scan(spark.read.option("pathGlobFilter", "*.parquet").parquet(folder), position, text, limit)
+    files = scan_files(spark, folder)
+    return files.orderBy("file_path").limit(limit) if limit else files
+
+
 def list_files(spark: SparkSession, folder: str) -> DataFrame:
     """Paths of the text and page files directly in ``folder``, without reading their content."""
     read = spark.read.format("binaryFile").load(folder)

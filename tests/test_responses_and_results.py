@@ -120,3 +120,8 @@ def test_text_order_of_amounts(spark):
 
 def test_field_order():
     assert names(SLA_FIELDS)[0] == "uptime_guarantee" and names(SLA_FIELDS)[-1] == "dispute_resolution"
+
+
+def test_inspection_marks(spark):
+    df = spark.createDataFrame([("a", "0", "", 0)], "contract_id string, a string, b string, flag int")
+    assert values(ins.inspect_contract(df, "a", FIELDS), "field", "marker", "preview") == [("a", "Y", "0"), ("b", "-", None), ("flag", "-", None)]

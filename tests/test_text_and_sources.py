@@ -114,6 +114,16 @@ def test_file_scan(spark, tmp_path):
         ct.scan_files(spark, str(tmp_path / "none")).collect()
 
 
+def test_corpus_is_a_dataset_or_files(spark, tmp_path):
+    files, stored = tmp_path / "files", tmp_path / "stored"
+    files.mkdir()
+    for name in ("b", "a", "c"):
+        (files / f"{name}.txt").write_text(name)
+    assert sorted(values(ct.load_corpus(spark, str(files), 2), "contract_id")) == [("a",), ("b",)]
+    spark.createDataFrame([(0, "x"), (1, None), (2, "z")], "position long, text string").write.parquet(str(stored))
+    assert sorted(values(ct.load_corpus(spark, str(stored), 2), "contract_id", "text")) == [("cuad_0", "x"), ("cuad_1", "")]
+
+
 def test_non_contract_marker_window(spark):
     marker = "arxiv:"
     assert one(spark, "x" * 900 + marker, tx.is_non_contract)

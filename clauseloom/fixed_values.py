@@ -121,6 +121,13 @@ NON_CONTRACT_MARKERS = (
 ADMISSION_MARKERS = ("datasheet for", "arxiv:", "abstract\n")
 FIRST_DOCUMENT_MARKER = "atticus dataset"
 
+# --- names given to stored documents ---------------------------------------------------
+
+DATASET_SOURCE = "cuad"
+DATASET_ID_PREFIX = "cuad_"
+DATASET_PATH = ("cuad_dataset[", "]")
+FILE_SOURCE = "file"
+
 # --- sizes, thresholds, separators -----------------------------------------------------
 
 CHUNK_SIZE = 512

@@ -18,7 +18,7 @@ def scan_files(spark: SparkSession, folder: str, pattern: str = "*.txt") -> Data
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
     return files.select(tx.file_stem(F.col("path")).alias("contract_id"), F.col("path").alias("file_path"),
-                        F.lit("file").alias("source"), F.make_valid_utf8(F.col("content").cast("string")).alias("text"))
+                        F.lit(fv.FILE_SOURCE).alias("source"), F.make_valid_utf8(F.col("content").cast("string")).alias("text"))
 
 
 def load_corpus(spark: SparkSession, folder: str, limit: int | None = None, position: str = "position",
@@ -73,10 +73,11 @@ def assemble_pages(pages: DataFrame, key: str, page_no: str, page_text: str) ->
 def dataset_scan(table: DataFrame, position: str, text: str, limit: int | None = None) -> DataFrame:
     """Rows of a stored dataset as contracts; the id comes from the row's own position column."""
     kept = table.where(F.col(position) < limit) if limit else table
-    contract_id = F.concat(F.lit("cuad_"), F.col(position).cast("string"))
+    contract_id = F.concat(F.lit(fv.DATASET_ID_PREFIX), F.col(position).cast("string"))
+    before, after = fv.DATASET_PATH
     return kept.select(contract_id.alias("contract_id"),
-                       F.concat(F.lit("cuad_dataset["), contract_id, F.lit("]")).alias("file_path"),
-                       F.lit("cuad").alias("source"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+                       F.concat(F.lit(before), contract_id, F.lit(after)).alias("file_path"),
+                       F.lit(fv.DATASET_SOURCE).alias("source"), F.coalesce(F.col(text), F.lit("")).alias("text"))
 
 
 def admit(table: DataFrame, position: str, text: str) -> DataFrame:
@@ -89,7 +90,7 @@ def admit(table: DataFrame, position: str, text: str) -> DataFrame:
     kept = stripped.where((F.length("stripped") >= fv.MIN_ADMITTED_CHARS) & ~paper & ~description)
     number = F.col("position").cast("string")
     padded = F.when(F.length(number) >= 4, number).otherwise(F.lpad(number, 4, "0"))
-    return kept.select(F.concat(F.lit("cuad_"), padded).alias("contract_id"), F.col("stripped").alias("text"))
+    return kept.select(F.concat(F.lit(fv.DATASET_ID_PREFIX), padded).alias("contract_id"), F.col("stripped").alias("text"))
 
 
 def cleaned(contracts: DataFrame) -> DataFrame:

@@ -25,13 +25,24 @@ def local_session(app: str = "clauseloom", cores: str = "*", partitions: int = 8
     )
 
 
+_LOCAL_FOLDER: list[str] = []
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach; set to a temporary one only where none is configured."""
+    """Folder every executor can reach, from ``spark.checkpoint.dir``.
+
+    Where the setting is absent, a local session gets one temporary folder for the process; on a cluster this is an error,
+    since each executor would write to its own disk.
+    """
     folder = spark.conf.get(SHARED_FOLDER, None) or spark.sparkContext.getConf().get(SHARED_FOLDER)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="clauseloom-")
-        spark.conf.set(SHARED_FOLDER, folder)
-    return folder
+    if folder:
+        return folder
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise ValueError(f"set {SHARED_FOLDER} to a folder that the driver and all executors share; the master is {master}")
+    if not _LOCAL_FOLDER:
+        _LOCAL_FOLDER.append(tempfile.mkdtemp(prefix="clauseloom-"))
+    return _LOCAL_FOLDER[0]
 
 
 def new_folder(spark: SparkSession, name: str) -> str:

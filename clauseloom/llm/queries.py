@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from clauseloom.session import new_folder, written
 
-from . import bpe_reuse, chat_format, sql, token_counts, token_store, url_filter
+from . import bpe_reuse, chat_format, near_dedup, sql, token_counts, token_store, url_filter
 from .registry import query, table
 
 VOCABULARY = "word_bpe_49k.json"
@@ -49,3 +49,8 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return token_counts.count_tokens(docs, public_tokenizers.path(VOCABULARY)).select("doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
+@query("op9_near_dedup", sql.near_duplicates(4, 80))
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), 4, 80)

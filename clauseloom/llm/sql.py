@@ -54,3 +54,18 @@ scores AS (SELECT host, t.rank AS trust, d.rank AS distrust FROM trust{rounds} t
 SELECT page_id, host, path, rule,
        coalesce(rule_verdict, CASE WHEN distrust > 0 AND distrust >= {threshold} * (trust + distrust) THEN 'block' ELSE 'allow' END) AS verdict
 FROM ruled LEFT JOIN scores USING (host)"""
+
+
+def near_duplicates(size: int, threshold: int) -> str:
+    """All pairs that share a shingle, exactly; components by spreading ids until nothing changes."""
+    return rf"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(
+       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS MATERIALIZED (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN []::VARCHAR[] WHEN len(w) < {size} THEN [array_to_string(w, ' ')]
+       ELSE list_transform(range(1, len(w) - {size} + 2), lambda i: array_to_string(w[i:i + {size} - 1], ' ')) END) AS g FROM d),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+e AS MATERIALIZED (SELECT c.a, c.b FROM c JOIN n x ON x.doc_id = c.a JOIN n y ON y.doc_id = c.b WHERE 100 * k >= {threshold} * (x.n + y.n - k)),
+r(doc_id, reached) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, e.b FROM r JOIN e ON e.a = r.reached)
+SELECT d.doc_id, coalesce(max(n.n), 0)::BIGINT AS n_shingles, min(r.reached) AS component_id, min(r.reached) = d.doc_id AS kept
+FROM documents d LEFT JOIN n USING (doc_id) JOIN r USING (doc_id) GROUP BY d.doc_id"""

@@ -12,8 +12,16 @@ import os
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
 
-SLICE_CHARS = 1_000_000  # texts worked on together; a longer text is a slice of its own
+from .words import Words, hash_words, text_bytes
+
+BLANKS = np.zeros(256, bool)
+BLANKS[[0x20, 0x0A]] = True
+MARKS = (".", ",")
+LETTERS = frozenset("abcdefghijklmnopqrstuvwxyz")  # letters that normalisation leaves alone
+
+SLICE_CHARS = 4_000_000  # texts worked on together; a longer text is a slice of its own
 MISSES_CHARS = 200_000  # characters encoded in one call
 CACHE_CHARS = 12_000_000  # characters of pieces kept by a worker before it starts afresh
 
@@ -49,19 +57,6 @@ def slices(texts: Iterable[str], limit: int = SLICE_CHARS) -> Iterator[list[str]
         yield group
 
 
-class _Codes(dict):
-    """Numbers pieces as they are met, and notes those that are new."""
-
-    def __init__(self):
-        super().__init__({"": 0})
-        self.new: list[str] = []
-
-    def __missing__(self, piece: str) -> int:
-        self[piece] = code = len(self)
-        self.new.append(piece)
-        return code
-
-
 def encode_pieces(tokenizer, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """All ids of non-empty ``pieces`` in one array, and the number of ids of each.
 
@@ -75,10 +70,18 @@ def encode_pieces(tokenizer, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]
 
 
 class PieceEncoder:
-    """Ids of pieces, held in one flat array; the memory is bounded by ``CACHE_CHARS``."""
+    """Ids of pieces, held in one flat array and found by the 64-bit hash of the piece; bounded by ``CACHE_CHARS``.
+
+    A piece in capitals has the ids of its lower-case form where the tokenizer folds case, and a full stop or comma behind
+    a letter is a pre-token of its own where the tokenizer splits there; both are asked of the tokenizer, and used to
+    encode fewer pieces.
+    """
 
     def __init__(self, path: str):
         self.tokenizer = load_tokenizer(path)
+        normalizer, splitter = self.tokenizer.normalizer, self.tokenizer.pre_tokenizer
+        self.folds = normalizer is not None and normalizer.normalize_str("AbcXYZ") == "abcxyz"
+        self.splits = splitter is not None and all([p for p, _ in splitter.pre_tokenize_str("ab" + m)] == ["ab", m] for m in MARKS)
         self._clear()
 
     @classmethod
@@ -88,49 +91,81 @@ class PieceEncoder:
         return _WORKER[path]
 
     def _clear(self) -> None:
-        self.codes = _Codes()
+        self.codes: dict[int, int] = {}  # hash of a piece: where it is in first and length
+        self.plain: dict[str, int] = {}  # the same for what the library has encoded
         self.chars = 0
         self.ids = np.zeros(1 << 16, np.int32)
         self.first = np.zeros(1 << 15, np.int64)
         self.length = np.zeros(1 << 15, np.int64)
-        self.known = 1
-        self.used = 0
-
-    def _add(self, new: list[str]) -> None:
+        self.known = self.used = 0
+
+    def _store(self, flat: np.ndarray, lengths: np.ndarray) -> None:
+        upto = self.known + len(lengths)
+        while upto > len(self.first):
+            self.first, self.length = np.resize(self.first, 2 * len(self.first)), np.resize(self.length, 2 * len(self.length))
+        while self.used + len(flat) > len(self.ids):
+            self.ids = np.resize(self.ids, 2 * len(self.ids))
+        self.ids[self.used:self.used + len(flat)] = flat
+        self.length[self.known:upto] = lengths
+        self.first[self.known:upto] = self.used + np.cumsum(lengths) - lengths
+        self.used += len(flat)
+        self.known = upto
+
+    def _plain_codes(self, pieces: list[str]) -> None:
+        new = [p for p in dict.fromkeys(pieces) if p not in self.plain]
         for group in slices(new, MISSES_CHARS):
-            flat, lengths = encode_pieces(self.tokenizer, group)
-            upto = self.known + len(group)
-            while upto > len(self.first):
-                self.first, self.length = np.resize(self.first, 2 * len(self.first)), np.resize(self.length, 2 * len(self.length))
-            while self.used + len(flat) > len(self.ids):
-                self.ids = np.resize(self.ids, 2 * len(self.ids))
-            self.ids[self.used:self.used + len(flat)] = flat
-            self.length[self.known:upto] = lengths
-            self.first[self.known:upto] = self.used + np.cumsum(lengths) - lengths
-            self.used += len(flat)
-            self.known = upto
+            self.plain.update(zip(group, range(self.known, self.known + len(group))))
+            self._store(*encode_pieces(self.tokenizer, group))
             self.chars += sum(map(len, group))
 
-    def _numbered(self, pieces: list[str]) -> np.ndarray:
+    def _learn(self, hashes: list[int], pieces: list[str]) -> None:
+        if self.folds:
+            pieces = [p.lower() if p.isascii() else p for p in pieces]
+        marked = [self.splits and len(p) > 1 and p[-1] in MARKS and p[-2] in LETTERS for p in pieces]
+        self._plain_codes([*MARKS, *(p[:-1] if m else p for p, m in zip(pieces, marked))])
+        joined: dict[str, int] = {}
+        parts, sizes = [], []
+        for h, p, m in zip(hashes, pieces, marked):
+            if not m:
+                self.codes[h] = self.plain[p]
+            elif p in joined:
+                self.codes[h] = joined[p]
+            else:
+                joined[p] = self.codes[h] = self.known + len(parts)
+                both = [self.ids[self.first[c]:self.first[c] + self.length[c]] for c in (self.plain[p[:-1]], self.plain[p[-1]])]
+                parts.append(np.concatenate(both))
+                sizes.append(len(parts[-1]))
+        if parts:
+            self._store(np.concatenate(parts), np.array(sizes))
+        self.chars += 4 * len(hashes)
+
+    def numbered(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For all pieces of texts given as bytes: where their ids are; and where the pieces of each text begin."""
         if self.chars > CACHE_CHARS:
             self._clear()
-        codes = np.fromiter(map(self.codes.__getitem__, pieces), np.int64, len(pieces))
-        if self.codes.new:
-            new, self.codes.new = self.codes.new, []
-            self._add(new)
-        return codes
-
-    def lengths(self, pieces: list[str]) -> np.ndarray:
-        """The number of ids of each piece."""
-        codes = self._numbered(pieces)
-        return self.length[codes]
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of ``texts`` in one array, and the number of ids of each text."""
-        counts = np.fromiter((t.count(" ") + t.count("\n") + 1 for t in texts), np.int64, len(texts))
-        codes = self._numbered(pieces_of("\n".join(texts)))
+        words = hash_words(data, offsets, separator=BLANKS)
+        hashes, at, back = np.unique(words.hashes, return_index=True, return_inverse=True)
+        return self.codes_of(hashes.tolist(), data, words, at)[back], words.bounds
+
+    def codes_of(self, hashes: list[int], data: np.ndarray, words: Words, at: np.ndarray) -> np.ndarray:
+        """Where the ids of distinct pieces are; ``at`` gives one place of each among ``words``."""
+        codes = list(map(self.codes.get, hashes))
+        missing = [i for i, c in enumerate(codes) if c is None]
+        if missing:
+            places = at[missing]
+            begin, size = words.starts[places].tolist(), words.sizes[places].tolist()
+            whole = data.tobytes()
+            self._learn([hashes[i] for i in missing], [whole[b:b + n].decode() for b, n in zip(begin, size)])
+            codes = list(map(self.codes.__getitem__, hashes))
+        return np.array(codes, np.int64)
+
+    def encode_bytes(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts in one array, and the number of ids of each text."""
+        codes, bounds = self.numbered(data, offsets)
         lengths = self.length[codes]
         before = np.concatenate(([0], np.cumsum(lengths)))
         index = np.arange(before[-1]) + np.repeat(self.first[codes] - before[:-1], lengths)
-        ends = before[np.cumsum(counts)]
-        return self.ids[index], np.diff(ends, prepend=0)
+        return self.ids[index], np.diff(before[bounds])
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        return self.encode_bytes(*text_bytes(pa.array(texts, pa.large_string())))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from clauseloom.session import new_folder, written
 
-from . import bpe_reuse, chat_format, near_dedup, sql, token_counts, token_store, url_filter
+from . import bpe_reuse, chat_format, near_dedup, quality_rules, sql, token_counts, token_store, url_filter
 from .registry import query, table
 
 VOCABULARY = "word_bpe_49k.json"
@@ -54,3 +54,9 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_near_dedup", sql.near_duplicates(4, 80))
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), 4, 80)
+
+
+@query("op8_quality_rules")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality_rules.judge_quality(table(spark, sf_dir, "documents"))
+    return judged.select("doc_id", *quality_rules.COUNTS, "base_failed", "kept", "class_distance", "word_distance")

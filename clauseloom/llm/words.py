@@ -46,6 +46,8 @@ def _powers(n: int) -> np.ndarray:
 class Words:
     hashes: np.ndarray  # one per word, in order
     bounds: np.ndarray  # words of text i are bounds[i] to bounds[i + 1]
+    starts: np.ndarray | None = None  # byte at which each word starts
+    sizes: np.ndarray | None = None  # its bytes
 
     @property
     def counts(self) -> np.ndarray:
@@ -67,7 +69,7 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 def hash_words(data: np.ndarray, offsets: np.ndarray, fold: bool = False, separator: np.ndarray = SEPARATOR) -> Words:
     """Hashes of the words of all texts; ``offsets`` as ``text_bytes`` gives them."""
     value = _FOLDED if fold else _VALUE
-    hashes, starts_at = [], []
+    hashes, starts_at, all_sizes = [], [], []
     begin, n = 0, len(data)
     while begin < n:
         end = min(n, begin + STRETCH)
@@ -94,10 +96,13 @@ def hash_words(data: np.ndarray, offsets: np.ndarray, fold: bool = False, separa
             total = np.add.reduceat(value[letters] * _powers(int(sizes.max()))[place], start)
             hashes.append(mix(total ^ sizes.astype(np.uint64)))
             starts_at.append(at + begin)
+            all_sizes.append(sizes)
         begin = end
     if not hashes:
-        return Words(np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64))
-    return Words(np.concatenate(hashes), np.searchsorted(np.concatenate(starts_at), offsets))
+        none = np.zeros(0, np.int64)
+        return Words(np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64), none, none)
+    starts = np.concatenate(starts_at)
+    return Words(np.concatenate(hashes), np.searchsorted(starts, offsets), starts, np.concatenate(all_sizes))
 
 
 def shingles(words: Words, size: int, whole_if_short: bool = True) -> Words:

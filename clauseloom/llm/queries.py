@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from clauseloom.session import new_folder, written
 
-from . import bpe_reuse, chat_format, near_dedup, quality_rules, sql, token_counts, token_store, url_filter
+from . import bpe_reuse, chat_format, decontamination, near_dedup, quality_rules, sql, token_counts, token_store, url_filter
 from .registry import query, table
 
 VOCABULARY = "word_bpe_49k.json"
@@ -60,3 +60,9 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.judge_quality(table(spark, sf_dir, "documents"))
     return judged.select("doc_id", *quality_rules.COUNTS, "base_failed", "kept", "class_distance", "word_distance")
+
+
+@query("op1_decontamination")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    leaks = decontamination.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return leaks.withColumn("score", F.round("score", 6))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from clauseloom.session import new_folder, written
 
-from . import bpe_reuse, chat_format, decontamination, near_dedup, quality_rules, sql, token_counts, token_store, url_filter
+from . import bpe_reuse, chat_format, decontamination, near_dedup, quality_gam, quality_rules, sql, token_counts, token_store, url_filter
 from .registry import query, table
 
 VOCABULARY = "word_bpe_49k.json"
@@ -66,3 +66,10 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     leaks = decontamination.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return leaks.withColumn("score", F.round("score", 6))
+
+
+@query("op10_quality_gam")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality_gam.train(docs, table(spark, sf_dir, "labels"))
+    return quality_gam.score_quality(docs, model).select("doc_id", "held_out", "score", "predicted")

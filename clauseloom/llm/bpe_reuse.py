@@ -150,12 +150,12 @@ class Decoder:
 BATCH_CHARS = 400_000
 
 
-def coded(docs: DataFrame, path: str, keep_text: bool = False) -> DataFrame:
+def coded(docs: DataFrame, path: str, with_ids: bool = False) -> DataFrame:
     """``docs`` with n_tokens, ids_sha256 (ids as little-endian unsigned 32-bit integers) and decoded_sha256.
 
-    ``keep_text``: with ids and decoded as well.
+    ``with_ids``: with the ids themselves as well.
     """
-    kind = "n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>, decoded string" * keep_text
+    kind = "n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
 
     @F.pandas_udf(kind)
     def code(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -174,7 +174,7 @@ def coded(docs: DataFrame, path: str, keep_text: bool = False) -> DataFrame:
                     ids = encoder.encode(text) if text else np.zeros(0, np.int32)
                     decoded = decoder.decode(ids)
                     rows.append((len(ids), hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest(),
-                                 hashlib.sha256(decoded.encode()).hexdigest(), *((ids.tolist(), decoded) if keep_text else ())))
+                                 hashlib.sha256(decoded.encode()).hexdigest(), *((ids,) if with_ids else ())))
                 done = upto
             names = [c.split()[0] for c in kind.split(", ")]
             yield pd.DataFrame(rows, columns=names)

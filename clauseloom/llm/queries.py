@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from clauseloom.session import new_folder, written
 
-from . import bpe_reuse, chat_format, decontamination, near_dedup, quality_gam, quality_rules, sql, token_counts, token_store, url_filter
+from . import bpe_reuse, chat_format, decontamination, line_dedup, near_dedup, quality_gam, quality_rules, sql, token_counts, token_store, url_filter
 from .registry import query, table
 
 VOCABULARY = "word_bpe_49k.json"
@@ -73,3 +73,10 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = quality_gam.train(docs, table(spark, sf_dir, "labels"))
     return quality_gam.score_quality(docs, model).select("doc_id", "held_out", "score", "predicted")
+
+
+@query("op3_line_dedup")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    kept = line_dedup.dedup_lines(docs)
+    return kept.select("doc_id", F.sha2("text", 256).alias("kept_sha256"), "n_lines", "n_dup_lines", "n_near_lines", "n_links")

@@ -2,33 +2,66 @@
 
 Each stage takes the documents that its predecessor kept, as written to Parquet, and returns a DataFrame; all but the last
 return the columns of ``documents``.
+
+1. The quality classifier learns from ``labels`` and drops the documents that it scores below 0.5.
+2. Line dedup drops lines that occur before, equal or within two edits; a document whose lines all go, goes itself.
+3. Near-dedup keeps the document of the smallest id of each group (five-word shingles, similarity of 0.8 or more).
+4. Decontamination drops documents that hold an item of ``benchmark``.
+5. The texts are encoded and decoded; the ids and the digests of both are returned.
+
+Rows without an id pass stages 3 and 4; rows that repeat an id stand for one document and go or stay together.
 """
 
 from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from clauseloom.llm import bpe_reuse
-from clauseloom.llm.registry import query
+from clauseloom.llm import bpe_reuse, decontamination, line_dedup, near_dedup, quality_gam
+from clauseloom.llm.registry import query, table
 from clauseloom.session import written
 
 VOCABULARY = "word_bpe_49k.json"
 
 
+def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    model = quality_gam.train(docs, table(spark, sf_dir, "labels"))
+    return quality_gam.score_quality(docs, model).where("predicted = 1").select(*docs.columns)
+
+
+def new_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    deduped = line_dedup.dedup_lines(docs).select(F.col("doc_id").alias("id_"), "row_hash", F.col("text").alias("text_"))
+    row_hash = F.xxhash64(F.col("text").cast("string"))
+    joined = docs.join(deduped, docs.doc_id.eqNullSafe(F.col("id_")) & (row_hash == F.col("row_hash")), "left")
+    emptied = F.col("row_hash").isNotNull() & ~F.col("text_").rlike(line_dedup._WORD)
+    text = F.coalesce("text_", "text")
+    new = {"text": text} | ({"n_chars": F.char_length(text).cast(dict(docs.dtypes)["n_chars"])} if "n_chars" in docs.columns else {})
+    return joined.where(~emptied).select(*[new.get(c, F.col(c)).alias(c) for c in docs.columns])
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    copies = near_dedup.near_duplicates(docs.select("doc_id", "text"), 5, 80).where("not kept").select("doc_id").distinct()
+    return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+
+
+def unleaked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontamination.without_leaks(docs, table(spark, sf_dir, "benchmark"))
+
+
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document, encoded and decoded again."""
-    return bpe_reuse.coded(docs.select("doc_id", "text"), public_tokenizers.path(VOCABULARY)).drop("text")
+    return bpe_reuse.coded(docs.select("doc_id", "text"), public_tokenizers.path(VOCABULARY), with_ids=True).drop("text")
 
 
-STAGES = [("bpe encoding and decoding", encoded)]
+STAGES = [("quality classifier", good), ("line dedup", new_lines), ("minhash near-dedup", one_of_each_group),
+          ("benchmark decontamination", unleaked), ("bpe encoding and decoding", encoded)]
 
-ORACLE_SQL = None  # a library's vocabulary cannot be expressed in SQL
+ORACLE_SQL = None  # neither the boosted classifier nor the tokenizer can be expressed in SQL
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows of the last stage, each stage written to the shared folder and read again as the next one's documents."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return STAGES[-1][1](spark, docs, sf_dir)

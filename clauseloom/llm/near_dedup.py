@@ -11,7 +11,9 @@ Documents with equal sets are one class from the start, found by grouping 128-bi
 paired.  Inside an index entry not all pairs are formed either.  First every class meets one leader per entry, chosen
 by a hash of its own; confirmed links make components.  Then only entries that still hold several components are
 looked at: what is not in an entry's main component meets all others of that entry, so every pair that could still join two components
-is checked, and pairs inside a component, which cannot change the result, are left out.
+is checked, and pairs inside a component, which cannot change the result, are left out.  In a group of many loose copies most such
+pairs fall short of the threshold; how the two differ from their leader bounds what they can share (``may_share_enough``),
+and ends the pair inside the join.
 
 Null or empty texts, and those without words: no shingles, linked with nothing.  Texts shorter than a shingle: the whole
 sequence is one.  Rows that repeat an id count as one document for links.  Extra columns are ignored; no rows give no rows.
@@ -33,6 +35,8 @@ from .words import by_bytes, distinct, hash_words, mix, shingles, text_bytes
 CHUNKS, SYMBOLS, BITS = 10, 4, 15
 ALLOWED = 2 * CHUNKS - 1
 SIGNATURE = [f"s{i}" for i in range(CHUNKS)]
+DIFFERENCE = 1024  # bits of the map of what a set does not share with its leader's
+DIFFERING = [f"d{i}" for i in range(DIFFERENCE // 64)]
 _LANE = (1 << BITS) - 1
 _MULTIPLY = mix(np.arange(1, CHUNKS * SYMBOLS + 1, dtype=np.uint64)) | np.uint64(1)
 _ADD = mix(np.arange(1001, 1001 + CHUNKS * SYMBOLS, dtype=np.uint64))
@@ -105,16 +109,55 @@ def within_size(a: str, b: str, threshold: int) -> Column:
     return (100 * m >= threshold * n) & (100 * n >= threshold * m)
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, size: int, threshold: int) -> DataFrame:
-    """The pairs (a, b) whose full sets reach the threshold in percent."""
+def compared(pairs: DataFrame, docs: DataFrame, size: int) -> DataFrame:
+    """The pairs (a, b) with common, only_a, only_b (set sizes) and a bitmap of what only one of them has (``DIFFERENCE``)."""
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, "doc_id", "left_semi")
     sets = written(full_sets(texts, size), "shingle-sets")
-    left, right = sets.toDF("a", "left"), sets.toDF("b", "right")
-    joined = pairs.join(left, "a").join(right, "b")
-    common = F.size(F.array_intersect("left", "right"))
-    judged = joined.select("a", "b", common.alias("common"), (F.size("left") + F.size("right")).alias("both"))
-    return judged.where(F.col("common") * 100 >= threshold * (F.col("both") - F.col("common"))).select("a", "b")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sides = []
+            for name in ("left", "right"):
+                lists = batch.column(name)
+                sides.append((lists.values.to_numpy().view(np.uint64), lists.offsets.to_numpy()))
+            counts = np.zeros((3, len(batch)), np.int64)
+            maps = np.zeros((len(batch), DIFFERENCE), bool)
+            for i in range(len(batch)):
+                x, y = (values[ends[i]:ends[i + 1]] for values, ends in sides)
+                differ = np.setxor1d(x, y, assume_unique=True)
+                common = (len(x) + len(y) - len(differ)) // 2
+                counts[:, i] = common, len(x) - common, len(y) - common
+                maps[i, differ & np.uint64(DIFFERENCE - 1)] = True
+            longs = np.packbits(maps, axis=1, bitorder="little").view("<i8")
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), *map(pa.array, counts), *map(pa.array, longs.T)],
+                                             names=["a", "b", "common", "only_a", "only_b", *DIFFERING])
+
+    kind = "a long, b long, common long, only_a long, only_b long, " + ", ".join(f"{d} long" for d in DIFFERING)
+    joined = pairs.join(sets.toDF("a", "left"), "a").join(sets.toDF("b", "right"), "b")
+    return joined.select("a", "b", "left", "right").mapInArrow(compare, kind)
+
+
+def linked(pairs: DataFrame, threshold: int) -> DataFrame:
+    common, union = F.col("common"), F.col("common") + F.col("only_a") + F.col("only_b")
+    return pairs.where(100 * common >= threshold * union).select("a", "b")
+
+
+def may_share_enough(x: str, y: str, threshold: int) -> Column:
+    """Whether two sets can be linked, by how both differ from the set of their leader; true where that is not known.
+
+    Of h elements of the leader, x lacks m_x and adds p_x.  What x and y share is what they would share if they differed from it
+    at different places, and what they differ alike in, d: a link needs (1 + t) d >= m_x + m_y + t (p_x + p_y) - (1 - t) h.  The
+    bitmaps of the differences bound d from above: bits in common, and elements that fell on a taken bit.
+    """
+    of = lambda c: (F.col(f"{x}.{c}"), F.col(f"{y}.{c}"))
+    alike = F.lit(0)
+    for d in DIFFERING:
+        u, v = of(d)
+        alike = alike + F.bit_count(u.bitwiseAND(v))
+    (hidden_x, hidden_y), (lacks_x, lacks_y), (adds_x, adds_y) = of("hidden"), of("lacks"), of("adds")
+    needed = 100 * (lacks_x + lacks_y) + threshold * (adds_x + adds_y) - (100 - threshold) * F.col(f"{x}.leader_size")
+    return F.coalesce((100 + threshold) * (alike + F.least(hidden_x, hidden_y)) >= needed, F.lit(True))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -138,6 +181,22 @@ def components(edges: DataFrame) -> DataFrame:
     return labels
 
 
+def _from_leaders(stars: DataFrame) -> DataFrame:
+    """node, leader, leader_size, lacks, adds, hidden and the bitmap, for both directions of each compared pair.
+
+    Where an id stands for several texts there is no single difference, and none is given.
+    """
+    ways = []
+    for node, leader in ("ab", "ba"):
+        lacks, adds = F.col(f"only_{leader}"), F.col(f"only_{node}")
+        bits = sum((F.bit_count(d) for d in DIFFERING), F.lit(0))
+        ways.append(stars.select(F.col(node).alias("node"), F.col(leader).alias("leader"), (F.col("common") + lacks).alias("leader_size"),
+                                 lacks.alias("lacks"), adds.alias("adds"), (lacks + adds - bits).alias("hidden"), *DIFFERING))
+    both = ways[0].unionByName(ways[1])
+    values = ["leader_size", "lacks", "adds", "hidden", *DIFFERING]
+    return both.groupBy("node", "leader").agg(*[F.when(F.count("*") == 1, F.first(v)).alias(v) for v in values])
+
+
 def near_duplicates(docs: DataFrame, size: int = 5, threshold: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id, kept: one row per row of ``docs`` (doc_id, text).
 
@@ -156,24 +215,26 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: int = 80) -> Data
     a, b = classes.alias("a"), classes.alias("b")
     near = met.alias("p").join(a, F.col("p.a") == F.col("a.node")).join(b, F.col("p.b") == F.col("b.node"))
     near = near.where(within_size("a", "b", threshold) & (differing_symbols("a", "b") <= ALLOWED)).select("p.a", "p.b")
-    first = written(confirmed(written(near, "pairs"), docs, size, threshold), "links")
+    stars = written(compared(written(near, "pairs"), docs, size), "stars")
+    first = linked(stars, threshold)
     found = components(first)
 
     # entries that still hold several components: all but an entry's main component meet the rest of the entry
-    placed = entries.select("key", "node").join(found, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
+    placed = entries.join(found, "node", "left").select("key", "node", "leader", F.coalesce("component", "node").alias("component"))
     shares = placed.groupBy("key", "component").agg(F.count("*").alias("n"))
     mixed = shares.groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.count("*").alias("n")).where("n > 1")
     still = placed.join(mixed.select("key", "main"), "key").join(classes.drop("f1", "f2"), "node")
-    still = written(still, "mixed-entries")
+    still = written(still.join(_from_leaders(stars), ["node", "leader"], "left"), "mixed-entries")
     x, y = still.where("component <> main").alias("x"), still.alias("y")
     late = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.component") != F.col("y.component"))
                   & ((F.col("y.component") == F.col("y.main")) | (F.col("x.node") < F.col("y.node")))
-                  & within_size("x", "y", threshold) & (differing_symbols("x", "y") <= ALLOWED))
+                  & (F.col("x.node") != F.col("x.leader")) & (F.col("y.node") != F.col("y.leader"))  # compared before
+                  & within_size("x", "y", threshold) & (differing_symbols("x", "y") <= ALLOWED) & may_share_enough("x", "y", threshold))
     late = late.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
-    second = confirmed(written(late, "late-pairs"), docs, size, threshold)
-    linked = components(first.union(second))
+    second = linked(compared(written(late, "late-pairs"), docs, size), threshold)
+    groups = components(first.union(second))
 
-    grouped = classes.select(*print_, "node").join(linked, "node", "left").select(*print_, F.coalesce("component", "node").alias("component_id"))
+    grouped = classes.select(*print_, "node").join(groups, "node", "left").select(*print_, F.coalesce("component", "node").alias("component_id"))
     rows = signed.select("doc_id", *print_).join(grouped, print_, "left")
     component = F.coalesce("component_id", "doc_id")
     return rows.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))

@@ -10,6 +10,8 @@ than the edits allow end a pair inside the join, so that variants of a much repe
 **Verification.** Banded bit-parallel edit distance: the 2 x ``EDITS`` + 1 rows of a column are bits of one number, and one
 step per character moves the band along the diagonal.  Prefixes and suffixes in common are cut off before.
 
+Where only hashes and keys are shuffled, lines are known by 64 bits of hash; every pair found is verified on its texts.
+
 Lines are separated by line feeds; those without a word are kept and never counted.  Null and empty texts have no lines and stay
 as they are.  Rows that repeat an id and a text are one document.  Columns of ``docs`` pass through; an empty table gives no rows.
 """
@@ -22,42 +24,52 @@ from pyspark.sql import functions as F
 from clauseloom.session import written
 
 EDITS, MIN_CHARS = 2, 40
-LETTERS = "eantior "  # eight counts of eight bits share a number
-MAX_BROADCAST = 1_000_000  # line numbers of 8 bytes
+LETTERS = "eantior "  # eight counts of four bits share a number
+MAX_BROADCAST = 500_000  # places of lines, five numbers each
 _WORD = r"[^\x20\x09-\x0D]"
 
 
-def _numbered(docs: DataFrame) -> DataFrame:
-    """Lines with a word: doc_id, row_hash (the row's own), line_no, line."""
+ROW = ["doc_id", "row_hash"]  # a row of the table; the hash tells rows of one id apart
+PLACE = [*ROW, "line_no"]
+
+
+def _rows(docs: DataFrame) -> DataFrame:
     text = F.col("text").cast("string")
-    rows = docs.select("doc_id", F.xxhash64(text).alias("row_hash"), F.posexplode(F.split(text, "\n", -1)).alias("line_no", "line"))
-    return rows.where(F.col("line").rlike(_WORD))
+    return docs.select("doc_id", F.xxhash64("doc_id", text).alias("row_hash"), F.split(text, "\n", -1).alias("lines"))
+
+
+def _numbered(docs: DataFrame) -> DataFrame:
+    """Lines with a word: doc_id, row_hash, line_no, line."""
+    lines = _rows(docs).select(*ROW, F.posexplode("lines").alias("line_no", "line"))
+    return lines.where(F.col("line").rlike(_WORD))
 
 
 def _letters() -> Column:
-    packed = F.lit(0).cast("long")
+    packed = F.lit(0)
     for k, letter in enumerate(LETTERS):
         count = F.octet_length("line") - F.octet_length(F.replace("line", F.lit(letter), F.lit("")))
-        packed = packed.bitwiseOR(F.shiftleft((count % 256).cast("long"), 8 * k))
+        packed = packed.bitwiseOR(F.shiftleft(count % 16, 4 * k))
     return packed
 
 
 def _letters_apart(a: str, b: str) -> Column:
-    """A lower bound of twice the edits from the packed letter counts, which are known modulo 256."""
-    total = F.lit(0).cast("long")
+    """A lower bound of twice the edits from the packed letter counts, which are known modulo 16."""
+    total = F.lit(0)
     for k in range(len(LETTERS)):
-        byte = lambda c: F.shiftrightunsigned(F.col(c), 8 * k).bitwiseAND(F.lit(255))  # noqa: E731, B023
-        apart = F.abs(byte(a) - byte(b))
-        total = total + F.least(apart, F.lit(256) - apart)
+        part = lambda c: F.shiftrightunsigned(F.col(c), 4 * k).bitwiseAND(F.lit(15))  # noqa: E731, B023
+        apart = F.abs(part(a) - part(b))
+        total = total + F.least(apart, F.lit(16) - apart)
     return total
 
 
+def _hashes() -> tuple[Column, Column]:
+    return F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2")
+
+
 def classes_of(lines: DataFrame) -> DataFrame:
-    """Distinct lines: id, doc_id, row_hash, line_no (first occurrence), n (occurrences), line, size, letters."""
-    first = lines.groupBy(F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2")).agg(
-        F.min(F.struct("doc_id", "row_hash", "line_no", "line")).alias("first"), F.count("*").alias("n"))
-    flat = first.select("first.*", "n")
-    return flat.select(F.monotonically_increasing_id().alias("id"), "*", F.char_length("line").alias("size"), _letters().alias("letters"))
+    """Distinct lines by their hashes: h1, h2, and doc_id, row_hash and line_no of the first occurrence."""
+    places = lines.select(*_hashes(), F.struct(*PLACE).alias("place"))
+    return places.groupBy("h1", "h2").agg(F.min("place").alias("first")).select("h1", "h2", "first.*")
 
 
 def _segment(size: Column, i: int, edits: int) -> tuple[Column, Column]:
@@ -72,23 +84,24 @@ def _key(size: Column, i: int, start: Column, length: Column) -> Column:
     return F.xxhash64(size, F.lit(i), F.substring("line", start + 1, length))
 
 
-def index_entries(classes: DataFrame, edits: int, min_chars: int) -> DataFrame:
-    size = F.col("size")
-    keys = [_key(size, i, *_segment(size, i, edits)) for i in range(edits + 1)]
-    return classes.where(size >= min_chars).select(F.explode(F.array(*keys)).alias("key"), "id", "letters")
-
+def keyed_lines(lines: DataFrame, edits: int, min_chars: int) -> DataFrame:
+    """h1, letters, and the keys of all index (``own``) and lookup (``others``) entries of each distinct line, by its hash.
 
-def probe_entries(classes: DataFrame, edits: int, min_chars: int) -> DataFrame:
-    keys = []
+    The keys are worked out where the lines are read: they, not the lines, are shuffled.
+    """
+    size = F.col("size")
+    own = [_key(size, i, *_segment(size, i, edits)) for i in range(edits + 1)]
+    others = []
     for shorter in range(edits + 1):
-        size = F.col("size") - shorter
+        theirs = size - shorter
         for i in range(edits + 1):
-            start, length = _segment(size, i, edits)
+            start, length = _segment(theirs, i, edits)
             left, right = edits - i, i  # edits that may lie behind and before the segment
             for shift in range(max(-right, shorter - left), min(right, shorter + left) + 1):
-                keys.append(F.when(size >= min_chars, _key(size, i, start + shift, length)))
-    return (classes.where(F.col("size") >= min_chars).select(F.explode(F.array(*keys)).alias("key"), "id", "letters")
-            .where("key is not null"))
+                others.append(F.when(theirs >= min_chars, _key(theirs, i, start + shift, length)))
+    sized = lines.select("line", F.char_length("line").alias("size")).where(size >= min_chars)
+    keyed = sized.select(_hashes()[0], _letters().alias("letters"), F.array(*own).alias("own"), F.array(*others).alias("others"))
+    return keyed.groupBy("h1").agg(*[F.first(c).alias(c) for c in ("letters", "own", "others")])
 
 
 def _common_prefix(a: Column, b: Column, most: Column, cut) -> Column:
@@ -118,10 +131,14 @@ def within_edits(a: Column, b: Column, edits: int) -> Column:
     Bit i of column j stands for row j - edits + i.  Rows outside ``a`` match nothing.  ``at`` is the distance at the band's last
     row; the distance at the end of ``a`` follows from the vertical steps between.
     """
+    # split and measured once, and handed on by name
+    letters = F.struct(F.split(a, "").alias("x"), F.split(b, "").alias("y"), F.char_length(a).alias("m"), F.char_length(b).alias("n"))
+    return F.get(F.transform(F.array(letters), lambda v: _within(v["x"], v["y"], v["m"], v["n"], edits)), 0)
+
+
+def _within(x: Column, y: Column, m: Column, n: Column, edits: int) -> Column:
     width = 2 * edits + 1
     whole = (1 << width) - 1
-    x, y = F.split(a, ""), F.split(b, "")
-    m, n = F.char_length(a), F.char_length(b)
     L = lambda v: F.lit(v).cast("long")  # noqa: E731, N806
     band = lambda plus, minus, at: F.struct(plus.alias("plus"), minus.alias("minus"), at.alias("at"))
 
@@ -150,6 +167,12 @@ def within_edits(a: Column, b: Column, edits: int) -> Column:
     # column 0: row r is r away; rows 1 to edits + 1 are one step apart, those above the text are level
     start = band(L(whole & ~((1 << edits) - 1)), L(0), F.lit(edits))
     last = F.when(n > 0, F.aggregate(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), start, step)).otherwise(start)
+    return F.get(F.transform(F.array(last), lambda s: _at_end(s, m, n, edits)), 0)
+
+
+def _at_end(last: Column, m: Column, n: Column, edits: int) -> Column:
+    L = lambda v: F.lit(v).cast("long")  # noqa: E731, N806
+    width = 2 * edits + 1
     # after column n, bit i is the step from row n - edits + i to the next; take back the steps from row m to row n + edits
     back = L(0)
     for i in range(width - 1):
@@ -160,54 +183,66 @@ def within_edits(a: Column, b: Column, edits: int) -> Column:
     return (F.abs(m - n) <= edits) & ((last["at"] - back) <= edits)
 
 
-def links_of(classes: DataFrame, edits: int, min_chars: int) -> DataFrame:
-    """a, b: pairs of classes (a < b by id) within ``edits`` edits; ``classes`` is a written table."""
-    index, probes = index_entries(classes, edits, min_chars).alias("i"), probe_entries(classes, edits, min_chars).alias("p")
-    met = probes.join(index, (F.col("p.key") == F.col("i.key")) & (F.col("p.id") != F.col("i.id"))
+def links_of(docs: DataFrame, classes: DataFrame, edits: int, min_chars: int) -> DataFrame:
+    """a, b: the places of the first occurrences of two lines within ``edits`` edits; ``classes`` is a written table."""
+    keyed = keyed_lines(_numbered(docs), edits, min_chars)
+    index = keyed.select(F.explode("own").alias("key"), "h1", "letters").alias("i")
+    probes = keyed.select(F.explode("others").alias("key"), "h1", "letters").where("key is not null").alias("p")
+    met = probes.join(index, (F.col("p.key") == F.col("i.key")) & (F.col("p.h1") != F.col("i.h1"))
                       & (_letters_apart("p.letters", "i.letters") <= 2 * edits))
-    pairs = written(met.select(F.least("p.id", "i.id").alias("a"), F.greatest("p.id", "i.id").alias("b")).distinct(), "line-pairs")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    wanted = written(wanted, "line-ids")
-    if wanted.count() <= MAX_BROADCAST:  # spares moving all lines; beyond the bound they are shuffled
-        wanted = F.broadcast(wanted)
-    lines = written(classes.select("id", "line").join(wanted, "id", "left_semi"), "lines-of-pairs")
-    both = pairs.join(lines.toDF("a", "line_a"), "a").join(lines.toDF("b", "line_b"), "b")
-    both = both.where(F.col("line_a") != F.col("line_b"))
+    pairs = written(met.select(F.least("p.h1", "i.h1").alias("a"), F.greatest("p.h1", "i.h1").alias("b")).distinct(), "line-pairs")
+
+    places = written(classes.join(pairs.select(F.explode(F.array("a", "b")).alias("h1")).distinct(), "h1"), "line-places")
+    # a few lines of a few documents; beyond the bound they are shuffled like any table
+    wanted = F.broadcast(places) if places.count() <= MAX_BROADCAST else places
+    rows = _rows(docs).alias("r").join(wanted.alias("w"), F.col("r.row_hash").eqNullSafe(F.col("w.row_hash")) & F.col("r.doc_id").eqNullSafe(F.col("w.doc_id")))
+    lines = rows.select("h1", F.struct(*[F.col(f"w.{c}") for c in PLACE]).alias("place"), F.get("lines", F.col("line_no")).alias("line"))
+    lines = written(lines.distinct(), "lines-of-pairs")
+    both = pairs.join(lines.toDF("a", "place_a", "line_a"), "a").join(lines.toDF("b", "place_b", "line_b"), "b")
+    both = both.where(F.col("line_a") != F.col("line_b")).select("place_a", "place_b", "line_a", "line_b")
     # written step by step: each step names its texts many times, and nested they would be worked out as often
-    cut = written(both.select("a", "b", trimmed(F.col("line_a"), F.col("line_b")).alias("t")), "pairs-cut")
-    ends = written(cut.select("a", "b", trimmed(F.reverse("t.a"), F.reverse("t.b")).alias("t")), "pairs-cut")  # and from the ends
-    close = ends.select("a", "b", "t.*").toDF("a", "b", "x", "y").where(within_edits(F.col("x"), F.col("y"), edits))
-    return written(close.select("a", "b"), "line-links")
+    ends = ("place_a", "place_b")
+    cut = written(both.select(*ends, trimmed(F.col("line_a"), F.col("line_b")).alias("t")), "pairs-cut")
+    cut = written(cut.select(*ends, trimmed(F.reverse("t.a"), F.reverse("t.b")).alias("t")), "pairs-cut")  # and from the ends
+    close = cut.select(*ends, F.col("t.a").alias("x"), F.col("t.b").alias("y"))
+    close = close.where(F.abs(F.char_length("x") - F.char_length("y")) <= edits).where(within_edits(F.col("x"), F.col("y"), edits))
+    return written(close.select(F.col("place_a").alias("a"), F.col("place_b").alias("b")), "line-links")
 
 
-def dedup_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
-    """doc_id, row_hash, text (lines kept), n_lines, n_dup_lines, n_near_lines, n_links: one row per document with lines.
+def judge_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
+    """doc_id, row_hash, n_lines, n_dup_lines, n_near_lines, n_links, kept_lines: one row per different row with lines.
 
     ``n_dup_lines`` counts lines dropped because an equal one comes first, ``n_near_lines`` those dropped because a line within
-    ``edits`` edits does, ``n_links`` the links between different lines of the classes that first occur in the document.
+    ``edits`` edits does, ``n_links`` the links of the lines that first occur here; ``kept_lines`` numbers what stays.
     """
-    lines = _numbered(docs)
-    classes = written(classes_of(lines), "line-classes")
-    links = links_of(classes, edits, min_chars)
-    rank = F.struct("doc_id", "row_hash", "line_no")
-    ends = links.select(F.explode(F.array(*[F.struct(F.col(x).alias("id"), F.col(y).alias("other")) for x, y in ("ab", "ba")])).alias("e"))
-    ends = ends.select("e.id", "e.other").join(classes.select("id", rank.alias("own")), "id")
-    ends = ends.join(classes.select(F.col("id").alias("other"), rank.alias("theirs")), "other")
-    near = ends.groupBy("id").agg(F.count("*").alias("links"), F.max((F.col("theirs") < F.col("own")).cast("int")).alias("late"))
-    judged = classes.select("id", "doc_id", "row_hash", "line_no", "line", "n").join(near, "id", "left")
-    late = F.coalesce(F.col("late") == 1, F.lit(False))
-    firsts = judged.select("doc_id", "row_hash", "line_no", F.when(~late, F.col("line")).alias("line"), late.cast("long").alias("near"),
-                           F.coalesce("links", F.lit(0)).alias("links"), F.lit(1).cast("long").alias("first"))
-    text = F.col("text").cast("string")
-    blank = docs.select("doc_id", F.xxhash64(text).alias("row_hash"), F.posexplode(F.split(text, "\n", -1)).alias("line_no", "line"))
-    blank = blank.where(~F.col("line").rlike(_WORD)).distinct()
-    blank = blank.select("doc_id", "row_hash", "line_no", "line", *[F.lit(0).cast("long").alias(c) for c in ("near", "links", "first")])
-    kept = firsts.unionByName(blank).groupBy("doc_id", "row_hash").agg(
-        F.sort_array(F.collect_list(F.when(F.col("line").isNotNull(), F.struct("line_no", "line")))).alias("lines"),
-        F.sum("near").alias("near"), F.sum("links").alias("links"), F.sum("first").alias("firsts"))
-    total = lines.groupBy("doc_id", "row_hash", "line_no").agg(F.lit(1).alias("one")).groupBy("doc_id", "row_hash").agg(F.count("*").alias("n_lines"))
-    per_doc = total.alias("t").join(kept.alias("k"), F.col("t.doc_id").eqNullSafe(F.col("k.doc_id")) & (F.col("t.row_hash") == F.col("k.row_hash")), "left")
-    texts = F.concat_ws("\n", F.transform("k.lines", lambda s: s.line))
-    firsts_ = F.coalesce("k.firsts", F.lit(0))
-    return per_doc.select("t.doc_id", "t.row_hash", F.coalesce(texts, F.lit("")).alias("text"), "n_lines", (F.col("n_lines") - firsts_).alias("n_dup_lines"),
-                          F.coalesce("k.near", F.lit(0)).alias("n_near_lines"), F.coalesce("k.links", F.lit(0)).alias("n_links"))
+    classes = written(classes_of(_numbered(docs)), "line-classes")
+    links = links_of(docs, classes, edits, min_chars)
+    ends = [links.select(F.col(x).alias("own"), F.col(y).alias("theirs")) for x, y in ("ab", "ba")]
+    near = ends[0].unionByName(ends[1]).groupBy("own").agg(F.count("*").alias("links"), F.max((F.col("theirs") < F.col("own")).cast("int")).alias("late"))
+    # links are added to the classes by grouping: both are one row per place at most
+    marks = near.select("own.*", "links", "late", F.lit(0).alias("first"))
+    places = classes.select(*PLACE, F.lit(0).cast("long").alias("links"), F.lit(0).alias("late"), F.lit(1).alias("first"))
+    merged = places.unionByName(marks).groupBy(*PLACE).agg(F.sum("links").alias("links"), F.max("late").alias("late"))
+    per_row = merged.groupBy(*ROW).agg(
+        F.count("*").alias("firsts"), F.sum("late").cast("long").alias("near"), F.sum("links").alias("links"),
+        F.array_sort(F.collect_list(F.when(F.col("late") == 0, F.col("line_no")))).alias("kept_lines"))
+    total = _rows(docs).select(*ROW, F.size(F.filter("lines", lambda line: F.rlike(line, F.lit(_WORD)))).cast("long").alias("n_lines"))
+    total = total.where("n_lines > 0").groupBy(*ROW).agg(F.max("n_lines").alias("n_lines"))
+    joined = total.alias("t").join(per_row.alias("k"), F.col("t.row_hash").eqNullSafe(F.col("k.row_hash")) & F.col("t.doc_id").eqNullSafe(F.col("k.doc_id")), "left")
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0))
+    return joined.select("t.doc_id", "t.row_hash", "n_lines", (F.col("n_lines") - zero("firsts")).alias("n_dup_lines"), zero("near").alias("n_near_lines"),
+                         zero("links").alias("n_links"), F.coalesce("kept_lines", F.array().cast("array<int>")).alias("kept_lines"))
+
+
+def without_repeated_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
+    """``docs`` with the lines that are kept as ``text``; documents that had lines with words and keep none are dropped."""
+    judged = written(judge_lines(docs, edits, min_chars), "judged-lines").select(F.col("doc_id").alias("id_"), F.col("row_hash").alias("hash_"), "kept_lines")
+    row_hash = F.xxhash64("doc_id", F.col("text").cast("string"))
+    joined = docs.join(judged, (row_hash == F.col("hash_")) & docs.doc_id.eqNullSafe(F.col("id_")), "left")
+    kept = joined.where(F.col("hash_").isNull() | (F.size("kept_lines") > 0))
+    bound = lambda lines: F.array_join(F.transform(F.array_sort(F.concat(
+        "kept_lines", F.filter(F.transform(lines, lambda line, i: F.when(~F.rlike(line, F.lit(_WORD)), i)), lambda i: i.isNotNull()))),
+        lambda i: F.get(lines, i)), "\n")
+    new = F.get(F.transform(F.array(F.split(F.col("text").cast("string"), "\n", -1)), bound), 0)
+    text = F.when(F.col("hash_").isNull(), F.col("text").cast("string")).otherwise(new)
+    return kept.select(*[text.alias("text") if c == "text" else F.col(c) for c in docs.columns])

@@ -78,5 +78,4 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_line_dedup")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    kept = line_dedup.dedup_lines(docs)
-    return kept.select("doc_id", F.sha2("text", 256).alias("kept_sha256"), "n_lines", "n_dup_lines", "n_near_lines", "n_links")
+    return line_dedup.judge_lines(docs).drop("row_hash")

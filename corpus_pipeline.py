@@ -31,13 +31,8 @@ def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def new_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    deduped = line_dedup.dedup_lines(docs).select(F.col("doc_id").alias("id_"), "row_hash", F.col("text").alias("text_"))
-    row_hash = F.xxhash64(F.col("text").cast("string"))
-    joined = docs.join(deduped, docs.doc_id.eqNullSafe(F.col("id_")) & (row_hash == F.col("row_hash")), "left")
-    emptied = F.col("row_hash").isNotNull() & ~F.col("text_").rlike(line_dedup._WORD)
-    text = F.coalesce("text_", "text")
-    new = {"text": text} | ({"n_chars": F.char_length(text).cast(dict(docs.dtypes)["n_chars"])} if "n_chars" in docs.columns else {})
-    return joined.where(~emptied).select(*[new.get(c, F.col(c)).alias(c) for c in docs.columns])
+    kept = line_dedup.without_repeated_lines(docs)
+    return kept.withColumn("n_chars", F.char_length("text").cast("long")) if "n_chars" in docs.columns else kept
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -91,14 +91,28 @@ class PieceEncoder:
         return _WORKER[path]
 
     def _clear(self) -> None:
-        self.codes: dict[int, int] = {}  # hash of a piece: where it is in first and length
-        self.plain: dict[str, int] = {}  # the same for what the library has encoded
+        self.keys = np.zeros(0, np.uint64)  # sorted hashes of pieces, and where each is in first and length
+        self.places = np.zeros(0, np.int64)
         self.chars = 0
         self.ids = np.zeros(1 << 16, np.int32)
         self.first = np.zeros(1 << 15, np.int64)
         self.length = np.zeros(1 << 15, np.int64)
         self.known = self.used = 0
 
+    def _find(self, hashes: np.ndarray) -> np.ndarray:
+        """Places of sorted hashes; -1 for those not known."""
+        at = np.searchsorted(self.keys, hashes)
+        inside = at < len(self.keys)
+        places = np.full(len(hashes), -1, np.int64)
+        inside[inside] = self.keys[at[inside]] == hashes[inside]
+        places[inside] = self.places[at[inside]]
+        return places
+
+    def _insert(self, hashes: np.ndarray, places: np.ndarray) -> None:
+        order = np.argsort(hashes)
+        at = np.searchsorted(self.keys, hashes[order])
+        self.keys, self.places = np.insert(self.keys, at, hashes[order]), np.insert(self.places, at, places[order])
+
     def _store(self, flat: np.ndarray, lengths: np.ndarray) -> None:
         upto = self.known + len(lengths)
         while upto > len(self.first):
@@ -111,33 +125,41 @@ class PieceEncoder:
         self.used += len(flat)
         self.known = upto
 
-    def _plain_codes(self, pieces: list[str]) -> None:
-        new = [p for p in dict.fromkeys(pieces) if p not in self.plain]
-        for group in slices(new, MISSES_CHARS):
-            self.plain.update(zip(group, range(self.known, self.known + len(group))))
+    def _plain(self, pieces: list[str]) -> dict[str, int]:
+        """Places of distinct pieces, which the library encodes where they are new."""
+        data, offsets = text_bytes(pa.array([" ".join(pieces)], pa.large_string()))
+        hashes, at = np.unique(hash_words(data, offsets, separator=BLANKS).hashes, return_index=True)
+        places = self._find(hashes)
+        new = np.flatnonzero(places < 0)
+        start = self.known
+        for group in slices((pieces[i] for i in at[new]), MISSES_CHARS):
             self._store(*encode_pieces(self.tokenizer, group))
             self.chars += sum(map(len, group))
-
-    def _learn(self, hashes: list[int], pieces: list[str]) -> None:
-        if self.folds:
-            pieces = [p.lower() if p.isascii() else p for p in pieces]
-        marked = [self.splits and len(p) > 1 and p[-1] in MARKS and p[-2] in LETTERS for p in pieces]
-        self._plain_codes([*MARKS, *(p[:-1] if m else p for p, m in zip(pieces, marked))])
+        places[new] = np.arange(start, start + len(new))
+        self._insert(hashes[new], places[new])
+        return dict(zip((pieces[i] for i in at), places.tolist()))
+
+    def _learn(self, hashes: np.ndarray, pieces: list[str]) -> None:
+        forms = [p.lower() if p.isascii() else p for p in pieces] if self.folds else pieces
+        marked = [self.splits and len(p) > 1 and p[-1] in MARKS and p[-2] in LETTERS for p in forms]
+        plain = self._plain(list(dict.fromkeys([*MARKS, *(p[:-1] if m else p for p, m in zip(forms, marked))])))
         joined: dict[str, int] = {}
-        parts, sizes = [], []
-        for h, p, m in zip(hashes, pieces, marked):
+        parts: list[np.ndarray] = []
+        places = []
+        for p, m in zip(forms, marked):
             if not m:
-                self.codes[h] = self.plain[p]
-            elif p in joined:
-                self.codes[h] = joined[p]
-            else:
-                joined[p] = self.codes[h] = self.known + len(parts)
-                both = [self.ids[self.first[c]:self.first[c] + self.length[c]] for c in (self.plain[p[:-1]], self.plain[p[-1]])]
+                places.append(plain[p])
+                continue
+            if p not in joined:
+                joined[p] = self.known + len(parts)
+                both = [self.ids[self.first[c]:self.first[c] + self.length[c]] for c in (plain[p[:-1]], plain[p[-1]])]
                 parts.append(np.concatenate(both))
-                sizes.append(len(parts[-1]))
+            places.append(joined[p])
         if parts:
-            self._store(np.concatenate(parts), np.array(sizes))
-        self.chars += 4 * len(hashes)
+            self._store(np.concatenate(parts), np.fromiter(map(len, parts), np.int64, len(parts)))
+        left = self._find(hashes) < 0  # a piece that is its own plain form is known by now
+        self._insert(hashes[left], np.array(places, np.int64)[left])
+        self.chars += 4 * len(pieces)
 
     def numbered(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """For all pieces of texts given as bytes: where their ids are; and where the pieces of each text begin."""
@@ -145,19 +167,25 @@ class PieceEncoder:
             self._clear()
         words = hash_words(data, offsets, separator=BLANKS)
         hashes, at, back = np.unique(words.hashes, return_index=True, return_inverse=True)
-        return self.codes_of(hashes.tolist(), data, words, at)[back], words.bounds
-
-    def codes_of(self, hashes: list[int], data: np.ndarray, words: Words, at: np.ndarray) -> np.ndarray:
-        """Where the ids of distinct pieces are; ``at`` gives one place of each among ``words``."""
-        codes = list(map(self.codes.get, hashes))
-        missing = [i for i, c in enumerate(codes) if c is None]
-        if missing:
-            places = at[missing]
-            begin, size = words.starts[places].tolist(), words.sizes[places].tolist()
+        return self.places_of(hashes, data, words, at)[back], words.bounds
+
+    def places_of(self, hashes: np.ndarray, data: np.ndarray, words: Words, at: np.ndarray) -> np.ndarray:
+        """Where the ids of distinct pieces, given by sorted hashes, are; ``at`` gives one place of each among ``words``."""
+        places = self._find(hashes)
+        missing = np.flatnonzero(places < 0)
+        if len(missing):
             whole = data.tobytes()
-            self._learn([hashes[i] for i in missing], [whole[b:b + n].decode() for b, n in zip(begin, size)])
-            codes = list(map(self.codes.__getitem__, hashes))
-        return np.array(codes, np.int64)
+            begin, size = words.starts[at[missing]].tolist(), words.sizes[at[missing]].tolist()
+            self._learn(hashes[missing], [whole[b:b + n].decode() for b, n in zip(begin, size)])
+            places = self._find(hashes)
+        return places
+
+    def lengths_of(self, hashes: np.ndarray, data: np.ndarray, words: Words, at: np.ndarray) -> np.ndarray:
+        """The same for the numbers of their ids."""
+        if self.chars > CACHE_CHARS:
+            self._clear()
+        places = self.places_of(hashes, data, words, at)
+        return self.length[places]
 
     def encode_bytes(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts in one array, and the number of ids of each text."""

@@ -14,12 +14,14 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .encoding import PieceEncoder, pieces_of, slices
+from .encoding import BLANKS, PieceEncoder, pieces_of, slices
+from .words import hash_words, text_bytes
 
 TABLE_SIZE = 16_384  # pieces in the broadcast table, each of at most PIECE_CHARS characters: under 2 MB
 PIECE_CHARS = 32
@@ -48,24 +50,38 @@ def frequent_pieces(docs: DataFrame, size: int = TABLE_SIZE) -> list[str]:
     return [r.piece for r in rows]
 
 
+def frequent_lengths(pieces: list[str], path: str) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted hashes of the pieces, and how many ids each has."""
+    data, offsets = text_bytes(pa.array([" ".join(pieces)], pa.large_string()))
+    words = hash_words(data, offsets, separator=BLANKS)
+    hashes, at = np.unique(words.hashes, return_index=True)
+    return hashes, PieceEncoder(path).lengths_of(hashes, data, words, at).astype(np.int16)
+
+
 def count_tokens(docs: DataFrame, path: str, limit: int = 2048, table_size: int = TABLE_SIZE) -> DataFrame:
     """``docs`` with n_bytes, n_tokens and over_limit of the whole text."""
+    # a compact table: sorted hashes of the frequent pieces and their lengths, 10 bytes each
     frequent = frequent_pieces(docs, table_size)
-    lengths = PieceEncoder(path).lengths(frequent)
-    table = docs.sparkSession.sparkContext.broadcast({"": 0} | dict(zip(frequent, lengths.tolist())))
+    hashes, lengths = frequent_lengths(frequent, path)
+    table = docs.sparkSession.sparkContext.broadcast((hashes, lengths))
 
     @F.pandas_udf("long")
     def n_tokens(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        frequent, encoder = table.value, PieceEncoder.of_worker(path)
+        keys, known = table.value
+        encoder = PieceEncoder.of_worker(path)
         for column in batches:
-            out: list[int] = []
+            out = [np.zeros(0, np.int64)]
             for group in slices(column):
-                split = [pieces_of(t) for t in group]
-                first = [[frequent.get(p) for p in pieces] for pieces in split]
-                rare = [p for pieces, found in zip(split, first) for p, n in zip(pieces, found) if n is None]
-                second = iter(encoder.lengths(rare).tolist())
-                out.extend(sum(next(second) if n is None else n for n in found) for found in first)
-            yield pd.Series(out, dtype="int64")
+                data, offsets = text_bytes(pa.array(group, pa.large_string()))
+                words = hash_words(data, offsets, separator=BLANKS)
+                pieces, at, back = np.unique(words.hashes, return_index=True, return_inverse=True)
+                place = np.minimum(np.searchsorted(keys, pieces), max(len(keys) - 1, 0))
+                first = keys[place] == pieces if len(keys) else np.zeros(len(pieces), bool)
+                counts = np.zeros(len(pieces), np.int64)
+                counts[first] = known[place[first]]
+                counts[~first] = encoder.lengths_of(pieces[~first], data, words, at[~first])
+                out.append(np.diff(np.concatenate(([0], np.cumsum(counts[back])))[words.bounds]))
+            yield pd.Series(np.concatenate(out))
 
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     counted = docs.withColumn("n_tokens", n_tokens(text)).withColumn("n_bytes", F.octet_length(text).cast("long"))

@@ -236,13 +236,13 @@ def judge_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS)
 
 def without_repeated_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
     """``docs`` with the lines that are kept as ``text``; documents that had lines with words and keep none are dropped."""
-    judged = written(judge_lines(docs, edits, min_chars), "judged-lines").select(F.col("doc_id").alias("id_"), F.col("row_hash").alias("hash_"), "kept_lines")
-    row_hash = F.xxhash64("doc_id", F.col("text").cast("string"))
-    joined = docs.join(judged, (row_hash == F.col("hash_")) & docs.doc_id.eqNullSafe(F.col("id_")), "left")
-    kept = joined.where(F.col("hash_").isNull() | (F.size("kept_lines") > 0))
+    judged = written(judge_lines(docs.select("doc_id", "text"), edits, min_chars), "judged-lines").alias("j")
+    own = F.col("d.text").cast("string")
+    joined = docs.alias("d").join(judged, (F.xxhash64("d.doc_id", own) == F.col("j.row_hash")) & F.col("d.doc_id").eqNullSafe(F.col("j.doc_id")), "left")
+    known = F.col("j.row_hash").isNotNull()
+    kept = joined.where(~known | (F.size("j.kept_lines") > 0))
     bound = lambda lines: F.array_join(F.transform(F.array_sort(F.concat(
-        "kept_lines", F.filter(F.transform(lines, lambda line, i: F.when(~F.rlike(line, F.lit(_WORD)), i)), lambda i: i.isNotNull()))),
+        F.col("j.kept_lines"), F.filter(F.transform(lines, lambda line, i: F.when(~F.rlike(line, F.lit(_WORD)), i)), lambda i: i.isNotNull()))),
         lambda i: F.get(lines, i)), "\n")
-    new = F.get(F.transform(F.array(F.split(F.col("text").cast("string"), "\n", -1)), bound), 0)
-    text = F.when(F.col("hash_").isNull(), F.col("text").cast("string")).otherwise(new)
-    return kept.select(*[text.alias("text") if c == "text" else F.col(c) for c in docs.columns])
+    text = F.when(known, F.get(F.transform(F.array(F.split(own, "\n", -1)), bound), 0)).otherwise(own)
+    return kept.select(*[text.alias("text") if c == "text" else F.col(f"d.`{c}`") for c in docs.columns])

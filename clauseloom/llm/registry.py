@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import functools
+import shutil
+import tempfile
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -12,11 +16,30 @@ QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give this package to the session's Python workers, wherever they run; once per application."""
+    context = spark.sparkContext
+    if context.applicationId not in _SHIPPED:
+        root = Path(__file__).resolve().parents[2]
+        archive = shutil.make_archive(str(Path(tempfile.mkdtemp(prefix="clauseloom-")) / "clauseloom"), "zip", root, "clauseloom")
+        context.addPyFile(archive)
+        _SHIPPED.add(context.applicationId)
+
+
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def register(function: Query) -> Query:
         if name in QUERIES:
             raise ValueError(f"two queries named {name}")
-        QUERIES[name] = function
+
+        @functools.wraps(function)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship(spark)
+            return function(spark, sf_dir)
+
+        QUERIES[name] = run
         if sql:
             SQL[name] = sql
         return function

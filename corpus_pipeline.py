@@ -19,15 +19,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clauseloom.llm import bpe_reuse, decontamination, line_dedup, near_dedup, quality_gam
-from clauseloom.llm.registry import query, table
+from clauseloom.llm.registry import query, ship, table
 from clauseloom.session import written
 
 VOCABULARY = "word_bpe_49k.json"
 
 
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship(spark)
     model = quality_gam.train(docs, table(spark, sf_dir, "labels"))
-    return quality_gam.score_quality(docs, model).where("predicted = 1").select(*docs.columns)
+    scored = quality_gam.score_quality(docs.select("doc_id", "text", F.struct("*").alias("row")), model)  # no name of docs is replaced
+    return scored.where("predicted = 1").select("row.*")
 
 
 def new_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -143,19 +143,16 @@ SNIPPET_CHARS = 120
 SUCCESS_FIELDS = 2
 CORPUS_SIZE = 510
 RECENT_ROWS = 20
-CHUNK_CAP = 25
 
 # --- prices, in US dollars per million tokens --------------------------------------------
 
 COST_BANDS = {"min": "0.27", "blended": "0.40", "max": "1.10"}
 BATCH_RATE = "0.14"
-PROVIDER_PRICES = {  # provider class: (input, output)
-    "baseline": ("0.27", "1.10"),
-    "small": ("0.15", "0.60"),
-    "large": ("2.50", "10.00"),
-    "premium": ("3.00", "15.00"),
-    "top": ("15.00", "75.00"),
-}
+
+# --- how amounts are written: currency marks and codes, unit words -------------------------------
+
+CURRENCY_MARKS = {"$": "USD", "£": "GBP", "€": "EUR", "USD": "USD", "GBP": "GBP", "EUR": "EUR", "CAD": "CAD", "AUD": "AUD"}
+AMOUNT_UNITS = {"billion": 1_000_000_000, "million": 1_000_000, "thousand": 1_000, "m": 1_000_000, "k": 1_000}
 
 # --- words a boolean value may be written with in a response --------------------------------
 

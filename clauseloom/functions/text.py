@@ -98,7 +98,7 @@ def sentences(clean: Column) -> Column:
 
 def token_count(text: Column) -> Column:
     """Number of runs of non-white-space in a cleaned, trimmed text."""
-    return F.size(F.split(text, r"[ \n]+"))
+    return F.when(text == "", 0).otherwise(F.size(F.split(text, r"[ \n]+")))
 
 
 def sentence_tokens(sentence: Column) -> Column:

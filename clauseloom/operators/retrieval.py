@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from .. import fixed_values as fv
 from ..functions import text as tx
-from ..session import broadcast_if_small
 from . import weights as wt
 
 def default_queries(spark: SparkSession) -> DataFrame:
@@ -27,7 +26,7 @@ def _similarities(chunks: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     Holds all pairs sharing a term, and with product 0 the first ``k`` chunks of every document
     for every query: enough to fill any top ``k``, without forming all pairs.
     """
-    lookup = broadcast_if_small(wt.query_lookup(queries))
+    lookup = wt.query_lookup(queries)
     found = tx.terms(F.col("chunk_text"))
     marked = F.concat(F.when(F.col("chunk_idx") < k, F.array(F.lit(wt.ALL_QUERIES_TERM)))
                       .otherwise(F.array().cast("array<string>")), found)

@@ -39,10 +39,11 @@ def eval_summary(scored: DataFrame, without: str | int | None = None) -> DataFra
 
 def first_results(results: DataFrame, limit: int) -> DataFrame:
     """The first ``limit`` results by id, for a quick evaluation."""
-    return results.orderBy("contract_id").limit(limit)
+    first = results.select("contract_id").orderBy("contract_id").limit(limit)  # ids alone meet in one task
+    return results.join(first, "contract_id", "left_semi")
 
 
-def eval_extremes(scored: DataFrame, n: int = 3) -> DataFrame:
+def eval_extremes(scored: DataFrame, n: int) -> DataFrame:
     """The ``n`` lowest with their missed fields, and the ``n`` highest with their well-scored ones."""
     def picked(keep) -> Column:
         return F.array_join(F.array_sort(F.transform(F.filter("checks", keep), lambda c: c["field"])), ",")
@@ -70,18 +71,22 @@ def _with_value(scored: DataFrame, score: float) -> DataFrame:
     return rows.where((F.col("score") == score) & (F.col("value") != ""))
 
 
-def near_misses(scored: DataFrame, n: int | None = 10) -> DataFrame:
+def _cut(text: Column, size: int | None) -> Column:
+    return text if size is None else F.substring(text, 1, size)
+
+
+def near_misses(scored: DataFrame, n: int | None = None, snippet_chars: int | None = None) -> DataFrame:
     """Values of the right form that were not found, and whether a shorter start of them is found."""
     snippet = tx.strip(F.lower(F.substring("value", 1, sc.NEAR_CHARS)))
     rows = _with_value(scored, 0.6).select("contract_id", "field", F.col("near").alias("ws_match"),
-                                           F.substring(snippet, 1, 50).alias("snippet"))
+                                           _cut(snippet, snippet_chars).alias("snippet"))
     ordered = rows.orderBy("contract_id", "field")
     return ordered.limit(n) if n else ordered
 
 
-def unverifiable(scored: DataFrame, n: int | None = 8) -> DataFrame:
+def unverifiable(scored: DataFrame, n: int | None = None, snippet_chars: int | None = None) -> DataFrame:
     """Values that were neither found nor of the right form."""
-    rows = _with_value(scored, 0.4).select("contract_id", "field", F.substring("value", 1, 60).alias("snippet"))
+    rows = _with_value(scored, 0.4).select("contract_id", "field", _cut(F.col("value"), snippet_chars).alias("snippet"))
     ordered = rows.orderBy("contract_id", "field")
     return ordered.limit(n) if n else ordered
 

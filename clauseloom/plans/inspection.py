@@ -43,7 +43,7 @@ def having(results: DataFrame, field: str, *columns: str) -> DataFrame:
     return results.where(F.col(field).isNotNull()).select("contract_id", field, *columns)
 
 
-def next_candidates(contracts: DataFrame, results: DataFrame, n: int = 3) -> DataFrame:
+def next_candidates(contracts: DataFrame, results: DataFrame, n: int) -> DataFrame:
     """The first ``n`` contracts by id without a result."""
     left = contracts.select("contract_id").join(results.select("contract_id"), "contract_id", "left_anti")
     return left.orderBy("contract_id").limit(n)

@@ -15,10 +15,13 @@ SECTION_NUMBER = r"(?i)^(?:section|article|schedule|exhibit|appendix) +([0-9A-Z]
 SECTION_REFERENCE = r"(?i)see section ([0-9]+(?:\.[0-9]+)*)"
 
 
-def penalty_over(results: DataFrame, minimum) -> DataFrame:
-    """Contracts whose largest penalty, read as a number, is above ``minimum``."""
-    value = money.number(F.col("penalty_max_amount"))
-    rows = results.select("contract_id", "penalty_max_amount", value.alias("amount"))
+def penalty_over(results: DataFrame, minimum, code: str = "USD") -> DataFrame:
+    """Contracts with a penalty above ``minimum``: the largest amount of one currency in the field, whatever else it says.
+
+    Amounts of other currencies are not compared.
+    """
+    top = money.largest(money.amounts(F.col("penalty_max_amount")), code)
+    rows = tx.computed_once(results.select("contract_id", "penalty_max_amount"), amount=top["value"])
     return rows.where(F.col("amount") > F.lit(minimum))
 
 
@@ -50,7 +53,7 @@ def validate_rules(results: DataFrame, critical: tuple[str, ...] = CRITICAL_FIEL
     return results.select("contract_id", (F.size(issues) == 0).alias("valid"), F.array_join(issues, "; ").alias("issues"))
 
 
-def chunk_cap(seen: DataFrame, cap: int = fv.CHUNK_CAP) -> DataFrame:
+def chunk_cap(seen: DataFrame, cap: int) -> DataFrame:
     """The first ``cap`` retrieved chunks of each contract."""
     order = Window.partitionBy("contract_id").orderBy("seen")
     return seen.withColumn("position", F.row_number().over(order)).where(F.col("position") <= cap)
@@ -101,8 +104,8 @@ def prf1(judged: DataFrame, predicted: Column, actual: Column) -> DataFrame:
                          F.try_divide(tp * 2, tp * 2 + F.col("fp") + F.col("fn")).alias("f1"))
 
 
-def provider_cost(usage: DataFrame, scale_to: int, prices: dict[str, tuple[str, str]] = fv.PROVIDER_PRICES,
-                  base: str = "baseline") -> DataFrame:
+def provider_cost(usage: DataFrame, scale_to: int, prices: dict[str, tuple[str, str]],
+                  base: str) -> DataFrame:
     """Cost of all tokens at each price pair, relative to ``base``, and scaled to ``scale_to`` contracts.
 
     ``usage`` has input_tokens and output_tokens per contract; the prices are a few fixed pairs.

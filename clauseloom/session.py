@@ -6,7 +6,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 SHARED_FOLDER = "spark.checkpoint.dir"
 
@@ -55,12 +54,3 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = new_folder(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = 20_000) -> DataFrame:
-    """Mark ``df`` for broadcast only when counting proves it small.
-
-    The count stops at ``max_rows + 1``.  Above the bound the frame is returned unmarked and the
-    join is an ordinary shuffle join, with AQE splitting skewed keys.
-    """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df

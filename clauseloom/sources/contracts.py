@@ -16,7 +16,11 @@ def scan_files(spark: SparkSession, folder: str, pattern: str = "*.txt") -> Data
 
     Bytes that are not UTF-8 become replacement characters.  A missing folder is an error.
     """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
+    return as_contracts(spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder))
+
+
+def as_contracts(files: DataFrame) -> DataFrame:
+    """Contracts of binary files, read at once or as a stream."""
     return files.select(tx.file_stem(F.col("path")).alias("contract_id"), F.col("path").alias("file_path"),
                         F.lit(fv.FILE_SOURCE).alias("source"), F.make_valid_utf8(F.col("content").cast("string")).alias("text"))
 
@@ -31,12 +35,16 @@ def load_corpus(spark: SparkSession, folder: str, limit: int | None = None, posi
     if not stored.isEmpty():
         return dataset_scan(spark.read.option("pathGlobFilter", "*.parquet").parquet(folder), position, text, limit)
     files = scan_files(spark, folder)
-    return files.orderBy("file_path").limit(limit) if limit else files
+    if limit is None:
+        return files
+    # the paths alone are ordered in one task
+    first = list_files(spark, folder, "*.txt").orderBy("path").limit(limit)
+    return files.join(first, F.col("file_path") == F.col("path"), "left_semi")
 
 
-def list_files(spark: SparkSession, folder: str) -> DataFrame:
+def list_files(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
     """Paths of the text and page files directly in ``folder``, without reading their content."""
-    read = spark.read.format("binaryFile").load(folder)
+    read = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
     return read.select(F.col("path"))
 
 
@@ -80,9 +88,9 @@ def dataset_scan(table: DataFrame, position: str, text: str, limit: int | None =
                        F.lit(fv.DATASET_SOURCE).alias("source"), F.coalesce(F.col(text), F.lit("")).alias("text"))
 
 
-def admit(table: DataFrame, position: str, text: str) -> DataFrame:
-    """Texts worth keeping: long enough after stripping, and not a paper or a dataset description."""
-    head = F.lower(F.substring("stripped", 1, fv.ADMISSION_WINDOW))
+def admit(table: DataFrame, position: str, text: str, window: int = fv.ADMISSION_WINDOW) -> DataFrame:
+    """Texts worth keeping: long enough after stripping, and no paper or dataset description by their first ``window`` characters."""
+    head = F.lower(F.substring("stripped", 1, window))
     paper = tx.any_of([F.contains(head, F.lit(m)) for m in fv.ADMISSION_MARKERS])
     description = (F.col("position") == 0) & F.contains(head, F.lit(fv.FIRST_DOCUMENT_MARKER))
     stripped = tx.computed_once(table.select(F.col(position).alias("position"), F.col(text).alias("_text")),

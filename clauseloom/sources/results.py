@@ -1,18 +1,22 @@
 """The result table and what is exported from it.
 
-The table is a folder of Parquet batches.  A batch is written under its own number and replaces
-itself when it is written again; readers take the latest row of each contract.
+The table is a folder of Parquet batches.  A batch is written under the id of its run and its number
+in that run, and replaces itself when it is written again; batches of other runs are never touched.
+Readers take the latest row of each contract.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from ..fields import SLA_FIELDS, FieldConfig, result_schema
 
-BATCH = "batch_id"
+RUN, BATCH = "run_id", "batch_id"
+WRITTEN, SEQ = "written_at", "write_seq"  # order of rows that are equally new: the last write wins
 
 
 def create(spark: SparkSession, path: str, fields: FieldConfig = SLA_FIELDS) -> None:
@@ -23,8 +27,8 @@ def create(spark: SparkSession, path: str, fields: FieldConfig = SLA_FIELDS) ->
 
 def reset(spark: SparkSession, path: str, fields: FieldConfig = SLA_FIELDS) -> None:
     """Replace the table by an empty one."""
-    empty = spark.createDataFrame([], result_schema(fields)).withColumn(BATCH, F.lit(-1))
-    empty.write.mode("overwrite").parquet(path)
+    empty = _numbered(spark.createDataFrame([], result_schema(fields))).withColumn(RUN, F.lit("")).withColumn(BATCH, F.lit(-1))
+    empty.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(RUN, BATCH).parquet(path)
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -38,13 +42,25 @@ def exists(spark: SparkSession, path: str) -> bool:
         raise
 
 
-def append_batch(rows: DataFrame, path: str, batch_id: int) -> None:
-    """Write one batch.  Writing the same number again replaces it, so a repeated batch changes nothing."""
-    rows.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
+def _numbered(rows: DataFrame) -> DataFrame:
+    """Rows with the time of writing and their place in the batch, unless they bring their own."""
+    own = {WRITTEN: F.current_timestamp(), SEQ: F.monotonically_increasing_id()}
+    return rows.withColumns({name: value for name, value in own.items() if name not in rows.columns})
+
+
+def append_batch(rows: DataFrame, path: str, run_id: str, batch_id: int) -> None:
+    """Write one batch of a run.
+
+    Writing the same run and number again replaces that batch alone, so a repeated batch changes nothing.  ``run_id`` must be
+    new for a new run (letters, digits, ``-``, ``_`` and ``.``): a stream has an id of its own, which its checkpoint keeps.
+    """
+    if not re.fullmatch(r"[\w.-]+", run_id):
+        raise ValueError(f"run id {run_id!r}: letters, digits, '-', '_' and '.' only")
+    _numbered(rows).write.mode("overwrite").parquet(f"{path}/{RUN}={run_id}/{BATCH}={int(batch_id)}")
 
 
 def read_all(spark: SparkSession, path: str, fields: FieldConfig = SLA_FIELDS) -> DataFrame:
-    schema = result_schema(fields).add(BATCH, "long")
+    schema = result_schema(fields).add(WRITTEN, "timestamp").add(SEQ, "long").add(RUN, "string").add(BATCH, "long")
     return spark.read.schema(schema).option("basePath", path).parquet(path)
 
 
@@ -53,18 +69,18 @@ def latest(rows: DataFrame, *newest_first: Column) -> DataFrame:
 
     Each task keeps one row per contract before the shuffle, so many versions of one contract do not pile up.
     """
-    order = newest_first or (F.col("created_at").desc_nulls_last(), F.col(BATCH).desc())
+    order = newest_first or (F.col("created_at").desc_nulls_last(), F.col(WRITTEN).desc_nulls_last(), F.col(BATCH).desc(), F.col(SEQ).desc())
     ranked = rows.withColumn("_n", F.row_number().over(Window.partitionBy("contract_id").orderBy(*order)))
     return ranked.where(F.col("_n") == 1).drop("_n")
 
 
 def read_latest(spark: SparkSession, path: str, fields: FieldConfig = SLA_FIELDS) -> DataFrame:
-    return latest(read_all(spark, path, fields)).drop(BATCH)
+    return latest(read_all(spark, path, fields)).drop(RUN, BATCH, WRITTEN, SEQ)
 
 
 def compact(spark: SparkSession, path: str, into: str, fields: FieldConfig = SLA_FIELDS) -> None:
     """Write the current rows to a new folder as its first batch, when many batches have piled up."""
-    append_batch(read_latest(spark, path, fields), into, 0)
+    append_batch(read_latest(spark, path, fields), into, "compacted", 0)
 
 
 def upsert(existing: DataFrame, new: DataFrame, seq: str) -> DataFrame:
@@ -82,8 +98,12 @@ def pending(contracts: DataFrame, results: DataFrame, limit: int | None = None)
 
     The cap counts pending contracts: with the cap taken first, a resumed run would find nothing to do.
     """
-    left = contracts.join(results.select("contract_id"), "contract_id", "left_anti")
-    return left.orderBy("contract_id").limit(limit) if limit else left
+    done = results.select("contract_id")
+    if limit is None:
+        return contracts.join(done, "contract_id", "left_anti")
+    # the ids alone are ordered in one task; the texts stay where they are
+    first = contracts.select("contract_id").join(done, "contract_id", "left_anti").orderBy("contract_id").limit(limit)
+    return contracts.join(first, "contract_id", "left_semi")
 
 
 def retry(contracts: DataFrame, failures: DataFrame) -> DataFrame:

@@ -7,21 +7,37 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from ..sources import contracts as ct
 from ..sources import results as rt
 
+BINARY_FILE = "path string, modificationTime timestamp, length long, content binary"
+
 
 def ingest_new_files(spark: SparkSession, folder: str, schema: T.StructType, to_results: Callable[[DataFrame], DataFrame],
                      table: str, checkpoint: str, pattern: str = "*.parquet", files_per_batch: int = 1000) -> None:
-    """Process files that are new since the checkpoint and add their rows to the result table, then stop.
+    """Process Parquet files that are new since the checkpoint and add their rows to the result table, then stop.
 
     A batch repeated after a failure replaces its own rows.  The checkpoint knows the files already
-    read, so a second run over the same folder adds nothing.
+    read, so a second run over the same folder adds nothing.  It also keeps the id of the stream, under which its batches are
+    stored: another stream, or the same one with a new checkpoint, leaves them alone.
     """
     files = (spark.readStream.schema(schema).option("pathGlobFilter", pattern)
              .option("maxFilesPerTrigger", files_per_batch).parquet(folder))
+    _run(files, to_results, table, checkpoint)
+
+
+def ingest_contract_files(spark: SparkSession, folder: str, to_results: Callable[[DataFrame], DataFrame], table: str, checkpoint: str,
+                          pattern: str = "*.txt", files_per_batch: int = 1000) -> None:
+    """The same for contracts stored as text files: ``to_results`` gets what ``contracts.scan_files`` gives."""
+    files = (spark.readStream.format("binaryFile").schema(BINARY_FILE).option("pathGlobFilter", pattern)
+             .option("maxFilesPerTrigger", files_per_batch).load(folder))
+    _run(ct.as_contracts(files), to_results, table, checkpoint)
+
 
+def _run(files: DataFrame, to_results: Callable[[DataFrame], DataFrame], table: str, checkpoint: str) -> None:
     def save(batch: DataFrame, batch_id: int) -> None:
-        rt.append_batch(to_results(batch), table, batch_id)
+        stream_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        rt.append_batch(to_results(batch), table, f"stream-{stream_id}", batch_id)
 
     query = (files.writeStream.trigger(availableNow=True).option("checkpointLocation", checkpoint)
              .foreachBatch(save).start())

@@ -75,7 +75,7 @@ def test_table_batches_can_be_repeated(spark, tmp_path):
     rs.create(spark, path, fx.FIELDS)
     results = fx.results(spark, "/root/testdata/sf0.001")
     for _ in range(2):
-        rs.append_batch(results, path, 4)
+        rs.append_batch(results, path, "run", 4)
     rs.create(spark, path, fx.FIELDS)
     assert rs.exists(spark, path) and rs.read_latest(spark, path, fx.FIELDS).count() == results.count()
     rs.compact(spark, path, str(tmp_path / "u"), fx.FIELDS)

@@ -131,13 +131,28 @@ def test_non_contract_marker_window(spark):
 
 
 @pytest.mark.parametrize("text, value, currency", [
-    ("$1,234.50", 1234.5, "USD"), ("EUR 2 million", 2e6, "EUR"), ("£5K", 5000, "GBP"), ("USD 7", 7, "USD"), ("none", None, None)])
+    ("$1,234.50", 1234.5, "USD"), ("EUR 2 million", 2e6, "EUR"), ("£5K", 5000, "GBP"), ("USD 7", 7, "USD"), ("none", None, None),
+    ("$2 million per breach", 2e6, "USD"), ("up to $1.5M in aggregate", 1.5e6, "USD"), ("$3 billion", 3e9, "USD"), ("5,000 USD", 5000, "USD"),
+    ("capped at 12 months of fees, at most $100,000", 1e5, "USD"), ("$10k", 1e4, "USD"), ("€1.2 billion", 1.2e9, "EUR"),
+    ("USD 20 or 3 million GBP, 7 months", 3e6, "GBP")])
 def test_amounts(spark, text, value, currency):
-    row = spark.createDataFrame([(text,)], "t string").select(
-        money.number(F.col("t")).cast("double").alias("n"), money.currency(F.col("t")).alias("c")).first()
+    top = money.largest(money.amounts(F.col("t")))
+    row = spark.createDataFrame([(text,)], "t string").select(top["value"].cast("double").alias("n"), money.currency(top["text"]).alias("c")).first()
     assert (row["n"], row["c"]) == (value, currency)
 
 
+def test_penalties_are_compared_in_one_currency(spark):
+    rows = spark.createDataFrame([("a", "€9 million or $10k"), ("b", "$2 million per breach"), ("c", "12 months"), ("d", None)],
+                                 "contract_id string, penalty_max_amount string")
+    assert values(pl.penalty_over(rows, 50_000), "contract_id") == [("b",)]
+    assert values(pl.penalty_over(rows, 50_000, "EUR"), "contract_id") == [("a",)]
+
+
+def test_empty_text_has_no_tokens(spark):
+    row = spark.createDataFrame([("", "a b\nc")], "x string, y string").select(tx.token_count(F.col("x")), tx.token_count(F.col("y"))).first()
+    assert tuple(row) == (0, 3)
+
+
 def test_token_overlap(spark):
     rows = spark.createDataFrame([(1, "a b", "a c"), (2, "a", ""), (3, None, "x"), (4, "A b c", "a b")], "i int, predicted string, gold string")
     assert sorted(values(pl.token_overlap(rows))) == [(1, 0.5, False), (2, 0.0, False), (3, 0.0, False), (4, 1.0, True)]

@@ -63,7 +63,7 @@ SELECT side, p.contract_id, round(p.overall, 6) AS overall, coalesce(string_agg(
 UNION ALL SELECT side, p.contract_id, round(p.overall, 6), coalesce(string_agg(s.field, ',' ORDER BY s.field), '') FROM high p
   LEFT JOIN scores s ON s.contract_id = p.contract_id AND s.score >= 0.8 GROUP BY ALL""")
 def eval_extremes(spark, sf):
-    return ev.eval_extremes(_scored(spark, sf)).withColumn("overall", F.round("overall", 6))
+    return ev.eval_extremes(_scored(spark, sf), 3).withColumn("overall", F.round("overall", 6))
 
 
 @query("score_histogram", f"""WITH {o.SCORES}, levels AS (SELECT * FROM (VALUES (1.0, '1.0'), (0.8, '0.8'), (0.6, '0.6'), (0.4, '0.4'), (0.0, '0.0'), (NULL, 'null')) l(v, name))
@@ -72,20 +72,38 @@ def score_histogram(spark, sf):
     return ev.score_histogram(_scored(spark, sf))
 
 
-@query("near_misses", f"""WITH {o.SCORES}
+def _near_sql(cut: str, first: str) -> str:
+    return f"""WITH {o.SCORES}
 SELECT s.contract_id, field, contains(src_ws, regexp_replace(trim(lower(substring(value, 1, 80))), '\\s+', ' ', 'g')) AS ws_match,
-       substring(trim(lower(substring(value, 1, 80))), 1, 50) AS snippet
-FROM scores s JOIN sourced USING (contract_id) WHERE score = 0.6 AND value <> '' ORDER BY s.contract_id, field LIMIT 10""")
+       {cut.format("trim(lower(substring(value, 1, 80)))")} AS snippet
+FROM scores s JOIN sourced USING (contract_id) WHERE score = 0.6 AND value <> '' {first}"""
+
+
+@query("near_misses", _near_sql("{}", ""))
 def near_misses(spark, sf):
     return ev.near_misses(_scored(spark, sf))
 
 
-@query("unverifiable", f"""WITH {o.SCORES} SELECT contract_id, field, substring(value, 1, 60) AS snippet FROM scores
-WHERE score = 0.4 AND value <> '' ORDER BY contract_id, field LIMIT 8""")
+@query("near_misses_first", _near_sql("substring({}, 1, 50)", "ORDER BY s.contract_id, field LIMIT 10"))
+def near_misses_first(spark, sf):
+    """The top of the list, cut for display."""
+    return ev.near_misses(_scored(spark, sf), 10, 50)
+
+
+def _unverifiable_sql(snippet: str, first: str) -> str:
+    return f"WITH {o.SCORES} SELECT contract_id, field, {snippet} AS snippet FROM scores WHERE score = 0.4 AND value <> '' {first}"
+
+
+@query("unverifiable", _unverifiable_sql("value", ""))
 def unverifiable(spark, sf):
     return ev.unverifiable(_scored(spark, sf))
 
 
+@query("unverifiable_first", _unverifiable_sql("substring(value, 1, 60)", "ORDER BY contract_id, field LIMIT 8"))
+def unverifiable_first(spark, sf):
+    return ev.unverifiable(_scored(spark, sf), 8, 60)
+
+
 @query("missed_by_field", f"WITH {o.SCORES} SELECT field, count(*) AS n_missed FROM scores WHERE score = 0 GROUP BY field")
 def missed_by_field(spark, sf):
     return ev.missed_by_field(_scored(spark, sf))
@@ -145,3 +163,21 @@ def stream_ingest(spark, sf):
     for _ in range(2):
         ingest.ingest_new_files(spark, sf, schema, to_results, table, checkpoint, pattern="documents.parquet")
     return rs.read_latest(spark, table, fx.FIELDS).select("contract_id", "status", "tokens_used")
+
+
+@query("ingest_into_existing", f"WITH {o.RESULTS} SELECT contract_id, status, tokens_used FROM results")
+def ingest_into_existing(spark, sf):
+    """A stored batch with number 0, then two streams with checkpoints of their own: nobody's rows are lost."""
+    table = session.new_folder(spark, "existing")
+    schema = fx.read(spark, sf, "documents").schema
+    rs.append_batch(fx.results(spark, sf).where(F.col("contract_id").cast("long") % 2 == 0), table, "stored", 0)
+
+    def to_results(part):
+        def convert(batch):
+            docs = batch.where(F.col("doc_id") % 4 == part).select(F.col("doc_id").cast("string").alias("contract_id"), "text", "doc_id")
+            return rp.result_rows(fx.respond(ct.ready(docs)), fx.FIELDS)
+        return convert
+
+    for part in (1, 3):
+        ingest.ingest_new_files(spark, sf, schema, to_results(part), table, session.new_folder(spark, "checkpoint"), pattern="documents.parquet")
+    return rs.read_latest(spark, table, fx.FIELDS).select("contract_id", "status", "tokens_used")

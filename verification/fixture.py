@@ -96,6 +96,13 @@ def contract_like(spark: SparkSession, sf: str) -> DataFrame:
     return tx.computed_once(docs, joined=text).select("contract_id", F.col("joined").alias("clean_text"))
 
 
+def _amounts(doc):
+    """Ways to state an amount."""
+    written = (("$", doc * 100, ""), ("up to $", doc, ".5k in total"), ("", doc * 10, " USD for each case"), ("€", doc, " million"),
+               ("after 12 months of fees, at most $", doc, ",000"))
+    return [F.concat(F.lit(before), number.cast("string"), F.lit(after)) for before, number, after in written]
+
+
 def respond(docs: DataFrame) -> DataFrame:
     """One response per cleaned document."""
     doc, clean = F.col("doc_id"), F.col("clean_text")
@@ -109,7 +116,7 @@ def respond(docs: DataFrame) -> DataFrame:
         .when(doc % 3 == 1, F.concat(F.lit("zzz-"), doc.cast("string"))).alias("invented"),
         F.when(doc % 2 == 0, license_line).alias("license_line"),
         F.when(doc % 4 == 0, True).when(doc % 4 == 1, False).alias("has_flag"),
-        F.when(doc % 10 == 0, F.concat(F.lit("$"), (doc * 100).cast("string"))).alias("max_amount"),
+        F.when(doc % 10 == 0, F.element_at(F.array(*_amounts(doc)), (doc / 10).cast("int") % 5 + 1)).alias("max_amount"),
     )
     built = tx.computed_once(docs, js=F.to_json(values, {"ignoreNullFields": "false"}))
     js = F.col("js")

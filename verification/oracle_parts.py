@@ -136,7 +136,9 @@ responses AS MATERIALIZED (
           'license_line': CASE WHEN doc_id % 2 = 0 THEN nullif(regexp_extract(clean_text,
                 '(?i)[^.!?\n]*(?:released|licensed) under[^.!?\n]*'), '') END,
           'has_flag': CASE WHEN doc_id % 4 = 0 THEN true WHEN doc_id % 4 = 1 THEN false END,
-          'max_amount': CASE WHEN doc_id % 10 = 0 THEN '$' || (doc_id * 100) END}) AS VARCHAR) AS js FROM ready))"""
+          'max_amount': CASE WHEN doc_id % 10 = 0 THEN CASE (doc_id // 10) % 5 WHEN 0 THEN '$' || (doc_id * 100)
+                WHEN 1 THEN 'up to $' || doc_id || '.5k in total' WHEN 2 THEN (doc_id * 10) || ' USD for each case' WHEN 3 THEN '€' || doc_id || ' million'
+                ELSE 'after 12 months of fees, at most $' || doc_id || ',000' END END}) AS VARCHAR) AS js FROM ready))"""
 
 PARSED = RESPONSES + r""",
 bodies AS (

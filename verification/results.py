@@ -70,10 +70,11 @@ SELECT contract_id, status, CASE WHEN doc_id % 4 = 0 AND status <> 'failed' THEN
        CASE WHEN doc_id % 4 = 0 THEN created_at + INTERVAL 1 DAY ELSE created_at END AS created_at FROM results""")
 def upsert_latest(spark, sf):
     """A second batch that also repeats the first one's rows: older versions inside a batch lose."""
-    again = fx.second_batch(spark, sf).withColumn("seq", F.lit(2))
-    repeated = fx.responses(spark, sf).where(F.col("doc_id") % 4 == 0).withColumn("seq", F.lit(1))
-    both = again.unionByName(repeated)
-    new = rp.result_rows(both, fx.FIELDS).withColumn("seq", F.lit(0))
+    again = fx.second_batch(spark, sf)
+    outdated = fx.responses(spark, sf).where(F.col("doc_id") % 4 == 0)
+    same_time = again.withColumn("tokens_used", F.col("tokens_used") + 7)  # written before ``again``: only the sequence tells
+    batches = [rp.result_rows(rows, fx.FIELDS).withColumn("seq", F.lit(i)) for i, rows in ((3, outdated), (1, same_time), (2, again))]
+    new = batches[0].unionByName(batches[1]).unionByName(batches[2])
     merged = rs.upsert(fx.results(spark, sf), new, "seq")
     return merged.select("contract_id", "status", "tokens_used", "created_at")
 
@@ -84,10 +85,10 @@ def result_table(spark, sf):
     """Two batches written to a stored table, the second one twice; read back as the latest rows."""
     path = session.new_folder(spark, "results")
     rs.create(spark, path, fx.FIELDS)
-    rs.append_batch(fx.results(spark, sf), path, 0)
+    rs.append_batch(fx.results(spark, sf), path, "first", 0)
     second = rp.result_rows(fx.second_batch(spark, sf), fx.FIELDS)
-    rs.append_batch(second, path, 1)
-    rs.append_batch(second, path, 1)
+    rs.append_batch(second, path, "second", 0)
+    rs.append_batch(second, path, "second", 0)
     return rs.read_latest(spark, path, fx.FIELDS).select("contract_id", "status", "tokens_used")
 
 
@@ -96,7 +97,7 @@ def result_schema_query(spark, sf):
     """The derived results, written under the declared schema of the full table."""
     path = session.new_folder(spark, "schema")
     rs.reset(spark, path)
-    rs.append_batch(fx.sla_results(spark, sf), path, 0)
+    rs.append_batch(fx.sla_results(spark, sf), path, "all", 0)
     stored = rs.read_latest(spark, path)
     n_columns = len([c for c in stored.columns if c in result_schema().names])
     return stored.agg(F.count(F.lit(1)).alias("n_rows")).withColumn("n_columns", F.lit(n_columns))
@@ -209,11 +210,13 @@ def presence_filters(spark, sf):
 
 @query("next_candidates", f"""WITH {o.RESULTS} SELECT contract_id FROM docs WHERE contract_id NOT IN (SELECT contract_id FROM results) ORDER BY contract_id LIMIT 3""")
 def next_candidates(spark, sf):
-    return ins.next_candidates(fx.contracts(spark, sf), fx.results(spark, sf))
+    return ins.next_candidates(fx.contracts(spark, sf), fx.results(spark, sf), 3)
 
 
 @query("penalty_over", f"""WITH {o.SLA} SELECT contract_id, penalty_max_amount, amount FROM (SELECT contract_id, penalty_max_amount,
-  CAST(replace(regexp_extract(penalty_max_amount, '[0-9][0-9,]*'), ',', '') AS DOUBLE) AS amount FROM sla WHERE penalty_max_amount IS NOT NULL) WHERE amount > 30000""")
+  CASE (contract_id::BIGINT // 10) % 5 WHEN 0 THEN contract_id::BIGINT * 100 WHEN 1 THEN contract_id::BIGINT * 1000 + 500
+       WHEN 2 THEN contract_id::BIGINT * 10 WHEN 4 THEN contract_id::BIGINT * 1000 END::DOUBLE AS amount
+  FROM sla WHERE penalty_max_amount IS NOT NULL) WHERE amount > 30000""")
 def penalty_over(spark, sf):
     return pl.penalty_over(fx.sla_results(spark, sf), 30000).withColumn("amount", F.col("amount").cast("double"))
 
@@ -321,12 +324,15 @@ def recent_rate(spark, sf):
     return _sixed(st.recent_rate(fx.sla_results(spark, sf), corpus_size=_SIZE), "rate_per_sec", "eta_sec")
 
 
+_PRICES = {"ours": ("0.40", "0.90"), "theirs": ("2.00", "6.50")}  # any table of input and output prices
+
+
 @query("provider_cost", f"""WITH {o.SLA}, u AS (SELECT count(*) AS n, sum(tokens_used - tokens_used // 4) AS i, sum(tokens_used // 4) AS o FROM sla),
-c AS (SELECT provider, n, (i * pi + o * po) / 1000000 AS cost, (i * 0.27 + o * 1.10) / 1000000 AS base FROM u,
-  (VALUES ('baseline', 0.27, 1.10), ('small', 0.15, 0.60), ('large', 2.50, 10.00), ('premium', 3.00, 15.00), ('top', 15.00, 75.00)) p(provider, pi, po))
+c AS (SELECT provider, n, (i * pi + o * po) / 1000000 AS cost, (i * 0.40 + o * 0.90) / 1000000 AS base FROM u,
+  (VALUES ('ours', 0.40, 0.90), ('theirs', 2.00, 6.50)) p(provider, pi, po))
 SELECT provider, round(CAST(cost AS DOUBLE), 6) AS cost, round(CAST(cost AS DOUBLE) / CAST(base AS DOUBLE), 6) AS multiplier,
        round(CAST(cost AS DOUBLE) * 10000 / n, 6) AS scaled_cost FROM c""")
 def provider_cost(spark, sf):
     output = F.floor(F.col("tokens_used") / 4).cast("long")
     usage = fx.sla_results(spark, sf).select((F.col("tokens_used") - output).alias("input_tokens"), output.alias("output_tokens"))
-    return pl.provider_cost(usage, 10_000)
+    return pl.provider_cost(usage, 10_000, _PRICES, "ours")

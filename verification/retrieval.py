@@ -14,7 +14,6 @@ from clauseloom.plans import batch
 from clauseloom.plans import planned as pl
 from clauseloom import fixed_values as fv
 from clauseloom.functions import text as tx
-from clauseloom.session import broadcast_if_small
 from clauseloom.fields import SLA_FIELDS, TEXT
 from clauseloom.operators import scoring as sc
 
@@ -112,13 +111,13 @@ def query_recall(spark, sf):
 
     wanted = spread(queries, tx.clean_text(F.col("query_text")), "query_idx")
     held = spread(chunks, F.col("chunk_text"), "contract_id", "chunk_idx")
-    relevant = held.join(broadcast_if_small(wanted), "sentence").select("contract_id", "query_idx", "chunk_idx").distinct()
+    relevant = held.join(wanted, "sentence").select("contract_id", "query_idx", "chunk_idx").distinct()
     return rt.query_group_hits(rt.rank_chunks(chunks, queries, K), queries, relevant)
 
 
 @query("chunk_cap", f"{_TOP}{o.seen(K)} SELECT contract_id, seen, position FROM (SELECT contract_id, seen, row_number() OVER (PARTITION BY contract_id ORDER BY seen) AS position FROM seen) WHERE position <= 25")
 def chunk_cap(spark, sf):
-    return pl.chunk_cap(_seen(spark, sf)).select("contract_id", "seen", "position")
+    return pl.chunk_cap(_seen(spark, sf), 25).select("contract_id", "seen", "position")
 
 
 _TEMPLATE = "Fill in {{\"clause\": null}} from:\n{context}\nJSON only."
@@ -222,29 +221,22 @@ def sla_field_scores(spark, sf):
     return sc.field_scores(scored).select("contract_id", "field", "score")
 
 
-_MARK = r"(?:\$|£|€|USD|GBP|EUR|CAD|AUD) ?[0-9][0-9,]*(?:\.[0-9]+)?(?: ?(?:million|thousand|M|K)\b)?"
-
-
 @query("monetary_summary", f"""WITH {o.READY},
-clauses AS (SELECT contract_id, list_filter([
-    CASE WHEN doc_id % 3 = 0 THEN 'A fee of $' || (doc_id * 100) || '.50, or USD 2 million for ' || substring(clean_text, 1, 40) END,
-    CASE WHEN doc_id % 4 = 0 THEN 'Interest of 1.5% per month: ' || substring(clean_text, 1, 60) END,
-    CASE WHEN doc_id % 5 = 0 THEN 'A service credit of 10% of the fee' END], lambda c: c IS NOT NULL) AS cs FROM ready),
-amounts AS (SELECT contract_id, cs, list_sort(list_transform(regexp_extract_all(array_to_string(cs, chr(10)), '{_MARK}'), lambda a: {{
-    'v': CAST(replace(regexp_extract(a, '[0-9][0-9,]*(?:\\.[0-9]+)?'), ',', '') AS DOUBLE)
-         * CASE regexp_extract(a, '(million|thousand|M|K)$') WHEN 'million' THEN 1000000 WHEN 'M' THEN 1000000 WHEN 'thousand' THEN 1000 WHEN 'K' THEN 1000 ELSE 1 END,
-    't': a}}), 'DESC')[1] AS top FROM clauses)
-SELECT contract_id, CASE WHEN len(cs) > 0 THEN top IS NOT NULL OR len(list_filter(cs, lambda c: regexp_matches(c, '[0-9]+(?:\\.[0-9]+)? ?%') AND NOT contains(lower(c), 'credit'))) > 0 END AS penalty_has_monetary,
-       top.t AS penalty_max_amount, top.v AS max_amount_value,
-       CASE WHEN starts_with(top.t, '$') OR starts_with(top.t, 'USD') THEN 'USD' END AS penalty_currency FROM amounts""")
+clauses AS (SELECT contract_id, doc_id, list_filter([
+    CASE WHEN doc_id % 3 = 0 THEN 'A fee of $' || (doc_id * 100) || '.50, or USD 2 million for ' || clean_text END,
+    CASE WHEN doc_id % 4 = 0 THEN 'Interest of 1.5% per month: ' || clean_text END,
+    CASE WHEN doc_id % 5 = 0 THEN 'A service credit of 10% of the fee' END], lambda c: c IS NOT NULL) AS cs FROM ready)
+SELECT contract_id, CASE WHEN len(cs) > 0 THEN doc_id % 3 = 0 OR len(list_filter(cs, lambda c: regexp_matches(c, '[0-9]+(?:\\.[0-9]+)? ?%') AND NOT contains(lower(c), 'credit'))) > 0 END AS penalty_has_monetary,
+       CASE WHEN doc_id % 3 = 0 THEN CASE WHEN doc_id * 100 + 0.5 > 2000000 THEN '$' || (doc_id * 100) || '.50' ELSE 'USD 2 million' END END AS penalty_max_amount,
+       CASE WHEN doc_id % 3 = 0 THEN greatest(doc_id * 100 + 0.5, 2000000) END::DOUBLE AS max_amount_value,
+       CASE WHEN doc_id % 3 = 0 THEN 'USD' END AS penalty_currency FROM clauses""")
 def monetary_summary(spark, sf):
     """Penalty clauses built from each text: amounts in three forms, percentages, credits, none."""
     doc, clean = F.col("doc_id"), F.col("clean_text")
     rows = fx.ready(spark, sf).select(
         "contract_id",
-        F.when(doc % 3 == 0, F.concat(F.lit("A fee of $"), (doc * 100).cast("string"), F.lit(".50, or USD 2 million for "),
-                                      F.substring(clean, 1, 40))).alias("penalty_termination_fee"),
-        F.when(doc % 4 == 0, F.concat(F.lit("Interest of 1.5% per month: "), F.substring(clean, 1, 60))).alias("penalty_late_payment"),
+        F.when(doc % 3 == 0, F.concat(F.lit("A fee of $"), (doc * 100).cast("string"), F.lit(".50, or USD 2 million for "), clean)).alias("penalty_termination_fee"),
+        F.when(doc % 4 == 0, F.concat(F.lit("Interest of 1.5% per month: "), clean)).alias("penalty_late_payment"),
         F.when(doc % 5 == 0, "A service credit of 10% of the fee").alias("penalty_uptime_breach"))
     summary = ex.monetary_summary(rows, ["penalty_termination_fee", "penalty_late_payment", "penalty_uptime_breach"])
     return summary.withColumn("max_amount_value", F.col("max_amount_value").cast("double"))

@@ -45,15 +45,26 @@ def page_assembly(spark, sf):
     return ct.assemble_pages(turns, "conv_id", "turn", "text")
 
 
-@query("corpus_listing", r"""
+_LISTING = r"""
 SELECT regexp_replace(regexp_extract(path, '([^/]+)/*$', 1), '(.)\.[^.]*$', '\1') AS contract_id, path, ext_rank
 FROM (SELECT path, CASE regexp_extract(path, '\.([^./]+)$', 1) WHEN 'txt' THEN 0 WHEN 'pdf' THEN 1 END AS ext_rank
       FROM (SELECT url || CASE page_id % 3 WHEN 0 THEN '.txt' WHEN 1 THEN '.pdf' ELSE '.html' END AS path FROM pages))
-WHERE ext_rank IS NOT NULL ORDER BY ext_rank, path LIMIT 100""")
-def corpus_listing(spark, sf):
+WHERE ext_rank IS NOT NULL ORDER BY ext_rank, path"""
+
+
+def _paths(spark, sf):
     suffix = F.when(F.col("page_id") % 3 == 0, ".txt").when(F.col("page_id") % 3 == 1, ".pdf").otherwise(".html")
-    paths = fx.read(spark, sf, "pages").select(F.concat("url", suffix).alias("path"))
-    return ct.corpus_listing(paths, 100)
+    return fx.read(spark, sf, "pages").select(F.concat("url", suffix).alias("path"))
+
+
+@query("corpus_listing", _LISTING)
+def corpus_listing(spark, sf):
+    return ct.corpus_listing(_paths(spark, sf))
+
+
+@query("corpus_listing_first", _LISTING + " LIMIT 100")
+def corpus_listing_first(spark, sf):
+    return ct.corpus_listing(_paths(spark, sf), 100)
 
 
 @query("dataset_scan", """
@@ -196,14 +207,15 @@ def doc_route(spark, sf):
 
 
 @query("token_overlap", f"""WITH {o.READY},
-words AS (SELECT contract_id, list_distinct(list_filter(regexp_split_to_array(lower(substring(clean_text, 1, 400)), '\\s+'), lambda w: w <> '')) AS p,
-                 list_distinct(list_filter(regexp_split_to_array(lower(substring(clean_text, 201, 600)), '\\s+'), lambda w: w <> '')) AS g FROM ready),
-shares AS (SELECT contract_id, CASE WHEN len(p) = 0 OR len(g) = 0 THEN 0.0 ELSE len(list_intersect(p, g))::DOUBLE / len(g) END AS share FROM words)
+words AS (SELECT contract_id, doc_id, list_distinct(list_filter(regexp_split_to_array(lower(clean_text), '\\s+'), lambda w: w <> '')) AS w FROM ready),
+shares AS (SELECT p.contract_id, CASE WHEN len(p.w) = 0 OR len(g.w) = 0 THEN 0.0 ELSE len(list_intersect(p.w, g.w))::DOUBLE / len(g.w) END AS share
+           FROM words p JOIN words g ON g.doc_id = p.doc_id + 1)
 SELECT contract_id, round(share, 3) AS score, share > 0.5 AS is_match FROM shares""")
 def token_overlap(spark, sf):
-    pairs = fx.ready(spark, sf).select("contract_id", F.substring("clean_text", 1, 400).alias("predicted"),
-                                       F.substring("clean_text", 201, 600).alias("gold"))
-    return pl.token_overlap(pairs)
+    """Each whole text against the one with the next number."""
+    docs = fx.ready(spark, sf)
+    gold = docs.select((F.col("doc_id") - 1).alias("doc_id"), F.col("clean_text").alias("gold"))
+    return pl.token_overlap(docs.select("contract_id", "doc_id", F.col("clean_text").alias("predicted")).join(gold, "doc_id").drop("doc_id"))
 
 
 @query("prf1", """WITH j AS (SELECT quality = 1 AS a, d.n_chars >= 1500 AS p FROM labels l JOIN documents d USING (doc_id)),

@@ -9,11 +9,12 @@ probability of about 2 in 100,000.
 
 Documents with equal sets are one class from the start, found by grouping 128-bit set fingerprints, and copies are never
 paired.  Inside an index entry not all pairs are formed either.  First every class meets one leader per entry, chosen
-by a hash of its own; confirmed links make components.  Then only entries that still hold several components are
-looked at: what is not in an entry's main component meets all others of that entry, so every pair that could still join two components
-is checked, and pairs inside a component, which cannot change the result, are left out.  In a group of many loose copies most such
-pairs fall short of the threshold; how the two differ from their leader bounds what they can share (``may_share_enough``),
-and ends the pair inside the join.
+by a hash of its own; confirmed links make components.  Entries that still hold several components meet their hub, the member with
+most links so far.  A member x that is not linked with its hub h can be linked with another member y only where both differ from h
+alike, in a number of elements that follows from the sizes (``may_share_enough``).  So the members meet on what they differ in: each
+enters the rarest of its elements, as many as suffice that a pair with the number to share has one in common, and a bitmap ends pairs
+inside the join that cannot share enough.  Every pair that could still join two components is checked on its full sets; pairs
+inside a component, which cannot change the result, are left out.
 
 Null or empty texts, and those without words: no shingles, linked with nothing.  Texts shorter than a shingle: the whole
 sequence is one.  Rows that repeat an id count as one document for links.  Extra columns are ignored; no rows give no rows.
@@ -25,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clauseloom.session import written
@@ -35,6 +36,7 @@ from .words import by_bytes, distinct, hash_words, mix, shingles, text_bytes
 CHUNKS, SYMBOLS, BITS = 10, 4, 15
 ALLOWED = 2 * CHUNKS - 1
 SIGNATURE = [f"s{i}" for i in range(CHUNKS)]
+MAX_BROADCAST = 1_000_000  # ids of 8 bytes
 DIFFERENCE = 1024  # bits of the map of what a set does not share with its leader's
 DIFFERING = [f"d{i}" for i in range(DIFFERENCE // 64)]
 _LANE = (1 << BITS) - 1
@@ -110,8 +112,10 @@ def within_size(a: str, b: str, threshold: int) -> Column:
 
 
 def compared(pairs: DataFrame, docs: DataFrame, size: int) -> DataFrame:
-    """The pairs (a, b) with common, only_a, only_b (set sizes) and a bitmap of what only one of them has (``DIFFERENCE``)."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    """The pairs (a, b) with common, only_a, only_b (set sizes), what only one of them has (``apart``) and a bitmap of it."""
+    wanted = written(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "compared-ids")
+    if wanted.count() <= MAX_BROADCAST:  # spares moving all texts; beyond the bound they are shuffled
+        wanted = F.broadcast(wanted)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, "doc_id", "left_semi")
     sets = written(full_sets(texts, size), "shingle-sets")
 
@@ -123,17 +127,20 @@ def compared(pairs: DataFrame, docs: DataFrame, size: int) -> DataFrame:
                 sides.append((lists.values.to_numpy().view(np.uint64), lists.offsets.to_numpy()))
             counts = np.zeros((3, len(batch)), np.int64)
             maps = np.zeros((len(batch), DIFFERENCE), bool)
+            apart = []
             for i in range(len(batch)):
                 x, y = (values[ends[i]:ends[i + 1]] for values, ends in sides)
                 differ = np.setxor1d(x, y, assume_unique=True)
                 common = (len(x) + len(y) - len(differ)) // 2
                 counts[:, i] = common, len(x) - common, len(y) - common
                 maps[i, differ & np.uint64(DIFFERENCE - 1)] = True
+                apart.append(differ.view(np.int64))
             longs = np.packbits(maps, axis=1, bitorder="little").view("<i8")
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), *map(pa.array, counts), *map(pa.array, longs.T)],
-                                             names=["a", "b", "common", "only_a", "only_b", *DIFFERING])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("a"), batch.column("b"), *map(pa.array, counts), *map(pa.array, longs.T), pa.array(apart, pa.list_(pa.int64()))],
+                names=["a", "b", "common", "only_a", "only_b", *DIFFERING, "apart"])
 
-    kind = "a long, b long, common long, only_a long, only_b long, " + ", ".join(f"{d} long" for d in DIFFERING)
+    kind = "a long, b long, common long, only_a long, only_b long, " + ", ".join(f"{d} long" for d in DIFFERING) + ", apart array<long>"
     joined = pairs.join(sets.toDF("a", "left"), "a").join(sets.toDF("b", "right"), "b")
     return joined.select("a", "b", "left", "right").mapInArrow(compare, kind)
 
@@ -181,20 +188,31 @@ def components(edges: DataFrame) -> DataFrame:
     return labels
 
 
-def _from_leaders(stars: DataFrame) -> DataFrame:
-    """node, leader, leader_size, lacks, adds, hidden and the bitmap, for both directions of each compared pair.
+def _from_hubs(spokes: DataFrame, members: DataFrame) -> DataFrame:
+    """Members (node, hub, ...) with leader_size, lacks, adds, hidden, the bitmap and apart, and an own number ``uid``.
 
-    Where an id stands for several texts there is no single difference, and none is given.
+    An id that stands for several texts gives a row for each.
     """
     ways = []
-    for node, leader in ("ab", "ba"):
-        lacks, adds = F.col(f"only_{leader}"), F.col(f"only_{node}")
+    for node, hub in ("ab", "ba"):
+        lacks, adds = F.col(f"only_{hub}"), F.col(f"only_{node}")
         bits = sum((F.bit_count(d) for d in DIFFERING), F.lit(0))
-        ways.append(stars.select(F.col(node).alias("node"), F.col(leader).alias("leader"), (F.col("common") + lacks).alias("leader_size"),
-                                 lacks.alias("lacks"), adds.alias("adds"), (lacks + adds - bits).alias("hidden"), *DIFFERING))
-    both = ways[0].unionByName(ways[1])
-    values = ["leader_size", "lacks", "adds", "hidden", *DIFFERING]
-    return both.groupBy("node", "leader").agg(*[F.when(F.count("*") == 1, F.first(v)).alias(v) for v in values])
+        ways.append(spokes.select(F.col(node).alias("node"), F.col(hub).alias("hub"), (F.col("common") + lacks).alias("leader_size"),
+                                  lacks.alias("lacks"), adds.alias("adds"), (lacks + adds - bits).alias("hidden"), *DIFFERING, "apart"))
+    joined = members.join(ways[0].unionByName(ways[1]), ["node", "hub"])
+    return written(joined.withColumn("uid", F.monotonically_increasing_id()), "members")
+
+
+def _rarest(members: DataFrame, often: DataFrame, needed: Column, *kept: str) -> DataFrame:
+    """For each member the elements of ``apart`` of which it must share one, so as to share ``needed`` of them: the rarest.
+
+    The order by frequency among all members of a hub (``often``), then by value, is the same for all.
+    """
+    spread = members.select("hub", "uid", F.explode("apart").alias("element"))
+    order = Window.partitionBy("uid").orderBy("n", "element")
+    ranked = spread.join(often, ["hub", "element"]).withColumn("place", F.row_number().over(order))
+    limits = members.select("uid", (F.size("apart") - F.greatest(needed, F.lit(1)) + 1).alias("most"), *kept)
+    return ranked.select("hub", "uid", "element", "place").join(limits, "uid").where("place <= most").drop("place", "most")
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, threshold: int = 80) -> DataFrame:
@@ -215,24 +233,38 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: int = 80) -> Data
     a, b = classes.alias("a"), classes.alias("b")
     near = met.alias("p").join(a, F.col("p.a") == F.col("a.node")).join(b, F.col("p.b") == F.col("b.node"))
     near = near.where(within_size("a", "b", threshold) & (differing_symbols("a", "b") <= ALLOWED)).select("p.a", "p.b")
-    stars = written(compared(written(near, "pairs"), docs, size), "stars")
-    first = linked(stars, threshold)
+    stars = compared(written(near, "pairs"), docs, size)
+    first = written(linked(stars, threshold), "links")
     found = components(first)
 
-    # entries that still hold several components: all but an entry's main component meet the rest of the entry
-    placed = entries.join(found, "node", "left").select("key", "node", "leader", F.coalesce("component", "node").alias("component"))
-    shares = placed.groupBy("key", "component").agg(F.count("*").alias("n"))
-    mixed = shares.groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.count("*").alias("n")).where("n > 1")
-    still = placed.join(mixed.select("key", "main"), "key").join(classes.drop("f1", "f2"), "node")
-    still = written(still.join(_from_leaders(stars), ["node", "leader"], "left"), "mixed-entries")
-    x, y = still.where("component <> main").alias("x"), still.alias("y")
-    late = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.component") != F.col("y.component"))
-                  & ((F.col("y.component") == F.col("y.main")) | (F.col("x.node") < F.col("y.node")))
-                  & (F.col("x.node") != F.col("x.leader")) & (F.col("y.node") != F.col("y.leader"))  # compared before
-                  & within_size("x", "y", threshold) & (differing_symbols("x", "y") <= ALLOWED) & may_share_enough("x", "y", threshold))
+    # entries that still hold several components meet their hub, the node with most links so far
+    placed = entries.join(found, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
+    links = first.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("links"))
+    several = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key")
+    open_ = written(placed.join(several, "key").join(links, "node", "left"), "open-entries")
+    hubs = open_.groupBy("key").agg(F.max_by(F.struct("node", "component"), F.struct(F.coalesce("links", F.lit(0)), "node")).alias("hub"))
+    open_ = open_.join(hubs, "key").select("key", "node", "component", F.col("hub.node").alias("hub"), F.col("hub.component").alias("hub_component"))
+    met = open_.where("node <> hub").select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
+    spokes = written(compared(written(met, "pairs"), docs, size), "spokes")
+    second = linked(spokes, threshold)
+
+    # then the members that are not in their hub's component meet all members of that hub, where it does not rule a link out
+    members = _from_hubs(spokes, open_.select("node", "hub", "component", "hub_component").distinct())
+    near_hub = 100 * (F.col("leader_size") - F.col("lacks")) >= threshold * (F.col("leader_size") + F.col("adds"))
+    members = members.withColumn("component", F.when(near_hub, F.col("hub_component")).otherwise(F.col("component")))
+    # of a link, shared differences >= (m_x + t p_x + m_y + t p_y - (1 - t) h) / (1 + t); the hub is no link of x: m_x + t p_x > (1 - t) h
+    weight, spare = 100 * F.col("lacks") + threshold * F.col("adds"), (100 - threshold) * F.col("leader_size")
+    attributes = ("node", "component", "hub_component", "leader_size", "lacks", "adds", "hidden", *DIFFERING)
+    upwards = lambda number, by: F.floor((number + (by - 1)) / by)  # noqa: E731  a quotient of whole numbers, never rounded too high
+    outside = members.where("component <> hub_component")
+    often = members.select("hub", F.explode("apart").alias("element")).groupBy("hub", "element").agg(F.count("*").alias("n"))
+    x = _rarest(outside, often, upwards(weight - spare, 100), *attributes).alias("x")
+    y = _rarest(members, often, upwards(weight, 100 + threshold), *attributes).alias("y")
+    late = x.join(y, (F.col("x.hub") == F.col("y.hub")) & (F.col("x.element") == F.col("y.element")) & (F.col("x.component") != F.col("y.component"))
+                  & ((F.col("y.component") == F.col("y.hub_component")) | (F.col("x.node") < F.col("y.node"))) & may_share_enough("x", "y", threshold))
     late = late.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
-    second = linked(compared(written(late, "late-pairs"), docs, size), threshold)
-    groups = components(first.union(second))
+    third = linked(compared(written(late, "late-pairs"), docs, size), threshold)
+    groups = components(first.union(second).union(third))
 
     grouped = classes.select(*print_, "node").join(groups, "node", "left").select(*print_, F.coalesce("component", "node").alias("component_id"))
     rows = signed.select("doc_id", *print_).join(grouped, print_, "left")

@@ -15,9 +15,10 @@ from ..functions import text as tx
 from . import weights as wt
 
 def default_queries(spark: SparkSession) -> DataFrame:
+    """The built-in queries, as literals: Spark knows their size, so whether they are broadcast is its own choice."""
     rows = [(group, text) for group, texts in fv.QUERIES.items() for text in texts]
-    return spark.createDataFrame([(i, g, t) for i, (g, t) in enumerate(rows)],
-                                 "query_idx int, query_group string, query_text string")
+    literals = [F.struct(F.lit(i).alias("query_idx"), F.lit(g).alias("query_group"), F.lit(t).alias("query_text")) for i, (g, t) in enumerate(rows)]
+    return spark.range(1).select(F.inline(F.array(*literals)))
 
 
 def _similarities(chunks: DataFrame, queries: DataFrame, k: int) -> DataFrame:

@@ -278,25 +278,42 @@ def vector_topk(spark, sf):
     return ve.top_k_vectors(units.withColumn("group_id", F.col("label")), queries, 5).withColumn("similarity", F.round("similarity", 6))
 
 
-@query("vector_ann")
+_NEAR = f"""WITH {_UNIT},
+planes AS (SELECT i, b, (((i * 97 + b * 389 + 7) * (i * 97 + b * 389 + 7) * 31 + (i * 97 + b * 389 + 7) * 17) % 1009) / 504.5 - 1 AS p
+           FROM (SELECT unnest(range(64)) AS i) CROSS JOIN (SELECT unnest(range(256)) AS b)),
+vbits AS MATERIALIZED (SELECT vec_id, b, sum(x * p) > 0 AS s FROM (SELECT vec_id, unnest(unit) AS x, generate_subscripts(unit, 1) - 1 AS i FROM units)
+          JOIN planes USING (i) GROUP BY vec_id, b),
+qbits AS MATERIALIZED (SELECT label, b, sum(x * p) > 0 AS s FROM (SELECT label, unnest(unit) AS x, generate_subscripts(unit, 1) - 1 AS i FROM centres)
+          JOIN planes USING (i) GROUP BY label, b),
+candidates AS MATERIALIZED (SELECT q.label, v.vec_id FROM qbits q JOIN vbits v USING (b) GROUP BY q.label, v.vec_id HAVING count(*) FILTER (q.s <> v.s) <= 0.44 * 256),
+exact AS (SELECT c.label AS query_idx, u.vec_id, list_dot_product(u.unit, c.unit) AS similarity FROM units u CROSS JOIN centres c),
+near AS (SELECT query_idx, vec_id, similarity, row_number() OVER (PARTITION BY query_idx ORDER BY round(similarity, 9) DESC, vec_id) AS rank
+         FROM exact SEMI JOIN candidates ON candidates.label = query_idx AND candidates.vec_id = exact.vec_id QUALIFY rank <= 5)
+"""
+
+
+@query("vector_ann", _NEAR + "SELECT query_idx, vec_id, round(similarity, 6) AS similarity, rank FROM near")
 def vector_ann(spark, sf):
     """Hits of the approximate search for the label centres over all vectors."""
     units = _units(spark, sf)
-    near = ve.approximate_neighbours(units, _centres(units), 5, radius=1.2)
-    return near.withColumn("distance", F.round("distance", 6))
+    return ve.approximate_neighbours(units, _centres(units), 5).withColumn("similarity", F.round("similarity", 6))
 
 
-@query("vector_ann_recall")
+@query("vector_ann_recall", _NEAR + """SELECT (SELECT count(*) FROM candidates) AS n_candidates, (SELECT count(*) FROM exact) AS n_pairs, count(*) AS n_exact,
+       count(n.vec_id) AS n_found, count(n.vec_id) / count(*) AS recall
+FROM (SELECT * FROM exact QUALIFY row_number() OVER (PARTITION BY query_idx ORDER BY round(similarity, 9) DESC, vec_id) <= 5) e
+LEFT JOIN near n ON n.query_idx = e.query_idx AND n.vec_id = e.vec_id""")
 def vector_ann_recall(spark, sf):
     units = _units(spark, sf).withColumn("group_id", F.lit(0))
     queries = _centres(units).withColumn("group_id", F.lit(0))
-    return ve.neighbour_recall(ve.top_k_vectors(units, queries, 5), ve.approximate_neighbours(units, queries, 5, radius=1.2))
+    recall = ve.neighbour_recall(ve.top_k_vectors(units, queries, 5), ve.approximate_neighbours(units, queries, 5))
+    return recall.withColumns({"n_candidates": F.lit(ve.near_candidates(units, queries).count()), "n_pairs": F.lit(units.count() * queries.count())})
 
 
-@query("ml_tfidf")
+@query("ml_tfidf", f"""WITH RECURSIVE {_CHUNKS}, {o.WEIGHTS}, total AS (SELECT count(*) AS n FROM chunks),
+weighed AS (SELECT t.contract_id, t.chunk_idx, t.tf * ln((1.0 + n) / (1.0 + d.df)) AS weight FROM tf t
+            JOIN (SELECT term, count(*) AS df FROM tf GROUP BY term) d ON d.term = t.term CROSS JOIN total WHERE d.df < n)
+SELECT contract_id, chunk_idx, count(*) AS n_features, round(max(weight) / sqrt(sum(weight * weight)), 6) AS largest FROM weighed GROUP BY contract_id, chunk_idx""")
 def ml_tfidf(spark, sf):
-    from pyspark.ml.functions import vector_to_array
-
-    vectors = ve.corpus_vectors(_chunks(spark, sf).select("contract_id", "chunk_idx", "chunk_text"), features=1 << 10)
-    filled = F.filter(vector_to_array("vector"), lambda x: x != 0.0)
-    return vectors.select("contract_id", "chunk_idx", F.size(filled).alias("n_features"), F.round(F.array_max(filled), 6).alias("largest"))
+    vectors = ve.corpus_vectors(_chunks(spark, sf).select("contract_id", "chunk_idx", "chunk_text"))
+    return vectors.groupBy("contract_id", "chunk_idx").agg(F.count("*").alias("n_features"), F.round(F.max("weight"), 6).alias("largest"))

@@ -215,6 +215,13 @@ def _rarest(members: DataFrame, often: DataFrame, needed: Column, *kept: str) ->
     return ranked.select("hub", "uid", "element", "place").join(limits, "uid").where("place <= most").drop("place", "most")
 
 
+def _between(links: DataFrame, found: DataFrame) -> DataFrame:
+    """The links as pairs of components, where they join two."""
+    a, b = found.toDF("a", "component_a"), found.toDF("b", "component_b")
+    joined = links.join(a, "a", "left").join(b, "b", "left")
+    return joined.select(F.coalesce("component_a", "a").alias("a"), F.coalesce("component_b", "b").alias("b")).where("a <> b").distinct()
+
+
 def near_duplicates(docs: DataFrame, size: int = 5, threshold: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id, kept: one row per row of ``docs`` (doc_id, text).
 
@@ -264,7 +271,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: int = 80) -> Data
                   & ((F.col("y.component") == F.col("y.hub_component")) | (F.col("x.node") < F.col("y.node"))) & may_share_enough("x", "y", threshold))
     late = late.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
     third = linked(compared(written(late, "late-pairs"), docs, size), threshold)
-    groups = components(first.union(second).union(third))
+    groups = components(found.toDF("a", "b").union(_between(second.union(third), found)))
 
     grouped = classes.select(*print_, "node").join(groups, "node", "left").select(*print_, F.coalesce("component", "node").alias("component_id"))
     rows = signed.select("doc_id", *print_).join(grouped, print_, "left")

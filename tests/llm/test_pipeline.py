@@ -23,7 +23,7 @@ def stages(spark):
     leak = spark.read.parquet(f"{sf}/benchmark.parquet").orderBy("item_id").limit(2).select(
         (F.col("item_id") + 30_000).alias("doc_id"), F.concat(F.lit(good.first().text[:600] + "\n"), "text").alias("text"), F.lit("en").alias("lang"),
         F.lit("s").alias("source"), F.lit(1).cast("long").alias("n_chars"), F.lit("clash").alias("score"))
-    odd = spark.createDataFrame([(40_000, None, "en", "s", None, "clash"), (40_001, "", None, None, 0, None), (None, "no id", "en", "s", 5, "clash")], docs.schema)
+    odd = spark.createDataFrame([(40_000, None, "en", "s", None, "clash"), (40_001, "", None, None, 0, None), (None, "no id", "en", "s", 5, "clash")], "doc_id long, text string, lang string, source string, n_chars long, score string")
     found = [docs.unionByName(copies).unionByName(near).unionByName(leak).unionByName(odd)]
     for name, stage in cp.STAGES:
         found.append(cp.written(stage(spark, found[-1], sf), "stage"))

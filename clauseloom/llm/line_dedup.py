@@ -24,7 +24,8 @@ from pyspark.sql import functions as F
 from clauseloom.session import written
 
 EDITS, MIN_CHARS = 2, 40
-LETTERS = "eantiorhsdulcgm "  # sixteen counts of two bits share a number
+LETTERS = "eantiorhsdl "  # twelve counts of two bits share a number
+MORE_LETTERS = "abcdefghiklmnoprstuvwyz,. "  # counted in full once the texts of a pair are at hand
 MAX_BROADCAST = 500_000  # places of lines, five numbers each
 _WORD = r"[^\x20\x09-\x0D]"
 
@@ -193,7 +194,7 @@ def _at_end(last: Column, m: Column, n: Column, edits: int) -> Column:
 
 def links_of(docs: DataFrame, classes: DataFrame, edits: int, min_chars: int) -> DataFrame:
     """a, b: the places of the first occurrences of two lines within ``edits`` edits; ``classes`` is a written table."""
-    keyed = keyed_lines(_numbered(docs), edits, min_chars)
+    keyed = written(keyed_lines(_numbered(docs), edits, min_chars), "line-keys")  # once for both sides of the join
     index = keyed.select(F.explode("own").alias("key"), "h1", "letters").alias("i")
     probes = keyed.select(F.explode("others").alias("key"), "h1", "letters").where("key is not null").alias("p")
     met = probes.join(index, (F.col("p.key") == F.col("i.key")) & (F.col("p.h1") != F.col("i.h1"))
@@ -210,6 +211,9 @@ def links_of(docs: DataFrame, classes: DataFrame, edits: int, min_chars: int) ->
     both = both.where(F.col("line_a") != F.col("line_b")).select("place_a", "place_b", "line_a", "line_b")
     # written step by step: each step names its texts many times, and nested they would be worked out as often
     ends = ("place_a", "place_b")
+    counts = [F.octet_length(F.replace("line_a", F.lit(c), F.lit(""))) - F.octet_length("line_a") - F.octet_length(F.replace("line_b", F.lit(c), F.lit("")))
+              + F.octet_length("line_b") for c in MORE_LETTERS]
+    both = both.where(sum((F.abs(c) for c in counts), F.lit(0)) <= 2 * edits)  # an edit changes two counts by one at most
     cut = written(both.select(*ends, trimmed(F.col("line_a"), F.col("line_b")).alias("t")), "pairs-cut")
     cut = written(cut.select(*ends, trimmed(F.reverse("t.a"), F.reverse("t.b")).alias("t")), "pairs-cut")  # and from the ends
     close = cut.select(*ends, F.col("t.a").alias("x"), F.col("t.b").alias("y"))

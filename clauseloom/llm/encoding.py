@@ -23,7 +23,7 @@ LETTERS = frozenset("abcdefghijklmnopqrstuvwxyz")  # letters that normalisation
 
 SLICE_CHARS = 4_000_000  # texts worked on together; a longer text is a slice of its own
 MISSES_CHARS = 200_000  # characters encoded in one call
-CACHE_CHARS = 12_000_000  # characters of pieces kept by a worker before it starts afresh
+CACHE_CHARS = 32_000_000  # characters of pieces kept by a worker before it starts afresh
 
 _WORKER: dict[str, "PieceEncoder"] = {}
 

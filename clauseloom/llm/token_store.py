@@ -55,7 +55,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int =
     ordered = ordered.sortWithinPartitions(*keys, "text").withColumn("part", F.spark_partition_id())
     (ordered.mapInArrow(encode, STORED).write.option("orc.bloom.filter.columns", "doc_id").option("orc.bloom.filter.fpp", "0.01")
      .option("orc.create.index", "true").option("orc.row.index.stride", "2000").option("orc.stripe.size", str(STRIPE_BYTES))
-     .option("orc.dictionary.key.threshold", "0").option("compression", "zstd").orc(path))
+     .option("orc.dictionary.key.threshold", "0").option("compression", "snappy").orc(path))
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:

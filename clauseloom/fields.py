@@ -20,13 +20,14 @@ class Field:
     """One extracted field.
 
     ``kind`` is ``text`` (judged against the source), ``boolean`` (any value counts) or
-    ``presence`` (any non-empty value counts).
+    ``presence`` (any non-empty value counts).  ``guidance`` goes into the default prompt.
     """
 
     name: str
     kind: str = TEXT
     keywords: tuple[str, ...] = ()
     pattern: str = ""
+    guidance: str = ""  # what a reader of the contract should answer with
 
     @property
     def spark_type(self) -> T.DataType:
@@ -37,8 +38,30 @@ FieldConfig = tuple[Field, ...]
 
 _KINDS = {"penalty_has_monetary": BOOLEAN, "penalty_max_amount": PRESENCE, "penalty_currency": PRESENCE}
 
+_GUIDANCE = {
+    "uptime_guarantee": "the share of time the service is promised to be up",
+    "response_time_sla": "how fast the provider reacts, for each priority where they differ",
+    "sla_breach_threshold": "the level from which a remedy is owed",
+    "sla_measurement_period": "over what time and how the service level is worked out",
+    "penalty_uptime_breach": "what is credited or paid when the service is down too long, with the amount or how it is worked out",
+    "penalty_late_delivery": "what is owed for work or milestones that come late, with the amount",
+    "penalty_termination_fee": "what is owed when the contract is ended or cancelled before its term",
+    "penalty_late_payment": "interest or charges on invoices that are not paid in time",
+    "penalty_data_breach": "fines, liability or indemnity after a loss of data or a security incident",
+    "penalty_has_monetary": "true where some penalty is payable in cash, as an amount or as a part of fees; false where all that is owed is "
+                            "credit for later service; null where the contract has no penalty",
+    "penalty_max_amount": "the highest amount that any penalty names",
+    "penalty_currency": "the code of the currency of the penalties, not a quote",
+    "service_credit_cap": "the most credit that can be claimed",
+    "renewal_terms": "whether the contract goes on by itself, and by when it must be stopped",
+    "termination_clause": "on what grounds and with what notice a party may end the contract",
+    "liability_cap": "the most that a party can be liable for in all",
+    "governing_law": "the law that applies, and where",
+    "dispute_resolution": "how and where disputes are settled: by a court, an arbitrator or a mediator",
+}
+
 SLA_FIELDS: FieldConfig = tuple(
-    Field(name, _KINDS.get(name, TEXT), fv.KEYWORDS.get(name, ()), fv.PATTERNS.get(name, ""))
+    Field(name, _KINDS.get(name, TEXT), fv.KEYWORDS.get(name, ()), fv.PATTERNS.get(name, ""), _GUIDANCE[name])
     for name in fv.PERFORMANCE_FIELDS + fv.PENALTY_FIELDS + fv.MONETARY_FIELDS + fv.MECHANICS_FIELDS
 )
 

@@ -19,9 +19,12 @@ SYSTEM_MESSAGE = (
 
 
 def default_template(fields: FieldConfig = SLA_FIELDS) -> str:
-    """Template asking for every field of a configuration; literal braces are doubled."""
-    kinds = {True: "true, false or null", False: "exact quote or null"}
-    lines = ",\n".join(f'  "{f.name}": {kinds[f.kind == BOOLEAN]}' for f in fields)
+    """Template asking for every field of a configuration, with its guidance; literal braces are doubled."""
+    def asked(field) -> str:
+        kind = "true, false or null" if field.kind == BOOLEAN else "exact quote or null"
+        return f'  "{field.name}": {kind}' + (f" ({field.guidance})" if field.guidance else "")
+
+    lines = ",\n".join(asked(f).replace("{", "{{").replace("}", "}}") for f in fields)
     return (
         "Find the clauses below in the contract excerpt and return them as a JSON object with exactly these keys:\n\n"
         "{{\n" + lines + "\n}}\n\n"

@@ -131,6 +131,17 @@ def prompt_messages(spark, sf):
     return prompts.select("contract_id", F.explode("messages").alias("m")).select("contract_id", "m.role", "m.content")
 
 
+_DEFAULT_BEFORE, _DEFAULT_AFTER = (t.replace("{{", "{").replace("}}", "}").replace("'", "''") for t in pr.default_template().split(pr.SLOT))
+
+
+@query("prompt_messages_default", f"""{_TOP}{o.seen(K)}
+SELECT contract_id, unnest(['system', 'user']) AS role, unnest(['{pr.SYSTEM_MESSAGE}', '{_DEFAULT_BEFORE}' || context || '{_DEFAULT_AFTER}']) AS content FROM contexts""")
+def prompt_messages_default(spark, sf):
+    """The template that asks for every field with its guidance."""
+    prompts = pr.messages(rt.contexts(_seen(spark, sf)))
+    return prompts.select("contract_id", F.explode("messages").alias("m")).select("contract_id", "m.role", "m.content")
+
+
 @query("prompt_budget", f"""{_TOP}{o.seen(K)}, sized AS (
 SELECT contract_id, len(regexp_extract_all('{pr.SYSTEM_MESSAGE}', '\\S+')) + len(regexp_extract_all(
   'Fill in {{"clause": null}} from:' || chr(10) || context || chr(10) || 'JSON only.', '\\S+')) AS n FROM contexts)

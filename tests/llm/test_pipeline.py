@@ -88,7 +88,7 @@ def test_every_operator_is_registered():
     assert numbers == list(range(1, 11)) and "pipeline" in QUERIES and set(SQL) <= set(QUERIES)
 
 
-@pytest.mark.parametrize("name", ["op4_chat_format", "op6_url_filter", "op9_near_dedup"])
+@pytest.mark.parametrize("name", ["op4_chat_format", "op6_url_filter", "op8_quality_rules", "op9_near_dedup"])
 def test_queries_agree_with_sql(name):
     from verification.compare import main
 

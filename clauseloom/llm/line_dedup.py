@@ -91,26 +91,27 @@ def _key(size: Column, i: int, start: Column, length: Column) -> Column:
 
 
 def keyed_lines(lines: DataFrame, edits: int, min_chars: int) -> DataFrame:
-    """h1, letters, and the keys of all index (``own``) and lookup (``others``) entries of each distinct line, by its hash.
+    """h1, letters, and the keys of each distinct line: for the index (``own``), to look up lines as long (``same``) and ``shorter``.
 
     The keys are worked out where the lines are read: they, not the lines, are shuffled.
     """
     size = F.col("size")
     own = [_key(size, i, *_segment(size, i, edits)) for i in range(edits + 1)]
-    others = []
+    lookups: dict[bool, list[Column]] = {True: [], False: []}  # of lines as long, of shorter ones
     for shorter in range(edits + 1):
         theirs = size - shorter
         for i in range(edits + 1):
             start, length = _segment(theirs, i, edits)
             left, right = edits - i, i  # edits that may lie behind and before the segment
             for shift in range(max(-right, shorter - left), min(right, shorter + left) + 1):
-                others.append(F.when(theirs >= min_chars, _key(theirs, i, start + shift, length)))
+                lookups[shorter == 0].append(F.when(theirs >= min_chars, _key(theirs, i, start + shift, length)))
     sized = lines.select("line", F.char_length("line").alias("size")).where(size >= min_chars)
-    names = [f"k{i}" for i in range(len(own) + len(others))]
-    keyed = sized.select(_hashes()[0], _letters().alias("letters"), *[k.alias(n) for k, n in zip([*own, *others], names)])
+    groups = {"own": own, "same": lookups[True], "shorter": lookups[False]}
+    names = {g: [f"{g}{i}" for i in range(len(keys))] for g, keys in groups.items()}
+    keyed = sized.select(_hashes()[0], _letters().alias("letters"), *[k.alias(n) for g, keys in groups.items() for k, n in zip(keys, names[g])])
     # equal lines have equal keys: any of them will do, and the largest is the cheapest to keep
-    one = keyed.groupBy("h1").agg(F.max("letters").alias("letters"), *[F.max(n).alias(n) for n in names])
-    return one.select("h1", "letters", F.array(*names[:len(own)]).alias("own"), F.array(*names[len(own):]).alias("others"))
+    one = keyed.groupBy("h1").agg(F.max("letters").alias("letters"), *[F.max(n).alias(n) for ns in names.values() for n in ns])
+    return one.select("h1", "letters", *[F.array(*ns).alias(g) for g, ns in names.items()])
 
 
 def _common_prefix(a: Column, b: Column, most: Column, cut) -> Column:
@@ -196,8 +197,10 @@ def links_of(docs: DataFrame, classes: DataFrame, edits: int, min_chars: int) ->
     """a, b: the places of the first occurrences of two lines within ``edits`` edits; ``classes`` is a written table."""
     keyed = written(keyed_lines(_numbered(docs), edits, min_chars), "line-keys")  # once for both sides of the join
     index = keyed.select(F.explode("own").alias("key"), "h1", "letters").alias("i")
-    probes = keyed.select(F.explode("others").alias("key"), "h1", "letters").where("key is not null").alias("p")
-    met = probes.join(index, (F.col("p.key") == F.col("i.key")) & (F.col("p.h1") != F.col("i.h1"))
+    probes = [keyed.select(F.explode(g).alias("key"), "h1", "letters", F.lit(g == "same").alias("same")) for g in ("same", "shorter")]
+    probes = probes[0].unionByName(probes[1]).where("key is not null").alias("p")
+    one_way = (F.col("p.h1") < F.col("i.h1")) | (~F.col("p.same") & (F.col("p.h1") != F.col("i.h1")))  # lines as long meet once, not twice
+    met = probes.join(index, (F.col("p.key") == F.col("i.key")) & one_way
                       & (_letters_apart("p.letters", "i.letters") <= 2 * edits))
     pairs = written(met.select(F.least("p.h1", "i.h1").alias("a"), F.greatest("p.h1", "i.h1").alias("b")).distinct(), "line-pairs")
 

@@ -28,8 +28,6 @@ LETTERS = "eantiorhsdl "  # twelve counts of two bits share a number
 MORE_LETTERS = "abcdefghiklmnoprstuvwyz,. "  # counted in full once the texts of a pair are at hand
 MAX_BROADCAST = 500_000  # places of lines, five numbers each
 _WORD = r"[^\x20\x09-\x0D]"
-
-
 ROW = ["doc_id", "row_hash"]  # a row of the table; the hash tells rows of one id apart
 PLACE = [*ROW, "line_no"]
 
@@ -114,13 +112,13 @@ def keyed_lines(lines: DataFrame, edits: int, min_chars: int) -> DataFrame:
     return one.select("h1", "letters", *[F.array(*ns).alias(g) for g, ns in names.items()])
 
 
-def _common_prefix(a: Column, b: Column, most: Column, cut) -> Column:
-    """The longest common start (or end, by ``cut``) of two texts, found by halving."""
+def _common_prefix(a: Column, b: Column, most: Column) -> Column:
+    """Code points that two texts have in common at the start, found by halving."""
     state = lambda low, high: F.struct(low.cast("int").alias("low"), high.cast("int").alias("high"))
 
     def halve(s: Column, _: Column) -> Column:
         middle = F.floor((s["low"] + s["high"] + 1) / 2).cast("int")
-        same = cut(a, middle) == cut(b, middle)
+        same = F.substring(a, F.lit(1), middle) == F.substring(b, F.lit(1), middle)
         return F.when(s["low"] >= s["high"], s).when(same, state(middle, s["high"])).otherwise(state(s["low"], middle - 1))
 
     steps = F.sequence(F.lit(0), F.ceil(F.log2(F.greatest(most, F.lit(1)) + 1)).cast("int"))
@@ -128,9 +126,9 @@ def _common_prefix(a: Column, b: Column, most: Column, cut) -> Column:
 
 
 def trimmed(a: Column, b: Column) -> Column:
-    """Two texts without what they have in common at the start and then at the end, as a struct of a and b."""
+    """Two texts without what they have in common at the start, as a struct of a and b."""
     shortest = F.least(F.char_length(a), F.char_length(b))
-    start = _common_prefix(a, b, shortest, lambda t, n: F.substring(t, F.lit(1), n))
+    start = _common_prefix(a, b, shortest)
     rest = lambda t: F.substring(t, start + 1, F.char_length(t))
     return F.struct(rest(a).alias("a"), rest(b).alias("b"))
 

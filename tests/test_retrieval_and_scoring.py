@@ -4,7 +4,6 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from clauseloom import session
 from clauseloom.fields import SLA_FIELDS, Field
 from clauseloom.operators import chunking as ch
 from clauseloom.operators import extraction as ex

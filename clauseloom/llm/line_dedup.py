@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 
 from clauseloom.session import written
 
+from .registry import discard
+
 EDITS, MIN_CHARS = 2, 40
 LETTERS = "eantiorhsdl "  # twelve counts of two bits share a number
 MORE_LETTERS = "abcdefghiklmnoprstuvwyz,. "  # counted in full once the texts of a pair are at hand
@@ -201,6 +203,7 @@ def links_of(docs: DataFrame, classes: DataFrame, edits: int, min_chars: int) ->
     met = probes.join(index, (F.col("p.key") == F.col("i.key")) & one_way
                       & (_letters_apart("p.letters", "i.letters") <= 2 * edits))
     pairs = written(met.select(F.least("p.h1", "i.h1").alias("a"), F.greatest("p.h1", "i.h1").alias("b")).distinct(), "line-pairs")
+    discard(keyed)
 
     places = written(classes.join(pairs.select(F.explode(F.array("a", "b")).alias("h1")).distinct(), "h1"), "line-places")
     # a few lines of a few documents; beyond the bound they are shuffled like any table

@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from clauseloom.session import written
 
+from .registry import discard
 from .words import by_bytes, distinct, hash_words, mix, shingles, text_bytes
 
 CHUNKS, SYMBOLS, BITS = 10, 4, 15
@@ -142,7 +143,9 @@ def compared(pairs: DataFrame, docs: DataFrame, size: int) -> DataFrame:
 
     kind = "a long, b long, common long, only_a long, only_b long, " + ", ".join(f"{d} long" for d in DIFFERING) + ", apart array<long>"
     joined = pairs.join(sets.toDF("a", "left"), "a").join(sets.toDF("b", "right"), "b")
-    return joined.select("a", "b", "left", "right").mapInArrow(compare, kind)
+    found = written(joined.select("a", "b", "left", "right").mapInArrow(compare, kind), "compared")
+    discard(sets)
+    return found
 
 
 def linked(pairs: DataFrame, threshold: int) -> DataFrame:
@@ -210,7 +213,7 @@ def _rarest(members: DataFrame, often: DataFrame, needed: Column, *kept: str) ->
     """
     spread = members.select("hub", "uid", F.explode("apart").alias("element"))
     order = Window.partitionBy("uid").orderBy("n", "element")
-    ranked = spread.join(often, ["hub", "element"]).withColumn("place", F.row_number().over(order))
+    ranked = spread.join(often, ["hub", "element"]).withColumn("place", F.row_number().over(order)).where("n > 1")  # others meet nothing
     limits = members.select("uid", (F.size("apart") - F.greatest(needed, F.lit(1)) + 1).alias("most"), *kept)
     return ranked.select("hub", "uid", "element", "place").join(limits, "uid").where("place <= most").drop("place", "most")
 
@@ -242,6 +245,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: int = 80) -> Data
     near = near.where(within_size("a", "b", threshold) & (differing_symbols("a", "b") <= ALLOWED)).select("p.a", "p.b")
     stars = compared(written(near, "pairs"), docs, size)
     first = written(linked(stars, threshold), "links")
+    discard(stars)
     found = components(first)
 
     # entries that still hold several components meet their hub, the node with most links so far
@@ -252,7 +256,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: int = 80) -> Data
     hubs = open_.groupBy("key").agg(F.max_by(F.struct("node", "component"), F.struct(F.coalesce("links", F.lit(0)), "node")).alias("hub"))
     open_ = open_.join(hubs, "key").select("key", "node", "component", F.col("hub.node").alias("hub"), F.col("hub.component").alias("hub_component"))
     met = open_.where("node <> hub").select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
-    spokes = written(compared(written(met, "pairs"), docs, size), "spokes")
+    spokes = compared(written(met, "pairs"), docs, size)
     second = linked(spokes, threshold)
 
     # then the members that are not in their hub's component meet all members of that hub, where it does not rule a link out

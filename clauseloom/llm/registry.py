@@ -49,3 +49,11 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def discard(stored: DataFrame) -> None:
+    """Delete the files of a table that ``session.written`` gave, once all that is made of it is written itself."""
+    context = stored.sparkSession.sparkContext
+    for folder in {name.rsplit("/", 1)[0] for name in stored.inputFiles()}:
+        path = context._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)

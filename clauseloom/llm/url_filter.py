@@ -8,7 +8,9 @@ blocked pages.  A host is blocked when ``threshold`` of its trust and distrust i
 Edges: links of the pages' HTML (href or src values with a host of their own; the others stay on the host), summed per pair
 of hosts before they are shuffled; the share of an edge is its part of all links of its source.  What reaches a host
 without outgoing edges goes no further.  The rank tables have one row per host; they are joined
-by host and written every few rounds to the shared folder, so that a lost executor costs no more than those rounds.
+by host and written every few rounds to the shared folder, so that a lost executor costs no more than those rounds.  Rounds
+end when the ranks have changed by less than ``TOLERANCE`` in sum since the table written last and no other host was reached:
+the ranks are then within TOLERANCE in sum of their limits, and every host that can be reached has a rank, however long the way.
 
 Host: after the first ``://`` up to ``/``, ``?``, ``#`` or the end, A-Z in lower case; path: from there up to ``?``, ``#`` or the
 end.  Null urls and those without ``://`` have an empty host and path, no rule, and are allowed.  Extra columns that clash
@@ -25,7 +27,10 @@ from pyspark.sql import functions as F
 
 from clauseloom.session import written
 
-ROUNDS, DAMPING, THRESHOLD, ROUNDS_PER_WRITE = 10, 0.85, 0.5, 5
+from .registry import discard
+
+TOLERANCE, DAMPING, THRESHOLD, ROUNDS_PER_WRITE = 1e-6, 0.85, 0.5, 5
+ROUNDS = 10  # of the SQL beside the query, which cannot run until nothing changes
 LINK = r"(?i)(?:href|src)\s*=\s*[\"']?([^\"'\s>]+)"
 
 
@@ -72,24 +77,40 @@ def host_edges(pages: DataFrame) -> DataFrame:
     return links.groupBy(F.col("host").alias("src"), target.alias("dst")).agg(F.count("*").cast("double").alias("weight"))
 
 
-def propagate(hosts: DataFrame, edges: DataFrame, seed: str, rounds: int = ROUNDS, damping: float = DAMPING) -> DataFrame:
+def propagate(hosts: DataFrame, edges: DataFrame, seed: str, rounds: int | None = None, damping: float = DAMPING, tolerance: float = TOLERANCE) -> DataFrame:
     """host, rank: personalised PageRank with restarts in proportion to the column ``seed`` of ``hosts``.
 
     ``edges`` (src, dst, share) carry shares that add up to 1 for each source.  All seeds 0: all ranks 0.
+    Without ``rounds``, as many as it takes to come within ``tolerance``; ``damping`` must be below 1 for that.
     """
     total = hosts.agg(F.sum(seed)).first()[0] or 0.0  # one number
     nodes = hosts.select("host", (F.col(seed) / total if total else F.lit(0.0)).alias("restart"))
-    rank = nodes.select("host", F.col("restart").alias("rank"))
-    for i in range(rounds):
+    rank = last = nodes.select("host", F.col("restart").alias("rank"))
+    done = 0
+    while rounds is None or done < rounds:
         sent = edges.join(rank, edges.src == rank.host).groupBy(F.col("dst").alias("host")).agg(F.sum(F.col("share") * F.col("rank")).alias("got"))
         rank = nodes.join(sent, "host", "left").select(
             "host", (damping * F.coalesce("got", F.lit(0.0)) + (1.0 - damping) * F.col("restart")).alias("rank"))
-        if (i + 1) % ROUNDS_PER_WRITE == 0 or i + 1 == rounds:
+        done += 1
+        if done % ROUNDS_PER_WRITE == 0 or done == rounds:
             rank = written(rank, "host-rank")
+            settled = rounds is None and _settled(last, rank, tolerance)
+            if done > ROUNDS_PER_WRITE:
+                discard(last)
+            last = rank
+            if settled:
+                break
     return rank
 
 
-def judge_urls(pages: DataFrame, rules: tuple[Rule, ...], rounds: int = ROUNDS, threshold: float = THRESHOLD) -> DataFrame:
+def _settled(before: DataFrame, rank: DataFrame, tolerance: float) -> bool:
+    """Whether rounds that led from one rank table to the other changed little and reached no other host; one row is read."""
+    both = rank.join(before.withColumnRenamed("rank", "before"), "host")
+    r = both.agg(F.sum(F.abs(F.col("rank") - F.col("before"))).alias("change"), F.count_if((F.col("rank") > 0) & (F.col("before") == 0)).alias("reached")).first()
+    return (r.change or 0.0) < tolerance and not r.reached
+
+
+def judge_urls(pages: DataFrame, rules: tuple[Rule, ...], rounds: int | None = None, threshold: float = THRESHOLD) -> DataFrame:
     """``pages`` with host, path, rule, verdict, and the trust and distrust of the host where it has any."""
     own = pages.drop("host", "path", "rule", "verdict", "trust", "distrust")
     url = F.col("url").cast("string")

@@ -1,5 +1,7 @@
 import hashlib
 
+import numpy as np
+
 from clauseloom.llm import chat_format as chat
 from clauseloom.llm import url_filter as urls
 
@@ -99,6 +101,28 @@ def test_ranks_agree_with_a_plain_loop(spark):
     assert {r.host: round(r["rank"], 12) for r in got.collect()} == {h: round(v, 12) for h, v in rank.items()}
 
 
+def test_ranks_settle_on_a_long_chain_and_across_hosts(spark):
+    link = lambda *to: " ".join(f'<a href="http://{t}/x">' for t in to)
+    chain = [f"c{i}.net" for i in range(25)]
+    random = np.random.default_rng(4)
+    web = {f"w{i}.net": [f"w{j}.net" for j in random.integers(0, 40, 2)] + [f"w{i}.net"] * 4 for i in range(40)}
+    links = {"good.org": [chain[0], "w0.net", "w1.net"]} | {a: [b] for a, b in zip(chain, chain[1:])} | {chain[-1]: []} | web
+    links |= {"bad.com": []} | {h: [*to, "bad.com"] for h, to in web.items() if int(h[1:-4]) % 9 == 5}
+    pages = [(i, f"http://{h}/{'de/' if h == 'bad.com' else 'x'}", link(*to)) for i, (h, to) in enumerate(links.items())]
+    got = {r.host: r for r in urls.judge_urls(spark.createDataFrame(pages, "page_id long, url string, html string"), RULES).collect()}
+
+    hosts, limits = list(links), {}
+    weight = np.array([[links[a].count(b) for b in hosts] for a in hosts], float)
+    for name, w, seed in (("trust", weight, "good.org"), ("distrust", weight.T, "bad.com")):
+        share = w / np.maximum(w.sum(axis=1, keepdims=True), 1)
+        restart = np.array([float(h == seed) for h in hosts])
+        limits[name] = np.linalg.solve(np.eye(len(hosts)) - 0.85 * share.T, 0.15 * restart)
+        assert sum(abs(getattr(got[h], name) - x) for h, x in zip(hosts, limits[name])) < urls.TOLERANCE
+    assert all(got[h].trust > 0 for h in chain)
+    bad = {h: d > 0 and d >= 0.5 * (t + d) for h, t, d in zip(hosts, limits["trust"], limits["distrust"])}
+    assert {h: got[h].verdict == "block" for h in web} == {h: bool(bad[h]) for h in web}
+
+
 def test_no_pages(spark):
     pages = spark.createDataFrame([], "page_id long, url string, html string")
     assert urls.judge_urls(pages, RULES, rounds=1).count() == 0

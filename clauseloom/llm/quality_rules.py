@@ -4,6 +4,10 @@ Counts: words, their code points, symbols, repeated lines, and words in repeated
 text, one of character classes and one of the language's common words (with one bin for all others), are
 compared with the sums over all documents of the language by the Jensen-Shannon distance (base 2, from 0 to 1).
 
+Sums follow junk as its share grows.  ``typical=True`` also compares the character classes with the typical document of the
+language, the median of each class's share over all its documents, which junk moves only once it is about half of them: a
+document must be near both.
+
 The references cover the whole table.  Common words are those with at least ``SHARE`` of all words of their language, so there
 are at most 1 / SHARE of them; a language with less than ``LANGUAGE_SHARE`` of all words has no reference, so there are at most
 1 / LANGUAGE_SHARE references: both bound what is broadcast.  Documents without a reference, and those with fewer than
@@ -117,8 +121,8 @@ def common_words(docs: DataFrame, share: float = SHARE, language_share: float =
     return found
 
 
-def measure(docs: DataFrame, share: float = SHARE, language_share: float = LANGUAGE_SHARE) -> DataFrame:
-    """``docs`` (doc_id, text, lang) with the counts, class_distance and word_distance (null without a reference)."""
+def measure(docs: DataFrame, share: float = SHARE, language_share: float = LANGUAGE_SHARE, typical: bool = False) -> DataFrame:
+    """``docs`` (doc_id, text, lang) with the counts, class_distance and word_distance (null without a reference), and typical_distance if asked for."""
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang"))
     shared = docs.sparkSession.sparkContext.broadcast(common_words(rows, share, language_share))
 
@@ -155,11 +159,19 @@ def measure(docs: DataFrame, share: float = SHARE, language_share: float = LANGU
 
     kind = "doc_id long, lang string, " + ", ".join(f"{c} long" for c in COUNTS) + ", classes array<long>, word_distance double"
     counted = written(rows.mapInArrow(count, kind), "text-counts")
-    sums = counted.groupBy("lang").agg(F.array(*[F.sum(F.col("classes")[i]) for i in range(len(CLASSES))]).alias("reference"), F.sum("n_words").alias("n"))
+    medians = [F.array(*[F.percentile(s, F.lit(0.5)) for s in _class_shares()]).alias("typical")] if typical else []
+    sums = counted.groupBy("lang").agg(F.array(*[F.sum(F.col("classes")[i]) for i in range(len(CLASSES))]).alias("reference"), F.sum("n_words").alias("n"), *medians)
     # one row per language with a reference, 1 / LANGUAGE_SHARE at most
     large = sums.where(F.col("n") >= language_share * (counted.agg(F.sum("n_words")).first()[0] or 0)).limit(int(1 / language_share))
-    judged = counted.join(F.broadcast(large.select("lang", "reference")), "lang", "left")
-    return judged.select("doc_id", "lang", *COUNTS, _js(F.col("classes"), F.col("reference")).alias("class_distance"), "word_distance")
+    judged = counted.join(F.broadcast(large.drop("n")), "lang", "left")
+    distances = [_js(F.col("classes"), F.col("typical")).alias("typical_distance")] if typical else []
+    return judged.select("doc_id", "lang", *COUNTS, _js(F.col("classes"), F.col("reference")).alias("class_distance"), "word_distance", *distances)
+
+
+def _class_shares() -> list[Column]:
+    """The share of each class in a text, in thousandths, of which an exact median keeps 1,001 counts at most; null for empty texts."""
+    total = F.nullif(F.aggregate("classes", F.lit(0).cast("long"), lambda s, v: s + v), F.lit(0))
+    return [F.round(F.col("classes")[i] / total, 3) for i in range(len(CLASSES))]
 
 
 def _js(p: Column, q: Column) -> Column:
@@ -175,9 +187,10 @@ def base_failed() -> Column:
     return (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
 
 
-def judge_quality(docs: DataFrame, max_class: float = MAX_CLASS_DISTANCE, max_word: float = MAX_WORD_DISTANCE) -> DataFrame:
+def judge_quality(docs: DataFrame, max_class: float = MAX_CLASS_DISTANCE, max_word: float = MAX_WORD_DISTANCE, typical: bool = False) -> DataFrame:
     """Counts, distances, base_failed and kept, one row per row of ``docs``."""
-    measured = measure(docs)
-    far = (((F.col("n_words") >= MIN_WORDS) & (F.col("class_distance") > max_class))
+    measured = measure(docs, typical=typical)
+    class_distance = F.greatest("class_distance", "typical_distance") if typical else F.col("class_distance")
+    far = (((F.col("n_words") >= MIN_WORDS) & (class_distance > max_class))
            | ((F.col("n_words") >= MIN_COMMON_WORDS) & (F.col("word_distance") > max_word)))
     return measured.withColumn("base_failed", base_failed()).withColumn("kept", ~F.col("base_failed") & ~F.coalesce(far, F.lit(False)))

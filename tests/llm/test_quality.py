@@ -89,6 +89,19 @@ def test_good_documents_are_kept(spark):
     assert passed.count() > 200 and passed.where("kept").count() >= 0.99 * passed.count()
 
 
+def test_junk_that_is_a_third_of_a_language_is_not_kept(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    docs = docs.where("lang = 'en' and n_chars > 500").join(labels.where("quality = 1"), "doc_id", "left_semi").select("doc_id", "text", "lang")
+    junk = docs.where("doc_id % 2 = 0").select(-F.col("doc_id") - 1, F.regexp_replace("text", r"(?m)(\w)(?=\s|$)", "$1%%%"), "lang")
+    share = junk.count() / (junk.count() + docs.count())
+    assert 0.28 < share < 0.38
+    judged = rules.judge_quality(docs.unionByName(junk.toDF("doc_id", "text", "lang")), typical=True).where("not base_failed").withColumn("junk", F.col("doc_id") < 0)
+    got = {r.junk: r for r in judged.groupBy("junk").agg(F.count("*").alias("n"), F.count_if("kept").alias("kept"), F.count_if(F.col("class_distance") <= 0.3).alias("pooled"),
+                                                             F.count_if(F.col("typical_distance") <= 0.3).alias("near")).collect()}
+    assert got[True].n > 40 and got[True].kept == 0 and got[True].pooled > 0.9 * got[True].n
+    assert got[False].near == got[False].n
+
+
 def test_no_documents(spark, sf):
     docs = table(spark, sf).where("false")
     assert rules.judge_quality(docs).count() == 0

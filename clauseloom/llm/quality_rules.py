@@ -9,9 +9,11 @@ language, the median of each class's share over all its documents, which junk mo
 document must be near both.
 
 The references cover the whole table.  Common words are those with at least ``SHARE`` of all words of their language, so there
-are at most 1 / SHARE of them; a language with less than ``LANGUAGE_SHARE`` of all words has no reference, so there are at most
-1 / LANGUAGE_SHARE references: both bound what is broadcast.  Documents without a reference, and those with fewer than
-``MIN_WORDS`` words (``MIN_COMMON_WORDS`` for the finer word histogram), are not judged by distance.
+are at most 1 / SHARE of them, each seen 20 times or more: a language with fewer than ``MIN_LANGUAGE_WORDS`` words has no
+reference, as its few documents would be held against themselves, and what the rest of the table holds has no part in that.
+Languages are dealt into blocks of ``BLOCK_LANGUAGES`` on average, each with a pass of its own, which bounds what is broadcast.
+Documents without a reference, and those with fewer than ``MIN_WORDS`` words (``MIN_COMMON_WORDS`` for the finer word
+histogram), are not judged by distance.
 
 Null text counts as empty and fails the base rules; null lang is a language of its own.  Repeated rows are judged each
 and count in the references each.  Columns of ``docs`` that clash with results are replaced; no rows give no rows.
@@ -19,11 +21,13 @@ and count in the references each.  Columns of ``docs`` that clash with results a
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,7 +35,8 @@ from clauseloom.session import written
 
 from .words import SEPARATOR, by_bytes, hash_words, mix, shingles, text_bytes
 
-SHARE, LANGUAGE_SHARE = 0.004, 0.005
+SHARE, MIN_LANGUAGE_WORDS, BLOCK_LANGUAGES = 0.004, 5_000, 1_000
+LANGUAGE_SHARE = 0.005  # of the SQL beside the query, which gives no reference to languages below it
 MIN_WORDS, MIN_COMMON_WORDS = 50, 100
 MAX_CLASS_DISTANCE, MAX_WORD_DISTANCE = 0.3, 0.45
 
@@ -102,30 +107,59 @@ class Reference:
     counts: np.ndarray  # of the common words and, last, of all others
 
 
-def common_words(docs: DataFrame, share: float = SHARE, language_share: float = LANGUAGE_SHARE) -> dict[str, Reference]:
-    """The common words of each language, counted over all documents."""
+def word_counts(docs: DataFrame) -> DataFrame:
+    """lang, word, n over all documents."""
     word = F.explode(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"))
     counts = docs.select("lang", word.alias("word")).where("word <> ''").groupBy("lang", "word").agg(F.count("*").alias("n"))
-    counts = written(counts, "word-counts")
-    totals = {r.lang: r.n for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).orderBy(F.desc("n")).limit(int(1 / language_share)).collect()}
-    everything = counts.agg(F.sum("n")).first()[0] or 0
-    large = {lang: n for lang, n in totals.items() if n >= language_share * everything}
+    return written(counts, "word-counts")
+
+
+def in_block(block: int, blocks: int) -> Column:
+    return F.pmod(F.xxhash64("lang"), F.lit(blocks)) == block
+
+
+def common_words(counts: DataFrame, totals: DataFrame, share: float = SHARE) -> dict[str, Reference]:
+    """The common words of each language of ``totals`` (lang, total); 1 / share rows of each at most reach the driver."""
+    rows: dict[str, list] = {r.lang: [] for r in totals.select("lang").collect()}
+    for r in counts.join(totals, "lang").where(F.col("n") >= share * F.col("total")).select("lang", "word", "n", "total").collect():
+        rows[r.lang].append(r)
     found: dict[str, Reference] = {}
-    for lang, total in large.items():
-        rows = counts.where((F.col("lang") == lang) & (F.col("n") >= share * total)).select("word", "n").collect()  # 1 / share at most
-        data, offsets = text_bytes(pa.array([r.word for r in rows], pa.string()))
+    for lang, common in rows.items():
+        data, offsets = text_bytes(pa.array([r.word for r in common], pa.string()))
         hashes = hash_words(data, offsets).hashes
         order = np.argsort(hashes)
-        n = np.array([r.n for r in rows], np.float64)[order]
-        found[lang] = Reference(hashes[order], np.append(n, total - n.sum()))
+        n = np.array([r.n for r in common], np.float64)[order]
+        found[lang] = Reference(hashes[order], np.append(n, common[0].total - n.sum() if common else 1.0))
     return found
 
 
-def measure(docs: DataFrame, share: float = SHARE, language_share: float = LANGUAGE_SHARE, typical: bool = False) -> DataFrame:
+def measure(docs: DataFrame, share: float = SHARE, min_language_words: int = MIN_LANGUAGE_WORDS, typical: bool = False,
+            block_languages: int = BLOCK_LANGUAGES) -> DataFrame:
     """``docs`` (doc_id, text, lang) with the counts, class_distance and word_distance (null without a reference), and typical_distance if asked for."""
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang"))
-    shared = docs.sparkSession.sparkContext.broadcast(common_words(rows, share, language_share))
+    counts = word_counts(rows)
+    totals = counts.groupBy("lang").agg(F.sum("n").alias("total")).where(F.col("total") >= min_language_words)
+    blocks = max(1, -(-totals.count() // block_languages))
+    kind = "doc_id long, lang string, " + ", ".join(f"{c} long" for c in COUNTS) + ", classes array<long>, word_distance double"
+    passes = []
+    for block in range(blocks):
+        shared = docs.sparkSession.sparkContext.broadcast(common_words(counts.where(in_block(block, blocks)), totals.where(in_block(block, blocks)), share))
+        passes.append(written(rows.where(in_block(block, blocks)).mapInArrow(_counter(shared), kind), "text-counts"))
+    return reduce(DataFrame.unionByName, [_distances(counted, min_language_words, typical) for counted in passes])
 
+
+def _distances(counted: DataFrame, min_language_words: int, typical: bool) -> DataFrame:
+    """The counts of one block of languages with their distances."""
+    medians = [F.array(*[F.percentile(s, F.lit(0.5)) for s in _class_shares()]).alias("typical")] if typical else []
+    sums = counted.groupBy("lang").agg(F.array(*[F.sum(F.col("classes")[i]) for i in range(len(CLASSES))]).alias("reference"), F.sum("n_words").alias("n"), *medians)
+    # one row per language with a reference, BLOCK_LANGUAGES on average
+    judged = counted.join(F.broadcast(sums.where(F.col("n") >= min_language_words).drop("n")), "lang", "left")
+    distances = [_js(F.col("classes"), F.col("typical")).alias("typical_distance")] if typical else []
+    return judged.select("doc_id", "lang", *COUNTS, _js(F.col("classes"), F.col("reference")).alias("class_distance"), "word_distance", *distances)
+
+
+def _counter(shared: Broadcast) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """What counts each text and compares its words with the shared references."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         references = shared.value
         for whole in batches:
@@ -157,15 +191,7 @@ def measure(docs: DataFrame, share: float = SHARE, language_share: float = LANGU
                      pa.array(list(classes.astype(np.int64)), pa.list_(pa.int64())), pa.array(distance, from_pandas=True)],
                     names=["doc_id", "lang", *COUNTS, "classes", "word_distance"])
 
-    kind = "doc_id long, lang string, " + ", ".join(f"{c} long" for c in COUNTS) + ", classes array<long>, word_distance double"
-    counted = written(rows.mapInArrow(count, kind), "text-counts")
-    medians = [F.array(*[F.percentile(s, F.lit(0.5)) for s in _class_shares()]).alias("typical")] if typical else []
-    sums = counted.groupBy("lang").agg(F.array(*[F.sum(F.col("classes")[i]) for i in range(len(CLASSES))]).alias("reference"), F.sum("n_words").alias("n"), *medians)
-    # one row per language with a reference, 1 / LANGUAGE_SHARE at most
-    large = sums.where(F.col("n") >= language_share * (counted.agg(F.sum("n_words")).first()[0] or 0)).limit(int(1 / language_share))
-    judged = counted.join(F.broadcast(large.drop("n")), "lang", "left")
-    distances = [_js(F.col("classes"), F.col("typical")).alias("typical_distance")] if typical else []
-    return judged.select("doc_id", "lang", *COUNTS, _js(F.col("classes"), F.col("reference")).alias("class_distance"), "word_distance", *distances)
+    return count
 
 
 def _class_shares() -> list[Column]:
@@ -180,7 +206,8 @@ def _js(p: Column, q: Column) -> Column:
     shares = lambda x: F.transform(x, lambda v: v / total(x))
     part = lambda a, b: F.when(a > 0, a * F.log2(2 * a / (a + b))).otherwise(0.0)
     parts = F.zip_with(shares(p), shares(q), lambda a, b: (part(a, b) + part(b, a)) / 2)
-    return F.sqrt(F.least(F.greatest(F.aggregate(parts, F.lit(0.0), lambda s, v: s + v), F.lit(0.0)), F.lit(1.0)))
+    distance = F.sqrt(F.least(F.greatest(F.aggregate(parts, F.lit(0.0), lambda s, v: s + v), F.lit(0.0)), F.lit(1.0)))
+    return F.when(total(p).isNotNull() & total(q).isNotNull(), distance)  # least and greatest pass over nulls
 
 
 def base_failed() -> Column:

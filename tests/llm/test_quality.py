@@ -102,6 +102,21 @@ def test_junk_that_is_a_third_of_a_language_is_not_kept(spark):
     assert got[False].near == got[False].n
 
 
+def test_a_small_language_beside_large_ones_is_judged(spark):
+    words = [f"wort{i}" for i in range(40)]
+    small = [(-i - 1, " ".join(words[(i + 7 * k) % 40] for k in range(120)) + ".", "xx") for i in range(60)]
+    small.append((-99, " ".join(f"%{i}%" for i in range(120)), "xx"))
+    large = [(i, " ".join(f"term{(i + k * k) % 97}" for k in range(20_000)), "en") for i in range(80)]
+    docs = spark.createDataFrame(small + large, "doc_id long, text string, lang string")
+    assert len(small) * 120 < rules.LANGUAGE_SHARE * len(large) * 20_000
+    got = {r.doc_id: r for r in rules.judge_quality(docs).where("lang = 'xx'").collect()}
+    assert got[-99].class_distance > 0.3 and got[-99].word_distance > 0.45 and not got[-99].kept
+    assert all(r.word_distance < 0.3 for d, r in got.items() if d != -99)
+    blocked = rules.measure(docs, block_languages=1).where("lang = 'xx'").collect()
+    assert {r.doc_id: (r.class_distance, r.word_distance) for r in blocked} == {d: (r.class_distance, r.word_distance) for d, r in got.items()}
+    assert rules.measure(docs, min_language_words=10_000).where("lang = 'xx' and (class_distance is not null or word_distance is not null)").count() == 0
+
+
 def test_no_documents(spark, sf):
     docs = table(spark, sf).where("false")
     assert rules.judge_quality(docs).count() == 0

@@ -18,12 +18,13 @@ def source_norm(contracts: DataFrame) -> DataFrame:
     return tx.computed_once(low, src_ws=F.regexp_replace("src_clean", r"\s+", " ")).drop("clean_text")
 
 
-def _snippet(value: Column, size: int) -> Column:
-    return tx.strip(F.lower(F.substring(value, 1, size)))
+def _snippet(value: Column, size: int | None) -> Column:
+    return tx.strip(F.lower(F.substring(value, 1, size) if size else value))
 
 
-def _in_source(value: Column) -> Column:
-    found = tx.let(_snippet(value, fv.SNIPPET_CHARS), lambda s: F.contains(F.col("src_clean"), s)
+def _in_source(value: Column, size: int | None = fv.SNIPPET_CHARS) -> Column:
+    """Whether the first characters of the value, or with ``size`` None all of it, are in the text."""
+    found = tx.let(_snippet(value, size), lambda s: F.contains(F.col("src_clean"), s)
                    | F.contains(F.col("src_ws"), tx.collapse_spaces(s)))
     return (F.col("src_clean") != "") & found
 
@@ -43,13 +44,21 @@ def _score(field: Field) -> Column:
     return F.when(given, F.when(_in_source(value), quoted).otherwise(unquoted)).otherwise(F.when(expected, 0.0))
 
 
+def _fully_quoted(field: Field) -> Column:
+    """Whether the whole value is in the text, which the score asks of its first characters only; null without a value to look up."""
+    value = F.col(field.name)
+    if field.kind in (BOOLEAN, PRESENCE):
+        return F.lit(None).cast("boolean")
+    return F.when(value.isNotNull() & (value != ""), _in_source(value, None))
+
+
 def _check(field: Field) -> Column:
-    """Score of one field, with the value and whether its first characters are found after all."""
+    """Score of one field, with the value, whether its first characters are found after all, and whether the whole value is."""
     value = F.col(field.name).cast("string")
     near = F.contains(F.col("src_ws"), tx.collapse_spaces(_snippet(value, NEAR_CHARS)))
     score = F.col(f"_score_{field.name}")
     return F.struct(F.lit(field.name).alias("field"), score.alias("score"), value.alias("value"),
-                    F.when(score == 0.6, near).alias("near"))
+                    F.when(score == 0.6, near).alias("near"), _fully_quoted(field).alias("fully_quoted"))
 
 
 def score_results(results: DataFrame, contracts: DataFrame, fields: FieldConfig) -> DataFrame:

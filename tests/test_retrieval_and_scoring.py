@@ -113,6 +113,16 @@ def test_score_ladder(spark, value, expected):
     assert score(spark, value)["q"] == expected
 
 
+def test_a_true_start_with_an_invented_end_is_not_fully_quoted(spark):
+    text = "The parties agree to the law of the land.\nNotices " + "are given in writing " * 10
+    values = [(text[:130], True), (text[:130] + " and an invented end", False), (text.replace("\n", "  ")[:150], True), ("some", False), ("", None), (None, None)]
+    results = spark.createDataFrame([(str(i), v, None, None, "$5") for i, (v, _) in enumerate(values)], "contract_id string, q string, none string, flag int, amount string")
+    texts = spark.createDataFrame([(str(i), text) for i in range(len(values))], "contract_id string, clean_text string")
+    rows = {(r["contract_id"], r["field"]): r for r in sc.field_scores(sc.score_results(results, texts, FIELDS)).collect()}
+    assert [rows[str(i), "q"]["fully_quoted"] for i in range(len(values))] == [w for _, w in values]
+    assert rows["1", "q"]["score"] == 1.0 and rows["0", "amount"]["fully_quoted"] is None
+
+
 def test_score_corners(spark):
     assert score(spark, None, text="no word of it")["q"] is None
     assert score(spark, "law", text=None)["q"] == 0.6 and score(spark, "x", text=None)["q"] == 0.4

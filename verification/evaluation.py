@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from clauseloom import session
+from clauseloom.fields import BOOLEAN, PRESENCE
 from clauseloom.operators import responses as rp
 from clauseloom.operators import scoring as sc
 from clauseloom.plans import evaluation as ev
@@ -27,6 +28,25 @@ def field_scores(spark, sf):
     return sc.field_scores(_scored(spark, sf)).select("contract_id", "field", "score")
 
 
+INVENTED_END = " and an end that no document has"
+_WHOLE = "trim(lower(value), chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))"
+_FULLY_QUOTED = rf"""SELECT contract_id, field, CASE WHEN value <> '' THEN
+  src_clean <> '' AND (contains(src_clean, {_WHOLE}) OR contains(src_ws, regexp_replace({_WHOLE}, '\s+', ' ', 'g'))) END AS fully_quoted
+FROM (""" + " UNION ALL ".join(
+    f"SELECT contract_id, src_clean, src_ws, '{name}' AS field, {value} AS value FROM sourced" for name, value in (
+        ("opening_quote", f"CASE WHEN contract_id::BIGINT % 2 = 0 THEN opening_quote || '{INVENTED_END}' ELSE opening_quote END"),
+        ("spaced_quote", "spaced_quote"), ("invented", "invented"), ("license_line", "license_line"))) + ")"
+
+
+@query("fully_quoted", f"WITH {o.SCORES} {_FULLY_QUOTED}")
+def fully_quoted(spark, sf):
+    """Openings of 130 characters, of which every other one gets an invented end."""
+    ended = F.when(F.col("contract_id").cast("long") % 2 == 0, F.concat("opening_quote", F.lit(INVENTED_END))).otherwise(F.col("opening_quote"))
+    rows = fx.results(spark, sf).withColumn("opening_quote", ended)
+    scored = sc.score_results(rows, fx.ready_by_contract(spark, sf), [f for f in fx.FIELDS if f.kind not in (BOOLEAN, PRESENCE)])
+    return sc.field_scores(scored).select("contract_id", "field", "fully_quoted")
+
+
 @query("contract_scores", f"WITH {o.SCORES} SELECT contract_id, false AS is_non_contract, round(overall, 6) AS overall, missed FROM per_contract")
 def contract_scores(spark, sf):
     return _scored(spark, sf).select("contract_id", "is_non_contract", F.round("overall", 6).alias("overall"), "missed")

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from clauseloom.session import new_folder, written
 
-from . import bpe_reuse, chat_format, decontamination, line_dedup, near_dedup, quality_gam, quality_rules, sql, token_counts, token_store, url_filter
+from . import (bpe_reuse, chat_format, decontamination, line_dedup, near_dedup, quality_gam, quality_rules, sql, token_counts, token_store, url_filter,
+               warc)
 from .registry import query, table
 
 VOCABULARY = "word_bpe_49k.json"
@@ -81,3 +82,11 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return line_dedup.judge_lines(docs).drop("row_hash")
+
+
+@query("op11_warc_revisits", sql.archives())
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_folder(spark, "warc")
+    warc.write_archives(warc.page_records(table(spark, sf_dir, "pages")), path)
+    found = warc.resolved(warc.read_archives(spark, path, payloads=False))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")

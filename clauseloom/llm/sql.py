@@ -107,3 +107,14 @@ judged AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base
       coalesce(n_words >= {min_words} AND class_distance > {max_class}, false) OR coalesce(n_words >= {min_common} AND word_distance > {max_word}, false) AS far FROM counted)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT far AS kept,
        round(class_distance, 6) AS class_distance, round(word_distance, 6) AS word_distance FROM judged"""
+
+
+def archives() -> str:
+    """Base32 of SHA-1: five hexadecimal digits are four letters."""
+    letter = "substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(hex, 5 * (i // 4) + 1, 5))::INT >> (15 - 5 * (i % 4))) & 31) + 1, 1)"
+    return f"""
+WITH p AS (SELECT page_id, sha1(coalesce(html, '')) AS hex, strlen(coalesce(html, ''))::BIGINT AS payload_bytes FROM pages),
+o AS (SELECT hex, min(page_id) AS original FROM p GROUP BY hex)
+SELECT page_id, payload_bytes, array_to_string(list_transform(range(0, 32), lambda i: {letter}), '') AS payload_digest,
+       CASE WHEN page_id > original THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN page_id > original THEN original END AS refers_to
+FROM p JOIN o USING (hex)"""

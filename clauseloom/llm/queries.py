@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 from clauseloom.session import new_folder, written
 
-from . import (bpe_reuse, chat_format, decontamination, line_dedup, near_dedup, quality_gam, quality_rules, sql, token_counts, token_store, url_filter,
-               warc)
+from . import (bpe_reuse, chat_format, collocations, decontamination, lexical_search, line_dedup, near_dedup, quality_gam, quality_rules, sql, token_counts,
+               token_store, url_filter, warc)
 from .registry import query, table
 
 VOCABULARY = "word_bpe_49k.json"
@@ -90,3 +90,13 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     warc.write_archives(warc.page_records(table(spark, sf_dir, "pages")), path)
     found = warc.resolved(warc.read_archives(spark, path, payloads=False))
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op12_lexical_search", sql.searched(lexical_search.TOP))
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op13_collocations", sql.phrases(collocations.MIN_COUNT, collocations.LONGEST, collocations.TOP))
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents").select("text", "lang"))

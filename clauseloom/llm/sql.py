@@ -118,3 +118,41 @@ o AS (SELECT hex, min(page_id) AS original FROM p GROUP BY hex)
 SELECT page_id, payload_bytes, array_to_string(list_transform(range(0, 32), lambda i: {letter}), '') AS payload_digest,
        CASE WHEN page_id > original THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN page_id > original THEN original END AS refers_to
 FROM p JOIN o USING (hex)"""
+
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def searched(top: int) -> str:
+    """Scores of all documents that share a term with an item, then the best."""
+    terms = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+    return rf"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS doc, doc_id, {terms} AS w FROM documents),
+q AS (SELECT item, item_id, term, count(*) AS q FROM (SELECT row_number() OVER () AS item, item_id, unnest({terms}) AS term FROM benchmark) GROUP BY ALL),
+s AS (SELECT count(*) AS N, sum(len(w))::BIGINT AS L FROM d WHERE len(w) > 0),
+t AS MATERIALIZED (SELECT doc, term, count(*) AS tf FROM (SELECT doc, unnest(w) AS term FROM d) WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+w AS (SELECT term, floor(1000 * ln((2 * (SELECT N FROM s) + 2) / (2 * count(*) + 1)))::BIGINT AS weight FROM t GROUP BY term),
+p AS (SELECT t.doc, t.term, doc_id, weight * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * len(d.w) * N) // L))) AS part
+      FROM t JOIN w USING (term) JOIN d USING (doc), s),
+f AS (SELECT item, item_id, doc, doc_id, sum(q * part)::BIGINT AS score FROM q JOIN p USING (term) GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS FIRST) AS rank FROM f WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM r WHERE rank <= {top}"""
+
+
+def phrases(min_count: int, longest: int, top: int) -> str:
+    """Every phrase counted; the parts of a phrase and what holds it are found by their words."""
+    return rf"""
+WITH w AS MATERIALIZED (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM
+       (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({_LOWER}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+t AS (SELECT lang, sum(len(w))::BIGINT AS n FROM w GROUP BY lang),
+g AS (SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase
+      FROM w, (SELECT unnest(range(1, {longest + 1})) AS k) WHERE len(w) >= k),
+f AS MATERIALIZED (SELECT lang, k AS size, phrase, count(*) AS a FROM g GROUP BY ALL HAVING count(*) >= {min_count}),
+c AS (SELECT *, string_split(phrase, ' ') AS w FROM f x WHERE size >= 2 AND NOT EXISTS
+      (SELECT 1 FROM f y WHERE y.lang = x.lang AND y.a = x.a AND y.size > x.size AND contains(' ' || y.phrase || ' ', ' ' || x.phrase || ' '))),
+k AS (SELECT *, unnest(range(1, size)) AS k FROM c),
+p AS (SELECT k.lang, k.phrase, k.a, k.k, x.a AS l, y.a AS r, n, (1000::HUGEINT * k.a * n) // (x.a::HUGEINT * y.a) AS score FROM k JOIN t ON t.lang = k.lang
+      JOIN f x ON x.lang = k.lang AND x.phrase = array_to_string(k.w[:k.k], ' ') JOIN f y ON y.lang = k.lang AND y.phrase = array_to_string(k.w[k.k + 1:], ' ')),
+m AS (SELECT * FROM p QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+r AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM m)
+SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM r WHERE rank <= {top}"""

@@ -143,3 +143,22 @@ def by_bytes(batch: pa.RecordBatch, column: str, limit: int = BATCH_BYTES):
         upto = max(done + 1, int(np.searchsorted(ends, before + limit, "right")))
         yield batch.slice(done, upto - done)
         done = upto
+
+
+class Known:
+    """A bounded dictionary of 64-bit hashes; ``find`` tells which of many hashes it holds."""
+
+    SIEVE_BITS = 20
+
+    def __init__(self, hashes: np.ndarray):
+        self.hashes = hashes  # sorted, distinct
+        self.sieve = np.zeros(1 << self.SIEVE_BITS, bool)  # which upper bits occur
+        self.sieve[hashes >> np.uint64(64 - self.SIEVE_BITS)] = True
+
+    def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Positions in ``hashes`` of what is known, and its places in the dictionary."""
+        at = np.flatnonzero(self.sieve[hashes >> np.uint64(64 - self.SIEVE_BITS)])
+        which = np.searchsorted(self.hashes, hashes[at])
+        known = which < len(self.hashes)
+        known[known] = self.hashes[which[known]] == hashes[at[known]]
+        return at[known], which[known]

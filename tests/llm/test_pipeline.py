@@ -85,10 +85,11 @@ def test_ids_are_those_of_the_library(stages):
 
 def test_every_operator_is_registered():
     numbers = sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES if n.startswith("op"))
-    assert numbers == list(range(1, 11)) and "pipeline" in QUERIES and set(SQL) <= set(QUERIES)
+    assert numbers == list(range(1, 14)) and "pipeline" in QUERIES and set(SQL) <= set(QUERIES)
 
 
-@pytest.mark.parametrize("name", ["op4_chat_format", "op6_url_filter", "op8_quality_rules", "op9_near_dedup"])
+@pytest.mark.parametrize("name", ["op4_chat_format", "op6_url_filter", "op8_quality_rules", "op9_near_dedup", "op11_warc_revisits",
+                                  "op12_lexical_search", "op13_collocations"])
 def test_queries_agree_with_sql(name):
     from verification.compare import main
 

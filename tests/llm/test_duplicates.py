@@ -138,18 +138,25 @@ def brute_lines(rows, edits, min_chars):
     first = {}
     for *place, line in places:
         first.setdefault(line, tuple(place))
-    links = {line: set() for line in first}
+    root = {line: line for line in first}
+
+    def top(line):
+        while root[line] != line:
+            line = root[line]
+        return line
+
     for a, b in combinations(first, 2):
         if min(len(a), len(b)) >= min_chars and abs(len(a) - len(b)) <= edits and distance(a, b) <= edits:
-            links[a].add(b)
-            links[b].add(a)
+            early, late = sorted((top(a), top(b)), key=first.get)
+            root[late] = early
     found = {}
     for d, t in set(rows):
         own = [(k, line) for k, line in enumerate((t or "").split("\n")) if has_word(line)]
         firsts = [(k, line) for k, line in own if first[line] == (d is not None, d or 0, hash_of(t), k)]
-        kept = [k for k, line in firsts if not any(first[o] < first[line] for o in links[line])]
+        kept = [k for k, line in firsts if top(line) == line]
+        near = [(k, first[top(line)][1] if first[top(line)][0] else None, first[top(line)][3]) for k, line in firsts if top(line) != line]
         if own:
-            found[d, t] = (len(own), len(own) - len(firsts), len(firsts) - len(kept), sum(len(links[line]) for _, line in firsts), kept)
+            found[d, t] = (len(own), len(own) - len(firsts), len(near), kept, near)
     return found
 
 
@@ -169,7 +176,7 @@ def test_lines_agree_with_all_pairs(spark, edits, min_chars):
     # the order of rows that repeat an id is that of their hashes
     HASHES.update({r.text: r.h for r in docs.select("text", F.xxhash64("doc_id", "text").alias("h")).collect()})
     text_of = {HASHES[t]: t for _, t in rows}
-    got = {(r.doc_id, text_of[r.row_hash]): (r.n_lines, r.n_dup_lines, r.n_near_lines, r.n_links, r.kept_lines)
+    got = {(r.doc_id, text_of[r.row_hash]): (r.n_lines, r.n_dup_lines, r.n_near_lines, r.kept_lines, [tuple(x) for x in r.near_of])
            for r in lines.judge_lines(docs, edits, min_chars).collect()}
     expected = brute_lines(rows, edits, min_chars)
     assert got == expected and sum(v[2] for v in expected.values()) > 20
@@ -180,8 +187,8 @@ def test_lines_agree_with_all_pairs(spark, edits, min_chars):
         drop = expected.get((d, t))
         if drop is None:
             texts.setdefault(d, []).append(t)
-        elif drop[4]:
-            texts.setdefault(d, []).append("\n".join(x for k, x in enumerate(t.split("\n")) if k in drop[4] or not x.strip()))
+        elif drop[3]:
+            texts.setdefault(d, []).append("\n".join(x for k, x in enumerate(t.split("\n")) if k in drop[3] or not x.strip()))
     found = {}
     for r in kept.collect():
         assert r.kept_lines == "clash"
@@ -190,6 +197,28 @@ def test_lines_agree_with_all_pairs(spark, edits, min_chars):
     assert order(found) == order(texts)
 
 
+def test_pairs_of_variants_grow_with_their_number(spark, monkeypatch):
+    """Variants within two edits of one line, the line itself left out: the pairs compared must not be a square of them."""
+    pick = random.Random(8)
+    letters = "abcdefghijklmnopqrstuvwxyz "
+    line = "".join(pick.choice(letters) for _ in range(60))
+    counted = []
+    keep = lines.written
+    monkeypatch.setattr(lines, "written", lambda df, name: (df := keep(df, name), counted.append(df.count()) if name == "line-pairs" else None)[0])
+    sums = []
+    for n in (250, 500, 1000):
+        counted.clear()
+        rows = [(i, edited(pick, line, 2, letters)) for i in range(n)]
+        got = lines.judge_lines(frame(spark, rows)).collect()
+        sums.append(sum(counted))
+        if n == 250:
+            HASHES.update({r.text: r.h for r in frame(spark, rows).selectExpr("text", "xxhash64(doc_id, text) as h").collect()})
+            expected = brute_lines(rows, 2, 40)
+            text_of = {HASHES[t]: t for _, t in rows}
+            assert {(r.doc_id, text_of[r.row_hash]): r.kept_lines for r in got} == {k: v[3] for k, v in expected.items()}
+    assert sums[2] <= 8 * 1000 and sums[2] <= 3 * sums[1], sums  # of 499,500 pairs
+
+
 # --- benchmark items ------------------------------------------------------------------------------------
 
 

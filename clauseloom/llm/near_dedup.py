@@ -8,8 +8,9 @@ probability of about 2 in 100,000.
 **Exact check.** Every pair found is confirmed on the full sets, of which only candidates' are built.
 
 Documents with equal sets are one class from the start, found by grouping 128-bit set fingerprints, and copies are never
-paired.  Inside an index entry not all pairs are formed either.  First every class meets one leader per entry, chosen
-by a hash of its own; confirmed links make components.  Entries that still hold several components meet their hub, the member with
+paired.  Inside an index entry not all pairs are formed either.  First every class meets the leader, chosen by a hash of its own, of its
+largest entry; then, in entries that hold several components of confirmed links, those in another component than the leader meet
+it.  Entries that still hold several components meet their hub, the member with
 most links so far.  A member x that is not linked with its hub h can be linked with another member y only where both differ from h
 alike, in a number of elements that follows from the sizes (``may_share_enough``).  So the members meet on what they differ in: each
 enters the rarest of its elements, as many as suffice that a pair with the number to share has one in common, and a bitmap ends pairs
@@ -225,6 +226,13 @@ def _between(links: DataFrame, found: DataFrame) -> DataFrame:
     return joined.select(F.coalesce("component_a", "a").alias("a"), F.coalesce("component_b", "b").alias("b")).where("a <> b").distinct()
 
 
+def _near(pairs: DataFrame, classes: DataFrame, threshold: int) -> DataFrame:
+    """The pairs (a, b) of classes that are near by their sizes and signatures."""
+    a, b = classes.alias("a"), classes.alias("b")
+    near = pairs.alias("p").join(a, F.col("p.a") == F.col("a.node")).join(b, F.col("p.b") == F.col("b.node"))
+    return near.where(within_size("a", "b", threshold) & (differing_symbols("a", "b") <= ALLOWED)).select("p.a", "p.b")
+
+
 def near_duplicates(docs: DataFrame, size: int = 5, threshold: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id, kept: one row per row of ``docs`` (doc_id, text).
 
@@ -237,14 +245,21 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: int = 80) -> Data
     classes = written(classes, "classes")
     keys = classes.select(index_keys().alias("key"), "node")
     leaders = keys.groupBy("key").agg(F.min_by("node", F.xxhash64("node", "key")).alias("leader"), F.count("*").alias("size")).where("size > 1")
-    entries = written(keys.join(leaders.select("key", "leader"), "key"), "index-entries")
+    entries = written(keys.join(leaders, "key"), "index-entries")
 
-    met = entries.where("node <> leader").select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
-    a, b = classes.alias("a"), classes.alias("b")
-    near = met.alias("p").join(a, F.col("p.a") == F.col("a.node")).join(b, F.col("p.b") == F.col("b.node"))
-    near = near.where(within_size("a", "b", threshold) & (differing_symbols("a", "b") <= ALLOWED)).select("p.a", "p.b")
-    stars = compared(written(near, "pairs"), docs, size)
-    first = written(linked(stars, threshold), "links")
+    # a round with one leader for each class, then one with the leaders of all entries that it leaves open
+    largest = entries.where("node <> leader").groupBy("node").agg(F.max_by("leader", F.struct("size", F.xxhash64("key"))).alias("leader"))
+    begun = _near(largest.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct(), classes, threshold)
+    stars = compared(written(begun, "pairs"), docs, size)
+    begun = written(linked(stars, threshold), "links")
+    discard(stars)
+    found = components(begun)
+    of = found.select(F.col("node").alias("leader"), F.col("component").alias("leads"))
+    placed = entries.join(found, "node", "left").join(of, "leader", "left")
+    apart = F.coalesce("component", "node") != F.coalesce("leads", "leader")
+    met = placed.where(apart).select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
+    stars = compared(written(_near(met, classes, threshold), "pairs"), docs, size)
+    first = written(linked(stars, threshold).unionByName(begun).distinct(), "links")
     discard(stars)
     found = components(first)
 

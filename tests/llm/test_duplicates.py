@@ -78,6 +78,20 @@ def test_late_pairs_are_found_without_the_bound(spark, monkeypatch):
     assert bounded == {r.doc_id: r.component_id for r in near.near_duplicates(frame(spark, rows), 4, 80).collect()}
 
 
+def test_rows_grow_with_a_loose_group(spark, monkeypatch):
+    """Pairs compared and edges spread for n and 2 n loose copies of one text; all pairs would be four times as many."""
+    keep, counted = near.written, []
+    monkeypatch.setattr(near, "written", lambda df, name: (df := keep(df, name), counted.append(df.count()) if name in ("pairs", "late-pairs", "edges") else None)[0])
+    pick = random.Random(9)
+    base = " ".join(f"w{pick.randrange(400)}" for _ in range(120))
+    sums = []
+    for n in (150, 300):
+        counted.clear()
+        near.near_duplicates(frame(spark, [(i, varied(pick, base, pick.randint(1, 7))) for i in range(n)]), 4, 80).collect()
+        sums.append(sum(counted))
+    assert sums[1] <= 3 * sums[0] and sums[1] <= 60 * 300, sums
+
+
 def test_components_of_a_long_chain(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 101), (103, 102), (102, 101), (7, 7)]
     got = {r.node: r.component for r in near.components(spark.createDataFrame(edges, "a long, b long")).collect()}

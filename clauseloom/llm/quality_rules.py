@@ -28,7 +28,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 from pyspark.core.broadcast import Broadcast
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clauseloom.session import written
@@ -36,7 +36,6 @@ from clauseloom.session import written
 from .words import SEPARATOR, by_bytes, hash_words, mix, shingles, text_bytes
 
 SHARE, MIN_LANGUAGE_WORDS, BLOCK_LANGUAGES = 0.004, 5_000, 1_000
-LANGUAGE_SHARE = 0.005  # of the SQL beside the query, which gives no reference to languages below it
 MIN_WORDS, MIN_COMMON_WORDS = 50, 100
 MAX_CLASS_DISTANCE, MAX_WORD_DISTANCE = 0.3, 0.45
 
@@ -149,15 +148,34 @@ def measure(docs: DataFrame, share: float = SHARE, min_language_words: int = MIN
 
 
 def _distances(counted: DataFrame, min_language_words: int, typical: bool) -> DataFrame:
-    """The counts of one block of languages with their distances."""
-    medians = [F.array(*[F.percentile(s, F.lit(0.5)) for s in _class_shares()]).alias("typical")] if typical else []
-    sums = counted.groupBy("lang").agg(F.array(*[F.sum(F.col("classes")[i]) for i in range(len(CLASSES))]).alias("reference"), F.sum("n_words").alias("n"), *medians)
+    """The counts of one block of languages with their distances; ``counted`` is a written table."""
+    sums = counted.groupBy("lang").agg(F.array(*[F.sum(F.col("classes")[i]) for i in range(len(CLASSES))]).alias("reference"), F.sum("n_words").alias("n"))
+    sums = sums.where(F.col("n") >= min_language_words).drop("n")
+    if typical:
+        sums = sums.join(_medians(counted), "lang", "left")
     # one row per language with a reference, BLOCK_LANGUAGES on average
-    judged = counted.join(F.broadcast(sums.where(F.col("n") >= min_language_words).drop("n")), "lang", "left")
+    judged = counted.join(F.broadcast(sums), "lang", "left")
     distances = [_js(F.col("classes"), F.col("typical")).alias("typical_distance")] if typical else []
     return judged.select("doc_id", "lang", *COUNTS, _js(F.col("classes"), F.col("reference")).alias("class_distance"), "word_distance", *distances)
 
 
+def _medians(counted: DataFrame) -> DataFrame:
+    """lang, typical: for each class the exact median of its share in a text, in thousandths.
+
+    The shares are counted first, which leaves at most 1,001 rows for each language and class; empty texts have none.
+    """
+    total = F.aggregate("classes", F.lit(0).cast("long"), lambda s, v: s + v)
+    shares = F.transform("classes", lambda n: F.floor((2000 * n + F.col("total")) / (2 * F.col("total"))))
+    texts = counted.withColumn("total", total).where("total > 0").select("lang", F.posexplode(shares).alias("kind", "share"))
+    counts = texts.groupBy("lang", "kind", "share").agg(F.count("*").alias("n"))
+    of_kind = Window.partitionBy("lang", "kind")
+    upto = counts.withColumns({"upto": F.sum("n").over(of_kind.orderBy("share")), "all": F.sum("n").over(of_kind)})
+    # the two middle ones of an even number
+    middle = upto.groupBy("lang", "kind").agg((F.min(F.when(2 * F.col("upto") >= F.col("all"), F.col("share")))
+                                               + F.min(F.when(2 * F.col("upto") > F.col("all"), F.col("share")))).alias("twice"))
+    return middle.groupBy("lang").agg(F.array(*[F.max(F.when(F.col("kind") == i, F.col("twice") / 2)) for i in range(len(CLASSES))]).alias("typical"))
+
+
 def _counter(shared: Broadcast) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """What counts each text and compares its words with the shared references."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -194,12 +212,6 @@ def _counter(shared: Broadcast) -> Callable[[Iterator[pa.RecordBatch]], Iterator
     return count
 
 
-def _class_shares() -> list[Column]:
-    """The share of each class in a text, in thousandths, of which an exact median keeps 1,001 counts at most; null for empty texts."""
-    total = F.nullif(F.aggregate("classes", F.lit(0).cast("long"), lambda s, v: s + v), F.lit(0))
-    return [F.round(F.col("classes")[i] / total, 3) for i in range(len(CLASSES))]
-
-
 def _js(p: Column, q: Column) -> Column:
     """Jensen-Shannon distance of two arrays of counts; null where one is missing or empty."""
     total = lambda x: F.nullif(F.aggregate(x, F.lit(0.0), lambda s, v: s + v), F.lit(0.0))

@@ -57,12 +57,12 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), 4, 80)
 
 
-@query("op8_quality_rules", sql.quality(quality_rules.SHARE, quality_rules.LANGUAGE_SHARE, quality_rules.MIN_WORDS, quality_rules.MIN_COMMON_WORDS,
+@query("op8_quality_rules", sql.quality(quality_rules.SHARE, quality_rules.MIN_LANGUAGE_WORDS, quality_rules.MIN_WORDS, quality_rules.MIN_COMMON_WORDS,
                                         quality_rules.MAX_CLASS_DISTANCE, quality_rules.MAX_WORD_DISTANCE))
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.judge_quality(table(spark, sf_dir, "documents"), typical=True)
     return judged.select("doc_id", *quality_rules.COUNTS, "base_failed", "kept",
-                         F.round("class_distance", 6).alias("class_distance"), F.round("word_distance", 6).alias("word_distance"))
+                         *[F.round(c, 6).alias(c) for c in ("class_distance", "typical_distance", "word_distance")])
 
 
 @query("op1_decontamination")

@@ -71,7 +71,7 @@ SELECT d.doc_id, coalesce(max(n.n), 0)::BIGINT AS n_shingles, min(r.reached) AS
 FROM documents d LEFT JOIN n USING (doc_id) JOIN r USING (doc_id) GROUP BY d.doc_id"""
 
 
-def quality(share: float, language_share: float, min_words: int, min_common: int, max_class: float, max_word: float) -> str:
+def quality(share: float, min_language_words: int, min_words: int, min_common: int, max_class: float, max_word: float) -> str:
     """Counts by the contract; distances summed over the bins a text has, plus what the reference holds elsewhere."""
     kept_only = lambda kinds: f"length(regexp_replace(text, '[^{kinds}]', '', 'g'))"
     classes = {"lower": kept_only("a-z"), "upper": kept_only("A-Z"), "digit": kept_only("0-9"), "space": kept_only(r"\x20\x09-\x0D"),
@@ -87,7 +87,7 @@ win AS (SELECT id, i, count(*) OVER (PARTITION BY id, g) AS n FROM (SELECT id, u
 rep AS (SELECT id, count(DISTINCT i + k) AS n FROM win CROSS JOIN (VALUES (0), (1), (2)) s(k) WHERE n >= 2 GROUP BY id),
 wc AS MATERIALIZED (SELECT id, lang, word, count(*) AS n FROM (SELECT id, lang, unnest(w) AS word FROM d) GROUP BY ALL),
 lw AS (SELECT lang, word, sum(n) AS n FROM wc GROUP BY ALL),
-lt AS (SELECT lang, sum(n) AS total FROM lw GROUP BY lang HAVING sum(n) >= {language_share} * (SELECT sum(n) FROM lw)),
+lt AS (SELECT lang, sum(n) AS total FROM lw GROUP BY lang HAVING sum(n) >= {min_language_words}),
 common AS (SELECT lang, word, n::DOUBLE / total AS q FROM lw JOIN lt USING (lang) WHERE n >= {share} * total),
 rest AS (SELECT lang, 1 - coalesce(sum(q), 0) AS q FROM lt LEFT JOIN common USING (lang) GROUP BY lang),
 bins AS (SELECT id, wc.lang, coalesce(c.word, '') AS bin, sum(n)::DOUBLE / sum(sum(n)) OVER (PARTITION BY id) AS p, coalesce(any_value(c.q), any_value(rest.q)) AS q
@@ -98,15 +98,19 @@ cl AS (SELECT id, lang, unnest({list(classes)}) AS kind, unnest([{", ".join(clas
 cr AS (SELECT lang, kind, sum(n) / nullif(sum(sum(n)) OVER (PARTITION BY lang), 0) AS q FROM cl WHERE lang IN (SELECT lang FROM lt) GROUP BY lang, kind),
 cp AS (SELECT id, lang, kind, n / nullif(sum(n) OVER (PARTITION BY id), 0) AS p FROM cl),
 cd AS (SELECT id, sqrt(least(greatest(sum{both} / 2, 0), 1)) AS distance FROM cp JOIN cr USING (lang, kind) WHERE p IS NOT NULL GROUP BY id),
+ct AS (SELECT id, lang, kind, n::BIGINT AS n, sum(n::BIGINT) OVER (PARTITION BY id) AS total FROM cl WHERE lang IN (SELECT lang FROM lt)),
+md AS (SELECT lang, kind, quantile_cont(((2000 * n + total) // (2 * total))::BIGINT, 0.5) AS q FROM ct WHERE total > 0 GROUP BY lang, kind),
+mt AS (SELECT lang, kind, q / nullif(sum(q) OVER (PARTITION BY lang), 0) AS q FROM md),
+td AS (SELECT id, sqrt(least(greatest(sum{both} / 2, 0), 1)) AS distance FROM cp JOIN mt USING (lang, kind) WHERE p IS NOT NULL AND q IS NOT NULL GROUP BY id),
 counted AS (SELECT d.id, doc_id, len(w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
       length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines,
-      coalesce(rep.n, 0)::BIGINT AS n_repeat_words, cd.distance AS class_distance,
+      coalesce(rep.n, 0)::BIGINT AS n_repeat_words, cd.distance AS class_distance, td.distance AS typical_distance,
       CASE WHEN d.lang IN (SELECT lang FROM lt) THEN coalesce(wd.distance, 0) END AS word_distance
-      FROM d LEFT JOIN rep USING (id) LEFT JOIN cd ON cd.id = d.id LEFT JOIN wd ON wd.id = d.id),
+      FROM d LEFT JOIN rep USING (id) LEFT JOIN cd ON cd.id = d.id LEFT JOIN td ON td.id = d.id LEFT JOIN wd ON wd.id = d.id),
 judged AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
-      coalesce(n_words >= {min_words} AND class_distance > {max_class}, false) OR coalesce(n_words >= {min_common} AND word_distance > {max_word}, false) AS far FROM counted)
+      coalesce(n_words >= {min_words} AND greatest(class_distance, typical_distance) > {max_class}, false) OR coalesce(n_words >= {min_common} AND word_distance > {max_word}, false) AS far FROM counted)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT far AS kept,
-       round(class_distance, 6) AS class_distance, round(word_distance, 6) AS word_distance FROM judged"""
+       round(class_distance, 6) AS class_distance, round(typical_distance, 6) AS typical_distance, round(word_distance, 6) AS word_distance FROM judged"""
 
 
 def archives() -> str:

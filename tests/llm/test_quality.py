@@ -1,5 +1,6 @@
 import math
 import re
+import statistics
 import zlib
 from collections import Counter
 
@@ -35,15 +36,16 @@ def table(spark, sf):
 def test_counts_and_distances_agree_with_plain_python(spark, sf):
     docs = table(spark, sf)
     texts = [(r.doc_id, r.text or "", r.lang or "") for r in docs.collect()]
-    got = {r.doc_id: r for r in rules.judge_quality(docs).collect()}
-    assert rules.judge_quality(docs).count() == len(texts)
+    judged = rules.judge_quality(docs, typical=True).collect()
+    got = {r.doc_id: r for r in judged}
+    assert len(judged) == len(texts)
     words_of = Counter()
     for _, t, lang in texts:
         words_of.update((lang, w) for w in re.findall(r"[^\x20\x09-\x0D]+", t))
     total = Counter()
     for (lang, _), n in words_of.items():
         total[lang] += n
-    large = {lang for lang, n in total.items() if n >= rules.LANGUAGE_SHARE * sum(total.values())}
+    large = {lang for lang, n in total.items() if n >= rules.MIN_LANGUAGE_WORDS}
     common = {lang: {w: n for (x, w), n in words_of.items() if x == lang and n >= rules.SHARE * total[lang]} for lang in large}
 
     def kinds(text):
@@ -64,6 +66,10 @@ def test_counts_and_distances_agree_with_plain_python(spark, sf):
         return math.sqrt(max(0.0, sum(part(a, b) + part(b, a) for a, b in zip(p, q)) / 2))
 
     reference = {lang: [sum(x) for x in zip(*(kinds(t) for _, t, x in texts if x == lang))] for lang in large}
+    typical = {}
+    for lang in large:
+        shares = [[(2000 * x + sum(k)) // (2 * sum(k)) for x in k] for _, t, x in texts if x == lang and t for k in [kinds(t)]]
+        typical[lang] = [statistics.median(x) for x in zip(*shares)]
     for d, t, lang in texts:
         r = got[d]
         counts = plain_counts(t)
@@ -77,7 +83,9 @@ def test_counts_and_distances_agree_with_plain_python(spark, sf):
             word = js(rest(mine, counts[0]), rest(common[lang], total[lang]))
             kind = js(kinds(t), reference[lang])
             assert r.word_distance == pytest.approx(word, abs=1e-6) and r.class_distance == pytest.approx(kind, abs=1e-6)
-            far = kind > rules.MAX_CLASS_DISTANCE or counts[0] >= rules.MIN_COMMON_WORDS and word > rules.MAX_WORD_DISTANCE
+            middle = js(kinds(t), typical[lang])
+            assert r.typical_distance == pytest.approx(middle, abs=1e-6)
+            far = max(kind, middle) > rules.MAX_CLASS_DISTANCE or counts[0] >= rules.MIN_COMMON_WORDS and word > rules.MAX_WORD_DISTANCE
         assert (r.base_failed, r.kept) == (failed, not failed and not far)
 
 
@@ -108,7 +116,7 @@ def test_a_small_language_beside_large_ones_is_judged(spark):
     small.append((-99, " ".join(f"%{i}%" for i in range(120)), "xx"))
     large = [(i, " ".join(f"term{(i + k * k) % 97}" for k in range(20_000)), "en") for i in range(80)]
     docs = spark.createDataFrame(small + large, "doc_id long, text string, lang string")
-    assert len(small) * 120 < rules.LANGUAGE_SHARE * len(large) * 20_000
+    assert len(small) * 120 < 0.005 * len(large) * 20_000
     got = {r.doc_id: r for r in rules.judge_quality(docs).where("lang = 'xx'").collect()}
     assert got[-99].class_distance > 0.3 and got[-99].word_distance > 0.45 and not got[-99].kept
     assert all(r.word_distance < 0.3 for d, r in got.items() if d != -99)

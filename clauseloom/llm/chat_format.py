@@ -63,12 +63,32 @@ def format_conversations(turns: DataFrame, target: str = TARGET) -> DataFrame:
         F.aggregate("turns", zero, step, lambda s: s["examples"]).alias("examples"))
 
 
-def examples(formatted: DataFrame) -> DataFrame:
-    """One row per example: conv_id, number, text (context and target), mask_start, mask_chars."""
-    rows = formatted.select("conv_id", "formatted", F.explode("examples").alias("e"))
+def examples(formatted: DataFrame, *keep: str, all_rows: bool = False) -> DataFrame:
+    """One row per example: conv_id, number, text (context and target), mask_start, mask_chars, and the columns ``keep``.
+
+    ``all_rows``: with a row of nulls for each conversation that has no example.
+    """
+    spread = F.explode_outer if all_rows else F.explode
+    rows = formatted.select("conv_id", *keep, "formatted", spread("examples").alias("e"))
     text = F.substring("formatted", F.lit(1), F.col("e.end").cast("int"))
     return rows.select("conv_id", F.col("e.number").alias("number"), text.alias("text"), F.col("e.mask_start").alias("mask_start"),
-                       F.col("e.mask_chars").alias("mask_chars"))
+                       F.col("e.mask_chars").alias("mask_chars"), *keep)
+
+
+def trained_text(target: str = TARGET) -> Column:
+    """The text under the loss mask of a row of ``examples``; an example that does not end with the target's own turn is an error."""
+    head = START + _plain_escape(target) + ":\n"
+    start, chars = F.col("mask_start").cast("int"), F.col("mask_chars").cast("int")
+    ends = (start + chars + len(END) == F.char_length("text")) & F.endswith("text", F.lit(END))
+    begins = F.substring("text", start - len(head) + 1, F.lit(len(head))) == head
+    loss = F.when(ends & begins, unescape(F.substring("text", start + 1, chars)))
+    return F.when(F.col("text").isNotNull(), F.coalesce(loss, F.raise_error(F.lit("an example whose mask is not its last turn"))))
+
+
+def _plain_escape(role: str) -> str:
+    for plain, code in ROLE_ESCAPES:
+        role = role.replace(plain, code)
+    return role
 
 
 def turns_of(formatted: Column) -> Column:
@@ -80,14 +100,17 @@ def turns_of(formatted: Column) -> Column:
         unescape(F.substring(b, middle(b) + 2, F.char_length(b))).alias("text")))
 
 
-def digest(formatted: DataFrame) -> DataFrame:
-    """Per conversation, from the stored output: turn count and digest, and what lies under the loss masks of its examples."""
+def digest(formatted: DataFrame, target: str = TARGET) -> DataFrame:
+    """Per conversation, from the stored output: turn count and digest, and the text under the loss masks of its expanded examples."""
     turns = turns_of(F.col("formatted"))
     whole = formatted.select(
-        "conv_id", F.size(turns).cast("long").alias("n_turns"),
+        "conv_id", "formatted", "examples", F.size(turns).cast("long").alias("n_turns"),
         F.sha2(F.concat_ws("", F.transform(turns, lambda t: F.concat(t.role, F.lit("\n"), t.text, F.lit("\n")))), 256).alias("turns_sha256"),
-        F.transform("examples", lambda e: unescape(F.substring("formatted", (e.mask_start + 1).cast("int"), e.mask_chars.cast("int")))).alias("losses"),
         F.char_length("formatted").cast("long").alias("formatted_chars"))
-    loss = F.concat_ws("", "losses")
-    return whole.select("conv_id", "n_turns", "turns_sha256", F.char_length(loss).cast("long").alias("loss_chars"),
-                        F.sha2(loss, 256).alias("loss_sha256"), "formatted_chars", F.size("losses").cast("long").alias("n_examples"))
+    of_conversation = ("n_turns", "turns_sha256", "formatted_chars")
+    rows = examples(whole, *of_conversation, all_rows=True).select("conv_id", *of_conversation, F.struct("number", trained_text(target).alias("loss")).alias("one"))
+    grouped = rows.groupBy("conv_id").agg(*[F.max(c).alias(c) for c in of_conversation],
+                                          F.sort_array(F.collect_list(F.when(F.col("one.number").isNotNull(), F.col("one")))).alias("all"))
+    loss = F.concat_ws("", F.transform("all", lambda one: one["loss"]))
+    return grouped.select("conv_id", "n_turns", "turns_sha256", F.char_length(loss).cast("long").alias("loss_chars"), F.sha2(loss, 256).alias("loss_sha256"),
+                          "formatted_chars", F.size("all").cast("long").alias("n_examples"))

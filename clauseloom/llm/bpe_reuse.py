@@ -2,10 +2,10 @@
 
 A rolling hash over the code points cuts every text where the last ``WINDOW`` of them hash to a given pattern, so equal
 passages of different documents fall into equal chunks wherever they stand.  A worker encodes each distinct chunk once and
-keeps its ids.  A chunk may end inside a word, where the ids of two chunks side by side are not those of the joined text:
+keeps its ids over all its tasks, up to ``CACHE_CHARS``.  A chunk may end inside a word, where the ids of two chunks side by side are not those of the joined text:
 each join is repaired by encoding a window around it again.  The window grows by one blank on either side until the ids of
-its two outer parts agree with the last ids of the left chunk and the first ids of the right one; a chunk without any blank
-is taken into the window as a whole.  Blanks end pre-tokens and are dropped, so what agrees there is exact.
+its two outer parts agree with the last ids of the left chunk and the first ids of the right one; chunks without any blank
+are joined to the one before and encoded with it, once.  Blanks end pre-tokens and are dropped, so what agrees there is exact.
 
 Null or empty text: no ids, and the decoded text is empty.  Repeated rows are encoded each; extra columns pass through
 unless they clash with the results.
@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .encoding import CACHE_CHARS, PieceEncoder, load_tokenizer
+from .registry import free_name
 
 WINDOW, CUT_BITS = 16, 9  # a cut about every 512 code points
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
@@ -58,20 +59,48 @@ def cuts(text: str) -> list[int]:
     return [*ends[ends < n].tolist(), n]
 
 
+def spans(text: str) -> list[tuple[int, int, bool]]:
+    """Start and end of what is encoded together, and whether it is one chunk: chunks up to the next one with a blank."""
+    found: list[tuple[int, int, bool]] = []
+    start, open_ = 0, True  # no blank yet in what came last
+    for end in cuts(text):
+        blank = blank_after(text, start, end) < end
+        if found and (open_ or not blank):
+            found[-1] = (found[-1][0], end, False)
+            open_ = open_ and not blank
+        else:
+            found.append((start, end, True))
+            open_ = not blank
+        start = end
+    return found
+
+
 def blank_before(text: str, end: int) -> int:
     """The last place before ``end`` behind a blank or a line break; 0 where there is none."""
     return max(text.rfind(" ", 0, end), text.rfind("\n", 0, end)) + 1
 
 
-def blank_after(text: str, start: int) -> int:
+def blank_after(text: str, start: int, end: int | None = None) -> int:
     """The first blank or line break from ``start`` on; the end where there is none."""
-    found = [i for i in (text.find(" ", start), text.find("\n", start)) if i >= 0]
-    return min(found, default=len(text))
+    end = len(text) if end is None else end
+    found = [i for i in (text.find(" ", start, end), text.find("\n", start, end)) if i >= 0]
+    return min(found, default=end)
+
+
+_ENCODERS: dict[str, "ChunkEncoder"] = {}
+_DECODERS: dict[str, "Decoder"] = {}
+LONG_WINDOW = 10_000  # longer windows are not kept
 
 
 class ChunkEncoder:
     """Chunks and joins of one worker; both caches start afresh beyond ``CACHE_CHARS``."""
 
+    @classmethod
+    def of_worker(cls, path: str) -> "ChunkEncoder":
+        if path not in _ENCODERS:
+            _ENCODERS[path] = cls(path)
+        return _ENCODERS[path]
+
     def __init__(self, path: str):
         self.pieces = PieceEncoder.of_worker(path)
         self.chunks: dict[str, np.ndarray] = {}
@@ -80,6 +109,8 @@ class ChunkEncoder:
         self.reused = self.encoded = 0
 
     def _window(self, text: str) -> list[int]:
+        if len(text) > LONG_WINDOW:
+            return self.pieces.tokenizer.encode(text, add_special_tokens=False).ids
         if text not in self.windows:
             self.windows[text] = self.pieces.tokenizer.encode(text, add_special_tokens=False).ids if text else []
             self.chars += len(text)
@@ -109,27 +140,25 @@ class ChunkEncoder:
             start = start if agrees_left else blank_before(left, start - 1)
             end = end if agrees_right else blank_after(right, end + 1)
 
-    def encode(self, text: str) -> np.ndarray:
-        """The ids of ``text``; its chunks have been given to ``chunk_ids``."""
-        start, parts = 0, []
-        whole, ids = "", np.zeros(0, np.int32)  # what has not been given out yet, and its ids
-        for end in cuts(text):
-            chunk = text[start:end]
-            start = end
-            own = self.chunks[chunk]
+    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text; new chunks of all of them are encoded first, in one call."""
+        parts = [spans(t) for t in texts]
+        self.chunk_ids([t[a:b] for t, own in zip(texts, parts) for a, b, single in own if single])
+        return [self._joined(t, own) for t, own in zip(texts, parts)]
+
+    def _joined(self, text: str, parts: list[tuple[int, int, bool]]) -> np.ndarray:
+        done: list[np.ndarray] = []
+        whole, ids = "", np.zeros(0, np.int32)  # what has not been given out yet, and its ids; with a blank, unless it is all
+        for start, end, single in parts:
+            part = text[start:end]
+            own = self.chunks[part] if single else self.pieces.encode([part])[0]
             if not whole:
-                whole, ids = chunk, own
-                continue
-            if " " not in chunk and "\n" not in chunk or " " not in whole and "\n" not in whole:
-                # no blank on one side of the join: both are one stretch of text, encoded as a whole
-                whole, ids = whole + chunk, None
-                ids = self.pieces.encode([whole])[0]
+                whole, ids = part, own
                 continue
-            keep, window, drop = self._repaired(whole, ids, chunk, own)
-            parts += [ids[:keep], np.asarray(window, np.int32)]
-            whole, ids = chunk[blank_after(chunk, 0):], own[drop:]
-        parts.append(ids)
-        return np.concatenate(parts) if len(parts) > 1 else parts[0]
+            keep, window, drop = self._repaired(whole, ids, part, own)
+            done += [ids[:keep], np.asarray(window, np.int32)]
+            whole, ids = part[blank_after(part, 0):], own[drop:]
+        return np.concatenate([*done, ids]) if done else ids
 
 
 class Decoder:
@@ -141,6 +170,12 @@ class Decoder:
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.tokens = [self.tokenizer.id_to_token(i) or "" for i in range(size)] if self.plain else []
 
+    @classmethod
+    def of_worker(cls, path: str) -> "Decoder":
+        if path not in _DECODERS:
+            _DECODERS[path] = cls(path)
+        return _DECODERS[path]
+
     def decode(self, ids: np.ndarray) -> str:
         if not self.plain:
             return self.tokenizer.decode(ids.tolist(), skip_special_tokens=False)
@@ -159,7 +194,7 @@ def coded(docs: DataFrame, path: str, with_ids: bool = False) -> DataFrame:
 
     @F.pandas_udf(kind)
     def code(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        encoder, decoder = ChunkEncoder(path), Decoder(path)
+        encoder, decoder = ChunkEncoder.of_worker(path), Decoder.of_worker(path)
         for column in batches:
             rows, texts = [], column.tolist()
             done = 0
@@ -168,10 +203,7 @@ def coded(docs: DataFrame, path: str, with_ids: bool = False) -> DataFrame:
                 while upto < len(texts) and (chars < BATCH_CHARS or upto == done):
                     chars += len(texts[upto])
                     upto += 1
-                group = texts[done:upto]
-                encoder.chunk_ids([t[a:b] for t in group for ends in [cuts(t)] for a, b in zip([0, *ends], ends)])
-                for text in group:
-                    ids = encoder.encode(text) if text else np.zeros(0, np.int32)
+                for ids in encoder.encode_all(texts[done:upto]):
                     decoded = decoder.decode(ids)
                     rows.append((len(ids), hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest(),
                                  hashlib.sha256(decoded.encode()).hexdigest(), *((ids,) if with_ids else ())))
@@ -181,5 +213,6 @@ def coded(docs: DataFrame, path: str, with_ids: bool = False) -> DataFrame:
 
     names = [c.split()[0] for c in kind.split(", ")]
     own = docs.drop(*names)
-    rows = own.withColumn("code_", code(F.coalesce(F.col("text").cast("string"), F.lit(""))))
-    return rows.select(*own.columns, *[F.col(f"code_.{n}").alias(n) for n in names])
+    result = free_name(own, "code_")
+    rows = own.withColumn(result, code(F.coalesce(F.col("text").cast("string"), F.lit(""))))
+    return rows.select(*own.columns, *[F.col(f"{result}.{n}").alias(n) for n in names])

@@ -51,6 +51,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def free_name(df: DataFrame, stem: str) -> str:
+    """A column name that ``df`` does not have, in any case of letters."""
+    taken = {c.lower() for c in df.columns}
+    while stem.lower() in taken:
+        stem += "_"
+    return stem
+
+
 def discard(stored: DataFrame) -> None:
     """Delete the files of a table that ``session.written`` gave, once all that is made of it is written itself."""
     context = stored.sparkSession.sparkContext

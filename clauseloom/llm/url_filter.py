@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from clauseloom.session import written
 
-from .registry import discard
+from .registry import discard, free_name
 
 TOLERANCE, DAMPING, THRESHOLD, ROUNDS_PER_WRITE = 1e-6, 0.85, 0.5, 5
 ROUNDS = 10  # of the SQL beside the query, which cannot run until nothing changes
@@ -115,10 +115,11 @@ def judge_urls(pages: DataFrame, rules: tuple[Rule, ...], rounds: int | None = N
     own = pages.drop("host", "path", "rule", "verdict", "trust", "distrust")
     url = F.col("url").cast("string")
     parsed = own.withColumn("host", host_of(url)).withColumn("path", path_of(url))
-    ruled = parsed.withColumn("fit", rule_of(F.col("host"), F.col("path"), rules))
+    fit = free_name(parsed, "fit")
+    ruled = parsed.withColumn(fit, rule_of(F.col("host"), F.col("path"), rules))
     counted = ruled.where("host != ''").groupBy("host").agg(
-        F.coalesce(F.count_if(F.col("fit.verdict") == "allow"), F.lit(0)).cast("double").alias("trusted"),
-        F.coalesce(F.count_if(F.col("fit.verdict") == "block"), F.lit(0)).cast("double").alias("blocked"))
+        F.coalesce(F.count_if(F.col(f"{fit}.verdict") == "allow"), F.lit(0)).cast("double").alias("trusted"),
+        F.coalesce(F.count_if(F.col(f"{fit}.verdict") == "block"), F.lit(0)).cast("double").alias("blocked"))
     edges = written(host_edges(ruled.select("host", F.col("html").cast("string").alias("html"))), "host-edges")
     linked = edges.select(F.col("dst").alias("host"), F.lit(0.0).alias("trusted"), F.lit(0.0).alias("blocked"))
     hosts = written(counted.unionByName(linked).groupBy("host").agg(F.sum("trusted").alias("trusted"), F.sum("blocked").alias("blocked")), "hosts")
@@ -133,5 +134,5 @@ def judge_urls(pages: DataFrame, rules: tuple[Rule, ...], rounds: int | None = N
     scores = trust.join(distrust, "host")
     judged = ruled.join(scores, "host", "left")
     bad = (F.col("distrust") > 0) & (F.col("distrust") >= threshold * (F.col("trust") + F.col("distrust")))
-    verdict = F.coalesce(F.col("fit.verdict"), F.when(bad, F.lit("block")).otherwise(F.lit("allow")))
-    return judged.withColumn("rule", F.col("fit.rule")).withColumn("verdict", verdict).drop("fit").select(*own.columns, "host", "path", "rule", "verdict", "trust", "distrust")
+    verdict = F.coalesce(F.col(f"{fit}.verdict"), F.when(bad, F.lit("block")).otherwise(F.lit("allow")))
+    return judged.withColumn("rule", F.col(f"{fit}.rule")).withColumn("verdict", verdict).drop(fit).select(*own.columns, "host", "path", "rule", "verdict", "trust", "distrust")

@@ -1,6 +1,8 @@
 import hashlib
 
 import numpy as np
+import pytest
+from pyspark.sql import functions as F
 
 from clauseloom.llm import chat_format as chat
 from clauseloom.llm import url_filter as urls
@@ -42,6 +44,15 @@ def test_each_assistant_turn_is_an_example_with_its_context(spark):
     assert first.text.endswith("</turn>\n") and first.mask_start + first.mask_chars == len(first.text) - len("</turn>\n")
 
 
+def test_a_wrong_mask_is_an_error(spark):
+    """The digest goes through the expanded examples, so a wrong context or end does not pass."""
+    formatted = chat.format_conversations(frame(spark, TURNS)).where("conv_id = 1")
+    for field, change in (("end", 1), ("mask_start", -1), ("mask_chars", 1)):
+        wrong = formatted.withColumn("examples", F.transform("examples", lambda e: e.withField(field, e[field] + change)))
+        with pytest.raises(Exception, match="mask is not its last turn"):
+            chat.digest(wrong).collect()
+
+
 def test_a_long_conversation_is_stored_in_proportion(spark):
     rows = [(1, i, "assistant" if i % 2 else "user", f"turn {i} " * 3) for i in range(2_000)]
     r = chat.digest(chat.format_conversations(frame(spark, rows))).first()
@@ -75,6 +86,8 @@ def test_urls_and_rules(spark):
     rows = {r.url: r for r in urls.judge_urls(pages, RULES, rounds=2).collect()}
     assert {u: (r.host, r.path, r.rule) for u, r in rows.items()} == CASES
     assert rows["http://b.com/fr/"].verdict == "allow" and rows["x://notexample.org/es/"].verdict == "allow"
+    clash = urls.judge_urls(pages.withColumns({"fit": F.lit("mine"), "trust": F.lit("x"), "host": F.lit("y")}), RULES, rounds=1)
+    assert {(r.url, r.fit, r.host) for r in clash.collect()} == {(u, "mine", h) for u, (h, _, _) in CASES.items()}
     assert rows["http://A.Example.ORG/es/1"].verdict == "block" and rows[None].verdict == "allow"
 
 

@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -56,9 +57,8 @@ def test_pieces_agree_with_the_library(texts, expected):
 def test_chunks_are_repaired_at_their_joins(texts, expected):
     encoder = bpe_reuse.ChunkEncoder(PATH)
     for text, ids in zip(texts, expected):
-        ends = bpe_reuse.cuts(text)
-        encoder.chunk_ids([text[a:b] for a, b in zip([0, *ends], ends)])
-        assert not text or encoder.encode(text).tolist() == ids
+        assert encoder.encode_all([text])[0].tolist() == ids
+    assert [x.tolist() for x in encoder.encode_all(texts)] == expected
     prose = " ".join(random.Random(2).choices(["thistle", "heather", "moss", "fern."], k=4_000))
     moved = "another start " + prose
     shared = {prose[a:b] for a, b in zip([0, *bpe_reuse.cuts(prose)], bpe_reuse.cuts(prose))}
@@ -66,6 +66,31 @@ def test_chunks_are_repaired_at_their_joins(texts, expected):
     assert sum(again) >= len(again) - 2  # chunks are found again wherever they stand
 
 
+def test_long_texts_without_blanks(expected):
+    """A stretch without blanks is encoded once, also between texts with blanks."""
+    pick, tokenizer, encoder = random.Random(7), load_tokenizer(PATH), bpe_reuse.ChunkEncoder(PATH)
+    stretch = "".join(chr(pick.randrange(0x4E00, 0x9FA0)) for _ in range(1_000_000))
+    words = " ".join(pick.choices(["thistle", "heather", "moss"], k=500))
+    start = time.perf_counter()
+    ids = tokenizer.encode(stretch, add_special_tokens=False).ids
+    library = time.perf_counter() - start
+    start = time.perf_counter()
+    assert encoder.encode_all([stretch])[0].tolist() == ids
+    assert time.perf_counter() - start < 10 * library + 1
+    for text in (words + stretch[:20_000], stretch[:20_000] + " " + words, words + " " + stretch[:3_000] + " " + words + stretch[:3_000]):
+        assert encoder.encode_all([text])[0].tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_chunks_are_kept_over_tasks():
+    encoder = bpe_reuse.ChunkEncoder.of_worker(PATH)
+    assert encoder is bpe_reuse.ChunkEncoder.of_worker(PATH)
+    prose = " ".join(random.Random(3).choices(["thistle", "heather", "moss", "fern."], k=2_000))
+    encoder.encode_all([prose])
+    encoded, reused = encoder.encoded, encoder.reused
+    encoder.encode_all([prose, "more " + prose])
+    assert encoder.encoded <= encoded + 2 and encoder.reused > reused + 20
+
+
 def test_decoding_agrees_with_the_library(expected):
     tokenizer, decoder = load_tokenizer(PATH), bpe_reuse.Decoder(PATH)
     assert all(decoder.decode(np.array(ids, np.int32)) == tokenizer.decode(ids, skip_special_tokens=False) for ids in expected)
@@ -79,6 +104,8 @@ def frame(spark, texts):
 def test_operators_on_tables(spark, texts, expected, tmp_path):
     docs, ids_of = frame(spark, texts), [*expected, []]
     text_of = [*texts, ""]
+    clash = bpe_reuse.coded(docs.limit(2).withColumn("code_", F.lit("mine")), PATH)
+    assert all(r.code_ == "mine" and r.ids_sha256 for r in clash.collect())
     coded = bpe_reuse.coded(docs, PATH, with_ids=True).collect()
     assert len(coded) == len(texts) + 2
     for r in coded:

@@ -8,9 +8,11 @@ stands unchanged in the document.  Taken are those that fewest documents contain
 document without a seed of an item cannot hold it.  Where a seed is found, the part of the text that an alignment through it can
 touch is aligned, if it has enough words of the item at all.
 
-Words are runs of letters and digits in lower case; ASCII, Latin-1 and general punctuation separates.  The items are a query
+Words are runs of letters and digits in lower case; ASCII, Latin-1, general and East Asian punctuation separates.  In scripts
+without blanks (Chinese, Japanese, Thai and their like) each code point is a word.  The items are a query
 set, broadcast in blocks of at most ``BLOCK_CHARS`` characters, each of which meets all documents inside their rows: no text is
-shuffled.  Items of fewer than ``MIN_WORDS`` words are too short to tell a leak and are passed over; so are null items.
+shuffled.  Items of fewer than ``EXACT_BELOW`` words must stand in the document word for word.  Those of fewer than ``SEED``, which
+any text may hold by chance, are not searched, and neither are null items; ``unsearched`` lists both.
 Null, empty and short documents hold nothing.  Items with equal texts are reported each, repeated rows too.
 """
 
@@ -27,7 +29,7 @@ from pyspark.sql import functions as F
 
 from .words import Words, by_bytes, hash_words, shingles, text_bytes
 
-SEED, MIN_WORDS, SIMILARITY = 3, 8, 80
+SEED, EXACT_BELOW, SIMILARITY = 3, 8, 80
 BLOCK_CHARS = 4_000_000
 _SIEVE_BITS = 20
 _PART = 1 << 20  # scores and matches share a number: score x _PART + matches
@@ -38,9 +40,20 @@ for _first, _last in ("09", "az", "AZ"):
     _BETWEEN[ord(_first):ord(_last) + 1] = False
 
 
+_EASTERN = np.zeros(256, bool)
+_EASTERN[[0xE0, 0xE1, *range(0xE3, 0xEA), 0xEF, *range(0xF0, 0xF5)]] = True
+_ALONE = "([\u0e00-\u0edf\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3041-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff])"
+_EASTERN_MARKS = "[\u3000-\u3004\u3008-\u3040\u30fb\uff01-\uff0f\uff1a-\uff20\uff3b-\uff40\uff5b-\uff65]"
+
+
 def leak_words(column: pa.Array) -> Words:
     """Hashes of the lower-case words of texts."""
-    data, offsets = text_bytes(pc.utf8_lower(column.cast(pa.large_string())))
+    column = pc.utf8_lower(column.cast(pa.large_string()))
+    data, offsets = text_bytes(column)
+    # first bytes of U+0800 to U+0FFF, U+1000 to U+1FFF, U+3000 to U+9FFF, U+F000 to U+FFFF and beyond
+    if _EASTERN[data].any():
+        marked = pc.replace_substring_regex(column, _EASTERN_MARKS, " ")
+        data, offsets = text_bytes(pc.replace_substring_regex(marked, _ALONE, r" \1 "))
     lead = np.flatnonzero(data[:-1] >= 0xC2) if len(data) else np.zeros(0, np.int64)
     latin = lead[data[lead] == 0xC2]
     general = lead[(data[lead] == 0xE2) & (data[lead + 1] & 0xFE == 0x80)]
@@ -77,7 +90,7 @@ def _sieve(grams: np.ndarray) -> np.ndarray:
 
 def build_block(ids: list[int], texts: list[str]) -> Block:
     words = leak_words(pa.array(texts, pa.string()))
-    long = np.flatnonzero(words.counts >= MIN_WORDS)
+    long = np.flatnonzero(words.counts >= SEED)
     grams = np.unique(shingles(words, SEED, whole_if_short=False).hashes)
     return Block(np.array(ids, np.int64)[long], [words.hashes[words.bounds[i]:words.bounds[i + 1]] for i in long], grams, _sieve(grams))
 
@@ -87,7 +100,7 @@ def _grams(words: np.ndarray) -> np.ndarray:
 
 
 def edits(length: int, similarity: int) -> int:
-    return length * (100 - similarity) // 100
+    return length * (100 - similarity) // 100 if length >= EXACT_BELOW else 0
 
 
 def align(text: np.ndarray, item: np.ndarray) -> tuple[int, int, int]:
@@ -207,6 +220,17 @@ def find_leaks(docs: DataFrame, items: DataFrame, similarity: int = SIMILARITY,
     return found
 
 
+def unsearched(items: DataFrame) -> DataFrame:
+    """item_id, n_words: the items that ``find_leaks`` passes over."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column("item_id"), pa.array(leak_words(batch.column("text")).counts, pa.int64())], names=["item_id", "n_words"])
+
+    rows = items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
+    return rows.mapInArrow(count, "item_id long, n_words long").where(F.col("n_words") < SEED)
+
+
 def without_leaks(docs: DataFrame, items: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
     """``docs`` without those that hold an item; a document is dropped whole.  Rows without an id are kept."""
     leaks = find_leaks(docs, items, similarity).select("doc_id").distinct()

@@ -263,7 +263,7 @@ def test_leaks_agree_with_aligning_everything(spark):
     for d, t in rows:
         for i, item in items:
             own = words(item)
-            if len(own) >= dec.MIN_WORDS and len(words(t)) < 10_000:
+            if len(own) >= dec.SEED and len(words(t)) < 10_000:
                 score, edits = plain_score(words(t), own), dec.edits(len(own), 80)
                 if score >= 2 * len(own) - 3 * edits:
                     expected.append((d, i, round(score / (2 * len(own)), 9)))
@@ -277,6 +277,19 @@ def test_leaks_agree_with_aligning_everything(spark):
     assert dec.find_leaks(docs, table.where("false")).count() == 0
 
 
+def test_short_items_and_scripts_without_blanks(spark):
+    """Items of three to seven words are found word for word; code points count as words where there are no blanks."""
+    chinese = "今天天气很好，我们一起去公园散步吧。"
+    items = [(1, "one two three"), (2, "alpha beta gamma delta epsilon zeta eta"), (3, chinese), (4, "ประเทศไทยสวยงาม"), (5, "too short"), (6, None), (7, "...")]
+    docs = [(1, "x ONE, two-three y"), (2, "one two or three"), (3, "alpha beta gamma delta epsilon zeta eta"), (4, "alpha beta gamma other epsilon zeta eta"),
+            (5, "前面的话" + chinese + "后面的话"), (6, "前面的话" + chinese.replace("公园", "学校") + "后面"), (7, "他说的是别的事情"), (8, "ในประเทศไทยสวยงามมาก"), (9, "too short")]
+    kind = "{} long, text string"
+    table = spark.createDataFrame(items, kind.format("item_id"))
+    found = {(r.doc_id, r.item_id) for r in dec.find_leaks(spark.createDataFrame(docs, kind.format("doc_id")), table).collect()}
+    assert found == {(1, 1), (3, 2), (5, 3), (6, 3), (8, 4)}
+    assert {(r.item_id, r.n_words) for r in dec.unsearched(table).collect()} == {(5, 2), (6, 0), (7, 0)}
+
+
 def test_empty_tables(spark):
     docs = frame(spark, corpus()).where("false")
     assert near.near_duplicates(docs).count() == 0

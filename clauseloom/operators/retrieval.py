@@ -1,18 +1,31 @@
 """Top chunks per document and query, deduplicated and joined to one context per document.
 
 Give these functions chunks partitioned by ``contract_id`` (``sources.contracts.by_contract`` or a
-table bucketed by it): the term counts, the ranking, the deduplication and the context are then all
-computed where the chunks are, and only the query lookup is sent to every executor.
+table bucketed by it): a document's chunks are then gathered, ranked, deduplicated and joined where they are, and only
+the queries are sent to every executor, in blocks of bounded size.
+
+All chunks of a document meet the queries in one call: its counts of terms are turned into postings once, the products with all
+queries of a block are one matrix product, and only the best ``k`` of each query leave the task.  Arrays are bounded by
+``CELLS`` numbers, however many chunks a document has.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import re
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import fixed_values as fv
 from ..functions import text as tx
-from . import weights as wt
+from ..session import ship
+
+BLOCK_QUERIES, BLOCK_TERMS = 200, 50_000  # of a broadcast block
+CELLS = 2_000_000  # numbers in an array
+
 
 def default_queries(spark: SparkSession) -> DataFrame:
     """The built-in queries, as literals: Spark knows their size, so whether they are broadcast is its own choice."""
@@ -21,54 +34,149 @@ def default_queries(spark: SparkSession) -> DataFrame:
     return spark.range(1).select(F.inline(F.array(*literals)))
 
 
-def _similarities(chunks: DataFrame, queries: DataFrame, k: int) -> DataFrame:
-    """Products of chunk and query vectors, the chunk's length and what is needed for the query's.
-
-    Holds all pairs sharing a term, and with product 0 the first ``k`` chunks of every document
-    for every query: enough to fill any top ``k``, without forming all pairs.
-    """
-    lookup = wt.query_lookup(queries)
-    found = tx.terms(F.col("chunk_text"))
-    marked = F.concat(F.when(F.col("chunk_idx") < k, F.array(F.lit(wt.ALL_QUERIES_TERM)))
-                      .otherwise(F.array().cast("array<string>")), found)
-    counts = wt.term_counts(chunks, marked).join(lookup, "term", "left")
-
-    idf = wt.inverse_frequency(F.col("n_chunks"), F.col("df"))
-    unseen = wt.inverse_frequency(F.col("n_chunks"), F.lit(0))
-    weight_sq = F.when(F.col("term") == wt.ALL_QUERIES_TERM, F.lit(0.0)).otherwise(F.pow(F.col("tf") * idf, F.lit(2.0)))
-    parts = (
-        counts.groupBy("contract_id", "n_chunks", "chunk_idx", "query_idx")
-        .agg(F.sum(F.col("tf") * F.col("qtf") * idf * idf).alias("dot"),
-             # a term is counted once per query, however many chunks hold it
-             F.sum(F.col("qtf") * F.col("qtf") * (idf * idf - unseen * unseen) / F.col("df")).alias("seen_sq"),
-             # and once per chunk, however many queries hold it
-             F.sum(weight_sq / F.coalesce(F.col("n_queries"), F.lit(1))).alias("share_sq"),
-             F.max("q_sq").alias("q_sq"))
-    )
-    chunk_sq = F.sum("share_sq").over(Window.partitionBy("contract_id", "chunk_idx"))
-    pairs = parts.withColumn("chunk_sq", chunk_sq).where(F.col("query_idx").isNotNull())
-    return pairs.select("contract_id", "query_idx", "chunk_idx", "seen_sq",
-                        (F.col("q_sq") * unseen * unseen).alias("unseen_sq"),
-                        F.coalesce(F.try_divide("dot", F.sqrt("chunk_sq")), F.lit(0.0)).alias("product"))
+def _blocks(queries: DataFrame) -> list:
+    """The queries as broadcast blocks of (query_idx, terms)."""
+    ship(queries.sparkSession)
+    rows = queries.select("query_idx", F.coalesce(tx.terms(F.col("query_text")), F.array().cast("array<string>")).alias("terms"))
+    n, n_terms = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("terms")), F.lit(0))).first()
+    blocks = max(-(-n // BLOCK_QUERIES), -(-n_terms // BLOCK_TERMS))
+    context = queries.sparkSession.sparkContext
+    parts = [rows.where(F.pmod(F.xxhash64("query_idx"), F.lit(blocks)) == k).collect() for k in range(blocks)]
+    return [context.broadcast([(r.query_idx, r.terms) for r in part]) for part in parts if part]
+
+
+def _ranker(shared, k: int):
+    """What ranks the chunks of one document: a function of its texts to places, products and query lengths, and the query numbers."""
+    asked = shared.value
+    vocabulary: dict[str, int] = {}
+    for _, terms in asked:
+        for term in terms:
+            vocabulary.setdefault(term, len(vocabulary))
+    counts = np.zeros((len(vocabulary), len(asked)))
+    for j, (_, terms) in enumerate(asked):
+        for term in terms:
+            counts[vocabulary[term], j] += 1
+    query_sq = (counts * counts).sum(axis=0)
+    find = re.compile(tx.TERM).findall
+
+    def rank(texts: list[str], n_chunks: int):
+        own: dict[str, int] = {}
+        chunk, term, tf = [], [], []
+        for i, text in enumerate(texts):
+            for word, times in Counter(find((text or "").lower())).items():
+                chunk.append(i)
+                term.append(own.setdefault(word, len(own)))
+                tf.append(times)
+        chunk, term, tf = np.array(chunk, np.int64), np.array(term, np.int64), np.array(tf, float)
+        idf = np.log((1.0 + n_chunks) / (1.0 + np.bincount(term, minlength=len(own)))) + 1.0
+        unseen = np.log(1.0 + n_chunks) + 1.0
+        length = np.sqrt(np.bincount(chunk, (tf * idf[term]) ** 2, minlength=len(texts)))
+        asked_term = np.array([vocabulary.get(word, -1) for word in own], np.int64)
+        held = np.flatnonzero(asked_term >= 0)
+        column = np.full(len(own), -1)
+        column[held] = np.arange(len(held))
+        weights = counts[asked_term[held]]
+        seen = ((weights * weights) * (idf[held] ** 2 - unseen**2)[:, None]).sum(axis=0)
+        query_length = np.sqrt(np.maximum(query_sq * unseen**2 + seen, 0.0))
+        known = column[term] >= 0
+        row, place, value = chunk[known], column[term[known]], (tf * idf[term] ** 2)[known]
+        best, values = np.zeros((0, len(asked)), np.int64), np.zeros((0, len(asked)))
+        step = max(k, CELLS // max(len(held), len(asked), 1))
+        for start in range(0, len(texts), step):
+            stop = min(start + step, len(texts))
+            a, b = np.searchsorted(row, (start, stop))
+            matrix = np.zeros((stop - start, len(held)))
+            matrix[row[a:b] - start, place[a:b]] = value[a:b]
+            part = length[start:stop, None]
+            products = np.divide(matrix @ weights, part, out=np.zeros((stop - start, len(asked))), where=part > 0)
+            values = np.concatenate((values, products))
+            best = np.concatenate((best, np.repeat(np.arange(start, stop)[:, None], len(asked), axis=1)))
+            # what came before has the smaller places, so a stable sort breaks ties by place
+            order = np.argsort(-np.round(values, 9), axis=0, kind="stable")[:k]
+            values, best = np.take_along_axis(values, order, 0), np.take_along_axis(best, order, 0)
+        return best, np.divide(values, query_length, out=np.zeros_like(values), where=query_length > 0)
+
+    return rank, [q for q, _ in asked]
+
+
+def _documents(chunks: DataFrame) -> DataFrame:
+    """One row per document with its chunks in order."""
+    ordered = F.sort_array(F.collect_list(F.struct("chunk_idx", "chunk_text")))
+    return chunks.groupBy("contract_id").agg(F.max("n_chunks").alias("n_chunks"), ordered.alias("chunks"))
 
 
 def rank_chunks(chunks: DataFrame, queries: DataFrame, k: int = fv.TOP_K) -> DataFrame:
     """The ``k`` best chunks of each document for each query, or all of them when there are fewer.
 
     ``similarity`` is the cosine.  Within one document and query its order is that of ``product``, the
-    cosine times the length of the query, so one sort serves the ranking and the query length.
+    cosine times the length of the query, rounded to nine digits, then that of the chunks.
     """
-    per_query = Window.partitionBy("contract_id", "query_idx")
-    ordered = per_query.orderBy(F.col("order_by").desc(), "chunk_idx")
-    scored = (
-        _similarities(chunks, queries, k)
-        .withColumn("order_by", F.round("product", 9))
-        .withColumn("rank", F.row_number().over(ordered))
-        .withColumn("query_sq", F.col("unseen_sq") + F.sum("seen_sq").over(per_query))
-    )
-    cosine = F.try_divide("product", F.sqrt(F.greatest("query_sq", F.lit(0.0))))
-    return scored.where(F.col("rank") <= k).select(
-        "contract_id", "query_idx", "chunk_idx", "rank", F.coalesce(cosine, F.lit(0.0)).alias("similarity"))
+    documents, found = _documents(chunks), None
+    types = {**dict(chunks.dtypes), **dict(queries.dtypes)}
+    kind = f"contract_id {types['contract_id']}, query_idx {types['query_idx']}, chunk_idx {types['chunk_idx']}, rank int, similarity double"
+    for shared in _blocks(queries):
+
+        def ranked(batches, shared=shared):
+            rank, names = _ranker(shared, k)
+            for batch in batches:
+                columns, n = [], 0
+                for document, n_chunks, parts in zip(*(batch.column(c).to_pylist() for c in ("contract_id", "n_chunks", "chunks"))):
+                    best, similarity = rank([p["chunk_text"] for p in parts], n_chunks)
+                    numbers = np.array([p["chunk_idx"] for p in parts])
+                    columns.append((document, numbers[best].ravel(), np.repeat(np.arange(1, len(best) + 1), len(names)), similarity.ravel()))
+                    n += best.size
+                    if n >= CELLS // 4:
+                        yield _ranked_batch(columns, names, kind)
+                        columns, n = [], 0
+                yield _ranked_batch(columns, names, kind)
+
+        part = documents.mapInArrow(ranked, kind)
+        found = part if found is None else found.unionByName(part)
+    return documents.sparkSession.createDataFrame([], kind) if found is None else found
+
+
+def _ranked_batch(columns: list, names: list, kind: str) -> pa.RecordBatch:
+    sizes = [len(numbers) for _, numbers, _, _ in columns]
+    joined = lambda k: np.concatenate([c[k] for c in columns]) if columns else np.zeros(0)
+    values = [pa.array([c[0] for c in columns]).take(pa.array(np.repeat(np.arange(len(sizes)), sizes))) if columns else pa.array([], pa.string()),
+              pa.array(names * (sum(sizes) // len(names))), pa.array(joined(1)), pa.array(joined(2)), pa.array(joined(3))]
+    arrow = {"string": pa.string(), "int": pa.int32(), "bigint": pa.int64(), "double": pa.float64()}
+    fields = [f.split(" ") for f in kind.split(", ")]
+    return pa.RecordBatch.from_arrays([v.cast(arrow[t]) for v, (_, t) in zip(values, fields)], names=[n for n, _ in fields])
+
+
+def _picked(chunks: DataFrame, shared, k: int) -> DataFrame:
+    """contract_id and the retrieved texts of each document, each once, in the order of their first hits."""
+    key = dict(chunks.dtypes)["contract_id"]
+    texts = pa.list_(pa.struct([("seen", pa.int32()), ("chunk_text", pa.string())]))
+
+    def pick(batches):
+        rank, names = _ranker(shared, k)
+        for batch in batches:
+            documents, picked = [], []
+            for document, n_chunks, parts in zip(*(batch.column(c).to_pylist() for c in ("contract_id", "n_chunks", "chunks"))):
+                best, _ = rank([p["chunk_text"] for p in parts], n_chunks)
+                seen = np.array(names)[None, :] * k + np.arange(len(best))[:, None]
+                first: dict[str, int] = {}
+                for place, number in zip(best.ravel().tolist(), seen.ravel().tolist()):
+                    text = parts[place]["chunk_text"]
+                    first[text] = min(number, first.get(text, number))
+                documents.append(document)
+                picked.append([{"seen": number, "chunk_text": text} for text, number in sorted(first.items(), key=lambda x: x[1])])
+            yield pa.RecordBatch.from_arrays([pa.array(documents, batch.schema.field("contract_id").type), pa.array(picked, texts)], names=["contract_id", "picked"])
+
+    return _documents(chunks).mapInArrow(pick, f"contract_id {key}, picked array<struct<seen:int,chunk_text:string>>")
+
+
+def retrieved(chunks: DataFrame, queries: DataFrame, k: int = fv.TOP_K) -> DataFrame:
+    """``first_seen`` of ``rank_chunks``: where the queries are one block, in the pass that ranks the chunks."""
+    blocks = _blocks(queries)
+    if len(blocks) != 1:
+        return first_seen(rank_chunks(chunks, queries, k), chunks, k)
+    texts = _picked(chunks, blocks[0], k).select("contract_id", F.explode("picked").alias("text"))
+    seen = F.col("text.seen")
+    return texts.select("contract_id", seen.alias("seen"), F.floor(seen / k).cast("int").alias("query_idx"), (seen % k + 1).cast("int").alias("rank"),
+                        F.col("text.chunk_text").alias("chunk_text"))
 
 
 def first_seen(ranked: DataFrame, chunks: DataFrame, k: int = fv.TOP_K) -> DataFrame:
@@ -97,8 +205,13 @@ def contexts(seen: DataFrame, separator: str = fv.CONTEXT_SEPARATOR) -> DataFram
         F.count(F.lit(1)).alias("n_chunks"))
 
 
-def retrieve(chunks: DataFrame, queries: DataFrame, k: int = fv.TOP_K) -> DataFrame:
-    return contexts(first_seen(rank_chunks(chunks, queries, k), chunks, k))
+def retrieve(chunks: DataFrame, queries: DataFrame, k: int = fv.TOP_K, separator: str = fv.CONTEXT_SEPARATOR) -> DataFrame:
+    """``contexts`` of the retrieved texts; with one block of queries each document's context is joined in its own row."""
+    blocks = _blocks(queries)
+    if len(blocks) != 1:
+        return contexts(first_seen(rank_chunks(chunks, queries, k), chunks, k), separator)
+    rows = _picked(chunks, blocks[0], k)
+    return rows.select("contract_id", F.array_join(F.transform("picked", lambda c: c["chunk_text"]), separator).alias("context"), F.size("picked").cast("long").alias("n_chunks"))
 
 
 def isolation_check(seen: DataFrame, chunks: DataFrame) -> DataFrame:

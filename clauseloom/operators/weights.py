@@ -11,8 +11,6 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 
-ALL_QUERIES_TERM = ""  # no real term is empty; see ``query_lookup`` and ``retrieval.rank_chunks``
-
 
 def inverse_frequency(n_chunks: Column, frequency: Column) -> Column:
     return F.log((F.lit(1.0) + n_chunks) / (F.lit(1.0) + frequency)) + 1.0
@@ -35,21 +33,3 @@ def chunk_term_weights(chunks: DataFrame) -> DataFrame:
     counts = term_counts(chunks, tx.terms(F.col("chunk_text")))
     weight = F.col("tf") * inverse_frequency(F.col("n_chunks"), F.col("df"))
     return counts.select("contract_id", "chunk_idx", "term", "tf", "df", weight.alias("weight"))
-
-
-def query_lookup(queries: DataFrame) -> DataFrame:
-    """Terms of each query: ``qtf`` is the count in the query, ``q_sq`` the squared length of all its counts.
-
-    ``n_queries`` tells how many queries hold the term.  Under the empty term every query is listed with
-    a count of 0: it lets every document meet every query without a cross join.
-    """
-    split = queries.select("query_idx", F.concat(F.array(F.lit(ALL_QUERIES_TERM)), tx.terms(F.col("query_text")))
-                           .alias("terms"))
-    counted = (
-        split.select("query_idx", F.explode_outer("terms").alias("term"))
-        .groupBy("query_idx", "term")
-        .agg(F.when(F.col("term") == ALL_QUERIES_TERM, F.lit(0)).otherwise(F.count(F.lit(1))).alias("qtf"))
-    )
-    length = F.sum(F.col("qtf") * F.col("qtf")).over(Window.partitionBy("query_idx"))
-    holders = F.count(F.lit(1)).over(Window.partitionBy("term"))
-    return counted.select("term", "query_idx", "qtf", length.cast("double").alias("q_sq"), holders.alias("n_queries"))

@@ -29,7 +29,7 @@ class Settings:
 def retrieved(contracts: DataFrame, queries: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Retrieved chunks of every contract that is long enough, each text once."""
     chunks = ch.chunk(ct.ready(ct.by_contract(contracts)), settings.chunk_size, settings.chunk_overlap)
-    return rt.first_seen(rt.rank_chunks(chunks, queries, settings.top_k), chunks, settings.top_k)
+    return rt.retrieved(chunks, queries, settings.top_k)
 
 
 def prompts(contracts: DataFrame, queries: DataFrame, settings: Settings = Settings(),
@@ -39,7 +39,8 @@ def prompts(contracts: DataFrame, queries: DataFrame, settings: Settings = Setti
     Its answers come back as a table of contract_id, file_path, raw_response, tokens_used and
     created_at, and become result rows in ``operators.responses.result_rows``.
     """
-    return pr.budget(pr.messages(rt.contexts(retrieved(contracts, queries, settings)), template))
+    chunks = ch.chunk(ct.ready(ct.by_contract(contracts)), settings.chunk_size, settings.chunk_overlap)
+    return pr.budget(pr.messages(rt.retrieve(chunks, queries, settings.top_k), template))
 
 
 def rule_results(contracts: DataFrame, queries: DataFrame, created_at: Column, fields: FieldConfig = SLA_FIELDS,

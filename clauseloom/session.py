@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,6 +26,19 @@ def local_session(app: str = "clauseloom", cores: str = "*", partitions: int = 8
     )
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give this package to the session's Python workers, wherever they run; once per application."""
+    context = spark.sparkContext
+    if context.applicationId not in _SHIPPED:
+        root = Path(__file__).resolve().parents[1]
+        archive = shutil.make_archive(str(Path(tempfile.mkdtemp(prefix="clauseloom-")) / "clauseloom"), "zip", root, "clauseloom")
+        context.addPyFile(archive)
+        _SHIPPED.add(context.applicationId)
+
+
 _LOCAL_FOLDER: list[str] = []
 
 

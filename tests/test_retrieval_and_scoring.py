@@ -85,7 +85,22 @@ def test_retrieval_shuffles_each_document_once(spark, sf):
     plan = rt.retrieve(chunks, rt.default_queries(spark))._jdf.queryExecution().executedPlan().toString()
     shuffles = [line for line in plan.splitlines() if "Exchange hashpartitioning(contract_id" in line]
     assert shuffles and all("REPARTITION_BY_COL" in line for line in shuffles)
-    assert "WindowGroupLimit" in plan and "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    assert "Join" not in plan and "CartesianProduct" not in plan and plan.count("MapInArrow") == 1  # the texts are taken where they are ranked
+
+
+def test_blocks_of_queries_and_of_chunks_change_nothing(spark, sf, monkeypatch):
+    from clauseloom.operators import chunking as ch
+    from verification import fixture as fx
+
+    chunks, queries = ch.chunk(fx.ready_by_contract(spark, sf), 40, 10), fx.benchmark_queries(spark, sf).limit(30)
+    rows = lambda df: sorted(map(tuple, df.collect()))
+    whole = rows(rt.rank_chunks(chunks, queries)), rows(rt.retrieved(chunks, queries)), rows(rt.retrieve(chunks, queries))
+    assert whole[0] and rows(rt.contexts(rt.retrieved(chunks, queries))) == whole[2]
+    monkeypatch.setattr(rt, "CELLS", 100)
+    assert [(*r[:4], round(r[4], 9)) for r in rows(rt.rank_chunks(chunks, queries))] == [(*r[:4], round(r[4], 9)) for r in whole[0]]
+    monkeypatch.setattr(rt, "BLOCK_QUERIES", 7)
+    assert rows(rt.retrieved(chunks, queries)) == whole[1] and rows(rt.retrieve(chunks, queries)) == whole[2]
+    assert rt.rank_chunks(chunks, queries.where("false")).count() == 0 == rt.rank_chunks(chunks.where("false"), queries).count()
 
 
 def test_prompt_slot_and_braces(spark):
@@ -204,3 +219,20 @@ def test_vectors(spark):
     assert sorted(values(units, "vec_id", "norm", "unit")) == [(1, 5.0, [0.6, 0.8]), (2, 0.0, [0.0, 0.0])]
     with pytest.raises(Exception, match="expected 3 values"):
         ve.normalised(spark.createDataFrame(data, "vec_id int, e array<float>"), "e", 3).collect()
+
+
+def test_keyword_table_agrees_with_looking_for_each(spark):
+    """Keywords of any length as rows, also with capitals, blanks, repeats and nulls; texts of any length."""
+    from clauseloom.operators import extraction as ex
+
+    texts = {"a": "The fee is due. Late FEES apply", "b": "", "c": None, "d": "x", "e": "aaaa aaab", "f": "under a licence, é ünder", "g": "the " * 5000}
+    words = [("f1", "fee"), ("f1", "Fee "), ("f2", "late fees"), ("f2", "x"), ("f2", "aaab"), ("f3", "aa"), ("f3", "nowhere to be found"), ("f3", None), ("f3", ""),
+             (None, "the"), ("f1", "fee"), ("f4", "é ünd"), ("f4", "e t"), ("f5", "licence, é")]
+    docs = spark.createDataFrame([(k, t, "clash") for k, t in texts.items()], "contract_id string, clean_text string, gram string")
+    table = spark.createDataFrame([(*w, "clash") for w in words], "field string, keyword string, contract_id string")
+    got = ex.keyword_table_hits(docs, table)
+    assert "NestedLoop" not in got._jdf.queryExecution().executedPlan().toString()
+    expected = {(k, f, w) for k, t in texts.items() for f, w in words if t and w and w.lower() in t.lower()}
+    rows = [tuple(r) for r in got.collect()]
+    assert set(rows) == expected and len(rows) == len(expected)
+    assert ex.keyword_table_hits(docs, table.where("false")).count() == 0 == ex.keyword_table_hits(docs.where("false"), table).count()

@@ -75,6 +75,13 @@ def eval_summary_without(spark, sf):
     return ev.eval_summary(_scored(spark, sf), without="0").withColumn("avg_overall", F.round("avg_overall", 6))
 
 
+@query("eval_first_results", f"WITH {o.SCORES} {_SUMMARY} WHERE contract_id IN (SELECT contract_id FROM per_contract ORDER BY contract_id LIMIT 25)")
+def eval_first_results(spark, sf):
+    """A quick evaluation of the first 25 results by id."""
+    scored = sc.score_results(ev.first_results(fx.results(spark, sf), 25), fx.ready_by_contract(spark, sf), fx.FIELDS)
+    return ev.eval_summary(scored).withColumn("avg_overall", F.round("avg_overall", 6))
+
+
 @query("eval_extremes", f"""WITH {o.SCORES},
 low AS (SELECT 'lowest' AS side, contract_id, overall FROM per_contract ORDER BY overall, contract_id LIMIT 3),
 high AS (SELECT 'highest' AS side, contract_id, overall FROM per_contract ORDER BY overall DESC, contract_id DESC LIMIT 3)

@@ -31,13 +31,17 @@ def _chunks(spark, sf, size=SIZE, overlap=OVERLAP):
 
 def _seen(spark, sf, k=K):
     chunks = _chunks(spark, sf)
-    return rt.first_seen(rt.rank_chunks(chunks, fx.benchmark_queries(spark, sf), k), chunks, k)
+    return rt.retrieved(chunks, fx.benchmark_queries(spark, sf), k)
 
 
 _CHUNKS = o.chunks(SIZE, OVERLAP)
 _TOP = f"WITH RECURSIVE {_CHUNKS}, {o.BENCHMARK}, "
 
 
+def _contexts(spark, sf, k=K):
+    return rt.retrieve(_chunks(spark, sf), fx.benchmark_queries(spark, sf), k)
+
+
 @query("chunk_term_weights", f"""WITH RECURSIVE {_CHUNKS}, {o.WEIGHTS}
 SELECT contract_id, chunk_idx, term, tf, df, round(weight, 6) AS weight FROM weights""")
 def chunk_term_weights(spark, sf):
@@ -64,7 +68,7 @@ def retrieve_dedup(spark, sf):
 
 @query("context", f"{_TOP}{o.seen(K)} SELECT contract_id, context, n_chunks FROM contexts")
 def context(spark, sf):
-    return rt.contexts(_seen(spark, sf))
+    return _contexts(spark, sf)
 
 
 _SLA_QUERIES = "queries AS (SELECT * FROM (VALUES " + ", ".join(
@@ -127,7 +131,7 @@ _TEMPLATE = "Fill in {{\"clause\": null}} from:\n{context}\nJSON only."
 SELECT contract_id, unnest(['system', 'user']) AS role,
        unnest(['{pr.SYSTEM_MESSAGE}', 'Fill in {{"clause": null}} from:' || chr(10) || context || chr(10) || 'JSON only.']) AS content FROM contexts""")
 def prompt_messages(spark, sf):
-    prompts = pr.messages(rt.contexts(_seen(spark, sf)), _TEMPLATE)
+    prompts = pr.messages(_contexts(spark, sf), _TEMPLATE)
     return prompts.select("contract_id", F.explode("messages").alias("m")).select("contract_id", "m.role", "m.content")
 
 
@@ -138,7 +142,7 @@ _DEFAULT_BEFORE, _DEFAULT_AFTER = (t.replace("{{", "{").replace("}}", "}").repla
 SELECT contract_id, unnest(['system', 'user']) AS role, unnest(['{pr.SYSTEM_MESSAGE}', '{_DEFAULT_BEFORE}' || context || '{_DEFAULT_AFTER}']) AS content FROM contexts""")
 def prompt_messages_default(spark, sf):
     """The template that asks for every field with its guidance."""
-    prompts = pr.messages(rt.contexts(_seen(spark, sf)))
+    prompts = pr.messages(_contexts(spark, sf))
     return prompts.select("contract_id", F.explode("messages").alias("m")).select("contract_id", "m.role", "m.content")
 
 
@@ -147,7 +151,7 @@ SELECT contract_id, len(regexp_extract_all('{pr.SYSTEM_MESSAGE}', '\\S+')) + len
   'Fill in {{"clause": null}} from:' || chr(10) || context || chr(10) || 'JSON only.', '\\S+')) AS n FROM contexts)
 SELECT contract_id, n AS prompt_tokens, 1500 AS max_output_tokens, n + 1500 AS token_budget FROM sized""")
 def prompt_budget(spark, sf):
-    return pr.budget(pr.messages(rt.contexts(_seen(spark, sf)), _TEMPLATE)).drop("messages")
+    return pr.budget(pr.messages(_contexts(spark, sf), _TEMPLATE)).drop("messages")
 
 
 def _extract_sql(rules: dict[str, str]) -> str:
@@ -204,7 +208,7 @@ _SLA_EXTRACT = _extract_sql(_SLA_TEXT).replace(_TOP, _SLA_TOP)
 
 def _sla_seen(spark, sf):
     chunks = ch.chunk(fx.contract_like(spark, sf), SIZE, OVERLAP)
-    return rt.first_seen(rt.rank_chunks(chunks, rt.default_queries(spark)), chunks)
+    return rt.retrieved(chunks, rt.default_queries(spark))
 
 
 @query("extract_sla_clauses", _SLA_EXTRACT)
@@ -321,6 +325,40 @@ def vector_ann_recall(spark, sf):
     return recall.withColumns({"n_candidates": F.lit(ve.near_candidates(units, queries).count()), "n_pairs": F.lit(units.count() * queries.count())})
 
 
+_NEAR_ROWS = f"""WITH {_UNIT},
+planes AS (SELECT i, b, (((i * 97 + b * 389 + 7) * (i * 97 + b * 389 + 7) * 31 + (i * 97 + b * 389 + 7) * 17) % 1009) / 504.5 - 1 AS p
+           FROM (SELECT unnest(range(64)) AS i) CROSS JOIN (SELECT unnest(range(256)) AS b)),
+bits AS MATERIALIZED (SELECT vec_id, b, sum(x * p) > 0 AS s FROM (SELECT vec_id, unnest(unit) AS x, generate_subscripts(unit, 1) - 1 AS i FROM units)
+          JOIN planes USING (i) GROUP BY vec_id, b),
+sketches AS MATERIALIZED (SELECT vec_id, string_agg(CASE WHEN s THEN '1' ELSE '0' END, '' ORDER BY b) AS s FROM bits GROUP BY vec_id),
+exact AS MATERIALIZED (SELECT q.vec_id AS query_idx, u.vec_id, list_dot_product(u.unit, q.unit) AS similarity FROM units u JOIN units q ON q.vec_id % 50 = 0),
+candidates AS MATERIALIZED (SELECT q.vec_id AS query_idx, v.vec_id FROM sketches q JOIN sketches v ON q.vec_id % 50 = 0 AND hamming(q.s, v.s) <= 0.44 * 256),
+met AS (SELECT * FROM exact e WHERE EXISTS (SELECT 1 FROM candidates c WHERE c.query_idx = e.query_idx AND c.vec_id = e.vec_id)
+        OR (SELECT count(*) FROM candidates c WHERE c.query_idx = e.query_idx) < 5),
+near AS (SELECT query_idx, vec_id, similarity, row_number() OVER (PARTITION BY query_idx ORDER BY round(similarity, 9) DESC, vec_id) AS rank FROM met QUALIFY rank <= 5)
+"""
+
+
+def _rows_asked(units):
+    return units.where("vec_id % 50 = 0").select(F.col("vec_id").alias("query_idx"), "unit")
+
+
+@query("vector_ann_rows", _NEAR_ROWS + "SELECT query_idx, vec_id, round(similarity, 6) AS similarity, rank FROM near")
+def vector_ann_rows(spark, sf):
+    """The approximate search for every row whose id is divisible by 50."""
+    units = _units(spark, sf)
+    return ve.approximate_neighbours(units, _rows_asked(units), 5).withColumn("similarity", F.round("similarity", 6))
+
+
+@query("vector_ann_rows_recall", _NEAR_ROWS + """SELECT count(*) AS n_exact, count(n.vec_id) AS n_found, count(n.vec_id) / count(*) AS recall
+FROM (SELECT * FROM exact QUALIFY row_number() OVER (PARTITION BY query_idx ORDER BY round(similarity, 9) DESC, vec_id) <= 5) e
+LEFT JOIN near n ON n.query_idx = e.query_idx AND n.vec_id = e.vec_id""")
+def vector_ann_rows_recall(spark, sf):
+    units = _units(spark, sf).withColumn("group_id", F.lit(0))
+    queries = _rows_asked(units).withColumn("group_id", F.lit(0))
+    return ve.neighbour_recall(ve.top_k_vectors(units, queries, 5), ve.approximate_neighbours(units, queries, 5))
+
+
 @query("ml_tfidf", f"""WITH RECURSIVE {_CHUNKS}, {o.WEIGHTS}, total AS (SELECT count(*) AS n FROM chunks),
 weighed AS (SELECT t.contract_id, t.chunk_idx, t.tf * ln((1.0 + n) / (1.0 + d.df)) AS weight FROM tf t
             JOIN (SELECT term, count(*) AS df FROM tf GROUP BY term) d ON d.term = t.term CROSS JOIN total WHERE d.df < n)

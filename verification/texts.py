@@ -140,6 +140,18 @@ def keyword_hits(spark, sf):
     return ex.keyword_hits(ct.cleaned(fx.contracts(spark, sf)), fields)
 
 
+@query("keyword_table", f"""WITH {o.DOCS}, low AS (SELECT contract_id, lower(clean_text) AS t FROM docs),
+words AS (SELECT 'group_' || item_id % 4 AS field, regexp_extract_all(text, '[A-Za-z]+') AS w FROM benchmark),
+keywords AS (SELECT DISTINCT field, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS keyword FROM words)
+SELECT contract_id, field, keyword FROM low JOIN keywords ON contains(t, lower(keyword))""")
+def keyword_table(spark, sf):
+    """Thousands of keywords as rows: all pairs of neighbouring words of the passages."""
+    words = fx.read(spark, sf, "benchmark").select(F.concat(F.lit("group_"), (F.col("item_id") % 4).cast("string")).alias("field"),
+                                                   F.regexp_extract_all("text", F.lit("[A-Za-z]+"), F.lit(0)).alias("w"))
+    pairs = F.transform(F.slice("w", 1, F.greatest(F.size("w") - 1, F.lit(0))), lambda x, i: F.concat(x, F.lit(" "), F.get("w", i + 1)))
+    return ex.keyword_table_hits(ct.cleaned(fx.contracts(spark, sf)), words.select("field", F.explode(pairs).alias("keyword")))
+
+
 @query("strip_page_marks", f"""WITH {o.DOCS} SELECT contract_id, regexp_replace(t, 'Page \\d+ of \\d+', '', 'g') AS text
 FROM (SELECT contract_id, 'Page ' || doc_id || ' of 9000' || chr(10) || replace(clean_text, chr(10), chr(10) || 'Page 7 of 12 ') AS t FROM docs)""")
 def strip_page_marks(spark, sf):

@@ -2,7 +2,7 @@
 
 A rolling hash over the code points cuts every text where the last ``WINDOW`` of them hash to a given pattern, so equal
 passages of different documents fall into equal chunks wherever they stand.  A worker encodes each distinct chunk once and
-keeps its ids over all its tasks, up to ``CACHE_CHARS``.  A chunk may end inside a word, where the ids of two chunks side by side are not those of the joined text:
+keeps its ids over all its tasks, up to ``CACHE_BYTES``.  A chunk may end inside a word, where the ids of two chunks side by side are not those of the joined text:
 each join is repaired by encoding a window around it again.  The window grows by one blank on either side until the ids of
 its two outer parts agree with the last ids of the left chunk and the first ids of the right one; chunks without any blank
 are joined to the one before and encoded with it, once.  Blanks end pre-tokens and are dropped, so what agrees there is exact.
@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .encoding import CACHE_CHARS, PieceEncoder, load_tokenizer
+from .encoding import PieceEncoder, load_tokenizer
 from .registry import free_name
 
 WINDOW, CUT_BITS = 16, 9  # a cut about every 512 code points
@@ -90,10 +90,11 @@ def blank_after(text: str, start: int, end: int | None = None) -> int:
 _ENCODERS: dict[str, "ChunkEncoder"] = {}
 _DECODERS: dict[str, "Decoder"] = {}
 LONG_WINDOW = 10_000  # longer windows are not kept
+CACHE_BYTES, ENTRY = 48_000_000, 400  # about what a worker keeps, and what an entry takes besides its text and ids
 
 
 class ChunkEncoder:
-    """Chunks and joins of one worker; both caches start afresh beyond ``CACHE_CHARS``."""
+    """Chunks and joins of one worker; both caches start afresh beyond ``CACHE_BYTES``."""
 
     @classmethod
     def of_worker(cls, path: str) -> "ChunkEncoder":
@@ -105,7 +106,7 @@ class ChunkEncoder:
         self.pieces = PieceEncoder.of_worker(path)
         self.chunks: dict[str, np.ndarray] = {}
         self.windows: dict[str, list[int]] = {}
-        self.chars = 0
+        self.held = 0
         self.reused = self.encoded = 0
 
     def _window(self, text: str) -> list[int]:
@@ -113,20 +114,20 @@ class ChunkEncoder:
             return self.pieces.tokenizer.encode(text, add_special_tokens=False).ids
         if text not in self.windows:
             self.windows[text] = self.pieces.tokenizer.encode(text, add_special_tokens=False).ids if text else []
-            self.chars += len(text)
+            self.held += ENTRY + 3 * len(text)
         return self.windows[text]
 
     def chunk_ids(self, chunks: list[str]) -> None:
         """Encode the chunks that are not known yet."""
-        if self.chars > CACHE_CHARS:
-            self.chunks, self.windows, self.chars = {}, {}, 0
+        if self.held > CACHE_BYTES:
+            self.chunks, self.windows, self.held = {}, {}, 0
         missing = [c for c in dict.fromkeys(chunks) if c not in self.chunks]
         self.encoded += len(missing)
         self.reused += len(chunks) - len(missing)
         if missing:
             flat, counts = self.pieces.encode(missing)
-            self.chunks.update(zip(missing, np.split(flat, np.cumsum(counts)[:-1])))
-            self.chars += sum(map(len, missing))
+            self.chunks.update((c, ids.copy()) for c, ids in zip(missing, np.split(flat, np.cumsum(counts)[:-1])))  # views would keep all of flat
+            self.held += sum(ENTRY + 3 * len(c) for c in missing)
 
     def _repaired(self, left: str, left_ids: np.ndarray, right: str, right_ids: np.ndarray) -> tuple[int, list[int], int]:
         """How many ids of ``left`` hold, the ids of the window, and how many ids of ``right`` it replaces."""

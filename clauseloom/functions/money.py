@@ -42,3 +42,10 @@ def largest(found: Column, code: str | None = None) -> Column:
     """The (value, text) of the largest amount, of the currency ``code`` alone if given; the last text on a tie."""
     kept = found if code is None else F.filter(found, lambda a: currency(a) == code)
     return F.array_max(F.transform(kept, lambda a: F.struct(number(a).alias("value"), a.alias("text"))))
+
+
+def largest_each(found: Column) -> Column:
+    """The (currency, value, text) of the largest amount of each currency, in the order in which the currencies are first named."""
+    codes = F.array_distinct(F.transform(found, currency))
+    return F.transform(codes, lambda code: F.array_max(F.transform(
+        F.filter(found, lambda a: currency(a) == code), lambda a: F.struct(code.alias("currency"), number(a).alias("value"), a.alias("text")))))

@@ -38,11 +38,36 @@ def parsed(text: Column) -> Column:
     The parser ignores what follows a complete value.  Inside a frame with a second key, anything
     that follows breaks the frame or adds a key.
     """
-    frame = F.concat(F.lit('{"value":'), text, F.lit(',"end":1}'))
-    keys = F.try_variant_get(F.try_parse_json(frame), "$", "map<string,variant>")
+    keys = F.try_variant_get(F.try_parse_json(_framed(text)), "$", "map<string,variant>")
     return tx.let(keys, lambda m: F.when(F.size(m) == 2, F.try_element_at(m, F.lit("value"))))
 
 
+def _framed(text: Column) -> Column:
+    return F.concat(F.lit('{"value":'), text, F.lit(',"end":1}'))
+
+
+_STRICT = {"allowSingleQuotes": "false"}
+
+
+def is_json(text: Column) -> Column:
+    """Whether a text is one JSON value; keys may repeat."""
+    return F.coalesce(F.size(F.from_json(_framed(text), "map<string,string>", _STRICT)) == 2, F.lit(False))
+
+
+def repeating_members(text: Column) -> Column:
+    """Members of a JSON object that repeats a key, with the last value of each; null for every other text.
+
+    The variant parser rejects such objects, the map parser keeps all entries.  Keys may repeat in the object itself, not in objects inside it.
+    """
+    def last_values(entries: Column) -> Column:
+        keys = F.array_distinct(F.transform(entries, lambda e: e["key"]))
+        return F.when(F.size(keys) < F.size(entries), F.map_from_arrays(
+            keys, F.transform(keys, lambda k: F.element_at(F.filter(entries, lambda e: e["key"] == k), -1)["value"])))
+
+    read = F.map_entries(F.from_json(text, "map<string,variant>", _STRICT))
+    return F.when(is_json(text) & F.startswith(F.ltrim(text), F.lit("{")), tx.let(read, last_values))
+
+
 def members(value: Column) -> Column:
     """Members of a JSON object as a map, null for any other value."""
     return F.try_variant_get(value, "$", "map<string,variant>")

@@ -15,13 +15,15 @@ def parse(responses: DataFrame) -> DataFrame:
     """Adds ``members``: the JSON object found in ``raw_response``, null when there is none.
 
     The whole text is tried first.  Only a text that is no JSON at all is searched for a brace span;
-    JSON that is not an object has no members.
+    JSON that is not an object has no members.  Of a key that an object repeats, the last value counts.
     """
     body = tx.computed_once(responses, body=rs.unfenced(F.col("raw_response")))
     whole = tx.computed_once(body, whole=rs.parsed(F.col("body")))
     span = F.when(F.col("whole").isNull(), rs.parsed(rs.brace_span(F.col("body"))))
-    found = tx.computed_once(whole, members=rs.members(F.coalesce(F.col("whole"), span)))
-    return found.drop("body", "whole")
+    found = tx.computed_once(whole, once=rs.members(F.coalesce(F.col("whole"), span)))
+    again = F.when(rs.is_json(F.col("body")), rs.repeating_members(F.col("body"))).otherwise(rs.repeating_members(rs.brace_span(F.col("body"))))
+    members = F.when(F.col("once").isNull() & F.col("whole").isNull(), again).otherwise(F.col("once"))
+    return tx.computed_once(found, members=members).drop("body", "whole", "once")
 
 
 def populated(members: Column) -> Column:

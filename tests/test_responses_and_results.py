@@ -10,6 +10,7 @@ from clauseloom.plans import inspection as ins
 from clauseloom.plans import statistics as stats
 from clauseloom.sources import contracts as ct
 from clauseloom.sources import results as rs
+from clauseloom.sources import snapshots as sn
 from verification import fixture as fx
 
 from conftest import values
@@ -32,6 +33,9 @@ def judged(spark, *raws):
     ("[1", "failed", None), ("[1]", "failed", None), ('"text"', "failed", None), ("", "failed", None), (None, "failed", None),
     ('```json\n{"a":"1",\n"b":"2"}', "failed", None), ('{"a":5}', "failed", None), ('{"a":["x"]}', "failed", None),
     ('{"flag":"true","a":"1"}', "success", 2), ('{"flag":"Yes","a":"1"}', "success", 2), ('{"flag":1}', "partial", 1),
+    ('{"a":"1","a":"2"}', "partial", 1), ('x {"a":"1","a":"2","b":"3"} y', "success", 2), ('[{"a":"1","a":"2"}]', "failed", None),
+    ('{"a":5,"a":"x"}', "partial", 1), ('{"a":"x","a":5}', "failed", None), ("{'a':'1','a':'2'}", "failed", None), ('{"a":"1","a":null,"b":"2"}', "partial", 1),
+    ('{"a":"1","a":"2"},"end":{"b":"2"}', "failed", None), ('{"a":"1","a":"2"', "failed", None),
     ('{"flag":"maybe"}', "failed", None), ('{"a":"1"},"end":{"b":"2"}', "failed", None),
 ])
 def test_parse_and_validate(spark, raw, status, populated):
@@ -48,6 +52,11 @@ def test_values_are_typed(spark):
     assert (row["a"], row["b"], row["flag"]) == ('x "q" y', None, False)
 
 
+def test_the_last_of_equal_keys_counts(spark):
+    row = judged(spark, 'so: {"a":"1","b":"{\\"a\\":0}","flag":false,"a":"2","flag":true}')["0"]
+    assert (row["a"], row["b"], row["flag"]) == ("2", '{"a":0}', True)
+
+
 def test_fixture_status_counts(spark):
     counts = dict(values(stats.status_counts(fx.results(spark, "/root/testdata/sf0.01"))))
     assert counts == {"success": 749, "partial": 172, "failed": 58}
@@ -82,6 +91,78 @@ def test_table_batches_can_be_repeated(spark, tmp_path):
     assert rs.read_latest(spark, str(tmp_path / "u"), fx.FIELDS).count() == results.count()
 
 
+def snapshot_rows(spark, *items):
+    blank = {f.name: None for f in result_schema(fx.FIELDS)}
+    made = [{**blank, "contract_id": c, "status": s, "created_at": AT + dt.timedelta(hours=h)} for c, s, h in items]
+    return spark.createDataFrame(made, result_schema(fx.FIELDS))
+
+
+def snapshot(spark, path, **kwargs):
+    return dict(values(sn.read(spark, path, fx.FIELDS, **kwargs), "contract_id", "status"))
+
+
+def test_snapshots_keep_the_newest_row(spark, tmp_path):
+    path = str(tmp_path / "t")
+    sn.create(spark, path, 8, fx.FIELDS)
+    assert snapshot(spark, path) == {}
+    assert sn.merge(snapshot_rows(spark, ("a", "one", 1), ("b", "one", 1), ("b", "old", 0)), path, "r", 0, fx.FIELDS) == 1
+    files = sn.manifest(spark, path)["files"]
+    assert sn.merge(snapshot_rows(spark, ("a", "two", 1), ("c", "two", 1)), path, "r", 1, fx.FIELDS) == 2
+    assert sn.merge(snapshot_rows(spark, ("a", "late", 0), ("b", "three", 2)), path, "r", 2, fx.FIELDS) == 3
+    assert snapshot(spark, path) == {"a": "two", "b": "three", "c": "two"}
+    assert snapshot(spark, path, version=1) == {"a": "one", "b": "one"}
+    sn.create(spark, path, 8, fx.FIELDS)
+    assert sn.merge(snapshot_rows(spark, ("a", "again", 9)), path, "r", 2, fx.FIELDS) == 3  # that number of the run is stored
+    assert sn.merge(snapshot_rows(spark, ("d", "other", 1)), path, "q", 0, fx.FIELDS) == 4
+    later = sn.manifest(spark, path)["files"]
+    assert sum(later.get(b) == f for b, f in files.items()) == 0 and len(sn.read(spark, path, fx.FIELDS).inputFiles()) == len(later)
+    assert values(sn.lookup(spark, path, ["b", "no"], fx.FIELDS), "status") == [("three",)]
+    assert len(sn.lookup(spark, path, ["b"], fx.FIELDS).inputFiles()) == 1
+    with pytest.raises(ValueError):
+        sn.read(spark, path, SLA_FIELDS)
+
+
+def test_snapshots_leave_untouched_buckets(spark, tmp_path):
+    path = str(tmp_path / "t")
+    sn.create(spark, path, 64, fx.FIELDS)
+    sn.merge(snapshot_rows(spark, *[(f"c{i}", "one", 0) for i in range(200)]), path, "r", 0, fx.FIELDS)
+    before = sn.manifest(spark, path)["files"]
+    sn.merge(snapshot_rows(spark, ("c7", "two", 1)), path, "r", 1, fx.FIELDS)
+    after = sn.manifest(spark, path)["files"]
+    assert sum(before[b] != after[b] for b in before) == 1 and len(snapshot(spark, path)) == 200
+
+
+def test_a_merge_that_dies_changes_nothing(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    sn.create(spark, path, 4, fx.FIELDS)
+    sn.merge(snapshot_rows(spark, ("a", "one", 0)), path, "r", 0, fx.FIELDS)
+
+    def dies(*_):
+        raise RuntimeError("lost driver")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(sn, "_commit", dies)
+        with pytest.raises(RuntimeError):
+            sn.merge(snapshot_rows(spark, ("a", "two", 1)), path, "r", 1, fx.FIELDS)
+    assert snapshot(spark, path) == {"a": "one"}
+    sn.merge(snapshot_rows(spark, ("a", "three", 1), ("b", "three", 1)), path, "r", 1, fx.FIELDS)
+    assert snapshot(spark, path) == {"a": "three", "b": "three"}
+    assert sn.vacuum(spark, path) == 2  # what the dead merge wrote, and the first version's bucket
+    assert snapshot(spark, path) == {"a": "three", "b": "three"}
+    with pytest.raises(ValueError):
+        sn.read(spark, path, fx.FIELDS, version=1)
+
+
+def test_of_two_merges_one_is_first(spark, tmp_path):
+    path = str(tmp_path / "t")
+    sn.create(spark, path, 4, fx.FIELDS)
+    seen = sn.manifest(spark, path)
+    sn.merge(snapshot_rows(spark, ("a", "one", 0)), path, "r", 0, fx.FIELDS)
+    with pytest.raises(Exception, match="exist"):
+        sn._commit(spark, path, {**seen, "version": 1})
+    assert snapshot(spark, path) == {"a": "one"}
+
+
 def test_pending_and_failures(spark):
     docs = spark.createDataFrame([("a", "x" * 150), ("b", "tiny"), ("c", "y" * 150), ("d", "z" * 150)], "contract_id string, text string")
     results = spark.createDataFrame([("a", "success", None), ("c", "failed", "bad")], "contract_id string, status string, error string")

@@ -201,10 +201,29 @@ def test_money_rule(spark):
     df = spark.createDataFrame(data, "contract_id string, p string, q string")
     got = {r["contract_id"]: (r["penalty_has_monetary"], r["penalty_max_amount"], r["penalty_currency"])
            for r in ex.monetary_summary(df, ["p", "q"]).collect()}
-    assert got == {"a": (True, "EUR 2K", "EUR"), "b": (False, None, None), "c": (None, None, None),
+    assert got == {"a": (True, "$1,000", "USD"), "b": (False, None, None), "c": (None, None, None),
                    "d": (True, None, None), "e": (False, None, None)}
 
 
+def test_currencies_are_not_compared(spark):
+    df = spark.createDataFrame([("a", "EUR 5 or $1,000", "USD 2K and €7"), ("b", None, "none"), ("c", None, None)], "contract_id string, p string, q string")
+    got = values(ex.amounts_by_currency(df, ["p", "q"]).withColumn("value", F.col("value").cast("double")), "contract_id", "currency", "value", "text")
+    assert sorted(got) == [("a", "EUR", 7.0, "€7"), ("a", "USD", 2000.0, "USD 2K")]
+
+
+def test_hashed_weights_join_on_no_term(spark, sf):
+    chunks = ch.chunk(ct.ready(fx.contracts(spark, sf)), 120, 20).select("contract_id", "chunk_idx", "chunk_text")
+    hashed = ve.hashed_vectors(chunks, 1 << 16)
+    lengths = hashed.groupBy("contract_id", "chunk_idx").agg(F.sum(F.col("weight") * F.col("weight")).alias("n"))
+    assert lengths.where(F.abs(F.col("n") - 1) > 1e-9).count() == 0
+    plan = hashed._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(term" not in plan
+    # bins enough for the terms: as many features as without hashing but for a few that meet
+    plain = ve.corpus_vectors(chunks).count()
+    assert 0.95 * plain <= hashed.count() <= plain
+    assert ve.hashed_vectors(chunks.where("false"), 8).count() == 0
+
+
 def test_rule_results_have_the_shape_of_the_table(spark, sf):
     contracts = fx.contracts(spark, sf).select("contract_id", F.lit("f").alias("file_path"), "text")
     rows = batch.rule_results(contracts, rt.default_queries(spark), F.to_timestamp_ntz(F.lit("2024-01-01 00:00:00")))

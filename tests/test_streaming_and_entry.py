@@ -5,6 +5,7 @@ from clauseloom import session
 from clauseloom.operators import responses as rp
 from clauseloom.sources import contracts as ct
 from clauseloom.sources import results as rs
+from clauseloom.sources import snapshots as sn
 from clauseloom.streaming import ingest, throughput
 from verification import fixture as fx
 
@@ -79,6 +80,28 @@ def test_contract_files_are_streamed(spark, tmp_path):
     assert sorted(values(rs.read_latest(spark, table, fx.FIELDS), "contract_id", "tokens_used")) == [("x", 220), ("z", 1)]
 
 
+def test_a_content_sent_again_is_taken_once(spark, tmp_path):
+    folder, table = tmp_path / "in", str(tmp_path / "table")
+    folder.mkdir()
+    sn.create(spark, table, 4, fx.FIELDS)
+
+    def to_results(batch):
+        answers = batch.select("contract_id", "file_path", F.lit('{"opening_quote": "a"}').alias("raw_response"), F.length("text").alias("tokens_used"),
+                               F.to_timestamp_ntz(F.lit("2024-01-01 00:00:00")).alias("created_at"))
+        return rp.result_rows(answers, fx.FIELDS)
+
+    def run():
+        ingest.ingest_contract_files(spark, str(folder), to_results, table, str(tmp_path / "c"), once_within="30 days",
+                                     store=lambda rows, path, run_id, batch: sn.merge(rows, path, run_id, batch, fx.FIELDS))
+        return sorted(values(sn.read(spark, table, fx.FIELDS), "contract_id"))
+
+    (folder / "x.txt").write_text("a contract")
+    assert run() == [("x",)]
+    (folder / "y.txt").write_text("a contract")  # another run of the stream: the state comes from the checkpoint
+    (folder / "z.txt").write_text("another one")
+    assert run() == [("x",), ("z",)]
+
+
 def test_shared_folder_is_required_on_a_cluster():
     class Fake:
         class conf:

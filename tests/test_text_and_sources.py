@@ -9,6 +9,7 @@ from clauseloom.functions import money
 from clauseloom.functions import text as tx
 from clauseloom.operators import chunking as ch
 from clauseloom.plans import planned as pl
+from clauseloom.plans import sections
 from clauseloom.sources import contracts as ct
 
 from conftest import values
@@ -165,3 +166,18 @@ def test_sections_and_references(spark):
     assert values(sections.orderBy("section_no"), "section_no", "header") == [(0, "Preamble"), (1, "SECTION 1"), (2, "SECTION 2.1")]
     refs = values(pl.section_refs(docs, sections).orderBy("ref_no"), "target", "section_text")
     assert refs == [("2.1", "SECTION 2.1\nFound"), ("9", None)]
+
+
+def test_references_lead_to_the_nearest_section_of_their_exhibit(spark):
+    text = "\n".join(["See section 1", "ARTICLE II", "Section 1 Scope", "x see section 2", "Section 2 Term", "as see Section 1 and see section 9",
+                      "EXHIBIT A", "see section 1", "Section 1 Fees", "x", "Section 1 Fees", "see section 1, see section 2"])
+    df = spark.createDataFrame([("a", text), ("b", None), ("c", "")], "contract_id string, clean_text string")
+    got = values(sections.resolved_refs(df).orderBy("ref_no"), "contract_id", "ref_no", "target", "exhibit", "section_line", "article")
+    assert got == [("a", 0, "1", 0, 2, "II"), ("a", 1, "2", 0, 4, "II"), ("a", 2, "1", 0, 2, "II"), ("a", 3, "9", 0, None, None),
+                   ("a", 4, "1", 1, 8, None), ("a", 5, "1", 1, 10, None), ("a", 6, "2", 1, None, None)]
+
+
+def test_resolved_references_shuffle_by_contract_alone(spark):
+    df = spark.createDataFrame([("a", "see section 1")], "contract_id string, clean_text string")
+    plan = sections.resolved_refs(df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan

@@ -75,6 +75,38 @@ def eval_summary_without(spark, sf):
     return ev.eval_summary(_scored(spark, sf), without="0").withColumn("avg_overall", F.round("avg_overall", 6))
 
 
+_PAPERS = o.SCORES.replace("lower(clean_text) AS src_clean", "lower(CASE WHEN doc_id % 6 = 0 THEN 'arXiv:2401.1 ' || clean_text ELSE clean_text END) AS src_clean") + """,
+kinds AS (SELECT contract_id, contains(substring(src_clean, 1, 1000), 'arxiv:') OR contains(substring(src_clean, 1, 1000), 'datasheet for contract understanding')
+            OR contains(substring(src_clean, 1, 1000), 'abstract' || chr(10) || 'we present')
+            OR contains(substring(src_clean, 1, 1000), 'i.motivation' || chr(10) || 'a. who created') AS is_non_contract FROM sourced)"""
+
+
+def _with_papers(spark, sf):
+    """Scores where every sixth text is a paper."""
+    texts = fx.ready_by_contract(spark, sf)
+    paper = F.when(F.col("doc_id") % 6 == 0, F.concat(F.lit("arXiv:2401.1 "), "clean_text")).otherwise(F.col("clean_text"))
+    return sc.score_results(fx.results(spark, sf), texts.withColumn("clean_text", paper), fx.FIELDS)
+
+
+@query("eval_summary_excluded", f"""WITH {_PAPERS}
+SELECT count(*) FILTER (WHERE NOT is_non_contract) AS n_contracts, count(*) FILTER (WHERE is_non_contract) AS n_excluded, round(avg(overall) FILTER (WHERE NOT is_non_contract), 6) AS avg_overall,
+  count(*) FILTER (WHERE overall >= 0.8 AND NOT is_non_contract) AS score_gte_0_8, count(*) FILTER (WHERE overall >= 0.7 AND NOT is_non_contract) AS score_gte_0_7,
+  count(*) FILTER (WHERE overall >= 0.5 AND NOT is_non_contract) AS score_gte_0_5 FROM per_contract JOIN kinds USING (contract_id)""")
+def eval_summary_excluded(spark, sf):
+    return ev.eval_summary(_with_papers(spark, sf)).withColumn("avg_overall", F.round("avg_overall", 6))
+
+
+@query("field_summary_excluded", f"""WITH {_PAPERS}, real AS (SELECT scores.* FROM scores JOIN kinds USING (contract_id) WHERE NOT is_non_contract)
+{_FIELD.replace("FROM scores", "FROM real")}""")
+def field_summary_excluded(spark, sf):
+    return ev.field_summary(_with_papers(spark, sf)).withColumn("avg_score", F.round("avg_score", 6))
+
+
+@query("non_contracts", f"WITH {_PAPERS} SELECT contract_id FROM kinds WHERE is_non_contract")
+def non_contracts(spark, sf):
+    return sc.excluded(_with_papers(spark, sf))
+
+
 @query("eval_first_results", f"WITH {o.SCORES} {_SUMMARY} WHERE contract_id IN (SELECT contract_id FROM per_contract ORDER BY contract_id LIMIT 25)")
 def eval_first_results(spark, sf):
     """A quick evaluation of the first 25 results by id."""

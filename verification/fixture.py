@@ -103,6 +103,9 @@ def _amounts(doc):
     return [F.concat(F.lit(before), number.cast("string"), F.lit(after)) for before, number, after in written]
 
 
+REPEATED = '{"invented":"an earlier value",'  # opens responses that repeat a key
+
+
 def respond(docs: DataFrame) -> DataFrame:
     """One response per cleaned document."""
     doc, clean = F.col("doc_id"), F.col("clean_text")
@@ -118,7 +121,8 @@ def respond(docs: DataFrame) -> DataFrame:
         F.when(doc % 4 == 0, True).when(doc % 4 == 1, False).alias("has_flag"),
         F.when(doc % 10 == 0, F.element_at(F.array(*_amounts(doc)), (doc / 10).cast("int") % 5 + 1)).alias("max_amount"),
     )
-    built = tx.computed_once(docs, js=F.to_json(values, {"ignoreNullFields": "false"}))
+    js = F.to_json(values, {"ignoreNullFields": "false"})
+    built = tx.computed_once(docs, js=F.when(doc % 19 == 4, F.concat(F.lit(REPEATED), F.substring(js, F.lit(2), F.length(js)))).otherwise(js))
     js = F.col("js")
     raw = (F.when(doc % 17 == 0, F.substring(js, F.lit(1), F.length(js) - 20))
            .when(doc % 11 == 0, F.concat(F.lit("```json\n"), js, F.lit("\n```")))
@@ -131,8 +135,13 @@ def respond(docs: DataFrame) -> DataFrame:
 
 
 def second_batch(spark: SparkSession, sf: str) -> DataFrame:
+    return answered_again(responses(spark, sf))
+
+
+def answered_again(first: DataFrame) -> DataFrame:
+    """Every fourth response, a day later."""
     day = F.make_dt_interval(days=F.lit(1))
-    again = responses(spark, sf).where(F.col("doc_id") % 4 == 0)
+    again = first.where(F.col("doc_id") % 4 == 0)
     return again.withColumn("created_at", F.col("created_at") + day).withColumn("tokens_used", F.col("tokens_used") + 1)
 
 

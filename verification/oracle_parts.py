@@ -129,7 +129,9 @@ responses AS MATERIALIZED (
               WHEN doc_id % 13 = 0 THEN 'Here it is: ' || js || ' Done.' ELSE js END AS raw_response,
          2000 + (doc_id * 37) % 9000 AS tokens_used,
          TIMESTAMP '2024-01-01 00:00:00' + to_seconds(doc_id * 7) AS created_at
-  FROM (SELECT contract_id, doc_id, clean_text, CAST(to_json({
+  FROM (SELECT contract_id, doc_id, clean_text,
+          CASE WHEN doc_id % 19 = 4 THEN '{"invented":"an earlier value",' || substring(js, 2) ELSE js END AS js
+        FROM (SELECT contract_id, doc_id, clean_text, CAST(to_json({
           'opening_quote': CASE WHEN doc_id % 5 < 3 THEN substring(clean_text, 1, 130) END,
           'spaced_quote': CASE WHEN doc_id % 7 < 4 THEN replace(substring(clean_text, 41, 60), ' ', '  ') END,
           'invented': CASE WHEN doc_id % 3 = 0 THEN 'the summary of ' || doc_id WHEN doc_id % 3 = 1 THEN 'zzz-' || doc_id END,
@@ -138,7 +140,7 @@ responses AS MATERIALIZED (
           'has_flag': CASE WHEN doc_id % 4 = 0 THEN true WHEN doc_id % 4 = 1 THEN false END,
           'max_amount': CASE WHEN doc_id % 10 = 0 THEN CASE (doc_id // 10) % 5 WHEN 0 THEN '$' || (doc_id * 100)
                 WHEN 1 THEN 'up to $' || doc_id || '.5k in total' WHEN 2 THEN (doc_id * 10) || ' USD for each case' WHEN 3 THEN '€' || doc_id || ' million'
-                ELSE 'after 12 months of fees, at most $' || doc_id || ',000' END END}) AS VARCHAR) AS js FROM ready))"""
+                ELSE 'after 12 months of fees, at most $' || doc_id || ',000' END END}) AS VARCHAR) AS js FROM ready)))"""
 
 PARSED = RESPONSES + r""",
 bodies AS (
@@ -147,8 +149,9 @@ bodies AS (
   FROM (SELECT *, regexp_replace(raw_response, '^\s+|\s+$', '', 'g') AS b FROM responses)),
 parsed AS MATERIALIZED (
   SELECT contract_id, doc_id, clean_text, file_path, raw_response, tokens_used, created_at,
-         CASE WHEN json_valid(body) THEN CASE WHEN json_type(body) = 'OBJECT' THEN body END
-              WHEN json_valid(nullif(regexp_extract(body, '(?s)\{.*\}'), '')) THEN regexp_extract(body, '(?s)\{.*\}') END AS obj
+         replace(CASE WHEN json_valid(body) THEN CASE WHEN json_type(body) = 'OBJECT' THEN body END
+              WHEN json_valid(nullif(regexp_extract(body, '(?s)\{.*\}'), '')) THEN regexp_extract(body, '(?s)\{.*\}') END,
+           '{"invented":"an earlier value",', '{') AS obj  -- the later value of the key counts
   FROM bodies)"""
 
 RESULTS = PARSED + r""",

@@ -12,6 +12,7 @@ from clauseloom.plans import planned as pl
 from clauseloom.plans import statistics as st
 from clauseloom.sources import contracts as ct
 from clauseloom.sources import results as rs
+from clauseloom.sources import snapshots as sn
 
 from . import fixture as fx
 from . import oracle_parts as o
@@ -65,20 +66,38 @@ def nested_results(spark, sf):
 _ROW = "contract_id, file_path, status, tokens_used, opening_quote, spaced_quote, invented, license_line, has_flag, max_amount, raw_response, error"
 
 
-@query("upsert_latest", f"""WITH {o.RESULTS}
+_UPSERTED = f"""WITH {o.RESULTS}
 SELECT contract_id, status, CASE WHEN doc_id % 4 = 0 AND status <> 'failed' THEN tokens_used + 1 ELSE tokens_used END AS tokens_used,
-       CASE WHEN doc_id % 4 = 0 THEN created_at + INTERVAL 1 DAY ELSE created_at END AS created_at FROM results""")
+       CASE WHEN doc_id % 4 = 0 THEN created_at + INTERVAL 1 DAY ELSE created_at END AS created_at FROM results"""
+
+
+@query("upsert_latest", _UPSERTED)
 def upsert_latest(spark, sf):
     """A second batch that also repeats the first one's rows: older versions inside a batch lose."""
-    again = fx.second_batch(spark, sf)
-    outdated = fx.responses(spark, sf).where(F.col("doc_id") % 4 == 0)
+    first = session.written(fx.responses(spark, sf), "responses")
+    again = fx.answered_again(first)
+    outdated = first.where(F.col("doc_id") % 4 == 0)
     same_time = again.withColumn("tokens_used", F.col("tokens_used") + 7)  # written before ``again``: only the sequence tells
     batches = [rp.result_rows(rows, fx.FIELDS).withColumn("seq", F.lit(i)) for i, rows in ((3, outdated), (1, same_time), (2, again))]
     new = batches[0].unionByName(batches[1]).unionByName(batches[2])
-    merged = rs.upsert(fx.results(spark, sf), new, "seq")
+    merged = rs.upsert(rp.result_rows(first, fx.FIELDS), new, "seq")
     return merged.select("contract_id", "status", "tokens_used", "created_at")
 
 
+@query("snapshot_table", _UPSERTED)
+def snapshot_table(spark, sf):
+    """Batches merged into a snapshot table: the second one twice, then rows that are older than those stored."""
+    path = session.new_folder(spark, "snapshots")
+    first = session.written(fx.responses(spark, sf), "responses")
+    again = rp.result_rows(fx.answered_again(first), fx.FIELDS)
+    sn.create(spark, path, 16, fx.FIELDS)
+    sn.merge(rp.result_rows(first, fx.FIELDS), path, "first", 0, fx.FIELDS)
+    sn.merge(again, path, "second", 0, fx.FIELDS)
+    sn.merge(again, path, "second", 0, fx.FIELDS)
+    sn.merge(rp.result_rows(first.where(F.col("doc_id") % 4 == 0), fx.FIELDS), path, "second", 1, fx.FIELDS)
+    return sn.read(spark, path, fx.FIELDS).select("contract_id", "status", "tokens_used", "created_at")
+
+
 @query("result_table", f"""WITH {o.RESULTS}
 SELECT contract_id, status, CASE WHEN doc_id % 4 = 0 AND status <> 'failed' THEN tokens_used + 1 ELSE tokens_used END AS tokens_used FROM results""")
 def result_table(spark, sf):

@@ -366,3 +366,36 @@ SELECT contract_id, chunk_idx, count(*) AS n_features, round(max(weight) / sqrt(
 def ml_tfidf(spark, sf):
     vectors = ve.corpus_vectors(_chunks(spark, sf).select("contract_id", "chunk_idx", "chunk_text"))
     return vectors.groupBy("contract_id", "chunk_idx").agg(F.count("*").alias("n_features"), F.round(F.max("weight"), 6).alias("largest"))
+
+
+_BINS = 1 << 12  # few, so that terms meet
+
+
+@query("hashed_tfidf", f"""WITH RECURSIVE {_CHUNKS},
+hashed AS (SELECT contract_id, chunk_idx, md5(unnest(regexp_extract_all(lower(chunk_text), '[a-z0-9]+'))) AS h FROM chunks),
+counts AS (SELECT contract_id, chunk_idx, ('0x' || substr(h, 1, 8))::BIGINT % {_BINS} AS bin, sum(CASE WHEN ('0x' || substr(h, 9, 1))::INT % 2 = 0 THEN 1 ELSE -1 END) AS tf
+           FROM hashed GROUP BY ALL HAVING tf <> 0),
+total AS (SELECT count(*) AS n FROM chunks), holders AS (SELECT bin, count(*) AS df FROM counts GROUP BY bin),
+weighed AS (SELECT contract_id, chunk_idx, bin, tf * ln((1.0 + n) / (1.0 + df)) AS weight FROM counts JOIN holders USING (bin) CROSS JOIN total WHERE df < n)
+SELECT contract_id, chunk_idx, count(*) AS n_bins, sum(bin)::BIGINT AS bins, round(max(weight) / sqrt(sum(weight * weight)), 6) AS largest,
+       round(min(weight) / sqrt(sum(weight * weight)), 6) AS smallest FROM weighed GROUP BY contract_id, chunk_idx""")
+def hashed_tfidf(spark, sf):
+    vectors = ve.hashed_vectors(_chunks(spark, sf).select("contract_id", "chunk_idx", "chunk_text"), _BINS)
+    return vectors.groupBy("contract_id", "chunk_idx").agg(F.count("*").alias("n_bins"), F.sum("bin").alias("bins"),
+                                                           F.round(F.max("weight"), 6).alias("largest"), F.round(F.min("weight"), 6).alias("smallest"))
+
+
+@query("amounts_by_currency", f"""WITH {o.READY}
+SELECT contract_id, currency, value, text FROM (
+  SELECT contract_id, 'USD' AS currency, greatest(doc_id * 100 + 0.5, 70)::DOUBLE AS value,
+         CASE WHEN doc_id * 100 + 0.5 >= 70 THEN '$' || (doc_id * 100) || '.50' ELSE '70 USD' END AS text FROM ready WHERE doc_id % 3 = 0
+  UNION ALL SELECT contract_id, 'EUR', (CASE WHEN doc_id % 5 = 0 THEN 2000000 ELSE doc_id END)::DOUBLE,
+         CASE WHEN doc_id % 5 = 0 THEN 'EUR 2 million' ELSE '€' || doc_id END FROM ready WHERE doc_id % 3 = 0 OR doc_id % 5 = 0)
+WHERE currency = 'USD' OR contract_id::BIGINT % 3 = 0 OR contract_id::BIGINT % 5 = 0""")
+def amounts_by_currency(spark, sf):
+    """Clauses that name amounts in two currencies, the smaller number in the dearer one."""
+    doc = F.col("doc_id")
+    rows = fx.ready(spark, sf).select(
+        "contract_id", F.when(doc % 3 == 0, F.concat(F.lit("A fee of $"), (doc * 100).cast("string"), F.lit(".50 or €"), doc.cast("string"), F.lit(" for each case"))).alias("p"),
+        F.when(doc % 5 == 0, "not above EUR 2 million").alias("q"), F.when(doc % 3 == 0, "70 USD in any case").alias("r"))
+    return ex.amounts_by_currency(rows, ["p", "q", "r"]).withColumn("value", F.col("value").cast("double"))

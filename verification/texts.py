@@ -10,6 +10,7 @@ from clauseloom.operators import chunking as ch
 from clauseloom.operators import extraction as ex
 from clauseloom.operators import scoring as sc
 from clauseloom.plans import planned as pl
+from clauseloom.plans import sections
 from clauseloom.sources import contracts as ct
 from clauseloom.fields import Field
 
@@ -200,6 +201,31 @@ def section_refs(spark, sf):
     return refs.select("contract_id", "ref_no", "target", "section_no", F.md5("section_text").alias("section_md5"))
 
 
+_HEADER = r'^(?i:(section|article|schedule|exhibit|appendix)) +([0-9A-Z]+(?:\.[0-9]+)*)'
+_PARTS = """replace(clean_text, '.' || chr(10), '.' || chr(10) || 'SECTION 2' || chr(10) || 'See Section 1 and see section 2 or see section 7 ')"""
+
+
+@query("resolved_refs", f"""WITH {o.DOCS.replace('docs AS', 'base AS', 1)},
+docs AS (SELECT contract_id, 'SECTION 1' || chr(10) || t || chr(10) || 'EXHIBIT A' || chr(10) || 'ARTICLE IV' || chr(10) || 'SECTION 1' || chr(10) || t
+           || chr(10) || 'SECTION 7' || chr(10) || 'EXHIBIT B' || chr(10) || t AS clean_text FROM (SELECT contract_id, {_PARTS} AS t FROM base)),
+lines AS (SELECT contract_id, unnest(l) AS line, generate_subscripts(l, 1) - 1 AS i FROM (SELECT contract_id, string_split(clean_text, chr(10)) AS l FROM docs)),
+kinds AS (SELECT contract_id, line, i, lower(regexp_extract(line, '{_HEADER}', 1)) AS kind, regexp_extract(line, '{_HEADER}', 2) AS number FROM lines),
+placed AS (SELECT *, count(*) FILTER (WHERE kind IN ('exhibit', 'schedule', 'appendix')) OVER (PARTITION BY contract_id ORDER BY i) AS exhibit FROM kinds),
+sections AS (SELECT *, last_value(CASE WHEN kind = 'article' THEN number END IGNORE NULLS) OVER (PARTITION BY contract_id, exhibit ORDER BY i) AS article FROM placed),
+refs AS (SELECT contract_id, i, exhibit, unnest(r) AS target, generate_subscripts(r, 1) AS nth
+         FROM (SELECT *, regexp_extract_all(line, '(?i)see section ([0-9]+(?:\\.[0-9]+)*)', 1) AS r FROM placed)),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY contract_id ORDER BY i, nth) - 1 AS ref_no FROM refs)
+SELECT r.contract_id, r.ref_no, r.target, r.exhibit, s.i AS section_line, s.article FROM numbered r
+LEFT JOIN sections s ON s.contract_id = r.contract_id AND s.exhibit = r.exhibit AND s.number = r.target AND s.kind = 'section'
+QUALIFY row_number() OVER (PARTITION BY r.contract_id, r.ref_no ORDER BY abs(s.i - r.i), s.i) = 1""")
+def resolved_refs(spark, sf):
+    """Texts with a main part and two exhibits whose sections have the same numbers."""
+    docs = ct.cleaned(ct.by_contract(fx.contracts(spark, sf)))
+    part = F.replace("clean_text", F.lit(".\n"), F.lit(".\nSECTION 2\nSee Section 1 and see section 2 or see section 7 "))
+    text = F.concat(F.lit("SECTION 1\n"), part, F.lit("\nEXHIBIT A\nARTICLE IV\nSECTION 1\n"), part, F.lit("\nSECTION 7\nEXHIBIT B\n"), part)
+    return sections.resolved_refs(docs.select("contract_id", text.alias("clean_text")))
+
+
 @query("changed_docs", f"""WITH {o.READY}
 SELECT contract_id, sha256(clean_text) AS digest FROM ready WHERE doc_id % 3 <> 0""")
 def changed_docs(spark, sf):

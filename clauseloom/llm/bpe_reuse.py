@@ -90,7 +90,7 @@ def blank_after(text: str, start: int, end: int | None = None) -> int:
 _ENCODERS: dict[str, "ChunkEncoder"] = {}
 _DECODERS: dict[str, "Decoder"] = {}
 LONG_WINDOW = 10_000  # longer windows are not kept
-CACHE_BYTES, ENTRY = 128_000_000, 400  # about what a worker keeps, and what an entry takes besides its text and ids
+CACHE_BYTES, ENTRY = 64_000_000, 400  # about what a worker keeps, and what an entry takes besides its text and ids
 
 
 class ChunkEncoder:

@@ -84,9 +84,14 @@ def _letter_pairs() -> Column:
 
 
 def _may_be_close(a: str, b: str, edits: int) -> Column:
-    """False only for lines further apart than ``edits``: an edit changes two letter counts and four letter pairs at most."""
+    """False only for lines further apart than ``edits``.
+
+    A replaced letter changes two letter counts and four letter pairs at most, an added or removed one changes one count and three
+    pairs; lines that differ in length by n have n of the latter at least.
+    """
     odd = sum(F.bit_count(F.col(f"{a}.pairs.{half}").bitwiseXOR(F.col(f"{b}.pairs.{half}"))) for half in ("low", "high"))
-    return (odd <= 4 * edits) & (_letters_apart(f"{a}.letters", f"{b}.letters") <= 2 * edits)
+    longer = F.abs(F.col(f"{a}.size") - F.col(f"{b}.size"))
+    return (longer <= edits) & (odd <= 4 * edits - longer) & (_letters_apart(f"{a}.letters", f"{b}.letters") <= 2 * edits - longer)
 
 
 def _hashes() -> tuple[Column, Column]:
@@ -229,7 +234,7 @@ def _at_end(last: Column, m: Column, n: Column, edits: int) -> Column:
 
 
 def candidate_lines(docs: DataFrame, classes: DataFrame, entries: DataFrame) -> DataFrame:
-    """node (a number), h1, h2, place, line, letters and pairs (of letters) of every class in ``entries``; ``classes`` and ``entries`` are written tables."""
+    """node (a number), h1, h2, place, line, size, letters and pairs (of letters) of every class in ``entries``; ``classes`` and ``entries`` are written tables."""
     places = classes.join(entries.select("h1", "h2").distinct(), ["h1", "h2"])
     places = written(places.withColumn("node", F.monotonically_increasing_id()), "line-places")
     # beyond the bound the places are shuffled like any table
@@ -237,7 +242,7 @@ def candidate_lines(docs: DataFrame, classes: DataFrame, entries: DataFrame) ->
     rows = _rows(docs).alias("r").join(wanted.alias("w"), F.col("r.row_hash").eqNullSafe(F.col("w.row_hash")) & F.col("r.doc_id").eqNullSafe(F.col("w.doc_id")))
     found = rows.select("node", "h1", "h2", F.struct(*[F.col(f"w.{c}") for c in PLACE]).alias("place"), F.get("lines", F.col("line_no")).alias("line"))
     lines = written(found.distinct(), "candidate-lines")
-    return written(lines.withColumns({"letters": _letters(), "pairs": _letter_pairs()}), "candidate-lines")
+    return written(lines.withColumns({"size": F.char_length("line"), "letters": _letters(), "pairs": _letter_pairs()}), "candidate-lines")
 
 
 def close_pairs(pairs: DataFrame, lines: DataFrame, edits: int) -> DataFrame:
@@ -262,14 +267,14 @@ def line_groups(docs: DataFrame, classes: DataFrame, edits: int, min_chars: int)
     """place and first: of every class that is linked with others, and the first one of its group; ``classes`` is a written table."""
     shared = shared_keys(_numbered(docs), edits, min_chars)
     lines = candidate_lines(docs, classes, shared)
-    entries = written(shared.join(lines.select("h1", "h2", "node", "letters", "pairs"), ["h1", "h2"]).drop("h1", "h2"), "line-entries")
+    entries = written(shared.join(lines.select("h1", "h2", "node", "size", "letters", "pairs"), ["h1", "h2"]).drop("h1", "h2"), "line-entries")
     discard(shared)
     groups, led, leaders = None, 0, 1
     while True:
         placed = entries.withColumn("group", F.col("node")) if groups is None else entries.join(groups, "node", "left").withColumn("group", F.coalesce("component", "node")).drop("component")
         # pairs are left where an indexed line has not led yet and another is in a different group
-        keys = placed.groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high"), F.count("*").alias("size"), F.count(F.when(F.col("indexed"), 1)).alias("indexes"))
-        open_keys = keys.where((F.col("low") != F.col("high")) & (F.col("size") - led >= 2) & (F.col("indexes") > led)).select("key")
+        keys = placed.groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high"), F.count("*").alias("entries"), F.count(F.when(F.col("indexed"), 1)).alias("indexes"))
+        open_keys = keys.where((F.col("low") != F.col("high")) & (F.col("entries") - led >= 2) & (F.col("indexes") > led)).select("key")
         open_ = written(placed.join(open_keys, "key", "left_semi"), "open-lines")
         if open_.isEmpty():
             break

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -105,11 +106,33 @@ def _documents(chunks: DataFrame) -> DataFrame:
     return chunks.groupBy("contract_id").agg(F.max("n_chunks").alias("n_chunks"), ordered.alias("chunks"))
 
 
-def rank_chunks(chunks: DataFrame, queries: DataFrame, k: int = fv.TOP_K) -> DataFrame:
+def _close_enough(similarity: np.ndarray, k: int, closeness: float) -> np.ndarray:
+    """Which places of the columns of ``similarity`` are kept: the first ``k``, and further ones up to the first clear step down."""
+    kept = np.ones(similarity.shape, bool)
+    if len(similarity) > k:
+        values = np.round(similarity[k - 1:], 9)
+        kept[k:] = np.logical_and.accumulate((values[1:] >= (1 - closeness) * values[:-1]) & (values[1:] > 0), axis=0)
+    return kept
+
+
+def rank_adaptively(chunks: DataFrame, queries: DataFrame, k: int, most: int, closeness: float) -> DataFrame:
+    """``rank_chunks`` with a ``k`` that grows, for each document and query by itself, up to ``most``.
+
+    Further chunks are taken as long as each has at least 1 - ``closeness`` times the similarity of the one before it: where the
+    scores fall off behind the ``k``-th, ``k`` chunks are enough, and where they hardly differ, the cut would be arbitrary.  All
+    of it is decided in the pass that ranks the chunks.
+    """
+    if not 1 <= k <= most or not 0 <= closeness < 1:
+        raise ValueError("1 <= k <= most and 0 <= closeness < 1 are required")
+    return rank_chunks(chunks, queries, most, lambda similarity: _close_enough(similarity, k, closeness))
+
+
+def rank_chunks(chunks: DataFrame, queries: DataFrame, k: int = fv.TOP_K, keep: Callable[[np.ndarray], np.ndarray] | None = None) -> DataFrame:
     """The ``k`` best chunks of each document for each query, or all of them when there are fewer.
 
     ``similarity`` is the cosine.  Within one document and query its order is that of ``product``, the
-    cosine times the length of the query, rounded to nine digits, then that of the chunks.
+    cosine times the length of the query, rounded to nine digits, then that of the chunks.  ``keep`` says which of them stay,
+    from the similarities of a document by rank and query.
     """
     documents, found = _documents(chunks), None
     types = {**dict(chunks.dtypes), **dict(queries.dtypes)}
@@ -123,8 +146,9 @@ def rank_chunks(chunks: DataFrame, queries: DataFrame, k: int = fv.TOP_K) -> Dat
                 for document, n_chunks, parts in zip(*(batch.column(c).to_pylist() for c in ("contract_id", "n_chunks", "chunks"))):
                     best, similarity = rank([p["chunk_text"] for p in parts], n_chunks)
                     numbers = np.array([p["chunk_idx"] for p in parts])
-                    columns.append((document, numbers[best].ravel(), np.repeat(np.arange(1, len(best) + 1), len(names)), similarity.ravel()))
-                    n += best.size
+                    place, asked = np.nonzero(np.ones(best.shape, bool) if keep is None else keep(similarity))
+                    columns.append((document, asked, numbers[best[place, asked]], place + 1, similarity[place, asked]))
+                    n += len(place)
                     if n >= CELLS // 4:
                         yield _ranked_batch(columns, names, kind)
                         columns, n = [], 0
@@ -136,10 +160,10 @@ def rank_chunks(chunks: DataFrame, queries: DataFrame, k: int = fv.TOP_K) -> Dat
 
 
 def _ranked_batch(columns: list, names: list, kind: str) -> pa.RecordBatch:
-    sizes = [len(numbers) for _, numbers, _, _ in columns]
+    sizes = [len(c[1]) for c in columns]
     joined = lambda k: np.concatenate([c[k] for c in columns]) if columns else np.zeros(0)
     values = [pa.array([c[0] for c in columns]).take(pa.array(np.repeat(np.arange(len(sizes)), sizes))) if columns else pa.array([], pa.string()),
-              pa.array(names * (sum(sizes) // len(names))), pa.array(joined(1)), pa.array(joined(2)), pa.array(joined(3))]
+              pa.array(names).take(pa.array(joined(1).astype(np.int64))), pa.array(joined(2)), pa.array(joined(3)), pa.array(joined(4))]
     arrow = {"string": pa.string(), "int": pa.int32(), "bigint": pa.int64(), "double": pa.float64()}
     fields = [f.split(" ") for f in kind.split(", ")]
     return pa.RecordBatch.from_arrays([v.cast(arrow[t]) for v, (_, t) in zip(values, fields)], names=[n for n, _ in fields])
@@ -236,3 +260,21 @@ def query_group_hits(ranked: DataFrame, queries: DataFrame, relevant: DataFrame)
         F.count(F.lit(1)).alias("n_relevant"), F.count("best_rank").alias("n_found"),
         F.round(F.count("best_rank") / F.count(F.lit(1)), 6).alias("recall"),
         F.coalesce(F.max("best_rank"), F.lit(0)).alias("needed_k"))
+
+
+def adaptive_gain(wide: DataFrame, adaptive: DataFrame, queries: DataFrame, relevant: DataFrame, k: int) -> DataFrame:
+    """Per query group, what a fixed ``k``, the growing one and ``wide`` (the most it grows to) take and find.
+
+    ``n_*`` counts chunks, ``found_*`` the (contract, query) pairs with a relevant chunk among them; ``relevant`` lists
+    (contract_id, query_idx, chunk_idx).
+    """
+    keys = ["contract_id", "query_idx", "chunk_idx"]
+    taken = wide.select(*keys, "rank").join(adaptive.select(*keys, F.lit(True).alias("kept")), keys, "left")
+    judged = taken.join(relevant.select(*keys, F.lit(True).alias("right")), keys, "left")
+    fixed, kept, right = F.col("rank") <= k, F.col("kept").isNotNull(), F.col("right").isNotNull()
+    pairs = judged.groupBy("contract_id", "query_idx").agg(
+        F.count_if(fixed).alias("n_fixed"), F.count_if(kept).alias("n_adaptive"), F.count(F.lit(1)).alias("n_most"),
+        F.max((fixed & right).cast("long")).alias("found_fixed"), F.max((kept & right).cast("long")).alias("found_adaptive"),
+        F.max(right.cast("long")).alias("found_most"))
+    sums = [F.sum(f"{what}_{which}").alias(f"{what}_{which}") for what in ("n", "found") for which in ("fixed", "adaptive", "most")]
+    return pairs.join(queries.select("query_idx", "query_group"), "query_idx").groupBy("query_group").agg(*sums)

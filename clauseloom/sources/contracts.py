@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import fixed_values as fv
 from ..functions import text as tx
+from ..session import written
 
 PAGE_BLOCK = 256
 
@@ -25,15 +28,46 @@ def as_contracts(files: DataFrame) -> DataFrame:
                         F.lit(fv.FILE_SOURCE).alias("source"), F.make_valid_utf8(F.col("content").cast("string")).alias("text"))
 
 
+def positioned(table: DataFrame, order: Sequence[str], position: str = "position") -> DataFrame:
+    """``table`` with the place (from 0, without gaps) of each row by the columns ``order``, nulls first.
+
+    Rows are sorted in ranges and stored; a row's place is that in its range plus the rows of the ranges before, of which
+    one number each reaches the driver.  Rows that are equal in ``order`` are told apart by a hash of the whole row, so many of them
+    spread over ranges as well; rows that are equal in everything stand in any order.
+    """
+    numbered, row_hash = _unused(table, "row_id"), _unused(table, "row_hash")
+    keys = [*(F.col(c).asc_nulls_first() for c in order), F.col(row_hash)]
+    ranged = table.withColumn(row_hash, F.xxhash64(*[F.col(f"`{c}`") for c in table.columns])).repartitionByRange(*keys).sortWithinPartitions(*keys)
+    stored = written(ranged.drop(row_hash).withColumn(numbered, F.monotonically_increasing_id()), "positions")
+    part = _unused(stored, "part")
+    parts = stored.groupBy(F.shiftright(numbered, 33).alias(part)).agg(F.count(F.lit(1)).alias("rows")).orderBy(part).collect()
+    starts, total = [], 0
+    for row in parts:
+        starts.append((row[part], total))
+        total += row["rows"]
+    before = _unused(stored, "rows_before")
+    offsets = table.sparkSession.createDataFrame(starts, f"{part} long, {before} long")
+    placed = stored.withColumn(part, F.shiftright(numbered, 33)).join(F.broadcast(offsets), part)  # a row per range
+    within = F.col(numbered).bitwiseAND(F.lit((1 << 33) - 1))
+    return placed.select(*[F.col(f"`{c}`") for c in table.columns if c != position], (F.col(before) + within).alias(position))
+
+
+def _unused(table: DataFrame, name: str) -> str:
+    while name in table.columns:
+        name += "_"
+    return name
+
+
 def load_corpus(spark: SparkSession, folder: str, limit: int | None = None, position: str = "position",
-                text: str = "text") -> DataFrame:
+                text: str = "text", order: Sequence[str] | None = None) -> DataFrame:
     """Contracts of a folder: its Parquet dataset when it holds one, its text files otherwise.
 
-    The cap counts dataset positions, or file names in order.
+    The cap counts dataset positions, or file names in order.  A dataset without positions is given them by ``order``.
     """
     stored = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(folder).select("path")
     if not stored.isEmpty():
-        return dataset_scan(spark.read.option("pathGlobFilter", "*.parquet").parquet(folder), position, text, limit)
+        table = spark.read.option("pathGlobFilter", "*.parquet").parquet(folder)
+        return dataset_scan(positioned(table, order, position) if order else table, position, text, limit)
     files = scan_files(spark, folder)
     if limit is None:
         return files

@@ -64,6 +64,30 @@ def test_ranking_agrees_with_brute_force(spark, k):
     assert got == brute_force(DOCUMENTS, QUERIES, k)
 
 
+@pytest.mark.parametrize("k, most, closeness", [(1, 6, 0.3), (2, 4, 0.0), (3, 3, 0.5)])
+def test_growing_k_agrees_with_brute_force(spark, k, most, closeness):
+    found = values(rt.rank_adaptively(chunks_of(spark, DOCUMENTS), queries_of(spark, *QUERIES), k, most, closeness),
+                   "contract_id", "query_idx", "rank", "chunk_idx", "similarity")
+    wide, expected = brute_force(DOCUMENTS, QUERIES, most), {}
+    for d in DOCUMENTS:
+        for q in range(len(QUERIES)):
+            for r in range(1, most + 1):
+                if (d, q, r) not in wide or r > k and not (wide[d, q, r][1] > 0 and wide[d, q, r][1] >= (1 - closeness) * wide[d, q, r - 1][1]):
+                    break
+                expected[d, q, r] = wide[d, q, r]
+    assert {(d, q, r): (i, round(s, 9)) for d, q, r, i, s in found} == expected
+    with pytest.raises(ValueError):
+        rt.rank_adaptively(chunks_of(spark, DOCUMENTS), queries_of(spark, *QUERIES), 3, 2, closeness)
+
+
+def test_growing_k_finds_no_less_with_fewer_chunks(spark, sf):
+    from verification.retrieval import adaptive_gain
+
+    rows = adaptive_gain(spark, sf).collect()
+    assert rows and all(r.found_fixed <= r.found_adaptive <= r.found_most and r.n_fixed <= r.n_adaptive <= r.n_most for r in rows)
+    assert sum(r.n_fixed for r in rows) < sum(r.n_adaptive for r in rows) < sum(r.n_most for r in rows)
+
+
 def test_ranking_without_broadcast(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     try:

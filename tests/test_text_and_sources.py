@@ -123,6 +123,21 @@ def test_corpus_is_a_dataset_or_files(spark, tmp_path):
     assert sorted(values(ct.load_corpus(spark, str(files), 2), "contract_id")) == [("a",), ("b",)]
     spark.createDataFrame([(0, "x"), (1, None), (2, "z")], "position long, text string").write.parquet(str(stored))
     assert sorted(values(ct.load_corpus(spark, str(stored), 2), "contract_id", "text")) == [("cuad_0", "x"), ("cuad_1", "")]
+    assert sorted(values(ct.load_corpus(spark, str(stored), 2, order=["text"]), "contract_id", "text")) == [("cuad_0", ""), ("cuad_1", "x")]
+
+
+def test_positions_are_dense_and_in_order(spark):
+    keys = [None if i % 50 == 0 else "hot" if i % 3 else f"k{i % 7}" for i in range(500)]
+    rows = [(i, key, "x") for i, key in enumerate(keys)] + [(3, keys[3], "x")]  # one row stands twice
+    table = spark.createDataFrame(rows, "row_id long, key string, part string").repartition(5)
+    got = values(ct.positioned(table, ["key"]), "position", "key", "row_id", "part")
+    assert sorted(p for p, *_ in got) == list(range(501))
+    ordered = [key for _, key, *_ in sorted(got, key=lambda r: r[0])]
+    assert ordered == sorted(ordered, key=lambda k: (k is not None, k or ""))
+    assert sorted(i for _, _, i, _ in got) == sorted(i for i, _, _ in rows)
+    plan = ct.positioned(table, ["key"])._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "SinglePartition" not in plan
+    assert ct.positioned(table.where("false"), ["key"]).count() == 0
 
 
 def test_non_contract_marker_window(spark):

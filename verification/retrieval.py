@@ -109,14 +109,45 @@ FROM hit JOIN queries USING (query_idx) GROUP BY query_group""")
 def query_recall(spark, sf):
     """Chunks sharing a whole sentence with a passage are relevant to it."""
     queries, chunks = fx.benchmark_queries(spark, sf), _chunks(spark, sf)
+    return rt.query_group_hits(rt.rank_chunks(chunks, queries, K), queries, _relevant(queries, chunks))
+
+
+def _relevant(queries, chunks):
 
     def spread(rows, text, *keys):
         return rows.select(*keys, F.explode_outer(tx.sentences(text)).alias("sentence")).where(F.length("sentence") >= 20)
 
     wanted = spread(queries, tx.clean_text(F.col("query_text")), "query_idx")
     held = spread(chunks, F.col("chunk_text"), "contract_id", "chunk_idx")
-    relevant = held.join(wanted, "sentence").select("contract_id", "query_idx", "chunk_idx").distinct()
-    return rt.query_group_hits(rt.rank_chunks(chunks, queries, K), queries, relevant)
+    return held.join(wanted, "sentence").select("contract_id", "query_idx", "chunk_idx").distinct()
+
+
+FEW, MOST, CLOSENESS = 2, 8, 0.1
+_GROWN = f"""{o.ranked(MOST)},
+stepped AS (SELECT *, round(similarity, 9) AS s, lag(round(similarity, 9)) OVER (PARTITION BY contract_id, query_idx ORDER BY rank) AS before FROM ranked),
+grown AS MATERIALIZED (SELECT *, max(CASE WHEN rank > {FEW} AND NOT (s > 0 AND s >= (1 - {CLOSENESS}::DOUBLE) * before) THEN 1 ELSE 0 END)
+          OVER (PARTITION BY contract_id, query_idx ORDER BY rank) = 0 AS kept FROM stepped)"""
+
+
+@query("retrieve_adaptive", f"{_TOP}{_GROWN} SELECT contract_id, query_idx, chunk_idx, rank, round(similarity, 6) AS similarity FROM grown WHERE kept")
+def retrieve_adaptive(spark, sf):
+    ranked = rt.rank_adaptively(_chunks(spark, sf), fx.benchmark_queries(spark, sf), FEW, MOST, CLOSENESS)
+    return ranked.withColumn("similarity", F.round("similarity", 6))
+
+
+@query("adaptive_gain", f"""{_TOP}{_GROWN}, {_RELEVANT},
+pairs AS (SELECT g.contract_id, g.query_idx, count(*) FILTER (rank <= {FEW}) AS n_fixed, count(*) FILTER (kept) AS n_adaptive, count(*) AS n_most,
+                 max((rank <= {FEW} AND r.chunk_idx IS NOT NULL)::INT) AS found_fixed, max((kept AND r.chunk_idx IS NOT NULL)::INT) AS found_adaptive,
+                 max((r.chunk_idx IS NOT NULL)::INT) AS found_most
+          FROM grown g LEFT JOIN relevant r USING (contract_id, query_idx, chunk_idx) GROUP BY ALL)
+SELECT query_group, sum(n_fixed)::BIGINT AS n_fixed, sum(n_adaptive)::BIGINT AS n_adaptive, sum(n_most)::BIGINT AS n_most,
+       sum(found_fixed)::BIGINT AS found_fixed, sum(found_adaptive)::BIGINT AS found_adaptive, sum(found_most)::BIGINT AS found_most
+FROM pairs JOIN queries USING (query_idx) GROUP BY query_group""")
+def adaptive_gain(spark, sf):
+    """Chunks taken and relevant ones found by two chunks a query, by a growing number and by eight."""
+    queries, chunks = fx.benchmark_queries(spark, sf), _chunks(spark, sf)
+    adaptive = rt.rank_adaptively(chunks, queries, FEW, MOST, CLOSENESS)
+    return rt.adaptive_gain(rt.rank_chunks(chunks, queries, MOST), adaptive, queries, _relevant(queries, chunks), FEW)
 
 
 @query("chunk_cap", f"{_TOP}{o.seen(K)} SELECT contract_id, seen, position FROM (SELECT contract_id, seen, row_number() OVER (PARTITION BY contract_id ORDER BY seen) AS position FROM seen) WHERE position <= 25")

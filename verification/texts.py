@@ -76,6 +76,21 @@ def dataset_scan(spark, sf):
     return ct.dataset_scan(docs, "doc_id", "text")
 
 
+_CORPUS = """SELECT 'cuad_' || position AS contract_id, 'cuad_dataset[cuad_' || position || ']' AS file_path, 'cuad' AS source, coalesce(text, '') AS text
+FROM (SELECT text, row_number() OVER (ORDER BY source NULLS FIRST, doc_id NULLS FIRST) - 1 AS position FROM documents)"""
+
+
+@query("load_corpus", _CORPUS)
+def load_corpus(spark, sf):
+    """The stored documents as a corpus; their positions are those by source and id."""
+    return ct.load_corpus(spark, f"{sf}/documents.parquet", order=["source", "doc_id"])
+
+
+@query("load_corpus_first", _CORPUS + " WHERE position < 100")
+def load_corpus_first(spark, sf):
+    return ct.load_corpus(spark, f"{sf}/documents.parquet", 100, order=["source", "doc_id"])
+
+
 @query("corpus_admission", r"""
 SELECT 'cuad_' || CASE WHEN doc_id > 999 THEN CAST(doc_id AS VARCHAR) ELSE lpad(CAST(doc_id AS VARCHAR), 4, '0') END AS contract_id, s AS text
 FROM (SELECT doc_id, regexp_replace(CASE doc_id % 5 WHEN 1 THEN 'arXiv: ' WHEN 2 THEN '  Abstract' || chr(10) ELSE '' END || text,

@@ -136,4 +136,10 @@ def export_csv(results: DataFrame, path: str) -> None:
 
 
 def write_failures(failures: DataFrame, path: str) -> None:
+    """The failure log as JSON Lines, in place of an earlier one; a run without failures leaves an empty log."""
     failures.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+
+
+def read_failures(spark: SparkSession, path: str) -> DataFrame:
+    """A written failure log, also an empty one, in which Spark could not find the columns."""
+    return spark.read.schema("id string, error string").json(path)

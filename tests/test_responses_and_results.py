@@ -163,14 +163,19 @@ def test_of_two_merges_one_is_first(spark, tmp_path):
     assert snapshot(spark, path) == {"a": "one"}
 
 
-def test_pending_and_failures(spark):
+def test_pending_and_failures(spark, tmp_path):
     docs = spark.createDataFrame([("a", "x" * 150), ("b", "tiny"), ("c", "y" * 150), ("d", "z" * 150)], "contract_id string, text string")
     results = spark.createDataFrame([("a", "success", None), ("c", "failed", "bad")], "contract_id string, status string, error string")
     assert sorted(values(rs.pending(docs, results), "contract_id")) == [("b",), ("d",)]
     assert values(rs.pending(docs, results, 1), "contract_id") == [("b",)]
     log = rs.failure_log(ct.too_short(docs), results)
     assert sorted(values(log)) == [("b", "text too short"), ("c", "bad")]
-    assert sorted(values(rs.retry(docs, log), "contract_id")) == [("b",), ("c",)]
+    path = str(tmp_path / "failures")
+    rs.write_failures(log, path)
+    assert sorted(values(rs.read_failures(spark, path))) == sorted(values(log))
+    assert sorted(values(rs.retry(docs, rs.read_failures(spark, path)), "contract_id")) == [("b",), ("c",)]
+    rs.write_failures(log.where("false"), path)
+    assert values(rs.read_failures(spark, path)) == []
     assert values(ins.next_candidates(docs, results, 1)) == [("b",)]
 
 

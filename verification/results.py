@@ -157,13 +157,26 @@ def export_csv(spark, sf):
     return spark.read.schema(schema).option("header", True).option("escape", '"').option("multiLine", True).csv(path)
 
 
-@query("failure_log", f"""WITH {o.RESULTS}
+_FAILURES = f"""WITH {o.RESULTS}
 SELECT contract_id AS id, 'text too short' AS error FROM docs WHERE length(clean_text) < 100
-UNION ALL SELECT contract_id, error FROM results WHERE status = 'failed'""")
+UNION ALL SELECT contract_id, error FROM results WHERE status = 'failed'"""
+
+
+@query("failure_log", _FAILURES)
 def failure_log(spark, sf):
     return rs.failure_log(ct.too_short(fx.contracts(spark, sf)), fx.results(spark, sf))
 
 
+@query("failure_log_stored", _FAILURES)
+def failure_log_stored(spark, sf):
+    """The log as it is written and read back, in place of an earlier, empty one."""
+    path = session.new_folder(spark, "failures")
+    log = failure_log(spark, sf)
+    rs.write_failures(log.where("false"), path)
+    rs.write_failures(log, path)
+    return rs.read_failures(spark, path)
+
+
 @query("resume_pending", f"""WITH {o.RESULTS}
 SELECT contract_id, doc_id FROM docs WHERE contract_id NOT IN (SELECT contract_id FROM results WHERE doc_id % 3 <> 0)""")
 def resume_pending(spark, sf):

@@ -8,6 +8,8 @@ from clauseloom.sources import results as rs
 from clauseloom.sources import snapshots as sn
 from clauseloom.streaming import ingest, throughput
 from verification import fixture as fx
+from verification import evaluation  # noqa: F401 - registers its queries
+from verification.registry import QUERIES
 
 from conftest import values
 
@@ -142,3 +144,14 @@ def test_queries_agree_with_sql(name):
     from verification.compare import main
 
     assert main("/root/testdata/sf0.001", [name]) == 0
+
+
+@pytest.mark.parametrize("files", [1, 3])
+def test_a_table_is_streamed_as_a_file_or_a_folder(spark, tmp_path, files):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").where("doc_id < 30")
+    if files == 1:
+        docs.toPandas().to_parquet(tmp_path / "documents.parquet")
+    else:
+        docs.repartition(files).write.parquet(str(tmp_path / "documents.parquet"))
+    found = QUERIES["stream_ingest"](spark, str(tmp_path))
+    assert found.count() == ct.ready(fx.contracts(spark, str(tmp_path))).count() > 0

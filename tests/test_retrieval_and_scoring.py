@@ -11,6 +11,7 @@ from clauseloom.operators import prompts as pr
 from clauseloom.operators import retrieval as rt
 from clauseloom.operators import scoring as sc
 from clauseloom.operators import vectors as ve
+from clauseloom.operators import weights as wt
 from clauseloom.plans import batch
 from clauseloom.plans import evaluation as ev
 from clauseloom.sources import contracts as ct
@@ -289,3 +290,13 @@ def test_near_vectors_in_small_steps(spark, monkeypatch):
     whole = sorted(values(ve.near_candidates(units, queries, cut=1.0), "query_idx", "vec_id"))
     monkeypatch.setattr(ve, "CELLS", 3 * 8 * 4)
     assert sorted(values(ve.near_candidates(units, queries, cut=1.0), "query_idx", "vec_id")) == whole and len(whole) == 180
+
+
+def test_terms_are_counted_where_their_document_is(spark):
+    """No row of a chunk and a term is sorted or shuffled to be weighed, and rare terms that are looked up by a join weigh the same."""
+    chunks = chunks_of(spark, {str(d): [f"law {'of' * (d % 3)} w{d * i % 7} w{d}" for i in range(1, 5)] for d in range(12)})
+    whole = sorted(values(ve.corpus_vectors(chunks), "contract_id", "chunk_idx", "term", "weight"))
+    assert sorted(values(ve.corpus_vectors(chunks, 2), "contract_id", "chunk_idx", "term", "weight")) == whole and whole
+    for weighed in (wt.chunk_term_weights(chunks), ve.hashed_vectors(chunks, 64), ve.corpus_vectors(chunks)):
+        plan = weighed._jdf.queryExecution().executedPlan().toString()
+        assert "Window" not in plan and "Join" not in plan

@@ -196,3 +196,12 @@ def test_resolved_references_shuffle_by_contract_alone(spark):
     df = spark.createDataFrame([("a", "see section 1")], "contract_id string, clean_text string")
     plan = sections.resolved_refs(df)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+
+
+def test_references_are_resolved_text_by_text(spark):
+    """No mark is sorted with those of other texts; rows of one id are one text."""
+    df = spark.createDataFrame([("a", "SECTION 1\nsee section 2\nSECTION 2\nEXHIBIT A\nsee section 2"), ("b", None)], "contract_id string, clean_text string")
+    refs = sections.resolved_refs(df)
+    assert "Window" not in refs._jdf.queryExecution().executedPlan().toString()
+    assert sorted(values(refs, "ref_no", "target", "exhibit", "section_line", "article")) == [(0, "2", 0, 2, None), (1, "2", 1, None, None)]
+    assert sorted(values(sections.marks(df), "line", "kind", "exhibit")) == [(0, "section", 0), (1, "reference", 0), (2, "section", 0), (3, "exhibit", 1), (4, "reference", 1)]

@@ -4,19 +4,21 @@ Give these functions chunks partitioned by ``contract_id`` (``sources.contracts.
 table bucketed by it): a document's chunks are then gathered, ranked, deduplicated and joined where they are, and only
 the queries are sent to every executor, in blocks of bounded size.
 
-All chunks of a document meet the queries in one call: its counts of terms are turned into postings once, the products with all
-queries of a block are one matrix product, and only the best ``k`` of each query leave the task.  Arrays are bounded by
+All chunks of a document meet the queries in one call: its counts of terms meet the postings of the queries, the products with all
+queries of a block are one sum by chunk and query, and only the best ``k`` of each query leave the task.  Arrays are bounded by
 ``CELLS`` numbers, however many chunks a document has.
 """
 
 from __future__ import annotations
 
+import itertools
 import re
-from collections import Counter
-from collections.abc import Callable
+from collections import Counter, defaultdict
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,6 +28,7 @@ from ..session import ship
 
 BLOCK_QUERIES, BLOCK_TERMS = 200, 50_000  # of a broadcast block
 CELLS = 2_000_000  # numbers in an array
+SLICE_BYTES, SLICE_ROWS = 4_000_000, 100_000  # of texts that are Python objects at a time (one document at least), and of rows given out at once
 
 
 def default_queries(spark: SparkSession) -> DataFrame:
@@ -53,48 +56,51 @@ def _ranker(shared, k: int):
     for _, terms in asked:
         for term in terms:
             vocabulary.setdefault(term, len(vocabulary))
-    counts = np.zeros((len(vocabulary), len(asked)))
-    for j, (_, terms) in enumerate(asked):
-        for term in terms:
-            counts[vocabulary[term], j] += 1
-    query_sq = (counts * counts).sum(axis=0)
+    held_by = sorted((vocabulary[term], j, times) for j, (_, terms) in enumerate(asked) for term, times in Counter(terms).items())
+    posted, query, count = np.array(held_by, np.int64).reshape(-1, 3).T
+    start_of = np.searchsorted(posted, np.arange(len(vocabulary) + 1))
+    n_held = np.diff(start_of)
+    query_sq = np.bincount(query, (count * count).astype(float), minlength=len(asked))
     find = re.compile(tx.TERM).findall
 
+    def postings(terms: np.ndarray):
+        """The places in ``query`` and ``count`` of some terms of the vocabulary, and how many each has."""
+        n = n_held[terms]
+        return np.repeat(start_of[terms] - np.cumsum(n) + n, n) + np.arange(n.sum()), n
+
     def rank(texts: list[str], n_chunks: int):
-        own: dict[str, int] = {}
-        chunk, term, tf = [], [], []
-        for i, text in enumerate(texts):
-            for word, times in Counter(find((text or "").lower())).items():
-                chunk.append(i)
-                term.append(own.setdefault(word, len(own)))
-                tf.append(times)
-        chunk, term, tf = np.array(chunk, np.int64), np.array(term, np.int64), np.array(tf, float)
+        own: dict[str, int] = defaultdict(itertools.count().__next__)
+        places = [[own[word] for word in find((text or "").lower())] for text in texts]
+        sizes = [len(p) for p in places]
+        pairs = np.repeat(np.arange(len(texts), dtype=np.int64), sizes) * max(len(own), 1) + np.fromiter(itertools.chain.from_iterable(places), np.int64, sum(sizes))
+        pairs, tf = np.unique(pairs, return_counts=True)
+        chunk, term = np.divmod(pairs, max(len(own), 1))
         idf = np.log((1.0 + n_chunks) / (1.0 + np.bincount(term, minlength=len(own)))) + 1.0
         unseen = np.log(1.0 + n_chunks) + 1.0
         length = np.sqrt(np.bincount(chunk, (tf * idf[term]) ** 2, minlength=len(texts)))
         asked_term = np.array([vocabulary.get(word, -1) for word in own], np.int64)
         held = np.flatnonzero(asked_term >= 0)
-        column = np.full(len(own), -1)
-        column[held] = np.arange(len(held))
-        weights = counts[asked_term[held]]
-        seen = ((weights * weights) * (idf[held] ** 2 - unseen**2)[:, None]).sum(axis=0)
+        entry, n = postings(asked_term[held])
+        seen = np.bincount(query[entry], count[entry] ** 2 * np.repeat(idf[held] ** 2 - unseen**2, n), minlength=len(asked))
         query_length = np.sqrt(np.maximum(query_sq * unseen**2 + seen, 0.0))
-        known = column[term] >= 0
-        row, place, value = chunk[known], column[term[known]], (tf * idf[term] ** 2)[known]
-        best, values = np.zeros((0, len(asked)), np.int64), np.zeros((0, len(asked)))
-        step = max(k, CELLS // max(len(held), len(asked), 1))
+        known = asked_term[term] >= 0
+        row, place, value = chunk[known], asked_term[term[known]], (tf * idf[term] ** 2)[known]
+        best, values, every = np.zeros((0, len(asked)), np.int64), np.zeros((0, len(asked))), np.arange(len(asked))
+        step = max(k, min(CELLS // max(len(asked), 1), len(texts) * CELLS // max(int(n_held[place].sum()), 1)))
         for start in range(0, len(texts), step):
             stop = min(start + step, len(texts))
             a, b = np.searchsorted(row, (start, stop))
-            matrix = np.zeros((stop - start, len(held)))
-            matrix[row[a:b] - start, place[a:b]] = value[a:b]
+            entry, n = postings(place[a:b])
+            cell = np.repeat((row[a:b] - start) * len(asked), n) + query[entry]
+            products = np.bincount(cell, np.repeat(value[a:b], n) * count[entry], minlength=(stop - start) * len(asked)).astype(float).reshape(stop - start, len(asked))
             part = length[start:stop, None]
-            products = np.divide(matrix @ weights, part, out=np.zeros((stop - start, len(asked))), where=part > 0)
-            values = np.concatenate((values, products))
-            best = np.concatenate((best, np.repeat(np.arange(start, stop)[:, None], len(asked), axis=1)))
+            products = np.divide(products, part, out=np.zeros_like(products), where=part > 0)
+            if start:
+                products = np.concatenate((values, products))
             # what came before has the smaller places, so a stable sort breaks ties by place
-            order = np.argsort(-np.round(values, 9), axis=0, kind="stable")[:k]
-            values, best = np.take_along_axis(values, order, 0), np.take_along_axis(best, order, 0)
+            order = np.argsort(-np.round(products, 9), axis=0, kind="stable")[:k]
+            values = products[order, every]
+            best = np.concatenate((best, np.repeat(np.arange(start, stop)[:, None], len(asked), axis=1)))[order, every] if start else order
         return best, np.divide(values, query_length, out=np.zeros_like(values), where=query_length > 0)
 
     return rank, [q for q, _ in asked]
@@ -106,6 +112,19 @@ def _documents(chunks: DataFrame) -> DataFrame:
     return chunks.groupBy("contract_id").agg(F.max("n_chunks").alias("n_chunks"), ordered.alias("chunks"))
 
 
+def _slices(batches, size: int = SLICE_BYTES) -> Iterator[tuple]:
+    """Documents a bounded slice of a batch at a time: their ids, and (chunks of the document, chunk numbers, chunk texts) of each."""
+    for batch in batches:
+        step = max(1, batch.num_rows * size // max(batch.nbytes, 1))
+        for start in range(0, batch.num_rows, step):
+            part = batch.slice(start, step)
+            numbers, texts = part.column("chunks").flatten().flatten()
+            numbers, texts = numbers.to_numpy(zero_copy_only=False), texts.to_pylist()
+            ends = np.cumsum(pc.list_value_length(part.column("chunks")).to_numpy(zero_copy_only=False)).tolist()
+            spans = zip(part.column("n_chunks").to_pylist(), [0, *ends], ends)
+            yield part.column("contract_id"), [(n_chunks, numbers[a:b], texts[a:b]) for n_chunks, a, b in spans]
+
+
 def _close_enough(similarity: np.ndarray, k: int, closeness: float) -> np.ndarray:
     """Which places of the columns of ``similarity`` are kept: the first ``k``, and further ones up to the first clear step down."""
     kept = np.ones(similarity.shape, bool)
@@ -141,15 +160,14 @@ def rank_chunks(chunks: DataFrame, queries: DataFrame, k: int = fv.TOP_K, keep:
 
         def ranked(batches, shared=shared):
             rank, names = _ranker(shared, k)
-            for batch in batches:
+            for documents, parts in _slices(batches):
                 columns, n = [], 0
-                for document, n_chunks, parts in zip(*(batch.column(c).to_pylist() for c in ("contract_id", "n_chunks", "chunks"))):
-                    best, similarity = rank([p["chunk_text"] for p in parts], n_chunks)
-                    numbers = np.array([p["chunk_idx"] for p in parts])
+                for document, (n_chunks, numbers, texts) in zip(documents.to_pylist(), parts):
+                    best, similarity = rank(texts, n_chunks)
                     place, asked = np.nonzero(np.ones(best.shape, bool) if keep is None else keep(similarity))
                     columns.append((document, asked, numbers[best[place, asked]], place + 1, similarity[place, asked]))
                     n += len(place)
-                    if n >= CELLS // 4:
+                    if n >= SLICE_ROWS:
                         yield _ranked_batch(columns, names, kind)
                         columns, n = [], 0
                 yield _ranked_batch(columns, names, kind)
@@ -172,22 +190,27 @@ def _ranked_batch(columns: list, names: list, kind: str) -> pa.RecordBatch:
 def _picked(chunks: DataFrame, shared, k: int) -> DataFrame:
     """contract_id and the retrieved texts of each document, each once, in the order of their first hits."""
     key = dict(chunks.dtypes)["contract_id"]
-    texts = pa.list_(pa.struct([("seen", pa.int32()), ("chunk_text", pa.string())]))
 
     def pick(batches):
         rank, names = _ranker(shared, k)
-        for batch in batches:
-            documents, picked = [], []
-            for document, n_chunks, parts in zip(*(batch.column(c).to_pylist() for c in ("contract_id", "n_chunks", "chunks"))):
-                best, _ = rank([p["chunk_text"] for p in parts], n_chunks)
-                seen = np.array(names)[None, :] * k + np.arange(len(best))[:, None]
+        firsts = np.array(names)[None, :] * k
+        for documents, parts in _slices(batches):
+            ends, seen, picked = [0], [], []
+            for n_chunks, _, texts in parts:
+                best, _ = rank(texts, n_chunks)
+                numbers = firsts + np.arange(len(best))[:, None]
+                earliest = np.full(len(texts), np.iinfo(np.int64).max)
+                np.minimum.at(earliest, best.ravel(), numbers.ravel())
                 first: dict[str, int] = {}
-                for place, number in zip(best.ravel().tolist(), seen.ravel().tolist()):
-                    text = parts[place]["chunk_text"]
-                    first[text] = min(number, first.get(text, number))
-                documents.append(document)
-                picked.append([{"seen": number, "chunk_text": text} for text, number in sorted(first.items(), key=lambda x: x[1])])
-            yield pa.RecordBatch.from_arrays([pa.array(documents, batch.schema.field("contract_id").type), pa.array(picked, texts)], names=["contract_id", "picked"])
+                for place in np.unique(best).tolist():
+                    number = int(earliest[place])
+                    first[texts[place]] = min(number, first.get(texts[place], number))
+                for text, number in sorted(first.items(), key=lambda x: x[1]):
+                    seen.append(number)
+                    picked.append(text)
+                ends.append(len(seen))
+            rows = pa.StructArray.from_arrays([pa.array(seen, pa.int32()), pa.array(picked, pa.string())], names=["seen", "chunk_text"])
+            yield pa.RecordBatch.from_arrays([documents, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), rows)], names=["contract_id", "picked"])
 
     return _documents(chunks).mapInArrow(pick, f"contract_id {key}, picked array<struct<seen:int,chunk_text:string>>")
 

@@ -1,6 +1,7 @@
 import math
 import re
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -292,6 +293,16 @@ def test_near_vectors_in_small_steps(spark, monkeypatch):
     assert sorted(values(ve.near_candidates(units, queries, cut=1.0), "query_idx", "vec_id")) == whole and len(whole) == 180
 
 
+def test_slices_of_documents():
+    """A batch becomes Python objects a bounded slice at a time, with nothing lost between the slices."""
+    chunks = [[{"chunk_idx": i, "chunk_text": f"{d} {i}"} for i in range(d % 4)] for d in range(50)]
+    batch = pa.RecordBatch.from_pylist([{"contract_id": str(d), "n_chunks": len(c), "chunks": c} for d, c in enumerate(chunks)])
+    slices = list(rt._slices([batch.slice(3), batch.slice(0, 3)], 200))
+    found = [(d, [{"chunk_idx": int(i), "chunk_text": t} for i, t in zip(numbers, texts)])
+             for ids, parts in slices for d, (_, numbers, texts) in zip(ids.to_pylist(), parts)]
+    assert len(slices) > 5 and found == [(str(d), chunks[d]) for d in [*range(3, 50), 0, 1, 2]]
+
+
 def test_terms_are_counted_where_their_document_is(spark):
     """No row of a chunk and a term is sorted or shuffled to be weighed, and rare terms that are looked up by a join weigh the same."""
     chunks = chunks_of(spark, {str(d): [f"law {'of' * (d % 3)} w{d * i % 7} w{d}" for i in range(1, 5)] for d in range(12)})

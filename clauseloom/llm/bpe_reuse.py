@@ -17,12 +17,13 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .encoding import PieceEncoder, load_tokenizer
 from .registry import free_name
+from .words import by_bytes
 
 WINDOW, CUT_BITS = 16, 9  # a cut about every 512 code points
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
@@ -90,7 +91,8 @@ def blank_after(text: str, start: int, end: int | None = None) -> int:
 _ENCODERS: dict[str, "ChunkEncoder"] = {}
 _DECODERS: dict[str, "Decoder"] = {}
 LONG_WINDOW = 10_000  # longer windows are not kept
-CACHE_BYTES, ENTRY = 64_000_000, 400  # about what a worker keeps, and what an entry takes besides its text and ids
+PIECE_CHARS = 8_000_000  # characters of pieces that a worker keeps for them, some 100 MB of arrays
+CACHE_BYTES, ENTRY = 32_000_000, 400  # about what a worker keeps, and what an entry takes besides its text and ids
 
 
 class ChunkEncoder:
@@ -103,7 +105,7 @@ class ChunkEncoder:
         return _ENCODERS[path]
 
     def __init__(self, path: str):
-        self.pieces = PieceEncoder.of_worker(path)
+        self.pieces = PieceEncoder(path, PIECE_CHARS)
         self.chunks: dict[str, np.ndarray] = {}
         self.windows: dict[str, list[int]] = {}
         self.held = 0
@@ -183,7 +185,18 @@ class Decoder:
         return " ".join(map(self.tokens.__getitem__, ids.tolist()))
 
 
-BATCH_CHARS = 400_000
+BATCH_BYTES = 400_000  # of texts that are encoded in one call and given out in one batch; a longer text is one by itself
+
+
+def _coded(ids: list[np.ndarray], decoder: Decoder, with_ids: bool) -> pa.StructArray:
+    sizes = [len(i) for i in ids]
+    columns = {"n_tokens": pa.array(sizes, pa.int64()),
+               "ids_sha256": pa.array([hashlib.sha256(i.astype("<u4").tobytes()).hexdigest() for i in ids], pa.string()),
+               "decoded_sha256": pa.array([hashlib.sha256(decoder.decode(i).encode()).hexdigest() for i in ids], pa.string())}
+    if with_ids:
+        flat = np.concatenate([np.zeros(0, np.int32), *ids]).astype(np.int32)
+        columns["ids"] = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *sizes]), pa.int32()), pa.array(flat))
+    return pa.StructArray.from_arrays(list(columns.values()), names=list(columns))
 
 
 def coded(docs: DataFrame, path: str, with_ids: bool = False) -> DataFrame:
@@ -193,24 +206,13 @@ def coded(docs: DataFrame, path: str, with_ids: bool = False) -> DataFrame:
     """
     kind = "n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
 
-    @F.pandas_udf(kind)
-    def code(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf(f"struct<{kind.replace(' ', ':').replace(',:', ',')}>")
+    def code(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder, decoder = ChunkEncoder.of_worker(path), Decoder.of_worker(path)
         for column in batches:
-            rows, texts = [], column.tolist()
-            done = 0
-            while done < len(texts):
-                upto, chars = done, 0
-                while upto < len(texts) and (chars < BATCH_CHARS or upto == done):
-                    chars += len(texts[upto])
-                    upto += 1
-                for ids in encoder.encode_all(texts[done:upto]):
-                    decoded = decoder.decode(ids)
-                    rows.append((len(ids), hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest(),
-                                 hashlib.sha256(decoded.encode()).hexdigest(), *((ids,) if with_ids else ())))
-                done = upto
-            names = [c.split()[0] for c in kind.split(", ")]
-            yield pd.DataFrame(rows, columns=names)
+            whole = pa.RecordBatch.from_arrays([column], names=["text"])
+            for part in by_bytes(whole, "text", BATCH_BYTES):
+                yield _coded(encoder.encode_all(part.column(0).to_pylist()), decoder, with_ids)
 
     names = [c.split()[0] for c in kind.split(", ")]
     own = docs.drop(*names)

@@ -70,15 +70,16 @@ def encode_pieces(tokenizer, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]
 
 
 class PieceEncoder:
-    """Ids of pieces, held in one flat array and found by the 64-bit hash of the piece; bounded by ``CACHE_CHARS``.
+    """Ids of pieces, held in one flat array and found by the 64-bit hash of the piece; bounded by ``cache_chars``.
 
     A piece in capitals has the ids of its lower-case form where the tokenizer folds case, and a full stop or comma behind
     a letter is a pre-token of its own where the tokenizer splits there; both are asked of the tokenizer, and used to
     encode fewer pieces.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cache_chars: int = CACHE_CHARS):
         self.tokenizer = load_tokenizer(path)
+        self.cache_chars = cache_chars
         normalizer, splitter = self.tokenizer.normalizer, self.tokenizer.pre_tokenizer
         self.folds = normalizer is not None and normalizer.normalize_str("AbcXYZ") == "abcxyz"
         self.splits = splitter is not None and all([p for p, _ in splitter.pre_tokenize_str("ab" + m)] == ["ab", m] for m in MARKS)
@@ -163,7 +164,7 @@ class PieceEncoder:
 
     def numbered(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """For all pieces of texts given as bytes: where their ids are; and where the pieces of each text begin."""
-        if self.chars > CACHE_CHARS:
+        if self.chars > self.cache_chars:
             self._clear()
         words = hash_words(data, offsets, separator=BLANKS)
         hashes, at, back = np.unique(words.hashes, return_index=True, return_inverse=True)
@@ -182,7 +183,7 @@ class PieceEncoder:
 
     def lengths_of(self, hashes: np.ndarray, data: np.ndarray, words: Words, at: np.ndarray) -> np.ndarray:
         """The same for the numbers of their ids."""
-        if self.chars > CACHE_CHARS:
+        if self.chars > self.cache_chars:
             self._clear()
         places = self.places_of(hashes, data, words, at)
         return self.length[places]

@@ -6,7 +6,7 @@ added to the feature's table.  A document's score is the logistic function of th
 
 Learning takes at most ``MAX_TRAIN`` labelled documents, those with the smallest hashed ids, of which only the features reach
 the driver; documents whose crc32(doc_id as text) leaves the remainder 1 modulo 3 are held out.  Scoring passes every whole text once.
-Inputs are measured on the text alone: labels, lang, source and doc_id are none.
+Texts stay Arrow arrays, of which ``SLICE_BYTES`` are measured at a time (one text at least).  Inputs are measured on the text alone: labels, lang, source and doc_id are none.
 
 Null and empty texts are scored like any other, by the bins of their zeros.  Without any label the score is 0.5; rows are
 scored each; a null id is never learned from nor held out.
@@ -18,7 +18,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,12 +26,14 @@ from .quality_rules import _CLASS, CLASSES, text_counts
 from .words import by_bytes, hash_words, mix, text_bytes
 
 MAX_TRAIN = 20_000
+SLICE_BYTES = 1 << 19  # a byte of text takes some 60 bytes of arrays while it is measured
 BINS, PAIR_BINS, PAIRS, ROUNDS, PAIR_ROUNDS, RATE = 64, 12, 12, 150, 60, 0.1
 
 FEATURES = ("log_words", "word_length", "symbols", "dup_lines", "repeated", "distinct", "top_word", "words_per_line", "log_lines",
             *(f"share_{c}" for c in CLASSES), "mark_words", "long_words")
 _LINE_END = np.zeros(256, bool)
 _LINE_END[0x0A] = True
+_LETTER = np.isin(_CLASS, (0, 1, 5, 6))
 
 
 def features(column: pa.Array) -> np.ndarray:
@@ -50,7 +51,7 @@ def features(column: pa.Array) -> np.ndarray:
     top = np.zeros(n)
     np.maximum.at(top, owner[first], times)
     kinds = np.bincount(np.repeat(np.arange(n), np.diff(offsets)) * 8 + _CLASS[data], minlength=8 * n).reshape(n, 8)[:, :len(CLASSES)]
-    is_letter = np.concatenate(([0], np.cumsum(np.isin(_CLASS[data], (0, 1, 5, 6)))))
+    is_letter = np.concatenate(([0], np.cumsum(_LETTER[data])))
     letters = is_letter[words.starts + words.sizes] - is_letter[words.starts]
     return np.column_stack([
         np.log1p(n_words), per_word(counts["word_chars"]), per_word(counts["n_symbols"]), counts["n_dup_lines"] / np.maximum(n_lines, 1),
@@ -192,7 +193,7 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Mod
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in by_bytes(whole, "text"):
+            for batch in by_bytes(whole, "text", SLICE_BYTES):
                 rows = pa.array(list(features(batch.column("text"))), pa.list_(pa.float64()))
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("quality"), rows], names=["doc_id", "quality", "x"])
 
@@ -206,11 +207,12 @@ def score_quality(docs: DataFrame, model: Model) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
     own = docs.drop("held_out", "score", "predicted")
 
-    @F.pandas_udf("double")
-    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("double")
+    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.large_string())], names=["text"])
-            yield pd.Series(np.concatenate([shared.value.score(features(part.column(0))) for part in by_bytes(batch, "text")] or [np.zeros(0)]))
+            batch = pa.RecordBatch.from_arrays([texts], names=["text"])
+            for part in by_bytes(batch, "text", SLICE_BYTES):
+                yield pa.array(shared.value.score(features(part.column(0))))
 
     scored = own.withColumn("score", score(F.coalesce(F.col("text").cast("string"), F.lit(""))))
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int")).withColumn("held_out", held_out(F.col("doc_id")))

@@ -173,3 +173,18 @@ def test_labels_of_held_out_rows_are_never_used(spark):
     assert scores[0] == scores[1]
     few = gam.train(docs, labels, max_train=5)
     assert gam.score_quality(docs, few).count() == docs.count()
+
+
+def test_features_take_little_memory_beside_the_texts():
+    import tracemalloc
+
+    from clauseloom.llm.words import by_bytes
+
+    batch = pa.RecordBatch.from_arrays([pa.array([f"word{i} stands here.\n" * 200 for i in range(1_000)])], names=["text"])
+    assert batch.nbytes > 4_000_000
+    whole = gam.features(batch.column(0))
+    tracemalloc.start()
+    rows = np.concatenate([gam.features(part.column(0)) for part in by_bytes(batch, "text", gam.SLICE_BYTES)])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40e6 and (rows == whole).all()

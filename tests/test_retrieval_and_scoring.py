@@ -90,6 +90,25 @@ def test_growing_k_finds_no_less_with_fewer_chunks(spark, sf):
     assert sum(r.n_fixed for r in rows) < sum(r.n_adaptive for r in rows) < sum(r.n_most for r in rows)
 
 
+def test_gain_of_marked_rankings_is_that_of_whole_ones(spark):
+    chunks, queries = chunks_of(spark, DOCUMENTS), queries_of(spark, *QUERIES)
+    first = sorted(DOCUMENTS)[0]
+    again = chunks.where(F.col("contract_id") == first)
+    chunks = chunks.unionByName(again).unionByName(again.withColumn("contract_id", F.lit(None).cast("string")))
+    queries = queries.withColumn("query_group", F.lit("g"))
+    relevant = spark.createDataFrame([(d, q, 0) for d in DOCUMENTS for q in range(2)] + [(None, 0, 0)], "contract_id string, query_idx int, chunk_idx int")
+    plain = [rt.rank_chunks(chunks, queries, 3), rt.rank_adaptively(chunks, queries, 1, 3, 0.5)]
+    marked = [rt.rank_chunks(chunks, queries, 3, relevant=relevant), rt.rank_adaptively(chunks, queries, 1, 3, 0.5, relevant)]
+    for a, b in zip(plain, marked):
+        assert sorted(map(str, values(b.drop("judged")))) == sorted(map(str, values(a)))
+    right = {(r.contract_id, r.query_idx, r.chunk_idx) for r in relevant.collect()}
+    for r in marked[0].where("contract_id is not null").collect():
+        assert r.judged == (r.contract_id == first or (r.contract_id, r.query_idx, r.chunk_idx) in right)
+    assert marked[0].where("not judged").count() > 0
+    gains = [values(rt.adaptive_gain(wide, adaptive, queries, relevant, 1)) for wide, adaptive in (plain, marked)]
+    assert gains[0] == gains[1] and gains[0]
+
+
 def test_ranking_without_broadcast(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     try:

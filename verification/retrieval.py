@@ -146,8 +146,9 @@ FROM pairs JOIN queries USING (query_idx) GROUP BY query_group""")
 def adaptive_gain(spark, sf):
     """Chunks taken and relevant ones found by two chunks a query, by a growing number and by eight."""
     queries, chunks = fx.benchmark_queries(spark, sf), _chunks(spark, sf)
-    adaptive = rt.rank_adaptively(chunks, queries, FEW, MOST, CLOSENESS)
-    return rt.adaptive_gain(rt.rank_chunks(chunks, queries, MOST), adaptive, queries, _relevant(queries, chunks), FEW)
+    relevant = _relevant(queries, chunks)
+    adaptive = rt.rank_adaptively(chunks, queries, FEW, MOST, CLOSENESS, relevant)
+    return rt.adaptive_gain(rt.rank_chunks(chunks, queries, MOST, relevant=relevant), adaptive, queries, relevant, FEW)
 
 
 @query("chunk_cap", f"{_TOP}{o.seen(K)} SELECT contract_id, seen, position FROM (SELECT contract_id, seen, row_number() OVER (PARTITION BY contract_id ORDER BY seen) AS position FROM seen) WHERE position <= 25")

@@ -205,3 +205,16 @@ def test_references_are_resolved_text_by_text(spark):
     assert "Window" not in refs._jdf.queryExecution().executedPlan().toString()
     assert sorted(values(refs, "ref_no", "target", "exhibit", "section_line", "article")) == [(0, "2", 0, 2, None), (1, "2", 1, None, None)]
     assert sorted(values(sections.marks(df), "line", "kind", "exhibit")) == [(0, "section", 0), (1, "reference", 0), (2, "section", 0), (3, "exhibit", 1), (4, "reference", 1)]
+
+
+def test_tasks_put_scanned_files_in_place(spark, sf, monkeypatch):
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    from verification import texts
+
+    given, option = {}, DataFrameWriter.option
+    monkeypatch.setattr(DataFrameWriter, "option", lambda self, key, value: given.update({key: value}) or option(self, key, value))
+    rows = texts.scan_text(spark, sf).collect()
+    expected = [len(r.text or "") + 1 for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    assert sorted(r.n_chars for r in rows) == sorted(expected)
+    assert given["maxRecordsPerFile"] == 1 and given["mapreduce.fileoutputcommitter.algorithm.version"] == "2"  # else the driver moves each file

@@ -242,7 +242,10 @@ def candidate_lines(docs: DataFrame, classes: DataFrame, entries: DataFrame) ->
     rows = _rows(docs).alias("r").join(wanted.alias("w"), F.col("r.row_hash").eqNullSafe(F.col("w.row_hash")) & F.col("r.doc_id").eqNullSafe(F.col("w.doc_id")))
     found = rows.select("node", "h1", "h2", F.struct(*[F.col(f"w.{c}") for c in PLACE]).alias("place"), F.get("lines", F.col("line_no")).alias("line"))
     lines = written(found.distinct(), "candidate-lines")
-    return written(lines.withColumns({"size": F.char_length("line"), "letters": _letters(), "pairs": _letter_pairs()}), "candidate-lines")
+    discard(places)
+    measured = written(lines.withColumns({"size": F.char_length("line"), "letters": _letters(), "pairs": _letter_pairs()}), "candidate-lines")
+    discard(lines)
+    return measured
 
 
 def close_pairs(pairs: DataFrame, lines: DataFrame, edits: int) -> DataFrame:

@@ -115,11 +115,12 @@ def within_size(a: str, b: str, threshold: int) -> Column:
 
 def compared(pairs: DataFrame, docs: DataFrame, size: int) -> DataFrame:
     """The pairs (a, b) with common, only_a, only_b (set sizes), what only one of them has (``apart``) and a bitmap of it."""
-    wanted = written(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "compared-ids")
-    if wanted.count() <= MAX_BROADCAST:  # spares moving all texts; beyond the bound they are shuffled
-        wanted = F.broadcast(wanted)
+    ids = written(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "compared-ids")
+    # spares moving all texts; beyond the bound they are shuffled
+    wanted = F.broadcast(ids) if ids.count() <= MAX_BROADCAST else ids
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, "doc_id", "left_semi")
     sets = written(full_sets(texts, size), "shingle-sets")
+    discard(ids)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -174,7 +175,7 @@ def may_share_enough(x: str, y: str, threshold: int) -> Column:
 def components(edges: DataFrame) -> DataFrame:
     """node, component: the smallest node that each node of ``edges`` (a, b) reaches.
 
-    Labels move along the edges and then to the label of the label, until none changes; each round is written.
+    Labels move along the edges and then to the label of the label, until none changes; each round is written, and replaces the last.
     """
     both = written(edges.select("a", "b").union(edges.select("b", "a")).distinct(), "edges")
     labels = written(both.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("node"), F.least("a", "b").alias("component")), "labels")
@@ -184,18 +185,20 @@ def components(edges: DataFrame) -> DataFrame:
         met = both.join(labels.select(F.col("node").alias("b"), "component"), "b").groupBy("a").agg(F.min("component").alias("met"))
         step = labels.join(met.withColumnRenamed("a", "node"), "node").select("node", F.least("component", "met").alias("via"))
         jump = labels.select(F.col("node").alias("via"), "component")
-        labels = written(step.join(jump, "via").select("node", F.least("via", "component").alias("component")), "labels")
+        last, labels = labels, written(step.join(jump, "via").select("node", F.least("via", "component").alias("component")), "labels")
+        discard(last)
         now = labels.agg(total).first()[0]
         if now == before:
             break
         before = now
+    discard(both)
     return labels
 
 
-def _from_hubs(spokes: DataFrame, members: DataFrame) -> DataFrame:
+def _from_hubs(spokes: DataFrame, members: DataFrame, threshold: int) -> DataFrame:
     """Members (node, hub, ...) with leader_size, lacks, adds, hidden, the bitmap and apart, and an own number ``uid``.
 
-    An id that stands for several texts gives a row for each.
+    Members that are linked with their hub are in its component.  An id that stands for several texts gives a row for each.
     """
     ways = []
     for node, hub in ("ab", "ba"):
@@ -204,19 +207,46 @@ def _from_hubs(spokes: DataFrame, members: DataFrame) -> DataFrame:
         ways.append(spokes.select(F.col(node).alias("node"), F.col(hub).alias("hub"), (F.col("common") + lacks).alias("leader_size"),
                                   lacks.alias("lacks"), adds.alias("adds"), (lacks + adds - bits).alias("hidden"), *DIFFERING, "apart"))
     joined = members.join(ways[0].unionByName(ways[1]), ["node", "hub"])
+    near_hub = 100 * (F.col("leader_size") - F.col("lacks")) >= threshold * (F.col("leader_size") + F.col("adds"))
+    joined = joined.withColumn("component", F.when(near_hub, F.col("hub_component")).otherwise(F.col("component")))
     return written(joined.withColumn("uid", F.monotonically_increasing_id()), "members")
 
 
-def _rarest(members: DataFrame, often: DataFrame, needed: Column, *kept: str) -> DataFrame:
-    """For each member the elements of ``apart`` of which it must share one, so as to share ``needed`` of them: the rarest.
+def _late_pairs(members: DataFrame, threshold: int) -> DataFrame:
+    """The pairs (a, b) of members of a hub that could be linked across components; ``members`` is a written table.
 
-    The order by frequency among all members of a hub (``often``), then by value, is the same for all.
+    A member must share one of the rarest elements of its ``apart`` with another, so as to share as many as a link needs.  The order by
+    frequency among all members of a hub, then by value, is the same for all.  What meets nothing goes before the bitmaps are
+    joined to the elements: hubs with no member outside, elements of a single member, those of a single component.
     """
-    spread = members.select("hub", "uid", F.explode("apart").alias("element"))
-    order = Window.partitionBy("uid").orderBy("n", "element")
-    ranked = spread.join(often, ["hub", "element"]).withColumn("place", F.row_number().over(order)).where("n > 1")  # others meet nothing
-    limits = members.select("uid", (F.size("apart") - F.greatest(needed, F.lit(1)) + 1).alias("most"), *kept)
-    return ranked.select("hub", "uid", "element", "place").join(limits, "uid").where("place <= most").drop("place", "most")
+    # of a link, shared differences >= (m_x + t p_x + m_y + t p_y - (1 - t) h) / (1 + t); the hub is no link of x: m_x + t p_x > (1 - t) h
+    weight, spare = 100 * F.col("lacks") + threshold * F.col("adds"), (100 - threshold) * F.col("leader_size")
+    upwards = lambda number, by: F.floor((number + (by - 1)) / by)  # noqa: E731  a quotient of whole numbers, never rounded too high
+    outside = F.col("component") != F.col("hub_component")
+    open_ = members.join(members.where(outside).select("hub").distinct(), "hub", "left_semi")
+    spread = open_.select("hub", "uid", F.explode("apart").alias("element"))
+    often = spread.groupBy("hub", "element").agg(F.count("*").alias("n")).where("n > 1")
+    shared = written(spread.join(often, ["hub", "element"]), "shared-elements")
+    # counted from the commonest, the rarest that are needed are those from the number to share on; elements of one member are rarer still
+    turn = F.row_number().over(Window.partitionBy("uid").orderBy(F.desc("n"), F.desc("element")))
+    needs = members.select("uid", "component", outside.alias("outside"), upwards(weight - spare, 100).alias("x"), upwards(weight, 100 + threshold).alias("y"))
+    ranked = shared.select("hub", "uid", "element", turn.alias("turn")).join(needs, "uid")
+    ranked = ranked.select("hub", "uid", "element", "component", (F.col("outside") & (F.col("turn") >= F.col("x"))).alias("as_x"), (F.col("turn") >= F.col("y")).alias("as_y"))
+    rarest = written(ranked.where("as_x or as_y"), "rarest-elements")
+    discard(shared)
+    meeting = rarest.groupBy("hub", "element").agg(F.max("as_x").alias("as_x"), F.max("as_y").alias("as_y"), F.min("component").alias("low"), F.max("component").alias("high"))
+    meeting = meeting.where("as_x and as_y and low <> high").select("hub", "element")
+    meets = written(rarest.join(meeting, ["hub", "element"], "left_semi").drop("component"), "meeting-elements")
+    discard(rarest)
+    attributes = ("node", "component", "leader_size", "lacks", "adds", "hidden", *DIFFERING)
+    full = meets.join(members.select("uid", "hub_component", *attributes), "uid")
+    x = full.where("as_x").select("hub", "element", *attributes).alias("x")
+    y = full.where("as_y").select("hub", "element", "hub_component", *attributes).drop("leader_size").alias("y")
+    late = x.join(y, (F.col("x.hub") == F.col("y.hub")) & (F.col("x.element") == F.col("y.element")) & (F.col("x.component") != F.col("y.component"))
+                  & ((F.col("y.component") == F.col("y.hub_component")) | (F.col("x.node") < F.col("y.node"))) & may_share_enough("x", "y", threshold))
+    pairs = written(late.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct(), "late-pairs")
+    discard(meets)
+    return pairs
 
 
 def _between(links: DataFrame, found: DataFrame) -> DataFrame:
@@ -247,50 +277,52 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: int = 80) -> Data
     leaders = keys.groupBy("key").agg(F.min_by("node", F.xxhash64("node", "key")).alias("leader"), F.count("*").alias("size")).where("size > 1")
     entries = written(keys.join(leaders, "key"), "index-entries")
 
+    def checked(pairs: DataFrame) -> DataFrame:
+        stored = written(pairs, "pairs")
+        found = compared(stored, docs, size)
+        discard(stored)
+        return found
+
     # a round with one leader for each class, then one with the leaders of all entries that it leaves open
     largest = entries.where("node <> leader").groupBy("node").agg(F.max_by("leader", F.struct("size", F.xxhash64("key"))).alias("leader"))
     begun = _near(largest.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct(), classes, threshold)
-    stars = compared(written(begun, "pairs"), docs, size)
+    stars = checked(begun)
     begun = written(linked(stars, threshold), "links")
     discard(stars)
-    found = components(begun)
-    of = found.select(F.col("node").alias("leader"), F.col("component").alias("leads"))
-    placed = entries.join(found, "node", "left").join(of, "leader", "left")
+    started = components(begun)
+    of = started.select(F.col("node").alias("leader"), F.col("component").alias("leads"))
+    placed = entries.join(started, "node", "left").join(of, "leader", "left")
     apart = F.coalesce("component", "node") != F.coalesce("leads", "leader")
     met = placed.where(apart).select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
-    stars = compared(written(_near(met, classes, threshold), "pairs"), docs, size)
+    stars = checked(_near(met, classes, threshold))
     first = written(linked(stars, threshold).unionByName(begun).distinct(), "links")
-    discard(stars)
+    for used in (stars, begun, started):
+        discard(used)
     found = components(first)
 
     # entries that still hold several components meet their hub, the node with most links so far
     placed = entries.join(found, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
     links = first.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("links"))
     several = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key")
-    open_ = written(placed.join(several, "key").join(links, "node", "left"), "open-entries")
-    hubs = open_.groupBy("key").agg(F.max_by(F.struct("node", "component"), F.struct(F.coalesce("links", F.lit(0)), "node")).alias("hub"))
-    open_ = open_.join(hubs, "key").select("key", "node", "component", F.col("hub.node").alias("hub"), F.col("hub.component").alias("hub_component"))
+    left = written(placed.join(several, "key").join(links, "node", "left"), "open-entries")
+    for used in (entries, first):
+        discard(used)
+    hubs = left.groupBy("key").agg(F.max_by(F.struct("node", "component"), F.struct(F.coalesce("links", F.lit(0)), "node")).alias("hub"))
+    open_ = left.join(hubs, "key").select("key", "node", "component", F.col("hub.node").alias("hub"), F.col("hub.component").alias("hub_component"))
     met = open_.where("node <> hub").select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
-    spokes = compared(written(met, "pairs"), docs, size)
-    second = linked(spokes, threshold)
+    spokes = checked(met)
+    second = written(linked(spokes, threshold), "links")
 
     # then the members that are not in their hub's component meet all members of that hub, where it does not rule a link out
-    members = _from_hubs(spokes, open_.select("node", "hub", "component", "hub_component").distinct())
-    near_hub = 100 * (F.col("leader_size") - F.col("lacks")) >= threshold * (F.col("leader_size") + F.col("adds"))
-    members = members.withColumn("component", F.when(near_hub, F.col("hub_component")).otherwise(F.col("component")))
-    # of a link, shared differences >= (m_x + t p_x + m_y + t p_y - (1 - t) h) / (1 + t); the hub is no link of x: m_x + t p_x > (1 - t) h
-    weight, spare = 100 * F.col("lacks") + threshold * F.col("adds"), (100 - threshold) * F.col("leader_size")
-    attributes = ("node", "component", "hub_component", "leader_size", "lacks", "adds", "hidden", *DIFFERING)
-    upwards = lambda number, by: F.floor((number + (by - 1)) / by)  # noqa: E731  a quotient of whole numbers, never rounded too high
-    outside = members.where("component <> hub_component")
-    often = members.select("hub", F.explode("apart").alias("element")).groupBy("hub", "element").agg(F.count("*").alias("n"))
-    x = _rarest(outside, often, upwards(weight - spare, 100), *attributes).alias("x")
-    y = _rarest(members, often, upwards(weight, 100 + threshold), *attributes).alias("y")
-    late = x.join(y, (F.col("x.hub") == F.col("y.hub")) & (F.col("x.element") == F.col("y.element")) & (F.col("x.component") != F.col("y.component"))
-                  & ((F.col("y.component") == F.col("y.hub_component")) | (F.col("x.node") < F.col("y.node"))) & may_share_enough("x", "y", threshold))
-    late = late.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
-    third = linked(compared(written(late, "late-pairs"), docs, size), threshold)
-    groups = components(found.toDF("a", "b").union(_between(second.union(third), found)))
+    members = _from_hubs(spokes, open_.select("node", "hub", "component", "hub_component").distinct(), threshold)
+    for used in (left, spokes):
+        discard(used)
+    late = _late_pairs(members, threshold)
+    discard(members)
+    spokes = compared(late, docs, size)
+    groups = components(found.toDF("a", "b").union(_between(second.union(linked(spokes, threshold)), found)))
+    for used in (late, spokes, second, found):
+        discard(used)
 
     grouped = classes.select(*print_, "node").join(groups, "node", "left").select(*print_, F.coalesce("component", "node").alias("component_id"))
     rows = signed.select("doc_id", *print_).join(grouped, print_, "left")

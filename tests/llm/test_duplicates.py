@@ -92,6 +92,17 @@ def test_rows_grow_with_a_loose_group(spark, monkeypatch):
     assert sums[1] <= 3 * sums[0] and sums[1] <= 60 * 300, sums
 
 
+def test_only_what_the_result_reads_is_left_on_disk(spark, monkeypatch, tmp_path):
+    """Tables written on the way go as soon as what is made of them is written."""
+    from clauseloom import session
+
+    monkeypatch.setattr(session, "shared_folder", lambda spark: str(tmp_path))
+    got = near.near_duplicates(frame(spark, corpus()), 4, 80)
+    left = sorted(p.name.rsplit("-", 1)[0] for p in tmp_path.iterdir() if any(p.glob("*.parquet")))
+    assert left == ["classes", "labels", "signatures"]
+    assert got.count() == len(corpus())
+
+
 def test_components_of_a_long_chain(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 101), (103, 102), (102, 101), (7, 7)]
     got = {r.node: r.component for r in near.components(spark.createDataFrame(edges, "a long, b long")).collect()}

@@ -218,3 +218,36 @@ def test_tasks_put_scanned_files_in_place(spark, sf, monkeypatch):
     expected = [len(r.text or "") + 1 for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
     assert sorted(r.n_chars for r in rows) == sorted(expected)
     assert given["maxRecordsPerFile"] == 1 and given["mapreduce.fileoutputcommitter.algorithm.version"] == "2"  # else the driver moves each file
+
+
+def test_tasks_write_files_themselves_where_they_can(spark, tmp_path, monkeypatch):
+    """Each row is one file with nothing beside it, in folders of a bounded size; other stores go through Spark's writer."""
+    monkeypatch.setattr(ct, "FOLDER_FILES", 3)
+    texts = ["one", "", "two\nlines\r\n", "é€", "one", None, *(f"text {i}" for i in range(20))]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    expected = sorted((t or "") + "\n" for t in texts)
+    for name, own in (("own", True), ("spark", False)):
+        if not own:
+            monkeypatch.setattr(ct, "local_path", lambda *_: None)
+        folders = ct.write_files(df, f"file://{tmp_path}/{name}")
+        assert sorted(r.text for r in ct.scan_files(spark, folders).collect()) == expected
+        if own:
+            files = [f for f in (tmp_path / name).rglob("*") if f.is_file()]
+            assert len(files) == len(texts) and len({f.name for f in files}) == len(texts) and all(f.suffix == ".txt" for f in files)
+            assert len(folders) >= 9
+            assert ct.scan_files(spark, ct.write_files(df.where("false"), str(tmp_path / "none"))).count() == 0
+
+
+def test_only_files_of_ended_attempts_are_read(spark, tmp_path):
+    folders = ct.write_files(spark.createDataFrame([("a",), ("b",)], "text string"), str(tmp_path / "texts"))
+    (tmp_path / "texts" / "0-999-0").mkdir()
+    (tmp_path / "texts" / "0-999-0" / "0-0.txt").write_text("of an attempt that failed\n")
+    assert sorted(r.text for r in ct.scan_files(spark, folders).collect()) == ["a\n", "b\n"]
+
+
+def test_a_task_reads_many_small_files(spark, tmp_path):
+    for i in range(1500):
+        (tmp_path / f"{i}.txt").write_text(str(i))
+    files = ct.scan_files(spark, str(tmp_path))
+    assert files.rdd.getNumPartitions() <= 16  # 47 splits of 32 files before
+    assert sorted(int(r.text) for r in files.collect()) == list(range(1500))

@@ -32,11 +32,8 @@ def clean_text(spark, sf):
 SELECT length(t) AS n_chars, md5(t) AS text_md5, 'file' AS source FROM (SELECT text || chr(10) AS t FROM documents)""")
 def scan_text(spark, sf):
     """The documents as one text file each, read back as whole files."""
-    folder = session.new_folder(spark, "texts")
     docs = fx.read(spark, sf, "documents").repartition("doc_id").select("text")
-    # tasks put their files in place themselves; the folder is new and nobody reads it before the write is over
-    docs.write.option("maxRecordsPerFile", 1).option("mapreduce.fileoutputcommitter.algorithm.version", "2").text(folder)
-    files = ct.scan_files(spark, folder)
+    files = ct.scan_files(spark, ct.write_files(docs, session.new_folder(spark, "texts")))
     return files.select(F.length("text").alias("n_chars"), F.md5("text").alias("text_md5"), "source")
 
 

@@ -110,6 +110,23 @@ def test_gain_of_marked_rankings_is_that_of_whole_ones(spark):
     assert gains[0] == gains[1] and gains[0]
 
 
+def test_gain_ranks_stored_documents_once(spark):
+    """Gathered documents rank as their chunks do, and what is counted of both rankings is stored, so that neither is made again."""
+    chunks, queries = chunks_of(spark, DOCUMENTS), queries_of(spark, *QUERIES).withColumn("query_group", F.lit("g"))
+    again = chunks.where(F.col("contract_id") == sorted(DOCUMENTS)[0])
+    chunks = chunks.unionByName(again).unionByName(again.withColumn("contract_id", F.lit(None).cast("string")))
+    relevant = spark.createDataFrame([(d, q, 0) for d in DOCUMENTS for q in range(2)] + [(None, 0, 0)], "contract_id string, query_idx int, chunk_idx int")
+    documents, gains = rt.gathered(chunks), []
+    of_chunks = ["contract_id", "n_chunks", "chunk_idx", "chunk_text"]
+    assert sorted(map(str, values(rt.spread(documents), *of_chunks))) == sorted(map(str, values(chunks, *of_chunks)))
+    for given in (chunks, documents):
+        wide, adaptive = rt.rank_chunks(given, queries, 3, relevant=relevant), rt.rank_adaptively(given, queries, 1, 3, 0.5, relevant)
+        gain = rt.adaptive_gain(wide, adaptive, queries, relevant, 1)
+        assert "MapInArrow" not in gain._jdf.queryExecution().executedPlan().toString()  # four passes before
+        gains.append((sorted(map(str, values(wide))), sorted(map(str, values(adaptive))), values(gain)))
+    assert gains[0] == gains[1] and gains[0][2]
+
+
 def test_ranking_without_broadcast(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     try:

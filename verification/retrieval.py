@@ -15,6 +15,7 @@ from clauseloom.plans import planned as pl
 from clauseloom import fixed_values as fv
 from clauseloom.functions import text as tx
 from clauseloom.fields import SLA_FIELDS, TEXT
+from clauseloom.session import written
 from clauseloom.operators import scoring as sc
 
 from . import fixture as fx
@@ -145,8 +146,8 @@ SELECT query_group, sum(n_fixed)::BIGINT AS n_fixed, sum(n_adaptive)::BIGINT AS
 FROM pairs JOIN queries USING (query_idx) GROUP BY query_group""")
 def adaptive_gain(spark, sf):
     """Chunks taken and relevant ones found by two chunks a query, by a growing number and by eight."""
-    queries, chunks = fx.benchmark_queries(spark, sf), _chunks(spark, sf)
-    relevant = _relevant(queries, chunks)
+    queries, chunks = fx.benchmark_queries(spark, sf), rt.gathered(_chunks(spark, sf))
+    relevant = written(_relevant(queries, rt.spread(chunks)), "relevant")
     adaptive = rt.rank_adaptively(chunks, queries, FEW, MOST, CLOSENESS, relevant)
     return rt.adaptive_gain(rt.rank_chunks(chunks, queries, MOST, relevant=relevant), adaptive, queries, relevant, FEW)
 
